@@ -73,7 +73,7 @@ def rating_parse(c, lo: float = 0.0, hi: float = 5.0) -> Column:
     """First signed number, comma or dot decimal, clamped to [lo, hi] (CLN5)."""
     m = F.regexp_extract(col_(c).cast("string"), r"(-?[0-9]+(?:[.,][0-9]+)?)", 1)
     v = F.replace(F.nullif(m, F.lit("")), F.lit(","), F.lit(".")).try_cast("double")
-    return F.least(F.greatest(v, F.lit(lo)), F.lit(hi))
+    return F.when(v.isNotNull(), F.least(F.greatest(v, F.lit(lo)), F.lit(hi)))
 
 
 def reviews_parse(c) -> Column:

@@ -102,7 +102,7 @@ def range_clamp(df: DataFrame, text_fields: Sequence[str] = ("title", "descripti
              F.when(n < 0, F.lit(C.WARN_NEGATIVE_REVIEWS))]
     warns += [F.when(F.length(F.col(t)) > text_max, F.lit(f"{t} too long, truncating")) for t in text_fields]
     cols = {"price_numeric": F.when(p < 0, F.lit(0.0)).otherwise(p),
-            "rating_numeric": F.greatest(F.lit(0.0), F.least(F.lit(5.0), r)),
+            "rating_numeric": F.when(r.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(5.0), r))),
             "reviews_count": F.when(n < 0, F.lit(0)).otherwise(n)}
     for t in text_fields:
         cols[t] = F.substring(F.col(t), 1, text_max)

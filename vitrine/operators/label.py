@@ -67,41 +67,48 @@ def heuristic_label(df: DataFrame, rules: LabelRules = LabelRules(),
     Each rule is a (flag, weight) pair of columns; the label is a CASE over the
     two flag disjunctions and the confidence the capped weighted sum.
     """
-    title = lower_or_empty("title")
-    desc = lower_or_empty("description")
-    seller = lower_or_empty("seller_name")
     price, rating, reviews = F.col(price_col), F.col(rating_col), F.col(reviews_col)
     false = F.lit(False)
+    # lowered text once per row; Catalyst keeps these as one projection
+    lowered = df.withColumns({"_t": lower_or_empty("title"), "_d": lower_or_empty("description"),
+                              "_s": lower_or_empty("seller_name")})
+    title, desc, seller = F.col("_t"), F.col("_d"), F.col("_s")
 
     def either(words):
         return contains_any(title, words) | contains_any(desc, words)
 
-    r_official = contains_any(seller, rules.official_stores)
-    r_orig_kw = either(rules.original_keywords)
-    r_susp_kw = either(rules.suspicious_keywords)
-    r_low_price = F.coalesce(price < rules.low_price, false)
-    r_high_price = F.coalesce(~(price < rules.low_price) & (price > rules.high_price), false)
-    r_low_rating = F.coalesce((rating < rules.low_rating) & (reviews > rules.many_reviews), false)
-    r_typo = contains_any(title, rules.typos) & ~title.contains(rules.typo_exclude)
-    r_generic = contains_any(seller, rules.generic_sellers)
-
-    original_rules = [(r_official, C.W_OFFICIAL), (r_orig_kw, C.W_ORIGINAL_KW),
-                      (r_high_price, C.W_HIGH_PRICE)]
-    suspicious_rules = [(r_susp_kw, C.W_SUSPICIOUS_KW), (r_low_price, C.W_LOW_PRICE),
-                        (r_low_rating, C.W_LOW_RATING), (r_typo, C.W_TYPO),
-                        (r_generic, C.W_GENERIC_SELLER)]
+    flags = {
+        "_r_official": contains_any(seller, rules.official_stores),
+        "_r_orig_kw": either(rules.original_keywords),
+        "_r_high_price": F.coalesce(~(price < rules.low_price) & (price > rules.high_price), false),
+        "_r_susp_kw": either(rules.suspicious_keywords),
+        "_r_low_price": F.coalesce(price < rules.low_price, false),
+        "_r_low_rating": F.coalesce((rating < rules.low_rating) & (reviews > rules.many_reviews), false),
+        "_r_typo": contains_any(title, rules.typos) & ~title.contains(rules.typo_exclude),
+        "_r_generic": contains_any(seller, rules.generic_sellers),
+    }
+    original_rules = [("_r_official", C.W_OFFICIAL), ("_r_orig_kw", C.W_ORIGINAL_KW),
+                      ("_r_high_price", C.W_HIGH_PRICE)]
+    suspicious_rules = [("_r_susp_kw", C.W_SUSPICIOUS_KW), ("_r_low_price", C.W_LOW_PRICE),
+                        ("_r_low_rating", C.W_LOW_RATING), ("_r_typo", C.W_TYPO),
+                        ("_r_generic", C.W_GENERIC_SELLER)]
 
     def weight_sum(rs):
-        return reduce(lambda a, b: a + b, [F.when(f, F.lit(w)).otherwise(F.lit(0.0)) for f, w in rs])
-
-    is_o = reduce(lambda a, b: a | b, [f for f, _ in original_rules])
-    is_s = reduce(lambda a, b: a | b, [f for f, _ in suspicious_rules])
+        # rule order is kept so the float sum equals a left-to-right accumulation
+        return reduce(lambda a, b: a + b, [F.when(F.col(f), F.lit(w)).otherwise(F.lit(0.0)) for f, w in rs])
+
+    scored = lowered.withColumns(flags).withColumns({
+        "_is_o": reduce(lambda a, b: a | b, [F.col(f) for f, _ in original_rules]),
+        "_is_s": reduce(lambda a, b: a | b, [F.col(f) for f, _ in suspicious_rules]),
+        "_w_o": weight_sum(original_rules), "_w_s": weight_sum(suspicious_rules)})
+    is_o, is_s = F.col("_is_o"), F.col("_is_s")
     label = (F.when(is_o & ~is_s, F.lit(C.LABEL_ORIGINAL))
              .when(is_s & ~is_o, F.lit(C.LABEL_SUSPICIOUS))
              .when(is_o & is_s, F.lit(C.LABEL_MIXED))
              .otherwise(F.lit(C.LABEL_UNKNOWN)))
-    conf = (F.when(is_o & ~is_s, F.least(weight_sum(original_rules), F.lit(1.0)))
-            .when(is_s & ~is_o, F.least(weight_sum(suspicious_rules), F.lit(1.0)))
+    conf = (F.when(is_o & ~is_s, F.least(F.col("_w_o"), F.lit(1.0)))
+            .when(is_s & ~is_o, F.least(F.col("_w_s"), F.lit(1.0)))
             .when(is_o & is_s, F.lit(C.MIXED_CONFIDENCE))
             .otherwise(F.lit(0.0)))
-    return df.withColumns({"label": label, "confidence": conf})
+    tmp = ["_t", "_d", "_s", "_is_o", "_is_s", "_w_o", "_w_s"] + list(flags)
+    return scored.withColumns({"label": label, "confidence": conf}).drop(*tmp)
