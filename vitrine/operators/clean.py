@@ -199,7 +199,7 @@ def retention_split(df: DataFrame, ts_col: str, as_of: Column, days: int,
                     status_in: Sequence[str] | None = None):
     """(kept, deleted) frames of a retention rule (FIL5, FIL7). ``as_of`` is a
     Column (e.g. a scalar subquery result), never the wall clock."""
-    cutoff = F.timestampadd("DAY", F.lit(-days), as_of)
+    cutoff = F.timestamp_add("DAY", F.lit(-days), as_of)
     old = F.col(ts_col) < cutoff
     if status_in:
         old = old & F.col("status").isin(list(status_in))

@@ -110,7 +110,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("id"), F.col("o_orderpriority").alias("job_type"), status.alias("status"),
         F.col("o_orderdate").alias("started_at"),
         F.when(k % 10 == 1, F.lit(None).cast("timestamp_ntz"))
-         .otherwise(F.timestampadd("MINUTE", k % 300, F.col("o_orderdate"))).alias("completed_at"),
+         .otherwise(F.timestamp_add("MINUTE", k % 300, F.col("o_orderdate"))).alias("completed_at"),
         (k % 50).cast("int").alias("products_found"),
         F.least(k % 50, F.col("o_custkey") % 50).cast("int").alias("products_processed"))
 
