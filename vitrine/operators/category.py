@@ -33,12 +33,10 @@ def onehot(train: DataFrame, df: DataFrame, col: str):
     idx = StringIndexer(inputCol=col, outputCol=f"{col}_idx", stringOrderType="alphabetAsc",
                         handleInvalid="keep").fit(with_unknown(train, col))
     enc = OneHotEncoder(inputCols=[f"{col}_idx"], outputCols=[f"{col}_onehot"], dropLast=True,
-                        handleInvalid="keep")
-    x = idx.transform(with_unknown(df, col))
-    n_known = len(idx.labels)
-    # unseen -> index n_known; with dropLast the vector of size n_known has no slot for it
-    x = x.withColumn(f"{col}_idx", F.when(F.col(f"{col}_idx") >= n_known, F.lit(float(n_known))).otherwise(F.col(f"{col}_idx")))
+                        handleInvalid="error")
+    # the indexer's "keep" slot is the dropped last category: unseen values give the zero vector
     model = enc.fit(idx.transform(with_unknown(train, col)))
+    x = idx.transform(with_unknown(df, col))
     return model.transform(x), idx.labels
 
 

@@ -89,10 +89,9 @@ def alpha_tokens(col: str, stop_words: Sequence[str]) -> Column:
 
 def bigram_counts(df: DataFrame, col: str, stop_words: Sequence[str], top_n: int = 10) -> DataFrame:
     """Bigrams of alphabetic non-stop tokens of each text, top N (AGG9)."""
+    from vitrine.operators.textfeat import adjacent_pairs
     t = df.select(alpha_tokens(col, stop_words).alias("t"))
-    grams = F.transform(F.sequence(F.lit(1), F.size("t") - 1),
-                        lambda i: F.concat_ws(" ", F.get(F.col("t"), i - 1), F.get(F.col("t"), i)))
-    g = t.where(F.size("t") >= 2).select(F.explode(grams).alias("bigram"))
+    g = t.select(F.explode(adjacent_pairs(F.col("t"))).alias("bigram"))
     return (g.groupBy("bigram").agg(F.count(F.lit(1)).alias("count"))
             .orderBy(F.col("count").desc(), F.col("bigram")).limit(top_n))
 

@@ -42,3 +42,58 @@ def keyword_flags(df: DataFrame, columns: Sequence[str] = ("title", "description
             cols[f"{c}_has_{name}"] = contains_any(low, words).cast("int")
         cols[f"{c}_authenticity_keyword_count"] = count_contained(low, all_words)
     return df.withColumns(cols)
+
+
+# ------------------------------------------------------------------ TF-IDF --
+TOKEN = r"[\p{L}\p{N}_]{2,}"
+
+
+def tokens_no_stop(text: Column, stop_words: Sequence[str]) -> Column:
+    """Lowered 2+ character word tokens without stop words (TXT3 analyzer)."""
+    toks = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), 0)
+    sw = F.array(*[F.lit(w) for w in stop_words])
+    return F.filter(toks, lambda t: ~F.array_contains(sw, t))
+
+
+def adjacent_pairs(toks: Column) -> Column:
+    """Bigrams of a token array in one linear pass (two shifted slices zipped).
+    ``toks`` should be a column reference so it is computed once per row."""
+    n = F.size(toks)
+    return F.when(n >= 2, F.zip_with(F.slice(toks, 1, n - 1), F.slice(toks, 2, n - 1),
+                                     lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
+
+
+def term_counts(df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
+    """(doc, term, count): unigrams + bigrams exploded, counted with map-side combine."""
+    tok = df.select(F.col(id_col).alias("doc_id"), tokens_no_stop(F.col(text_col), stop_words).alias("_t"))
+    ex = tok.select("doc_id", F.explode(F.concat(F.col("_t"), adjacent_pairs(F.col("_t")))).alias("term"))
+    return ex.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("count"))
+
+
+def tfidf_vocabulary(counts: DataFrame, n_docs: Column, vocab_size: int = 1000, min_df: int = 2,
+                     max_df: float = 0.95) -> DataFrame:
+    """Terms kept by document frequency, top ``vocab_size`` by corpus count
+    (ties by term), with smooth idf = ln((1 + n) / (1 + df)) + 1 (TXT3)."""
+    g = counts.groupBy("term").agg(F.sum("count").alias("tf"), F.count(F.lit(1)).alias("df"))
+    g = g.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n_docs))
+    top = g.orderBy(F.col("tf").desc(), F.col("term")).limit(vocab_size)
+    return top.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0))
+
+
+def tfidf_weights(counts: DataFrame, vocab: DataFrame) -> DataFrame:
+    """L2-normalised tf-idf weight per (doc, term). The vocabulary has at most
+    ``vocab_size`` rows, so broadcasting it is size-bounded by construction."""
+    j = counts.join(F.broadcast(vocab.select("term", "idf")), "term")
+    w = j.withColumn("w", F.col("count") * F.col("idf"))
+    norms = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return w.join(norms, "doc_id").select("doc_id", "term", (F.col("w") / F.col("norm")).alias("weight"))
+
+
+def feature_readable_name(c: Column) -> Column:
+    """Technical feature name -> readable name (TXT11)."""
+    base = F.initcap(F.replace(c, F.lit("_"), F.lit(" ")))
+    low = F.lower(c)
+    return (F.when(low.contains("tfidf"), F.concat(F.lit("Text Content: "), F.trim(F.replace(base, F.lit("Tfidf"), F.lit("")))))
+            .when(low.contains("scaled"), F.replace(base, F.lit("Scaled"), F.lit("(Normalized)")))
+            .when(low.contains("encoded"), F.replace(base, F.lit("Encoded"), F.lit("(Category)")))
+            .otherwise(base))
