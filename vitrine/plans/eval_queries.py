@@ -1 +1,422 @@
-"""Queries."""
+"""Evaluation queries over the predictions / cv_scores fixtures (EVA*, WIN10, JOIN12)."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from vitrine.functions import stats as ST
+from vitrine.operators import evaluate as EV
+from vitrine.plans.catalog import register
+from vitrine.sources import fixtures as FX
+
+MODELS = ["click", "error", "purchase", "signup", "view"]
+
+
+def _r6(df):
+    return df.withColumns({c: F.round(c, 6) for c, t in df.dtypes if t == "double"})
+
+
+def _div(a, b):
+    return f"coalesce(CAST({a} AS DOUBLE) / CAST(nullif({b}, 0) AS DOUBLE), 0e0)"
+
+
+def counts_sql(keys, where="TRUE"):
+    k = ", ".join(keys)
+    return (f"SELECT {k}, count(*) AS n, count_if(y_true = 1 AND y_pred = 1) AS tp, count_if(y_true = 0 AND y_pred = 1) AS fp, "
+            f"count_if(y_true = 1 AND y_pred = 0) AS fn, count_if(y_true = 0 AND y_pred = 0) AS tn FROM predictions WHERE {where} GROUP BY {k}")
+
+
+METRIC_COLS = ["accuracy", "balanced_accuracy", "precision", "recall", "f1_score", "specificity", "sensitivity", "ppv", "npv", "mcc"]
+
+
+def metrics_sql(keys, where="TRUE", digits=6):
+    k = ", ".join(keys)
+    prec, rec, spec = _div("tp", "tp + fp"), _div("tp", "tp + fn"), _div("tn", "tn + fp")
+    expr = {"accuracy": _div("tp + tn", "n"), "balanced_accuracy": f"({rec} + {spec}) / 2", "precision": prec, "recall": rec,
+            "f1_score": _div("2 * tp", "2 * tp + fp + fn"), "specificity": spec, "sensitivity": rec, "ppv": prec,
+            "npv": _div("tn", "tn + fn"),
+            "mcc": "coalesce((CAST(tp AS DOUBLE) * tn - CAST(fp AS DOUBLE) * fn) / nullif(sqrt(CAST(tp + fp AS DOUBLE) * (tp + fn) * (tn + fp) * (tn + fn)), 0), 0e0)"}
+    cols = ", ".join(f"round({e}, {digits}) AS {m}" for m, e in expr.items())
+    return f"SELECT {k}, n, tp, fp, fn, tn, {cols} FROM ({counts_sql(keys, where)})"
+
+
+def _pred(spark, d):
+    return FX.predictions(spark, d)
+
+
+def _metrics(spark, d, keys, digits=6):
+    m = EV.metrics_from_counts(EV.confusion_counts(_pred(spark, d), keys))
+    return m.withColumns({c: F.round(c, digits) for c in METRIC_COLS})
+
+
+@register("metrics", "SELECT * FROM (" + metrics_sql(["model"]) + ") WHERE model = 'click'")
+def q_metrics(spark, d):
+    return _metrics(spark, d, ["model"]).where(F.col("model") == "click")
+
+
+@register("metrics_by_model", metrics_sql(["model"], digits=4) + " ORDER BY f1_score DESC")
+def q_metrics_by_model(spark, d):
+    return _metrics(spark, d, ["model"], 4).orderBy(F.col("f1_score").desc())
+
+
+@register("class_report", f"""WITH c AS ({counts_sql(["model"])}),
+per AS (SELECT model, '1' AS class, {_div('tp', 'tp + fp')} AS precision, {_div('tp', 'tp + fn')} AS recall, {_div('2 * tp', '2 * tp + fp + fn')} AS f1_score, tp + fn AS support FROM c
+  UNION ALL SELECT model, '0', {_div('tn', 'tn + fn')}, {_div('tn', 'tn + fp')}, {_div('2 * tn', '2 * tn + fn + fp')}, tn + fp FROM c),
+allr AS (SELECT * FROM per UNION ALL SELECT model, 'macro avg', avg(precision), avg(recall), avg(f1_score), sum(support) FROM per GROUP BY model
+  UNION ALL SELECT model, 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support), sum(f1_score * support) / sum(support), sum(support) FROM per GROUP BY model)
+SELECT model, class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1_score, 6) AS f1_score, CAST(support AS BIGINT) AS support FROM allr""")
+def q_class_report(spark, d):
+    return _r6(EV.class_report(_pred(spark, d), ["model"]))
+
+
+ROC_SQL = """WITH st AS (SELECT model, proba AS score, count_if(y_true = 1) AS pos, count_if(y_true = 0) AS neg FROM predictions GROUP BY model, proba),
+tot AS (SELECT model, sum(pos) AS P, sum(neg) AS N FROM st GROUP BY model),
+c AS (SELECT model, score, sum(pos) OVER (PARTITION BY model ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+  sum(neg) OVER (PARTITION BY model ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp FROM st),
+roc AS (SELECT c.model, c.score AS threshold, c.tp, c.fp, P, N FROM c JOIN tot ON c.model = tot.model
+  UNION ALL SELECT model, 'inf'::DOUBLE, 0, 0, P, N FROM tot),
+rc AS (SELECT *, """ + _div("tp", "P") + " AS tpr, " + _div("fp", "N") + " AS fpr FROM roc)"
+
+
+@register("roc_curve", ROC_SQL + " SELECT model, threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, round(tpr, 6) AS tpr, round(fpr, 6) AS fpr FROM rc")
+def q_roc_curve(spark, d):
+    return _r6(EV.roc_curve(_pred(spark, d), ["model"]).select("model", "threshold", "tp", "fp", "tpr", "fpr"))
+
+
+@register("roc_auc", """WITH st AS (SELECT model, proba AS score, count_if(y_true = 1) AS pos, count_if(y_true = 0) AS neg FROM predictions GROUP BY model, proba),
+c AS (SELECT *, sum(neg) OVER (PARTITION BY model ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg FROM st)
+SELECT model, round(sum(pos * (cum_neg - neg + neg / 2e0)) / (sum(pos) * sum(neg)), 6) AS auc FROM c GROUP BY model""")
+def q_roc_auc(spark, d):
+    return _r6(EV.roc_auc(_pred(spark, d), ["model"]))
+
+
+@register("pr_curve", ROC_SQL + " SELECT model, threshold, round(" + _div("tp", "tp + fp") + ", 6) AS precision, round(tpr, 6) AS recall FROM rc WHERE threshold <> 'inf'::DOUBLE")
+def q_pr_curve(spark, d):
+    return _r6(EV.pr_curve(_pred(spark, d), ["model"]))
+
+
+ROC_POINTS_SQL = ROC_SQL + """, pts AS (SELECT model, max(tpr - fpr) AS youden_j, arg_max(threshold, (tpr - fpr, threshold)) AS youden_threshold,
+  max(CASE WHEN tpr >= 0.95 THEN threshold END) AS threshold_tpr_goal, min(CASE WHEN 1 - fpr >= 0.95 THEN threshold END) AS threshold_spec_goal FROM rc GROUP BY model)"""
+
+
+@register("roc_points", ROC_POINTS_SQL + " SELECT model, round(youden_j, 6) AS youden_j, youden_threshold, threshold_tpr_goal, threshold_spec_goal FROM pts")
+def q_roc_points(spark, d):
+    return _r6(EV.roc_points(EV.roc_curve(_pred(spark, d), ["model"]), ["model"]))
+
+
+@register("roc_compare", ROC_POINTS_SQL + """, auc AS (SELECT model, sum(pos * (cum_neg - neg + neg / 2e0)) / (sum(pos) * sum(neg)) AS auc FROM
+  (SELECT *, sum(neg) OVER (PARTITION BY model ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg FROM st) GROUP BY model)
+SELECT p.model, round(auc, 6) AS auc, round(youden_j, 6) AS youden_j, youden_threshold, CAST(row_number() OVER (ORDER BY auc DESC, p.model) AS INTEGER) AS auc_rank
+FROM pts p JOIN auc a ON p.model = a.model""")
+def q_roc_compare(spark, d):
+    from pyspark.sql import Window
+    p = _pred(spark, d)
+    pts = EV.roc_points(EV.roc_curve(p, ["model"]), ["model"]).join(EV.roc_auc(p, ["model"]), "model")
+    return _r6(pts.select("model", "auc", "youden_j", "youden_threshold",
+                          F.row_number().over(Window.orderBy(F.col("auc").desc(), "model")).alias("auc_rank")))
+
+
+@register("best_threshold", ROC_SQL + """ SELECT model, arg_max(threshold, (tpr - fpr, threshold)) AS youden_threshold,
+  arg_min(threshold, (sqrt(pow(fpr, 2) + pow(1 - tpr, 2)), -threshold)) AS closest_threshold,
+  arg_max(threshold, (""" + _div("2 * tp", "tp + fp + P") + """, threshold)) AS f1_threshold, round(max(""" + _div("2 * tp", "tp + fp + P") + """), 6) AS best_f1
+FROM rc WHERE threshold <> 'inf'::DOUBLE GROUP BY model""")
+def q_best_threshold(spark, d):
+    return _r6(EV.best_threshold(EV.roc_curve(_pred(spark, d), ["model"]), ["model"]))
+
+
+@register("prediction_check", """SELECT model, len(list_filter(list_distinct(list(y_pred)), lambda x: NOT list_contains(list_distinct(list(y_true)), x))) = 0 AS classes_ok,
+  count_if(proba < 0 OR proba > 1) = 0 AS proba_range_ok, count_if(abs(proba + (1 - proba) - 1) > 1e-3) = 0 AS proba_sum_ok, '' AS unknown_classes FROM predictions GROUP BY model""")
+def q_prediction_check(spark, d):
+    return EV.prediction_check(_pred(spark, d), ["model"])
+
+
+def _conf_sql(keys, normalize):
+    k = ", ".join(keys)
+    base = f"SELECT {k}, y_true, count_if(y_pred = 0) AS pred_0, count_if(y_pred = 1) AS pred_1 FROM predictions GROUP BY {k}, y_true"
+    if not normalize:
+        return base
+    return f"SELECT {k}, y_true, round({_div('pred_0', 'pred_0 + pred_1')}, 6) AS pred_0, round({_div('pred_1', 'pred_0 + pred_1')}, 6) AS pred_1 FROM ({base})"
+
+
+@register("confusion", "SELECT * FROM (" + _conf_sql(["model"], False).replace("GROUP BY model, y_true", "WHERE model = 'click' GROUP BY model, y_true") + ")")
+def q_confusion(spark, d):
+    return EV.confusion(_pred(spark, d).where(F.col("model") == "click"), ["model"])
+
+
+@register("confusion_normalized", _conf_sql(["model"], True).replace("GROUP BY model, y_true", "WHERE model = 'click' GROUP BY model, y_true"))
+def q_confusion_normalized(spark, d):
+    return _r6(EV.confusion(_pred(spark, d).where(F.col("model") == "click"), ["model"], normalize=True))
+
+
+@register("confusion_by_model", _conf_sql(["model"], False))
+def q_confusion_by_model(spark, d):
+    return EV.confusion(_pred(spark, d), ["model"])
+
+
+# ------------------------------------------------------------- fold stats --
+T_ROWS = ST.t_table(200)
+T_SQL = "(SELECT * FROM (VALUES " + ", ".join(f"({a}, {b!r}::DOUBLE)" for a, b in T_ROWS) + ") tt(df, t))"
+
+
+def _t_frame(spark):
+    return spark.createDataFrame(T_ROWS, "df long, t double")
+
+
+CV_STATS_SQL = f"""WITH g AS (SELECT model, metric, avg(score) AS mean, stddev_pop(score) AS std, stddev_samp(score) AS sds, min(score) AS min, max(score) AS max,
+  quantile_cont(score, 0.25) AS q25, quantile_cont(score, 0.5) AS median, quantile_cont(score, 0.75) AS q75, count(*) AS n FROM cv_scores WHERE side = 'test' GROUP BY model, metric),
+s AS (SELECT g.*, tt.t FROM g LEFT JOIN {T_SQL} tt ON g.n - 1 = tt.df)
+SELECT model, metric, round(mean, 6) AS mean, round(std, 6) AS std, round(min, 6) AS min, round(max, 6) AS max, round(q25, 6) AS q25, round(median, 6) AS median,
+  round(q75, 6) AS q75, round(q75 - q25, 6) AS iqr, round({_div('std', 'mean')}, 6) AS cv, round(mean - t * sds / sqrt(n), 6) AS ci_lower,
+  round(mean + t * sds / sqrt(n), 6) AS ci_upper, n FROM s"""
+
+
+def _cv_test(spark, d):
+    return FX.cv_scores(spark, d).where(F.col("side") == "test")
+
+
+@register("cv_stats", CV_STATS_SQL)
+def q_cv_stats(spark, d):
+    return _r6(EV.fold_stats(_cv_test(spark, d), _t_frame(spark)))
+
+
+@register("cv_compare", f"SELECT model, mean, std, ci_lower, ci_upper FROM ({CV_STATS_SQL}) WHERE metric = 'f1_score' ORDER BY mean DESC")
+def q_cv_compare(spark, d):
+    s = EV.fold_stats(_cv_test(spark, d), _t_frame(spark)).where(F.col("metric") == "f1_score")
+    return _r6(s.select("model", "mean", "std", "ci_lower", "ci_upper").orderBy(F.col("mean").desc()))
+
+
+CV_DETAIL_SQL = """SELECT model, metric, round(avg(CASE WHEN side = 'train' THEN score END), 6) AS train_mean, round(avg(CASE WHEN side = 'test' THEN score END), 6) AS test_mean,
+  round(stddev_pop(CASE WHEN side = 'test' THEN score END), 6) AS test_std, round(min(CASE WHEN side = 'test' THEN score END), 6) AS test_min,
+  round(max(CASE WHEN side = 'test' THEN score END), 6) AS test_max,
+  round(avg(CASE WHEN side = 'train' THEN score END) - avg(CASE WHEN side = 'test' THEN score END), 6) AS overfitting FROM cv_scores GROUP BY model, metric"""
+
+
+def _cv_detail(spark, d):
+    cv = FX.cv_scores(spark, d)
+    tr, te = F.when(F.col("side") == "train", F.col("score")), F.when(F.col("side") == "test", F.col("score"))
+    return cv.groupBy("model", "metric").agg(F.avg(tr).alias("train_mean"), F.avg(te).alias("test_mean"), F.stddev_pop(te).alias("test_std"),
+                                             F.min(te).alias("test_min"), F.max(te).alias("test_max"),
+                                             (F.avg(tr) - F.avg(te)).alias("overfitting"))
+
+
+@register("cv_detail", CV_DETAIL_SQL)
+def q_cv_detail(spark, d):
+    """Train and test fold statistics and overfitting (aggregation part of EVA12)."""
+    return _r6(_cv_detail(spark, d))
+
+
+@register("comparison_table", "SELECT m.model, m.accuracy, m.f1_score, m.auc_proxy, c.test_mean AS cv_f1_mean, c.test_std AS cv_f1_std, c.overfitting FROM ("
+          + "SELECT model, accuracy, f1_score, round(balanced_accuracy, 6) AS auc_proxy FROM (" + metrics_sql(["model"]) + ")) m JOIN ("
+          + CV_DETAIL_SQL + ") c ON m.model = c.model WHERE c.metric = 'f1_score'")
+def q_comparison_table(spark, d):
+    """Test metrics joined to CV mean, std and overfitting (EVA18)."""
+    m = _metrics(spark, d, ["model"]).select("model", "accuracy", "f1_score", F.col("balanced_accuracy").alias("auc_proxy"))
+    c = _r6(_cv_detail(spark, d)).where(F.col("metric") == "f1_score").select(
+        "model", F.col("test_mean").alias("cv_f1_mean"), F.col("test_std").alias("cv_f1_std"), "overfitting")
+    return m.join(c, "model")
+
+
+def _pair_sql_wide(metric):
+    cols = ", ".join(f"max(CASE WHEN model = '{m}' THEN score END) AS \"{m}\"" for m in MODELS)
+    return f"SELECT metric, fold, {cols} FROM cv_scores WHERE side = 'test' AND metric = '{metric}' GROUP BY metric, fold"
+
+
+def _pairs():
+    return [(a, b) for i, a in enumerate(MODELS) for b in MODELS[i + 1:]]
+
+
+def _ttest_sql(metric):
+    parts = []
+    for a, b in _pairs():
+        parts.append(f"""SELECT '{a}' AS model_a, '{b}' AS model_b, metric, count(*) AS n, round(avg("{a}" - "{b}"), 6) AS mean_diff,
+  round(avg("{a}" - "{b}") / (stddev_samp("{a}" - "{b}") / sqrt(count(*))), 6) AS t_stat,
+  round(avg("{a}" - "{b}") / stddev_samp("{a}" - "{b}"), 6) AS cohens_d FROM w GROUP BY metric""")
+    return f"WITH w AS ({_pair_sql_wide(metric)}) " + " UNION ALL ".join(parts)
+
+
+@register("pairwise_ttest", _ttest_sql("accuracy"))
+def q_pairwise_ttest(spark, d):
+    """Paired t statistic for all model pairs on fold scores (JOIN12)."""
+    s = EV.paired_stats(_cv_test(spark, d).where(F.col("metric") == "accuracy"), MODELS)
+    return _r6(s.select("model_a", "model_b", "metric", "n", "mean_diff", "t_stat", "cohens_d"))
+
+
+def _sig_stats(spark, d):
+    return EV.paired_stats(_cv_test(spark, d).where(F.col("metric") == "f1_score"), MODELS)
+
+
+@register("significance_stats", f"""WITH w AS ({_pair_sql_wide('f1_score')}), x AS (""" + " UNION ALL ".join(
+    f"SELECT '{a}' AS model_a, '{b}' AS model_b, metric, fold, \"{a}\" AS xa, \"{b}\" AS xb, \"{a}\" - \"{b}\" AS d FROM w" for a, b in _pairs()) + """),
+nz AS (SELECT *, abs(d) AS ad FROM x WHERE d <> 0),
+rk AS (SELECT *, rank() OVER (PARTITION BY model_a, model_b, metric ORDER BY ad) + (count(*) OVER (PARTITION BY model_a, model_b, metric, ad) - 1) / 2e0 AS r FROM nz),
+wil AS (SELECT model_a, model_b, metric, least(sum(CASE WHEN d > 0 THEN r ELSE 0e0 END), sum(CASE WHEN d < 0 THEN r ELSE 0e0 END)) AS wilcoxon_w, count(*) AS n_nonzero FROM rk GROUP BY ALL),
+pool AS (SELECT model_a, model_b, metric, xa AS v, 1 AS g FROM x UNION ALL SELECT model_a, model_b, metric, xb, 2 FROM x),
+pr AS (SELECT *, rank() OVER (PARTITION BY model_a, model_b, metric ORDER BY v) + (count(*) OVER (PARTITION BY model_a, model_b, metric, v) - 1) / 2e0 AS r FROM pool),
+mw AS (SELECT model_a, model_b, metric, sum(CASE WHEN g = 1 THEN r END) - count_if(g = 1) * (count_if(g = 1) + 1) / 2e0 AS u1, count_if(g = 1) AS n1, count_if(g = 2) AS n2 FROM pr GROUP BY ALL),
+t AS (SELECT model_a, model_b, metric, count(*) AS n, avg(d) AS mean_diff, avg(d) / (stddev_samp(d) / sqrt(count(*))) AS t_stat, avg(d) / stddev_samp(d) AS cohens_d FROM x GROUP BY ALL)
+SELECT t.model_a, t.model_b, t.metric, t.n, round(mean_diff, 6) AS mean_diff, round(t_stat, 6) AS t_stat, round(cohens_d, 6) AS cohens_d,
+  round(wilcoxon_w, 6) AS wilcoxon_w, coalesce(n_nonzero, 0) AS n_nonzero, round(least(u1, n1 * n2 - u1), 6) AS u_stat, n1, n2
+FROM t LEFT JOIN wil USING (model_a, model_b, metric) LEFT JOIN mw USING (model_a, model_b, metric)""")
+def q_significance_stats(spark, d):
+    """Paired t, Wilcoxon and Mann-Whitney statistics for every model pair (EVA15)."""
+    return _r6(_sig_stats(spark, d))
+
+
+_P_SCHEMA = "model_a string, model_b string, metric string, t_stat double, t_p double, wilcoxon_w double, wilcoxon_p double, u_stat double, mann_whitney_p double"
+
+
+def _p_values(pdf: pd.DataFrame) -> pd.DataFrame:
+    out = pdf[["model_a", "model_b", "metric", "t_stat", "wilcoxon_w", "u_stat"]].copy()
+    out["t_p"] = [ST.t_sf_two_sided(t, n - 1) if n and n > 1 else float("nan") for t, n in zip(pdf["t_stat"], pdf["n"])]
+    out["wilcoxon_p"] = [ST.wilcoxon_p(w, int(k)) if w == w else float("nan") for w, k in zip(pdf["wilcoxon_w"], pdf["n_nonzero"])]
+    out["mann_whitney_p"] = [ST.mann_whitney_p(u, int(a), int(b)) if u == u else float("nan")
+                             for u, a, b in zip(pdf["u_stat"], pdf["n1"], pdf["n2"])]
+    return out[["model_a", "model_b", "metric", "t_stat", "t_p", "wilcoxon_w", "wilcoxon_p", "u_stat", "mann_whitney_p"]]
+
+
+@register("significance")
+def q_significance(spark, d):
+    """p-values of the three tests: one grouped pandas step over the small
+    statistics frame (one row per model pair)."""
+    s = _sig_stats(spark, d)
+    return s.groupBy("model_a", "model_b").applyInPandas(_p_values, _P_SCHEMA)
+
+
+ANOVA_SQL = """WITH per AS (SELECT metric, model, avg(score) AS m, count(*) AS n, sum(score * score) AS ss FROM cv_scores WHERE side = 'test' GROUP BY metric, model),
+g AS (SELECT metric, count(*) AS k, sum(n) AS N, sum(m * n) / sum(n) AS gm, sum(ss - n * m * m) AS ssw, sum(n * m * m) AS snm2 FROM per GROUP BY metric)
+SELECT metric, k, CAST(N AS BIGINT) AS N, round(snm2 - N * gm * gm, 6) AS ss_between, round(ssw, 6) AS ss_within,
+  round(((snm2 - N * gm * gm) / (k - 1)) / (ssw / (N - k)), 4) AS f_stat FROM g"""
+
+
+@register("anova", ANOVA_SQL)
+def q_anova(spark, d):
+    a = EV.anova_f(_cv_test(spark, d))
+    return _r6(a).withColumn("f_stat", F.round("f_stat", 4))
+
+
+@register("anova_p")
+def q_anova_p(spark, d):
+    """ANOVA p-value by the F tail over the small per-metric frame (EVA19)."""
+    a = EV.anova_f(_cv_test(spark, d))
+
+    def p(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.copy()
+        pdf["p_value"] = [ST.f_sf(f, k - 1, n - k) for f, k, n in zip(pdf["f_stat"], pdf["k"], pdf["N"])]
+        return pdf[["metric", "f_stat", "p_value"]]
+    return a.groupBy("metric").applyInPandas(p, "metric string, f_stat double, p_value double")
+
+
+# ------------------------------------------------------- recommendations --
+@register("recommend_score", f"""WITH m AS ({metrics_sql(["model"])}), c AS ({CV_DETAIL_SQL}),
+s AS (SELECT m.model, m.f1_score * 0.4 + CASE WHEN m.accuracy >= 0.8 THEN 0.2 ELSE -0.3 END
+  + CASE WHEN c.test_std < 0.05 THEN 0.15 WHEN c.test_std > 0.1 THEN -0.1 ELSE 0 END AS score, m.accuracy FROM m JOIN c ON m.model = c.model AND c.metric = 'f1_score')
+SELECT model, round(score, 6) AS score, CAST(row_number() OVER (ORDER BY score DESC, model) AS INTEGER) AS rank,
+  concat_ws('; ', CASE WHEN score < 0.7 THEN 'Low overall recommendation score' END, CASE WHEN accuracy < 0.8 THEN 'Below minimum accuracy' END) AS warnings FROM s""")
+def q_recommend_score(spark, d):
+    """Weighted recommendation score per model (EVA20): .4 x primary metric,
+    +.2 / -.3 on minimum accuracy, +.15 / -.1 on fold std."""
+    from pyspark.sql import Window
+    m = _metrics(spark, d, ["model"])
+    c = _r6(_cv_detail(spark, d)).where(F.col("metric") == "f1_score").select("model", "test_std")
+    j = m.join(c, "model")
+    score = (F.col("f1_score") * 0.4 + F.when(F.col("accuracy") >= 0.8, 0.2).otherwise(-0.3)
+             + F.when(F.col("test_std") < 0.05, 0.15).when(F.col("test_std") > 0.1, -0.1).otherwise(0.0))
+    s = j.select("model", score.alias("score"), "accuracy")
+    return _r6(s.select("model", "score", F.row_number().over(Window.orderBy(F.col("score").desc(), "model")).alias("rank"),
+                        F.array_join(F.array_compact(F.array(F.when(F.col("score") < 0.7, F.lit("Low overall recommendation score")),
+                                                             F.when(F.col("accuracy") < 0.8, F.lit("Below minimum accuracy")))), "; ")
+                        .alias("warnings")))
+
+
+W5 = {"accuracy": 0.2, "precision": 0.2, "recall": 0.2, "f1_score": 0.3, "mcc": 0.1}
+
+
+@register("model_rank", f"""WITH m AS ({metrics_sql(["model"])}),
+s AS (SELECT model, {' + '.join(f'coalesce({k}, 0) * {v}' for k, v in W5.items())} AS weighted_score FROM m)
+SELECT model, round(weighted_score, 4) AS weighted_score, CAST(row_number() OVER (ORDER BY weighted_score DESC, model) AS INTEGER) AS rank FROM s""")
+def q_model_rank(spark, d):
+    """Weighted score over five metrics, null metric = 0, rank (WIN10)."""
+    from pyspark.sql import Window
+    m = EV.metrics_from_counts(EV.confusion_counts(_pred(spark, d), ["model"]))
+    m = m.withColumns({c: F.round(c, 6) for c in METRIC_COLS})
+    ws = None
+    for k, v in W5.items():
+        term = F.coalesce(F.col(k), F.lit(0.0)) * v
+        ws = term if ws is None else ws + term
+    s = m.select("model", ws.alias("weighted_score"))
+    return s.select("model", F.round("weighted_score", 4).alias("weighted_score"),
+                    F.row_number().over(Window.orderBy(F.col("weighted_score").desc(), "model")).alias("rank"))
+
+
+@register("readiness", f"""WITH m AS ({metrics_sql(["model"])})
+SELECT model, CAST(accuracy >= 0.7 AS INTEGER) + CAST(precision >= 0.6 AS INTEGER) + CAST(recall >= 0.6 AS INTEGER) + CAST(f1_score >= 0.6 AS INTEGER) AS passed,
+  round((CAST(accuracy >= 0.7 AS INTEGER) + CAST(precision >= 0.6 AS INTEGER) + CAST(recall >= 0.6 AS INTEGER) + CAST(f1_score >= 0.6 AS INTEGER)) / 4e0, 6) AS readiness_score,
+  (CAST(accuracy >= 0.7 AS INTEGER) + CAST(precision >= 0.6 AS INTEGER) + CAST(recall >= 0.6 AS INTEGER) + CAST(f1_score >= 0.6 AS INTEGER)) / 4e0 >= 0.8
+   AND 4 - (CAST(accuracy >= 0.7 AS INTEGER) + CAST(precision >= 0.6 AS INTEGER) + CAST(recall >= 0.6 AS INTEGER) + CAST(f1_score >= 0.6 AS INTEGER)) <= 1 AS ready,
+  concat_ws(',', CASE WHEN accuracy < 0.7 THEN 'accuracy' END, CASE WHEN precision < 0.6 THEN 'precision' END, CASE WHEN recall < 0.6 THEN 'recall' END,
+   CASE WHEN f1_score < 0.6 THEN 'f1_score' END) AS failed_checks FROM m""")
+def q_readiness(spark, d):
+    """Four minimum checks, share passed, ready if >= .8 and at most one failed (EVA25)."""
+    m = _metrics(spark, d, ["model"])
+    checks = [("accuracy", 0.7), ("precision", 0.6), ("recall", 0.6), ("f1_score", 0.6)]
+    passed = sum(((F.col(c) >= t).cast("int") for c, t in checks), F.lit(0))
+    return m.select("model", passed.alias("passed"), F.round(passed / 4.0, 6).alias("readiness_score"),
+                    ((passed / 4.0 >= 0.8) & (F.lit(4) - passed <= 1)).alias("ready"),
+                    F.array_join(F.array_compact(F.array(*[F.when(F.col(c) < t, F.lit(c)) for c, t in checks])), ",").alias("failed_checks"))
+
+
+@register("drift_check", f"""WITH now AS ({metrics_sql(["model"])}), ref AS (SELECT model, metric, avg(value) AS stored FROM versions GROUP BY model, metric),
+j AS (SELECT n.model, r.metric, CASE WHEN r.metric = 'accuracy' THEN n.accuracy ELSE n.f1_score END AS current, r.stored FROM now n JOIN ref r ON n.model = r.model)
+SELECT model, metric, round(current, 6) AS current, round(stored, 6) AS stored, round(current - stored, 6) AS change, stored - current > 0.05 AS degraded FROM j""")
+def q_drift_check(spark, d):
+    """Current metrics against the registry; degraded when a metric falls by > .05 (EVA27)."""
+    now = _metrics(spark, d, ["model"]).select("model", F.stack(F.lit(2), F.lit("accuracy"), F.col("accuracy"),
+                                                                  F.lit("f1_score"), F.col("f1_score")).alias("metric", "current"))
+    ref = FX.versions(spark, d).groupBy("model", "metric").agg(F.avg("value").alias("stored"))
+    j = now.join(ref, ["model", "metric"])
+    return _r6(j.select("model", "metric", "current", "stored", (F.col("current") - F.col("stored")).alias("change"),
+                        (F.col("stored") - F.col("current") > 0.05).alias("degraded")))
+
+
+# ------------------------------------------------------------- bootstrap --
+POISSON1_CDF = None
+
+
+@register("auc_bootstrap")
+def q_auc_bootstrap(spark, d, replicates: int = 1000, seed: int = 42):
+    """Poisson(1) bootstrap of AUC (EVA10): each row gets a hash-derived
+    Poisson weight per replicate; weighted rank AUC per (model, replicate)
+    after collapsing to distinct scores; then mean, std and percentile interval."""
+    import math
+    cdf, acc = [], 0.0
+    for k in range(12):
+        acc += math.exp(-1) / math.factorial(k)
+        cdf.append(acc)
+    p = _pred(spark, d).select("model", "row_id", "y_true", "proba")
+    x = p.select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
+    u = (F.abs(F.xxhash64("row_id", "rep", F.lit(seed))) % F.lit(1_000_000_007)) / F.lit(1_000_000_007.0)
+    w = None
+    for k, c in enumerate(cdf):
+        w = F.when(u <= c, F.lit(k)) if w is None else w.when(u <= c, F.lit(k))
+    x = x.withColumn("w", w.otherwise(F.lit(len(cdf))))
+    st = x.groupBy("model", "rep", F.col("proba").alias("score")).agg(
+        F.sum(F.when(F.col("y_true") == 1, F.col("w")).otherwise(0)).alias("pos"),
+        F.sum(F.when(F.col("y_true") == 0, F.col("w")).otherwise(0)).alias("neg"))
+    from vitrine.functions.prefix import prefix_sums
+    cum = prefix_sums(st, ["model", "rep"], "score", ["neg"])
+    aucs = cum.groupBy("model", "rep").agg(
+        (F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0)) /
+         (F.sum("pos") * F.sum("neg"))).alias("auc"))
+    return aucs.groupBy("model").agg(F.avg("auc").alias("auc_mean"), F.stddev_samp("auc").alias("auc_std"),
+                                     F.percentile("auc", 0.025).alias("ci_lower"), F.percentile("auc", 0.975).alias("ci_upper"),
+                                     F.count(F.lit(1)).alias("replicates"))
+
+
+@register("roc_summary")
+def q_roc_summary(spark, d):
+    """AUC, bootstrap interval and two thresholds by model (EVA11)."""
+    p = _pred(spark, d)
+    pts = EV.roc_points(EV.roc_curve(p, ["model"]), ["model"])
+    return EV.roc_auc(p, ["model"]).join(pts, "model").join(q_auc_bootstrap(spark, d, 200), "model")
