@@ -34,6 +34,7 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: str, values: Sequence
     local = r.withColumns({**{f"_loc_{v}": F.sum(v).over(w_local) for v in values},
                            **{f"_tot_{v}": F.sum(v).over(w_part) for v in values}})
     tots = local.select("_pid", *keys, *[f"_tot_{v}" for v in values]).distinct()
+    # offsets: a window over the small per-range totals (ranges x keys rows)
     w_off = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = tots.select("_pid", *keys, *[F.coalesce(F.sum(f"_tot_{v}").over(w_off), F.lit(0)).alias(f"_off_{v}")
                                         for v in values])

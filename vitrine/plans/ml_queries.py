@@ -1 +1,366 @@
-"""Queries."""
+"""Feature pipeline, split, balance, training, search, interpretation and
+scoring queries (PIPE*, BAL*, TRN*, HPO*, INT1-9, SCO*, EVA12/17).
+
+Results depend on learners or hashing, so most keys are rows-only; the
+deterministic parts (split sizes, class weights, balance after SMOTE) carry
+oracle SQL.
+"""
+
+from __future__ import annotations
+
+import os
+import time
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from vitrine.operators import ml as ML
+from vitrine.plans.catalog import register
+from vitrine.session import checkpoint_dir
+from vitrine.sources import fixtures as FX
+
+_CACHE: dict = {}
+
+
+def prepared(spark, d):
+    """labelled docs -> split -> fitted feature pipeline, cached per session."""
+    key = (id(spark), d)
+    if key not in _CACHE:
+        lab = FX.labelled(spark, d)
+        split = ML.stratified_split(lab, "target", "doc_id", 0.2, 42)
+        train, test = split.where(F.col("side") == "train"), split.where(F.col("side") == "test")
+        model = ML.feature_pipeline().fit(train)
+        tr = model.transform(train).select("doc_id", "label", "features", "side").cache()
+        te = model.transform(test).select("doc_id", "label", "features", "side").cache()
+        _CACHE[key] = (model, tr, te, split)
+    return _CACHE[key]
+
+
+@register("feature_pipeline")
+def q_feature_pipeline(spark, d):
+    _, tr, _, _ = prepared(spark, d)
+    return tr.select("doc_id", "label", F.size(vector_to_array("features")).alias("n_features"))
+
+
+@register("feature_transform")
+def q_feature_transform(spark, d):
+    """Fitted pipeline applied to unseen rows with train-time parameters (PIPE2/PIPE3)."""
+    _, _, te, _ = prepared(spark, d)
+    return te.select("doc_id", "label", F.size(vector_to_array("features")).alias("n_features"))
+
+
+@register("pipeline_roundtrip")
+def q_pipeline_roundtrip(spark, d):
+    """Save and reload the fitted PipelineModel under the shared checkpoint folder (SRC11)."""
+    from pyspark.ml import PipelineModel
+    model, _, _, split = prepared(spark, d)
+    path = os.path.join(checkpoint_dir(spark), f"pipeline-{abs(hash(d))}-{int(time.time() * 1000)}")
+    model.write().overwrite().save(path)
+    again = PipelineModel.load(path)
+    te = split.where(F.col("side") == "test")
+    return again.transform(te).select("doc_id", F.size(vector_to_array("features")).alias("n_features"))
+
+
+@register("stratified_split")
+def q_stratified_split(spark, d):
+    _, _, _, split = prepared(spark, d)
+    return split.select("doc_id", "target", "side")
+
+
+@register("split_sizes", """SELECT side, target, count(*) AS n FROM (
+  SELECT target, 'test' AS side, CAST(ceil(count(*) * 0.2) AS BIGINT) AS k, count(*) AS n_c FROM labelled GROUP BY target) s,
+  LATERAL (SELECT * FROM range(k)) GROUP BY side, target
+UNION ALL SELECT 'train', target, count(*) - CAST(ceil(count(*) * 0.2) AS BIGINT) FROM labelled GROUP BY target""")
+def q_split_sizes(spark, d):
+    """Rows per (side, class): exactly ceil(.2 n_c) test rows per class."""
+    split = ML.stratified_split(FX.labelled(spark, d), "target", "doc_id", 0.2, 42)
+    return split.groupBy("side", "target").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("split_check", """WITH s AS (SELECT target, count(*) AS n, CAST(ceil(count(*) * 0.2) AS BIGINT) AS t FROM labelled GROUP BY target),
+sides AS (SELECT 'test' AS side, target, t AS ns FROM s UNION ALL SELECT 'train', target, n - t FROM s),
+sh AS (SELECT side, target, ns, ns / sum(ns) OVER (PARTITION BY side) AS share FROM sides),
+w AS (SELECT target, n / sum(n) OVER () AS share_all FROM s)
+SELECT side, round(max(abs(share - share_all)), 6) AS max_gap, sum(ns) AS rows, max(abs(share - share_all)) <= 0.05 AS ok
+FROM sh JOIN w ON sh.target = w.target GROUP BY side""")
+def q_split_check(spark, d):
+    split = ML.stratified_split(FX.labelled(spark, d), "target", "doc_id", 0.2, 42)
+    r = ML.split_check(split, "target")
+    return r.withColumn("max_gap", F.round("max_gap", 6))
+
+
+@register("class_weights", """SELECT target, count(*) AS n_c, round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight
+FROM labelled GROUP BY target""")
+def q_class_weights(spark, d):
+    return ML.class_weights(FX.labelled(spark, d), "target").withColumn("weight", F.round("weight", 6))
+
+
+@register("class_weights_custom", """WITH c AS (SELECT target, count(*) AS n_c FROM labelled GROUP BY target),
+r AS (SELECT target, n_c, sum(n_c) OVER () / n_c AS raw, count(*) OVER () AS k FROM c)
+SELECT target, n_c, round(raw / sum(raw) OVER () * k, 6) AS weight FROM r""")
+def q_class_weights_custom(spark, d):
+    return ML.class_weights(FX.labelled(spark, d), "target", "custom").withColumn("weight", F.round("weight", 6))
+
+
+def _smoted(spark, d):
+    _, tr, _, _ = prepared(spark, d)
+    return ML.smote(tr.withColumnRenamed("label", "target"), "target", "doc_id")
+
+
+@register("smote")
+def q_smote(spark, d):
+    s = _smoted(spark, d)
+    return s.select("doc_id", "target", "synthetic", F.size(vector_to_array("features")).alias("n_features"))
+
+
+@register("balance_check", """WITH c AS (SELECT target, count(*) AS n FROM labelled GROUP BY target),
+b AS (SELECT target, n - CAST(ceil(n * 0.2) AS BIGINT) AS n FROM c)
+SELECT round((max(n) - min(n)) / sum(n), 6) AS gap_before, 0e0 AS gap_after, round((max(n) - min(n)) / sum(n), 6) AS improvement, true AS balanced FROM b""")
+def q_balance_check(spark, d):
+    """Share gap before and after SMOTE on the training side (BAL5)."""
+    _, tr, _, _ = prepared(spark, d)
+    r = ML.balance_check(tr.withColumnRenamed("label", "target"), _smoted(spark, d), "target")
+    return r.withColumns({c: F.round(c, 6) for c in ("gap_before", "gap_after", "improvement")})
+
+
+@register("balance_dispatch")
+def q_balance_dispatch(spark, d, strategy: str = "both", threshold: float = 0.2):
+    """none / smote / class_weights / both, skipped when not imbalanced (BAL6, BAL7)."""
+    _, tr, _, _ = prepared(spark, d)
+    t = tr.withColumnRenamed("label", "target")
+    from vitrine.operators.profile import class_balance
+    imbalanced = class_balance(t, "target", threshold).select("is_imbalanced").first()[0]
+    out = t.withColumn("weight", F.lit(1.0))
+    if imbalanced and strategy in ("smote", "both"):
+        out = ML.smote(t, "target", "doc_id").withColumn("weight", F.lit(1.0))
+    if imbalanced and strategy in ("class_weights", "both"):
+        out = ML.with_weights(out.drop("weight"), ML.class_weights(t, "target"), "target")
+    return out.select("doc_id", "target", "weight")
+
+
+# ---------------------------------------------------------------- training --
+def _fit(spark, d, name):
+    key = (id(spark), d, "fit", name)
+    if key not in _CACHE:
+        _, tr, te, _ = prepared(spark, d)
+        model, metrics = ML.train_eval(name, ML.classifiers()[name], tr, te)
+        _CACHE[key] = (model, metrics)
+    return _CACHE[key]
+
+
+def _metrics_row(spark, name, metrics):
+    cols = sorted(metrics)
+    return spark.createDataFrame([(name, *[float(metrics[c]) for c in cols])],
+                                 "model string, " + ", ".join(f"{c} double" for c in cols))
+
+
+for _key, _name in [("train_rf", "random_forest"), ("train_lr", "logistic_regression"), ("train_gbt", "gradient_boosting"),
+                    ("train_svm", "svm")]:
+    def _q(spark, d, _name=_name):
+        _, m = _fit(spark, d, _name)
+        return _metrics_row(spark, _name, m)
+    _q.__doc__ = f"Fit {_name} on the training side; train and test metrics (TRN*)."
+    register(_key)(_q)
+
+
+@register("rf_importance")
+def q_rf_importance(spark, d):
+    """Impurity importance with std over trees, sorted (TRN2, INT1)."""
+    model, _ = _fit(spark, d, "random_forest")
+    pm, _, _, _ = prepared(spark, d)
+    names = ML.feature_names(pm)
+    std = ML.tree_importance_std(model)
+    rows = [(n, float(v), float(s)) for n, v, s in zip(names, model.featureImportances.toArray(), std)]
+    return spark.createDataFrame(rows, "feature string, importance double, std double").orderBy(F.col("importance").desc(), "feature")
+
+
+@register("lr_importance")
+def q_lr_importance(spark, d):
+    """Coefficients ranked by absolute value (TRN9)."""
+    from pyspark.sql import Window
+    model, _ = _fit(spark, d, "logistic_regression")
+    pm, _, _, _ = prepared(spark, d)
+    names = ML.feature_names(pm)
+    df = spark.createDataFrame([(n, float(c)) for n, c in zip(names, model.coefficients.toArray())], "feature string, coefficient double")
+    return df.withColumn("rank", F.row_number().over(Window.orderBy(F.abs("coefficient").desc(), "feature")))
+
+
+@register("gbt_importance")
+def q_gbt_importance(spark, d):
+    """Percent, cumulative percent, features needed for 80 / 90 % (TRN15)."""
+    from vitrine.operators.relational import importance_rank
+    model, _ = _fit(spark, d, "gradient_boosting")
+    pm, _, _, _ = prepared(spark, d)
+    imp = ML.importance_frame(spark, "gradient_boosting", ML.feature_names(pm), model.featureImportances.toArray())
+    r = importance_rank(imp.withColumn("method", F.lit("impurity")))
+    return r.withColumns({"within_80": F.col("cumulative_pct") <= 80, "within_90": F.col("cumulative_pct") <= 90})
+
+
+@register("svm_margin_rows")
+def q_svm_margin_rows(spark, d):
+    """Rows on or inside the margin (y * margin <= 1) by class: LinearSVC keeps no support vectors (TRN7)."""
+    model, _ = _fit(spark, d, "svm")
+    _, tr, _, _ = prepared(spark, d)
+    p = model.transform(tr).withColumn("margin", vector_to_array("rawPrediction")[1])
+    y = F.when(F.col("label") == 1, 1.0).otherwise(-1.0)
+    return p.groupBy("label").agg(F.count_if(y * F.col("margin") <= 1).alias("margin_rows"), F.count(F.lit(1)).alias("rows")) \
+        .withColumn("share", F.col("margin_rows") / F.col("rows"))
+
+
+def _search(spark, d, name, params, folds=3, validation_split=False, n_iter=None):
+    _, tr, _, _ = prepared(spark, d)
+    est = ML.classifiers()[name]
+    maps = ML.random_grid(est, params, n_iter) if n_iter else ML.grid(est, params)
+    t0 = time.time()
+    model, scores = ML.search(est, maps, tr, folds=folds, validation_split=validation_split)
+    return ML.results_frame(spark, name, maps, scores, time.time() - t0)
+
+
+GRIDS = {"random_forest": {"numTrees": [20, 50], "maxDepth": [5, 10]},
+         "logistic_regression": {"regParam": [0.001, 0.1], "elasticNetParam": [0.0, 1.0]},
+         "svm": {"regParam": [0.001, 0.1]},
+         "gradient_boosting": {"maxIter": [10, 30], "maxDepth": [2, 4]}}
+
+for _key, _name in [("cv_rf", "random_forest"), ("cv_lr", "logistic_regression"), ("cv_svm", "svm"), ("cv_gbt", "gradient_boosting")]:
+    def _q(spark, d, _name=_name):
+        return _search(spark, d, _name, GRIDS[_name])
+    _q.__doc__ = f"Grid search with 3-fold CV on f1 for {_name} (TRN3/6/11/17)."
+    register(_key)(_q)
+
+
+@register("svm_sweep")
+def q_svm_sweep(spark, d):
+    """Regularisation sweep of the linear SVM by validation f1 (TRN5; the rbf kernel has no MLlib twin)."""
+    return _search(spark, d, "svm", {"regParam": [0.0001, 0.001, 0.01, 0.1]}, validation_split=True)
+
+
+@register("lr_sweep")
+def q_lr_sweep(spark, d):
+    """penalty (l2 / l1 / elastic net) x strength (TRN10)."""
+    return _search(spark, d, "logistic_regression", {"elasticNetParam": [0.0, 0.5, 1.0], "regParam": [0.001, 0.01, 0.1]},
+                   validation_split=True)
+
+
+@register("gbt_sweep")
+def q_gbt_sweep(spark, d):
+    return _search(spark, d, "gradient_boosting", {"maxIter": [10, 20], "stepSize": [0.05, 0.1], "maxDepth": [2, 3]},
+                   validation_split=True)
+
+
+@register("lr_path")
+def q_lr_path(spark, d):
+    """20 C values 1e-4..1e2 (regParam = 1 / (C n)) fitted by ``fitMultiple``;
+    non-zero coefficients and train f1 per C (TRN12)."""
+    _, tr, _, _ = prepared(spark, d)
+    n = tr.count()
+    cs = [10 ** (-4 + 6 * i / 19) for i in range(20)]
+    est = ML.LogisticRegression(maxIter=50, elasticNetParam=1.0, standardization=False)
+    maps = [{est.regParam: 1.0 / (c * n)} for c in cs]
+    rows = []
+    ev = ML.MulticlassClassificationEvaluator(metricName="f1")
+    for i, model in est.fitMultiple(tr, maps):
+        coef = model.coefficients.toArray()
+        rows.append((float(cs[i]), int((abs(coef) > 1e-12).sum()), float(ev.evaluate(model.transform(tr)))))
+    return spark.createDataFrame(rows, "C double, nonzero_coefficients int, train_f1 double")
+
+
+@register("gbt_early_stop")
+def q_gbt_early_stop(spark, d):
+    """Early stopping on a validation indicator; loss history from one fit (TRN14)."""
+    _, tr, _, _ = prepared(spark, d)
+    x = tr.withColumn("is_val", (F.abs(F.xxhash64("doc_id", F.lit(7))) % 5) == 0)
+    est = ML.GBTClassifier(maxIter=60, stepSize=0.1, maxDepth=3, validationIndicatorCol="is_val", validationTol=0.01, seed=42)
+    model = est.fit(x)
+    losses = model.evaluateEachIteration(x.where("is_val"))
+    return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(losses)], "iteration int, validation_loss double") \
+        .withColumn("trees_kept", F.lit(model.getNumTrees))
+
+
+@register("grid_search")
+def q_grid_search(spark, d):
+    return _search(spark, d, "random_forest", GRIDS["random_forest"])
+
+
+@register("grid_search_all")
+def q_grid_search_all(spark, d):
+    """Grid search over the four families, one results frame (HPO6)."""
+    out = None
+    for name in GRIDS:
+        r = _search(spark, d, name, GRIDS[name], validation_split=True)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("random_search")
+def q_random_search(spark, d):
+    return _search(spark, d, "random_forest", {"numTrees": [10, 20, 50, 100], "maxDepth": [3, 5, 8, 12],
+                                               "minInstancesPerNode": [1, 2, 4]}, n_iter=4, validation_split=True)
+
+
+def optimize_one(spark, d, name, n_rows_threshold: int = 1000):
+    """Size rule: grid search for small data, random search above (HPO11)."""
+    _, tr, _, _ = prepared(spark, d)
+    big = tr.limit(n_rows_threshold + 1).count() > n_rows_threshold
+    if big:
+        return _search(spark, d, name, GRIDS[name], n_iter=3, validation_split=True).withColumn("strategy", F.lit("random"))
+    return _search(spark, d, name, GRIDS[name], validation_split=True).withColumn("strategy", F.lit("grid"))
+
+
+@register("optimize_one")
+def q_optimize_one(spark, d):
+    return optimize_one(spark, d, "logistic_regression")
+
+
+@register("optimize_many")
+def q_optimize_many(spark, d):
+    out = None
+    for name in ("logistic_regression", "svm"):
+        r = optimize_one(spark, d, name)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("search_compare")
+def q_search_compare(spark, d):
+    """Rank searches by best score; efficiency = score per minute (HPO13)."""
+    from pyspark.sql import Window
+    res = q_optimize_many(spark, d)
+    best = res.groupBy("model").agg(F.max("score").alias("best_score"), F.sum("seconds").alias("seconds"),
+                                    F.stddev_samp("score").alias("score_spread"))
+    best = best.withColumn("efficiency", F.col("best_score") / (F.col("seconds") / 60.0))
+    return best.withColumn("rank", F.row_number().over(Window.orderBy(F.col("best_score").desc(), "model")))
+
+
+@register("cv_fits")
+def q_cv_fits(spark, d):
+    """5 hash folds, one fit per fold, metrics per (model, fold, side) in one
+    aggregate (EVA12): the long ``cv_scores`` frame of a real learner."""
+    from vitrine.operators import evaluate as EV
+    _, tr, _, _ = prepared(spark, d)
+    x = ML.fold_column(tr, "doc_id", 5)
+    preds = None
+    for f in range(5):
+        m = ML.LogisticRegression(maxIter=50, regParam=0.01).fit(x.where(F.col("fold") != f))
+        both = m.transform(x).select("doc_id", "label", "prediction",
+                                     F.when(F.col("fold") == f, F.lit("test")).otherwise(F.lit("train")).alias("side"),
+                                     F.lit(f).alias("fold"))
+        preds = both if preds is None else preds.unionByName(both)
+    p = preds.select(F.lit("logistic_regression").alias("model"), "fold", "side", F.col("label").cast("int").alias("y_true"),
+                     F.col("prediction").cast("int").alias("y_pred"))
+    return EV.metrics_from_counts(EV.confusion_counts(p, ["model", "fold", "side"]))
+
+
+@register("learning_curve")
+def q_learning_curve(spark, d):
+    """Scores at 10 nested train sizes (hash-prefix samples) (EVA17)."""
+    _, tr, te, _ = prepared(spark, d)
+    u = (F.abs(F.xxhash64("doc_id", F.lit(11))) % 1000) / 1000.0
+    x = tr.withColumn("u", u)
+    ev = ML.MulticlassClassificationEvaluator(metricName="f1")
+    rows = []
+    for i in range(1, 11):
+        frac = i / 10.0
+        sub = x.where(F.col("u") < frac)
+        m = ML.LogisticRegression(maxIter=50, regParam=0.01).fit(sub)
+        rows.append((frac, float(ev.evaluate(m.transform(sub))), float(ev.evaluate(m.transform(te)))))
+    return spark.createDataFrame(rows, "train_fraction double, train_f1 double, test_f1 double")
