@@ -145,3 +145,29 @@ WARN_NEGATIVE_REVIEWS = "Negative reviews count, setting to 0"
 # ---------------------------------------------------------------------------
 PERFORMANCE_EVENT_TYPES = ["classification_performance", "api_performance",
                            "scraper_performance", "performance_alert"]
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES -- page extraction selector maps (PAGE*). Each entry is an
+# ordered list of regular expressions whose group 1 is the selected text.
+# ---------------------------------------------------------------------------
+SITE_A = {
+    "title": [r'(?s)<meta property="og:title" content="([^"]*)"', r"(?s)<h1[^>]*>(.*?)</h1>",
+              r"(?s)<title[^>]*>(.*?)</title>", r"(?s)<h2[^>]*>(.*?)</h2>",
+              r'(?s)<[a-z0-9]+ class="[^"]*product-title[^"]*"[^>]*>(.*?)</'],
+    "price": [r'(?s)<span class="[^"]*price[^"]*"[^>]*>(.*?)</span>', r'(?s)<meta itemprop="price" content="([^"]*)"',
+              r'(?s)<div class="[^"]*price[^"]*"[^>]*>(.*?)</div>', r'(?s)<div class="ad"[^>]*>(.*?)</div>',
+              r"(?s)<h1[^>]*>(.*?)</h1>", r"(?s)<p[^>]*>(.*?)</p>"],
+    "seller": [r'(?s)<div class="[^"]*seller[^"]*"[^>]*>(.*?)</div>', r"(?s)<footer[^>]*>(.*?)</footer>"],
+    "reputation": [r'(?s)<div class="[^"]*reputation[^"]*"[^>]*>(.*?)</div>', r'(?s)<div class="ad"[^>]*>(.*?)</div>'],
+    "availability": [r'(?s)<[a-z0-9]+ class="[^"]*stock[^"]*"[^>]*>(.*?)</'],
+    "shipping": [r'(?s)<[a-z0-9]+ class="[^"]*shipping[^"]*"[^>]*>(.*?)</'],
+    "reviews": [r'(?s)<[a-z0-9]+ class="[^"]*review[^"]*"[^>]*>(.*?)</', r"(?s)<footer[^>]*>(.*?)</footer>",
+                r'(?s)<div class="ad"[^>]*>(.*?)</div>'],
+    "rating": [r'(?s)<[a-z0-9]+ class="[^"]*rating[^"]*"[^>]*>(.*?)</'],
+}
+SITE_B = dict(SITE_A, title=[r"(?s)<title[^>]*>(.*?)</title>", r"(?s)<h1[^>]*>(.*?)</h1>"])
+SELLER_FALLBACK = r"Vendido por\s*([^<\n]+)"
+DEFAULT_CURRENCY = "R$"
+ITEM_LINK_PATTERN = r"^/"
+DESCRIPTION_KEYWORDS = ["hp", "cartucho", "tinta", "toner", "the", "and"]
+IMAGE_CDN = "cdn"

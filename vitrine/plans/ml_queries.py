@@ -364,3 +364,105 @@ def q_learning_curve(spark, d):
         m = ML.LogisticRegression(maxIter=50, regParam=0.01).fit(sub)
         rows.append((frac, float(ev.evaluate(m.transform(sub))), float(ev.evaluate(m.transform(te)))))
     return spark.createDataFrame(rows, "train_fraction double, train_f1 double, test_f1 double")
+
+
+# ------------------------------------------------------------ interpretation --
+from vitrine.operators import interpret as IN  # noqa: E402
+
+
+def _weights_frame(spark, names, values):
+    return spark.createDataFrame([(i, n, float(v)) for i, (n, v) in enumerate(zip(names, values))],
+                                 "idx int, feature string, weight double")
+
+
+@register("tree_importance")
+def q_tree_importance(spark, d):
+    """Impurity importance by feature for the forest and the boosted trees (INT1, INT9)."""
+    pm, _, _, _ = prepared(spark, d)
+    names = ML.feature_names(pm)
+    out = None
+    for name in ("random_forest", "gradient_boosting"):
+        model, _ = _fit(spark, d, name)
+        f = ML.importance_frame(spark, name, names, model.featureImportances.toArray())
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
+@register("permutation_importance")
+def q_permutation_importance(spark, d):
+    """Accuracy drop when one numeric slot is permuted, mean and std over repeats (INT2)."""
+    pm, _, te, _ = prepared(spark, d)
+    model, _ = _fit(spark, d, "logistic_regression")
+    names = ML.feature_names(pm)
+    slots = list(range(len(ML.NUMERIC_COLS)))
+    base_acc = te.transform(lambda x: model.transform(x)).agg(
+        F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("b"))
+    s = IN.permuted_scores(model, te, "doc_id", slots, repeats=2)
+    g = s.groupBy("slot").agg(F.avg("accuracy").alias("acc"), F.stddev_pop("accuracy").alias("importance_std"))
+    names_df = spark.createDataFrame([(i, names[i]) for i in slots], "slot int, feature string")
+    return g.join(base_acc, how="inner").join(names_df, "slot").select(  # base_acc: one row
+        "feature", (F.col("b") - F.col("acc")).alias("importance_mean"), "importance_std")
+
+
+@register("linear_contribution")
+def q_linear_contribution(spark, d):
+    """coefficient x value per row and feature slot (INT3)."""
+    pm, _, te, _ = prepared(spark, d)
+    model, _ = _fit(spark, d, "logistic_regression")
+    w = _weights_frame(spark, ML.feature_names(pm), model.coefficients.toArray())
+    return IN.contributions(te, "doc_id", w).where(F.col("value") != 0)
+
+
+@register("tree_contribution")
+def q_tree_contribution(spark, d):
+    """importance x value per row and feature slot (INT4)."""
+    pm, _, te, _ = prepared(spark, d)
+    model, _ = _fit(spark, d, "random_forest")
+    w = _weights_frame(spark, ML.feature_names(pm), model.featureImportances.toArray())
+    return IN.contributions(te, "doc_id", w).where(F.col("value") != 0)
+
+
+def explain(spark, d, n: int = 5):
+    pm, _, te, _ = prepared(spark, d)
+    model, _ = _fit(spark, d, "logistic_regression")
+    w = _weights_frame(spark, ML.feature_names(pm), model.coefficients.toArray())
+    top = IN.top_features_struct(IN.contribution_topk(IN.contributions(te, "doc_id", w), "doc_id", n), "doc_id")
+    scored = model.transform(te).select("doc_id", F.col("prediction").cast("int").alias("prediction"),
+                                        vector_to_array("probability").alias("probabilities"))
+    e = scored.join(top, "doc_id", "left")
+    conf = IN.confidence_columns(F.col("probabilities"))
+    return e.withColumns(conf)
+
+
+@register("explain_batch")
+def q_explain_batch(spark, d):
+    """Prediction, probabilities, confidence and the top-5 contributions per row (INT7)."""
+    e = explain(spark, d)
+    return e.select("doc_id", "prediction", "max_probability", "entropy_confidence", "margin",
+                    F.to_json("top_features").alias("top_features"))
+
+
+@register("score_batch")
+def q_score_batch(spark, d):
+    """Score a batch with the fitted pipeline + model; confidence = max probability (SCO1)."""
+    pm, _, _, _ = prepared(spark, d)
+    model, _ = _fit(spark, d, "logistic_regression")
+    x = pm.transform(FX.texts(spark, d).withColumn("target", F.lit(0)))
+    s = model.transform(x)
+    return s.select("doc_id", F.when(F.col("prediction") == 1, F.lit("original")).otherwise(F.lit("suspicious")).alias("prediction"),
+                    F.array_max(vector_to_array("probability")).alias("confidence_score"))
+
+
+@register("score_new")
+def q_score_new(spark, d):
+    """Score only products with no classification yet, shaped as classification rows (SCO3, STR1 batch form)."""
+    from vitrine.operators.relational import unscored
+    pm, _, _, _ = prepared(spark, d)
+    model, _ = _fit(spark, d, "logistic_regression")
+    new = unscored(FX.products(spark, d), FX.classifications(spark, d))
+    x = pm.transform(new.withColumn("target", F.lit(0)))
+    s = model.transform(x)
+    return s.select(F.col("id").alias("product_id"),
+                    F.when(F.col("prediction") == 1, F.lit("original")).otherwise(F.lit("suspicious")).alias("prediction"),
+                    F.array_max(vector_to_array("probability")).alias("confidence_score"),
+                    F.lit("logistic_regression").alias("model_version"))
