@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from vitrine import config as C
 from vitrine.functions.prefix import prefix_sums
 
-NUMERIC_SQL = ("SELECT *, CAST(length(coalesce(title, '')) AS DOUBLE) AS title_char_count, "
+NUMERIC_SQL = ("SELECT *, coalesce(description, '') AS _desc_text, CAST(length(coalesce(title, '')) AS DOUBLE) AS title_char_count, "
                "CAST(size(filter(split(coalesce(title, ''), '\\\\s+'), w -> w <> '')) AS DOUBLE) AS title_word_count, "
                "CAST(length(coalesce(description, '')) AS DOUBLE) AS description_char_count, "
                "CAST(size(filter(split(coalesce(description, ''), '\\\\s+'), w -> w <> '')) AS DOUBLE) AS description_word_count, "
@@ -41,7 +41,7 @@ def feature_pipeline(vocab_size: int = 200, label: str = "target") -> Pipeline:
     """Text + numeric + categorical features in one MLlib Pipeline (PIPE1)."""
     return Pipeline(stages=[
         SQLTransformer(statement=NUMERIC_SQL),
-        RegexTokenizer(inputCol="description", outputCol="_tok", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False, toLowercase=True),
+        RegexTokenizer(inputCol="_desc_text", outputCol="_tok", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False, toLowercase=True),
         StopWordsRemover(inputCol="_tok", outputCol="_tok_clean", stopWords=StopWordsRemover.loadDefaultStopWords("english")),
         CountVectorizer(inputCol="_tok_clean", outputCol="_tf", vocabSize=vocab_size, minDF=2.0, maxDF=0.95),
         IDF(inputCol="_tf", outputCol="_tfidf_raw"),

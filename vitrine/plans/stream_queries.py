@@ -1 +1,133 @@
-"""Queries."""
+"""Streaming queries (STR*): each runs its stream to completion with
+``availableNow`` into a sink under the checkpoint folder and returns the
+settled sink contents as a batch DataFrame."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vitrine.plans.catalog import register
+from vitrine.sources import fixtures as FX
+from vitrine.streaming import jobs as SJ
+
+
+def _events_stream(spark, d):
+    return FX.metrics_events_from(SJ.stream_table(spark, d, "events"))
+
+
+def _r6(df):
+    return df.withColumns({c: F.round(c, 6) for c, t in df.dtypes if t == "double"})
+
+
+@register("stream_tumbling", """WITH m AS (SELECT max(ts) AS mx FROM metrics_events),
+w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS requests, avg(latency_ms) AS avg_latency_ms,
+  max(latency_ms) AS max_latency_ms, count_if(status_code >= 400) AS errors FROM metrics_events GROUP BY 1)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, requests, round(avg_latency_ms, 6) AS avg_latency_ms, max_latency_ms, errors
+FROM w, m WHERE window_start + INTERVAL 1 HOUR <= mx - INTERVAL 10 MINUTE""")
+def q_stream_tumbling(spark, d):
+    """Hourly latency statistics, watermark 10 minutes, append mode (STR2)."""
+    base = SJ.run_dir(spark, "tumbling")
+    SJ.run_available_now(SJ.tumbling_stats(_events_stream(spark, d)), base + "/out", base + "/ckpt")
+    return _r6(spark.read.parquet(base + "/out"))
+
+
+@register("stream_sliding", """WITH m AS (SELECT max(ts) AS mx FROM metrics_events),
+x AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) - to_hours(k) AS window_start, status_code FROM metrics_events, range(0, 24) r(k)),
+w AS (SELECT window_start, count(*) AS events, count_if(status_code >= 400) AS errors FROM x GROUP BY 1)
+SELECT window_start, window_start + INTERVAL 24 HOUR AS window_end, events, errors FROM w, m
+WHERE window_start + INTERVAL 24 HOUR <= mx - INTERVAL 10 MINUTE""")
+def q_stream_sliding(spark, d):
+    """24 h windows sliding every hour (STR3)."""
+    base = SJ.run_dir(spark, "sliding")
+    SJ.run_available_now(SJ.sliding_counts(_events_stream(spark, d)), base + "/out", base + "/ckpt")
+    return spark.read.parquet(base + "/out")
+
+
+@register("stream_endpoint", """SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, endpoint, count(*) AS requests,
+  count_if(status_code >= 400) AS errors FROM metrics_events GROUP BY 1, 2""")
+def q_stream_endpoint(spark, d):
+    """Requests and errors by endpoint and hour, update mode, upserted per micro-batch (STR4)."""
+    base = SJ.run_dir(spark, "endpoint")
+    SJ.run_available_now(SJ.endpoint_counts(_events_stream(spark, d)), None, base + "/ckpt", mode="update",
+                         foreach_batch=SJ.upsert_batches(base + "/out", ["window_start", "endpoint"]))
+    return SJ.settled(spark, base + "/out", ["window_start", "endpoint"])
+
+
+STORED_BEFORE = "1993-01-01 00:00:00"
+
+
+@register("stream_dedup", """WITH s AS (SELECT * FROM products WHERE scraped_at < TIMESTAMP '1993-01-01 00:00:00')
+SELECT DISTINCT url FROM listings l WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.url = l.url)
+  AND NOT EXISTS (SELECT 1 FROM s WHERE s.title = l.title AND s.seller_name = l.seller_name)""")
+def q_stream_dedup(spark, d):
+    """New listings refused when seen before by url or (title, seller) (STR5)."""
+    stored = FX.products(spark, d).where(F.col("scraped_at") < F.lit(STORED_BEFORE).cast("timestamp_ntz"))
+    stream = FX.listings_from(SJ.stream_table(spark, d, "orders"))
+    base = SJ.run_dir(spark, "dedup")
+    SJ.run_available_now(SJ.dedup_new_listings(stream, stored).select("url", "title", "seller_name", "listing_id"),
+                         base + "/out", base + "/ckpt")
+    return spark.read.parquet(base + "/out").select("url").distinct()
+
+
+_THRESH = [("avg_latency_ms", 60.0), ("errors", 3.0)]
+
+
+@register("stream_alerts", """WITH w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, avg(latency_ms) AS avg_latency_ms,
+  CAST(count_if(status_code >= 400) AS DOUBLE) AS errors FROM metrics_events GROUP BY 1),
+l AS (SELECT window_start, 'avg_latency_ms' AS metric, avg_latency_ms AS value FROM w UNION ALL SELECT window_start, 'errors', errors FROM w)
+SELECT window_start, metric, round(value, 6) AS value FROM l WHERE (metric = 'avg_latency_ms' AND value > 60) OR (metric = 'errors' AND value > 3)""")
+def q_stream_alerts(spark, d):
+    """Threshold alerts on fresh hourly statistics, checked per micro-batch (STR6)."""
+    th = spark.createDataFrame(_THRESH, "metric string, threshold double")
+    e = _events_stream(spark, d).withColumn("_et", SJ.event_time("ts")).withWatermark("_et", "10 minutes")
+    g = e.groupBy(F.window("_et", "1 hour").alias("w")).agg(F.avg("latency_ms").alias("avg_latency_ms"),
+                                                           F.count_if(F.col("status_code") >= 400).cast("double").alias("errors"))
+    g = g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "avg_latency_ms", "errors")
+
+    def alerts(b):
+        long = b.select("window_start", "_batch_id", F.stack(F.lit(2), F.lit("avg_latency_ms"), F.col("avg_latency_ms"),
+                                                             F.lit("errors"), F.col("errors")).alias("metric", "value"))
+        return long.join(F.broadcast(th), "metric").select("window_start", "metric", "value", "threshold", "_batch_id")
+    base = SJ.run_dir(spark, "alerts")
+    SJ.run_available_now(g, None, base + "/ckpt", mode="update",
+                         foreach_batch=SJ.upsert_batches(base + "/out", ["window_start", "metric"], extra=alerts))
+    s = SJ.settled(spark, base + "/out", ["window_start", "metric"])
+    return _r6(s.where(F.col("value") > F.col("threshold")).select("window_start", "metric", "value"))
+
+
+@register("stream_ingest", "SELECT page_id, url, length(html) AS html_chars FROM pages")
+def q_stream_ingest(spark, d):
+    """Checkpointed availableNow ingestion of a file source (STR7)."""
+    s = SJ.stream_table(spark, d, "pages").select("page_id", "url", F.length("html").alias("html_chars"))
+    base = SJ.run_dir(spark, "ingest")
+    SJ.run_available_now(s, base + "/out", base + "/ckpt")
+    return spark.read.parquet(base + "/out")
+
+
+@register("stream_stuck")
+def q_stream_stuck(spark, d):
+    """Jobs with no completion within 2 hours, from a stream-stream outer join (STR8)."""
+    starts = FX.jobs_from(SJ.stream_table(spark, d, "orders"))
+    ends = FX.jobs_from(SJ.stream_table(spark, d, "orders"))
+    base = SJ.run_dir(spark, "stuck")
+    SJ.run_available_now(SJ.stuck_jobs(starts, ends), base + "/out", base + "/ckpt")
+    return spark.read.parquet(base + "/out").where(F.col("completed_at").isNull())
+
+
+@register("stream_score")
+def q_stream_score(spark, d):
+    """Unscored products scored as they arrive; appended per micro-batch keyed by id (STR1)."""
+    from pyspark.ml.functions import vector_to_array
+    from vitrine.plans.ml_queries import _fit, prepared
+    pm, _, _, _ = prepared(spark, d)
+    model, _ = _fit(spark, d, "logistic_regression")
+    lst = FX.listings_from(SJ.stream_table(spark, d, "orders")).where(F.col("listing_id") % 10 != 9)
+    scored_ids = FX.classifications(spark, d).select(F.col("product_id").alias("listing_id")).distinct()
+    new = lst.join(scored_ids, "listing_id", "left_anti")
+    x = model.transform(pm.transform(new.withColumn("target", F.lit(0))))
+    out = x.select(F.col("listing_id").alias("product_id"),
+                   F.when(F.col("prediction") == 1, F.lit("original")).otherwise(F.lit("suspicious")).alias("prediction"),
+                   F.array_max(vector_to_array("probability")).alias("confidence_score"))
+    base = SJ.run_dir(spark, "score")
+    SJ.run_available_now(out, None, base + "/ckpt", foreach_batch=SJ.upsert_batches(base + "/out", ["product_id"]))
+    return SJ.settled(spark, base + "/out", ["product_id"])

@@ -28,7 +28,11 @@ def _s(x: Column) -> Column:
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    return listings_from(table(spark, sf_dir, "orders"))
+
+
+def listings_from(o: DataFrame) -> DataFrame:
+    """Listing columns from an orders frame (batch or streaming)."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     title = F.concat(
         _case(k % 5, {0: "Cartucho HP 664", 1: "Toner HP 85A", 2: "Tinta Packard",
@@ -103,7 +107,10 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    return jobs_from(table(spark, sf_dir, "orders"))
+
+
+def jobs_from(o: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     status = _case(k % 10, {0: "failed", 1: "running"}, F.lit("completed"))
     return o.select(
@@ -116,7 +123,10 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metrics_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    return metrics_events_from(table(spark, sf_dir, "events"))
+
+
+def metrics_events_from(e: DataFrame) -> DataFrame:
     return e.select("event_id", "ts", F.col("event_type").alias("endpoint"),
                     F.col("value").alias("latency_ms"),
                     F.when(F.col("value") > 90, F.lit(500)).otherwise(F.lit(200)).alias("status_code"))
