@@ -82,9 +82,9 @@ def uncertainty_flags(confidence: Column, top: Column, low: float = 0.6, weak: f
 def explanation_text(prediction: Column, confidence: Column, top: Column, review_below: float = 0.7) -> Column:
     """Sentence with band, up to 5 factors, and a review note below ``review_below`` (INT14)."""
     factors = F.array_join(F.transform(F.slice(top, 1, 5), lambda s: F.format_string(
-        "%s (%s, %.3f)", s["feature"], s["direction"], s["contribution"])), "; ")
+        "%s (%s, %.3f)", s["feature"], s["direction"], F.round(s["contribution"] * 1000) / 1000.0)), "; ")
     base = F.format_string("Predicted %s with %s confidence (%.1f%%). Key factors: %s.", prediction,
-                           confidence_band(confidence), confidence * 100, factors)
+                           confidence_band(confidence), F.round(confidence * 1000) / 10.0, factors)
     return F.when(confidence < review_below, F.concat(base, F.lit(" Manual review recommended."))).otherwise(base)
 
 
@@ -111,3 +111,8 @@ def permuted_scores(model, data: DataFrame, id_col: str, slots: Sequence[int], r
         "_v", lambda v, i: F.when(i == F.col("slot"), F.get(F.col("_dv"), i)).otherwise(v))).alias(features))
     scored = model.transform(x)
     return scored.groupBy("slot", "repeat").agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"))
+
+
+def explanation_records(topk: DataFrame, id_col: str, confidence: DataFrame) -> DataFrame:
+    """Explanation record per row: prediction, confidence and top-feature array."""
+    return top_features_struct(topk, id_col).join(confidence, id_col)

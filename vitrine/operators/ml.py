@@ -163,6 +163,15 @@ def smote(df: DataFrame, label: str, id_col: str, features: str = "features", k:
 
 
 # --------------------------------------------------------------- training --
+def sized(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
+    """Training input partitioned by its size: iterative solvers launch one job
+    per iteration, so tiny inputs should not be spread over many tiny tasks,
+    while large ones keep ~``rows_per_partition`` rows per task."""
+    n = df.count()
+    parts = max(1, -(-n // rows_per_partition))
+    return df.repartition(parts)
+
+
 def classifiers(seed: int = 42) -> dict:
     """The four model families with MLlib defaults mapped from the reference."""
     return {

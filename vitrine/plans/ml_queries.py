@@ -30,8 +30,8 @@ def prepared(spark, d):
         split = ML.stratified_split(lab, "target", "doc_id", 0.2, 42)
         train, test = split.where(F.col("side") == "train"), split.where(F.col("side") == "test")
         model = ML.feature_pipeline().fit(train)
-        tr = model.transform(train).select("doc_id", "label", "features", "side").cache()
-        te = model.transform(test).select("doc_id", "label", "features", "side").cache()
+        tr = ML.sized(model.transform(train).select("doc_id", "label", "features", "side")).cache()
+        te = ML.sized(model.transform(test).select("doc_id", "label", "features", "side")).cache()
         _CACHE[key] = (model, tr, te, split)
     return _CACHE[key]
 
@@ -466,3 +466,141 @@ def q_score_new(spark, d):
                     F.when(F.col("prediction") == 1, F.lit("original")).otherwise(F.lit("suspicious")).alias("prediction"),
                     F.array_max(vector_to_array("probability")).alias("confidence_score"),
                     F.lit("logistic_regression").alias("model_version"))
+
+
+# ------------------------------------------------- deterministic explanations --
+def contributions_fixture(spark, d):
+    """A (row_id, feature, contribution) frame derived from ``events``: four
+    signed signals per event, standing in for a model's contributions."""
+    from vitrine.sources.tables import table
+    e = table(spark, d, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    return e.select(F.col("event_id").alias("row_id"), F.stack(
+        F.lit(4), F.lit("value_signal"), (F.col("value") - 50) / 100.0,
+        F.lit("user_signal"), ((F.col("user_id") % 7) - 3) / 10.0,
+        F.lit("k_signal"), (k - 50) / 100.0,
+        F.lit("hour_signal"), (F.hour("ts") - 12) / 24.0).alias("feature", "contribution"))
+
+
+CONTRIB_SQL = """c AS (SELECT event_id AS row_id, 'value_signal' AS feature, (value - 50) / 100e0 AS contribution FROM events
+  UNION ALL SELECT event_id, 'user_signal', ((user_id % 7) - 3) / 10e0 FROM events
+  UNION ALL SELECT event_id, 'k_signal', (CAST(json_extract_string(props, '$.k') AS INTEGER) - 50) / 100e0 FROM events
+  UNION ALL SELECT event_id, 'hour_signal', (hour(ts) - 12) / 24e0 FROM events),
+t AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY abs(contribution) DESC, feature) AS rank FROM c),
+top AS (SELECT row_id, rank, feature, contribution, CASE WHEN contribution > 0 THEN 'positive' WHEN contribution < 0 THEN 'negative' ELSE 'neutral' END AS direction
+  FROM t WHERE rank <= 3)"""
+
+
+def _topk(spark, d):
+    return IN.contribution_topk(contributions_fixture(spark, d), "row_id", 3)
+
+
+def _records(spark, d):
+    conf = FX.classifications(spark, d).select(F.col("id").alias("row_id"), "prediction", "confidence_score")
+    return IN.top_features_struct(_topk(spark, d), "row_id").join(conf, "row_id")
+
+
+def _r6(df):
+    return df.withColumns({c: F.round(c, 6) for c, t in df.dtypes if t == "double"})
+
+
+@register("contribution_topk", f"WITH {CONTRIB_SQL} SELECT row_id, rank, feature, round(contribution, 6) AS contribution, direction FROM top")
+def q_contribution_topk(spark, d):
+    return _r6(_topk(spark, d).select("row_id", "rank", "feature", "contribution", "direction"))
+
+
+@register("confidence_factors", f"""WITH {CONTRIB_SQL}
+SELECT row_id, count_if(contribution > 0) AS positive_factors, count_if(contribution < 0) AS negative_factors,
+  round(coalesce(sum(CASE WHEN contribution > 0 THEN contribution END), 0), 6) AS positive_strength,
+  round(coalesce(sum(CASE WHEN contribution < 0 THEN abs(contribution) END), 0), 6) AS negative_strength,
+  round(coalesce(sum(CASE WHEN contribution > 0 THEN contribution END), 0) - coalesce(sum(CASE WHEN contribution < 0 THEN abs(contribution) END), 0), 6) AS factor_balance
+FROM top GROUP BY row_id""")
+def q_confidence_factors(spark, d):
+    r = _records(spark, d)
+    cols = IN.confidence_factors(F.col("top_features"))
+    return _r6(r.select("row_id", *[v.alias(k) for k, v in cols.items()])).withColumns(
+        {"positive_factors": F.col("positive_factors").cast("long"), "negative_factors": F.col("negative_factors").cast("long")})
+
+
+@register("uncertainty_flags", f"""WITH {CONTRIB_SQL}, g AS (SELECT row_id, bool_or(contribution > 0) AND bool_or(contribution < 0) AS mixed,
+  max(abs(contribution)) AS mx FROM top GROUP BY row_id)
+SELECT g.row_id, concat_ws('|', CASE WHEN c.confidence_score < 0.6 THEN 'Low prediction confidence' END,
+  CASE WHEN mixed THEN 'Mixed feature signals' END, CASE WHEN coalesce(mx, 0) < 0.1 THEN 'No strong individual features' END) AS flags
+FROM g JOIN classifications c ON c.id = g.row_id""")
+def q_uncertainty_flags(spark, d):
+    r = _records(spark, d)
+    return r.select("row_id", F.array_join(IN.uncertainty_flags(F.col("confidence_score"), F.col("top_features")), "|").alias("flags"))
+
+
+def _band_sql(e):
+    return (f"CASE WHEN {e} >= 0.9 THEN 'Very High' WHEN {e} >= 0.8 THEN 'High' WHEN {e} >= 0.7 THEN 'Moderate' "
+            f"WHEN {e} >= 0.6 THEN 'Low' ELSE 'Very Low' END")
+
+
+@register("explanation_text", f"""WITH {CONTRIB_SQL}, f AS (SELECT row_id, string_agg(printf('%s (%s, %.3f)', feature, direction, round(contribution * 1000) / 1000e0 + 0e0), '; ' ORDER BY rank) AS factors
+  FROM top GROUP BY row_id)
+SELECT f.row_id, printf('Predicted %s with %s confidence (%.1f%%). Key factors: %s.', c.prediction, {_band_sql('c.confidence_score')},
+  round(c.confidence_score * 1000) / 10e0, factors) || CASE WHEN c.confidence_score < 0.7 THEN ' Manual review recommended.' ELSE '' END AS explanation
+FROM f JOIN classifications c ON c.id = f.row_id""")
+def q_explanation_text(spark, d):
+    r = _records(spark, d)
+    return r.select("row_id", IN.explanation_text(F.col("prediction"), F.col("confidence_score"), F.col("top_features"))
+                    .alias("explanation"))
+
+
+@register("explanation_patterns", """SELECT prediction, count(*) AS n, round(avg(confidence_score), 6) AS mean_confidence,
+  round(stddev_samp(confidence_score), 6) AS std_confidence, round(min(confidence_score), 6) AS min_confidence,
+  round(max(confidence_score), 6) AS max_confidence FROM classifications GROUP BY prediction""")
+def q_explanation_patterns(spark, d):
+    """Confidence statistics and counts over the explanations of each class (AGG17)."""
+    r = _records(spark, d)
+    c = F.col("confidence_score")
+    return _r6(r.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"), F.avg(c).alias("mean_confidence"),
+                                           F.stddev_samp(c).alias("std_confidence"), F.min(c).alias("min_confidence"),
+                                           F.max(c).alias("max_confidence")))
+
+
+@register("explanation_top_features", f"""WITH {CONTRIB_SQL}, m AS (SELECT c.prediction, top.feature, count(*) AS mentions FROM top
+  JOIN classifications c ON c.id = top.row_id GROUP BY 1, 2)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY prediction ORDER BY mentions DESC, feature) AS rank FROM m) WHERE rank <= 10""")
+def q_explanation_top_features(spark, d):
+    """Top features by mention in the explanations of each class (AGG17)."""
+    from pyspark.sql import Window
+    r = _records(spark, d).select("prediction", F.explode("top_features").alias("f"))
+    m = r.groupBy("prediction", F.col("f.feature").alias("feature")).agg(F.count(F.lit(1)).alias("mentions"))
+    w = Window.partitionBy("prediction").orderBy(F.col("mentions").desc(), "feature")
+    return m.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 10)
+
+
+@register("confidence_score", """SELECT model, row_id, round(greatest(1 - proba, proba), 6) AS max_probability,
+  round(1 - (-((1 - proba) * ln(1 - proba + 1e-10) + proba * ln(proba + 1e-10))) / ln(2), 6) AS entropy_confidence,
+  round(greatest(1 - proba, proba) - least(1 - proba, proba), 6) AS margin FROM predictions""")
+def q_confidence_score(spark, d):
+    """max probability, 1 - entropy / ln k, top-1 minus top-2 (INT6)."""
+    p = FX.predictions(spark, d).withColumn("probs", F.array(1 - F.col("proba"), F.col("proba")))
+    cols = IN.confidence_columns(F.col("probs"))
+    return _r6(p.select("model", "row_id", *[v.alias(k) for k, v in cols.items()]))
+
+
+@register("confidence_band", f"SELECT id, {_band_sql('confidence_score')} AS confidence_level FROM classifications")
+def q_confidence_band(spark, d):
+    return FX.classifications(spark, d).select("id", IN.confidence_band(F.col("confidence_score")).alias("confidence_level"))
+
+
+# ------------------------------------------------------------ store / sinks --
+@register("store_new")
+def q_store_new(spark, d):
+    """Clean, validate, refuse duplicates of the stored table and of earlier
+    accepted rows of the batch in insert order, type, insert (SCO4)."""
+    from vitrine.operators import clean as CL
+    from vitrine.operators.relational import new_not_duplicate
+    from vitrine.operators.store import greedy_unique
+    from vitrine.plans.listing_queries import _raw_listing_text
+    new_from = F.lit("2001-01-01 00:00:00").cast("timestamp_ntz")
+    ts = FX.listings(spark, d).select("listing_id", "scraped_at")
+    raw = _raw_listing_text(spark, d).join(ts.where(F.col("scraped_at") >= new_from), "listing_id").drop("scraped_at")
+    c = CL.valid_listing(CL.listing_clean(raw))
+    stored = FX.products(spark, d).where(F.col("scraped_at") < F.lit("1995-03-01 00:00:00").cast("timestamp_ntz"))
+    c = new_not_duplicate(c, stored)
+    acc = greedy_unique(c.withColumn("seq", F.col("listing_id")), "seq", ["url"], ["title", "seller_name"])
+    return acc.withColumn("product_type", CL.product_type("title")).drop("seq")

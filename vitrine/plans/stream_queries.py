@@ -53,10 +53,10 @@ def q_stream_endpoint(spark, d):
     return SJ.settled(spark, base + "/out", ["window_start", "endpoint"])
 
 
-STORED_BEFORE = "1993-01-01 00:00:00"
+STORED_BEFORE = "1995-03-01 00:00:00"
 
 
-@register("stream_dedup", """WITH s AS (SELECT * FROM products WHERE scraped_at < TIMESTAMP '1993-01-01 00:00:00')
+@register("stream_dedup", """WITH s AS (SELECT * FROM products WHERE scraped_at < TIMESTAMP '1995-03-01 00:00:00')
 SELECT DISTINCT url FROM listings l WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.url = l.url)
   AND NOT EXISTS (SELECT 1 FROM s WHERE s.title = l.title AND s.seller_name = l.seller_name)""")
 def q_stream_dedup(spark, d):
