@@ -33,5 +33,5 @@ def load_all() -> dict[str, Entry]:
     # importing the modules fills the registry
     from vitrine.plans import (listing_queries, relational_queries, stats_queries,  # noqa: F401
                                feature_queries, eval_queries, ml_queries, page_queries,
-                               stream_queries)
+                               stream_queries, io_queries)
     return REGISTRY
