@@ -133,11 +133,11 @@ def fit_numeric(df: DataFrame, columns: Sequence[str] = ("price_numeric", "ratin
         aggs += [_q(x, 0.25, exact).alias(f"{c}|q1"), _q(x, 0.75, exact).alias(f"{c}|q3"),
                  _q(x, 0.05, exact).alias(f"{c}|p05"), _q(x, 0.95, exact).alias(f"{c}|p95")]
     row = filled.agg(*aggs).first()
+    bounds = {c: (row[f"{c}|q1"] - 1.5 * (row[f"{c}|q3"] - row[f"{c}|q1"]),
+                  row[f"{c}|q3"] + 1.5 * (row[f"{c}|q3"] - row[f"{c}|q1"])) for c in columns}
+    outs = filled.agg(*[F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias(c) for c, (lo, hi) in bounds.items()]).first()
     for c in columns:
-        q1, q3 = row[f"{c}|q1"], row[f"{c}|q3"]
-        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
-        n_out = filled.where((F.col(c) < lo) | (F.col(c) > hi)).limit(1).count()
-        if n_out > 0:
+        if outs[c] > 0:
             m.caps[c] = (float(row[f"{c}|p05"]), float(row[f"{c}|p95"]))
     capped = m._filled_capped(df)
     row = capped.agg(_q(F.col("price_numeric"), 0.33, exact).alias("p33"), _q(F.col("price_numeric"), 0.67, exact).alias("p67"),

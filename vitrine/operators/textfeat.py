@@ -63,28 +63,45 @@ def adjacent_pairs(toks: Column) -> Column:
                                      lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
 
 
-def term_counts(df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
-    """(doc, term, count): unigrams + bigrams exploded, counted with map-side combine."""
-    tok = df.select(F.col(id_col).alias("doc_id"), tokens_no_stop(F.col(text_col), stop_words).alias("_t"))
-    ex = tok.select("doc_id", F.explode(F.concat(F.col("_t"), adjacent_pairs(F.col("_t")))).alias("term"))
-    return ex.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("count"))
+from vitrine.functions.partitioning import spread  # noqa: E402
 
 
-def tfidf_vocabulary(counts: DataFrame, n_docs: Column, vocab_size: int = 1000, min_df: int = 2,
+def doc_terms(df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
+    """(doc_id, terms): unigrams and bigrams after hashed stop-word removal (TXT3 analyzer)."""
+    from pyspark.ml.feature import StopWordsRemover
+    toks = spread(df).select(F.col(id_col).alias("doc_id"), F.regexp_extract_all(
+        F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(TOKEN), 0).alias("_raw"))
+    sw = StopWordsRemover(inputCol="_raw", outputCol="_t", stopWords=list(stop_words), caseSensitive=True)
+    clean = sw.transform(toks).select("doc_id", "_t")
+    return clean.select("doc_id", F.concat(F.col("_t"), adjacent_pairs(F.col("_t"))).alias("terms"))
+
+
+def term_stats(terms: DataFrame) -> DataFrame:
+    """(term, tf, df) from ONE explode: every occurrence tagged 0 and every
+    distinct term of a document tagged 1, summed with map-side combine."""
+    tagged = F.concat(F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("d"))),
+                      F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("d"))))
+    ex = terms.select(F.explode(tagged).alias("x"))
+    return ex.groupBy(F.col("x.term").alias("term")).agg(F.sum(1 - F.col("x.d")).alias("tf"), F.sum("x.d").alias("df"))
+
+
+def tfidf_vocabulary(stats: DataFrame, n_docs: Column, vocab_size: int = 1000, min_df: int = 2,
                      max_df: float = 0.95) -> DataFrame:
     """Terms kept by document frequency, top ``vocab_size`` by corpus count
     (ties by term), with smooth idf = ln((1 + n) / (1 + df)) + 1 (TXT3)."""
-    g = counts.groupBy("term").agg(F.sum("count").alias("tf"), F.count(F.lit(1)).alias("df"))
-    g = g.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n_docs))
+    g = stats.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n_docs))
     top = g.orderBy(F.col("tf").desc(), F.col("term")).limit(vocab_size)
     return top.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0))
 
 
-def tfidf_weights(counts: DataFrame, vocab: DataFrame) -> DataFrame:
+def tfidf_weights(terms: DataFrame, vocab: DataFrame) -> DataFrame:
     """L2-normalised tf-idf weight per (doc, term). The vocabulary has at most
-    ``vocab_size`` rows, so broadcasting it is size-bounded by construction."""
-    j = counts.join(F.broadcast(vocab.select("term", "idf")), "term")
-    w = j.withColumn("w", F.col("count") * F.col("idf"))
+    ``vocab_size`` rows (broadcast is size-bounded by construction) and filters
+    the exploded terms before the per-document count."""
+    v = F.broadcast(vocab.select("term", "idf"))
+    ex = terms.select("doc_id", F.explode("terms").alias("term")).join(v, "term")
+    c = ex.groupBy("doc_id", "term", "idf").agg(F.count(F.lit(1)).alias("count"))
+    w = c.withColumn("w", F.col("count") * F.col("idf"))
     norms = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return w.join(norms, "doc_id").select("doc_id", "term", (F.col("w") / F.col("norm")).alias("weight"))
 

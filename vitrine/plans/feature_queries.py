@@ -195,9 +195,9 @@ voc AS (SELECT term, tf, df, ln((1e0 + n) / (1e0 + df)) + 1e0 AS idf FROM g, nd
 
 def _tfidf(spark, d):
     t = FX.texts(spark, d)
-    counts = TF.term_counts(t, "doc_id", "description", _EN)
+    terms = TF.doc_terms(t, "doc_id", "description", _EN)
     n_docs = t.agg(F.count(F.lit(1))).scalar()
-    return counts, TF.tfidf_vocabulary(counts, n_docs, 1000, 2, 0.95)
+    return terms, TF.tfidf_vocabulary(TF.term_stats(terms), n_docs, 1000, 2, 0.95)
 
 
 @register("tfidf_terms", TFIDF_BASE + " SELECT term, CAST(tf AS BIGINT) AS tf, df, round(idf, 6) AS idf FROM voc")
@@ -210,8 +210,8 @@ def q_tfidf_terms(spark, d):
 nrm AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY doc_id)
 SELECT w.doc_id, w.term, round(w.w / nrm.norm, 6) AS weight FROM w JOIN nrm ON w.doc_id = nrm.doc_id""")
 def q_tfidf_weights(spark, d):
-    counts, voc = _tfidf(spark, d)
-    return _r6(TF.tfidf_weights(counts, voc))
+    terms, voc = _tfidf(spark, d)
+    return _r6(TF.tfidf_weights(terms, voc))
 
 
 @register("feature_names", """SELECT feature, CASE WHEN contains(lower(feature), 'tfidf') THEN 'Text Content: ' || trim(replace(b, 'Tfidf', ''))

@@ -12,7 +12,8 @@ from vitrine.sources.tables import table
 
 
 def _pages(spark, d):
-    return table(spark, d, "pages")
+    from vitrine.functions.partitioning import spread
+    return spread(table(spark, d, "pages"))
 
 
 def strip_sql(e):

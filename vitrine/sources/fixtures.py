@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.functions.partitioning import spread
 from vitrine.sources.tables import table
 
 
@@ -28,7 +29,7 @@ def _s(x: Column) -> Column:
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return listings_from(table(spark, sf_dir, "orders"))
+    return listings_from(spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")))
 
 
 def listings_from(o: DataFrame) -> DataFrame:
@@ -95,7 +96,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars"))
     return d.select("doc_id", F.substring_index("text", "\n", 1).alias("title"),
                     F.col("text").alias("description"), F.col("lang").alias("platform"),
                     F.col("source").alias("seller_name"), F.col("n_chars").alias("reviews_count"))
