@@ -49,3 +49,15 @@ def test_stats_tails():
     assert abs(ST.f_sf(3.0, 2, 12) - 1.5 ** -6) < 1e-9  # closed form for d1 = 2
     assert abs(ST.wilcoxon_p(0, 5) - 0.0625) < 1e-12
     assert abs(ST.mann_whitney_p(0, 3, 3) - 0.1) < 1e-12
+
+
+def test_distributed_exact_quantiles(spark):
+    from vitrine.functions.quantile import exact_quantiles
+    rng = random.Random(5)
+    vals = [float(rng.randint(0, 50)) for _ in range(3000)] + [1e6, -1e6]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    qs = [0.05, 0.25, 0.33, 0.5, 0.75, 0.95]
+    ref = df.agg(*[F.percentile("v", q).alias(str(i)) for i, q in enumerate(qs)]).first()
+    got = exact_quantiles(df, "v", qs, accuracy=100)
+    for i, q in enumerate(qs):
+        assert abs(got[q] - ref[str(i)]) < 1e-9, q

@@ -123,26 +123,35 @@ def fit_numeric(df: DataFrame, columns: Sequence[str] = ("price_numeric", "ratin
                 exact: bool = True) -> NumericModel:
     """Median fill, IQR-gated 5-95 caps, 13 derived columns, population-std
     scaling (NUM5). Four 1-row aggregates; only their rows reach the driver."""
+    from vitrine.functions.quantile import quantiles_multi
     m = NumericModel(list(columns))
-    row = df.agg(*[_q(F.col(c).cast("double"), 0.5, exact).alias(c) for c in columns]).first()
-    m.medians = {c: float(row[c]) for c in columns}
+    if exact:
+        med = quantiles_multi(df, columns, [0.5])
+        m.medians = {c: float(med[c][0.5]) for c in columns}
+    else:
+        row = df.agg(*[_q(F.col(c).cast("double"), 0.5, exact).alias(c) for c in columns]).first()
+        m.medians = {c: float(row[c]) for c in columns}
     filled = m._filled_capped(df)
-    aggs = []
-    for c in columns:
-        x = F.col(c)
-        aggs += [_q(x, 0.25, exact).alias(f"{c}|q1"), _q(x, 0.75, exact).alias(f"{c}|q3"),
-                 _q(x, 0.05, exact).alias(f"{c}|p05"), _q(x, 0.95, exact).alias(f"{c}|p95")]
-    row = filled.agg(*aggs).first()
-    bounds = {c: (row[f"{c}|q1"] - 1.5 * (row[f"{c}|q3"] - row[f"{c}|q1"]),
-                  row[f"{c}|q3"] + 1.5 * (row[f"{c}|q3"] - row[f"{c}|q1"])) for c in columns}
+    if exact:
+        qq = quantiles_multi(filled, columns, [0.25, 0.75, 0.05, 0.95])
+    else:
+        row = filled.agg(*[_q(F.col(c), q, exact).alias(f"{c}|{q}") for c in columns for q in (0.25, 0.75, 0.05, 0.95)]).first()
+        qq = {c: {q: row[f"{c}|{q}"] for q in (0.25, 0.75, 0.05, 0.95)} for c in columns}
+    bounds = {c: (qq[c][0.25] - 1.5 * (qq[c][0.75] - qq[c][0.25]), qq[c][0.75] + 1.5 * (qq[c][0.75] - qq[c][0.25]))
+              for c in columns}
     outs = filled.agg(*[F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias(c) for c, (lo, hi) in bounds.items()]).first()
     for c in columns:
         if outs[c] > 0:
-            m.caps[c] = (float(row[f"{c}|p05"]), float(row[f"{c}|p95"]))
+            m.caps[c] = (float(qq[c][0.05]), float(qq[c][0.95]))
     capped = m._filled_capped(df)
-    row = capped.agg(_q(F.col("price_numeric"), 0.33, exact).alias("p33"), _q(F.col("price_numeric"), 0.67, exact).alias("p67"),
-                     _q(F.col("reviews_count"), 0.25, exact).alias("r25"), _q(F.col("reviews_count"), 0.75, exact).alias("r75")).first()
-    m.quantiles = {k: float(row[k]) for k in ("p33", "p67", "r25", "r75")}
+    if exact:
+        qp = quantiles_multi(capped, ["price_numeric", "reviews_count"], [0.33, 0.67, 0.25, 0.75])
+        m.quantiles = {"p33": float(qp["price_numeric"][0.33]), "p67": float(qp["price_numeric"][0.67]),
+                       "r25": float(qp["reviews_count"][0.25]), "r75": float(qp["reviews_count"][0.75])}
+    else:
+        row = capped.agg(_q(F.col("price_numeric"), 0.33, exact).alias("p33"), _q(F.col("price_numeric"), 0.67, exact).alias("p67"),
+                         _q(F.col("reviews_count"), 0.25, exact).alias("r25"), _q(F.col("reviews_count"), 0.75, exact).alias("r75")).first()
+        m.quantiles = {k: float(row[k]) for k in ("p33", "p67", "r25", "r75")}
     u = m.unscaled(df)
     row = u.agg(*[F.avg(F.col(c).cast("double")).alias(f"{c}|m") for c in m.output_columns],
                 *[F.stddev_pop(F.col(c).cast("double")).alias(f"{c}|s") for c in m.output_columns]).first()

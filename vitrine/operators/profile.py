@@ -27,14 +27,20 @@ def quantile(c: Column, q, exact: bool = True) -> Column:
 
 
 def describe(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
-    """count, mean, std (n-1), min, quartiles, max per column (AGG3)."""
+    """count, mean, std (n-1), min, quartiles, max per column (AGG3). Exact
+    quartiles come from ``quantiles_multi`` (one percentile aggregate for
+    moderate columns, the distributed exact method for huge ones)."""
+    qv = None
+    if exact:
+        from vitrine.functions.quantile import quantiles_multi
+        qv = quantiles_multi(df, columns, [0.25, 0.5, 0.75])
     aggs = []
     for c in columns:
         x = F.col(c)
+        qs = [F.lit(qv[c][q]).cast("double") if qv else quantile(x, q, False) for q in (0.25, 0.5, 0.75)]
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 quantile(x, 0.25, exact).alias(f"{c}__q25"), quantile(x, 0.5, exact).alias(f"{c}__q50"),
-                 quantile(x, 0.75, exact).alias(f"{c}__q75"), F.max(x).alias(f"{c}__max")]
+                 qs[0].alias(f"{c}__q25"), qs[1].alias(f"{c}__q50"), qs[2].alias(f"{c}__q75"), F.max(x).alias(f"{c}__max")]
     return unpivot_stats(df.agg(*aggs), columns, ["count", "mean", "std", "min", "q25", "q50", "q75", "max"])
 
 
