@@ -153,3 +153,9 @@ def q_page_record_site2(spark, d):
           "substr(trim(regexp_replace(specifications, '\\s+', ' ', 'g')), 1, 1000) AS specifications FROM (" + _record_sql(A, "site_a") + ")")
 def q_raw_trim(spark, d):
     return PG.raw_trim(PG.page_record(_pages(spark, d))).select("page_id", "price", "title", "description", "specifications")
+
+
+@register("page_images", f"SELECT page_id, {images_sql()} AS images FROM pages")
+def q_page_images(spark, d):
+    """img src values with http and the CDN name, first 3 joined (PAGE10)."""
+    return _pages(spark, d).select("page_id", PG.page_images(F.col("html")).alias("images"))
