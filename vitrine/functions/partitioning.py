@@ -12,3 +12,9 @@ def spread(df: DataFrame) -> DataFrame:
     are returned unchanged, so no extra shuffle happens at scale."""
     slots = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
+def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Adds every column of a 1-row frame to ``df`` as a scalar subquery (the
+    optimizer merges them into one computation) -- no keyless join."""
+    return df.select("*", *[one_row.select(c).scalar().alias(c) for c in one_row.columns])

@@ -167,40 +167,35 @@ def pivot_models(cv: DataFrame, row_keys: Sequence[str], models: Sequence[str])
 def paired_stats(cv: DataFrame, models: Sequence[str], keys: Sequence[str] = ("metric",)) -> DataFrame:
     """For each model pair: paired t statistic, Wilcoxon W (min of signed-rank
     sums, zero differences dropped, average ranks for ties), Mann-Whitney U
-    and Cohen's d of fold differences (EVA15, JOIN12). Pairs are columns of
-    the fold-pivoted frame, never a self join."""
+    and Cohen's d of fold differences (EVA15, JOIN12). Fold scores are pivoted
+    to one row per fold and the model-pair columns exploded once, so every
+    pair is computed in one plan keyed by (pair, metric); rows are folds x pairs."""
     wide = pivot_models(cv, [*keys, "fold"], models)
     pairs = [(a, b) for i, a in enumerate(models) for b in models[i + 1:]]
-    out = None
-    for a, b in pairs:
-        d = F.col(f"`{a}`") - F.col(f"`{b}`")
-        x = wide.select(*keys, "fold", F.col(f"`{a}`").alias("xa"), F.col(f"`{b}`").alias("xb"), d.alias("d"))
-        w = Window.partitionBy(*keys)
-        # signed ranks of |d| (zeros dropped) with average ranks for ties
-        nz = x.where(F.col("d") != 0).withColumn("ad", F.abs("d"))
-        rk = nz.withColumn("r", (F.rank().over(w.orderBy("ad")) + F.count(F.lit(1)).over(Window.partitionBy(*keys, "ad")) - 1
-                                 + F.rank().over(w.orderBy("ad"))) / 2.0)
-        wil = rk.groupBy(*keys).agg(F.sum(F.when(F.col("d") > 0, F.col("r")).otherwise(0.0)).alias("w_plus"),
-                                    F.sum(F.when(F.col("d") < 0, F.col("r")).otherwise(0.0)).alias("w_minus"),
-                                    F.count(F.lit(1)).alias("n_nonzero"))
-        # Mann-Whitney U over the two samples pooled, average ranks
-        pooled = x.select(*keys, F.col("xa").alias("v"), F.lit(1).alias("g")).unionByName(
-            x.select(*keys, F.col("xb").alias("v"), F.lit(2).alias("g")))
-        pr = pooled.withColumn("r", (F.rank().over(w.orderBy("v")) * 2 + F.count(F.lit(1)).over(Window.partitionBy(*keys, "v")) - 1) / 2.0)
-        mw = pr.groupBy(*keys).agg(F.sum(F.when(F.col("g") == 1, F.col("r"))).alias("r1"), F.count_if(F.col("g") == 1).alias("n1"),
-                                   F.count_if(F.col("g") == 2).alias("n2"))
-        mw = mw.select(*keys, F.least(F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2.0,
-                                      F.col("n1") * F.col("n2") - (F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2.0)).alias("u_stat"),
-                       "n1", "n2")
-        t = x.groupBy(*keys).agg(F.avg("d").alias("mean_diff"), F.stddev_samp("d").alias("sd_diff"), F.count(F.lit(1)).alias("n"))
-        t = t.select(*keys, "mean_diff", "n", (F.col("mean_diff") / (F.col("sd_diff") / F.sqrt("n"))).alias("t_stat"),
-                     (F.col("mean_diff") / F.col("sd_diff")).alias("cohens_d"))
-        one = (t.join(wil, list(keys), "left").join(mw, list(keys), "left")
-               .select(F.lit(a).alias("model_a"), F.lit(b).alias("model_b"), *keys, "n", "mean_diff", "t_stat", "cohens_d",
-                       F.least("w_plus", "w_minus").alias("wilcoxon_w"), F.coalesce("n_nonzero", F.lit(0)).alias("n_nonzero"),
-                       "u_stat", "n1", "n2"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    arr = F.array(*[F.struct(F.lit(a).alias("model_a"), F.lit(b).alias("model_b"), F.col(f"`{a}`").alias("xa"),
+                             F.col(f"`{b}`").alias("xb")) for a, b in pairs])
+    x = wide.select(*keys, "fold", F.explode(arr).alias("p")).select(*keys, "fold", "p.*")
+    x = x.withColumn("d", F.col("xa") - F.col("xb"))
+    k = ["model_a", "model_b", *keys]
+    w = Window.partitionBy(*k)
+    nz = x.where(F.col("d") != 0).withColumn("ad", F.abs("d"))
+    rk = nz.withColumn("r", F.rank().over(w.orderBy("ad")) + (F.count(F.lit(1)).over(Window.partitionBy(*k, "ad")) - 1) / 2.0)
+    wil = rk.groupBy(*k).agg(F.sum(F.when(F.col("d") > 0, F.col("r")).otherwise(0.0)).alias("w_plus"),
+                             F.sum(F.when(F.col("d") < 0, F.col("r")).otherwise(0.0)).alias("w_minus"),
+                             F.count(F.lit(1)).alias("n_nonzero"))
+    pooled = x.select(*k, F.col("xa").alias("v"), F.lit(1).alias("g")).unionByName(
+        x.select(*k, F.col("xb").alias("v"), F.lit(2).alias("g")))
+    pr = pooled.withColumn("r", F.rank().over(w.orderBy("v")) + (F.count(F.lit(1)).over(Window.partitionBy(*k, "v")) - 1) / 2.0)
+    mw = pr.groupBy(*k).agg(F.sum(F.when(F.col("g") == 1, F.col("r"))).alias("r1"), F.count_if(F.col("g") == 1).alias("n1"),
+                            F.count_if(F.col("g") == 2).alias("n2"))
+    u1 = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2.0
+    mw = mw.select(*k, F.least(u1, F.col("n1") * F.col("n2") - u1).alias("u_stat"), "n1", "n2")
+    t = x.groupBy(*k).agg(F.avg("d").alias("mean_diff"), F.stddev_samp("d").alias("sd_diff"), F.count(F.lit(1)).alias("n"))
+    t = t.select(*k, "mean_diff", "n", (F.col("mean_diff") / (F.col("sd_diff") / F.sqrt("n"))).alias("t_stat"),
+                 (F.col("mean_diff") / F.col("sd_diff")).alias("cohens_d"))
+    return (t.join(wil, k, "left").join(mw, k, "left")
+            .select(*k, "n", "mean_diff", "t_stat", "cohens_d", F.least("w_plus", "w_minus").alias("wilcoxon_w"),
+                    F.coalesce("n_nonzero", F.lit(0)).alias("n_nonzero"), "u_stat", "n1", "n2"))
 
 
 def anova_f(cv: DataFrame, keys: Sequence[str] = ("metric",)) -> DataFrame:

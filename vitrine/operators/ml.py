@@ -117,7 +117,8 @@ def balance_check(before: DataFrame, after: DataFrame, label: str, tol: float =
     def gap(d, name):
         s = d.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
         return s.agg(((F.max("n") - F.min("n")) / F.sum("n")).alias(name))
-    j = gap(before, "gap_before").join(gap(after, "gap_after"), how="inner")  # two 1-row frames
+    from vitrine.functions.partitioning import with_scalars
+    j = with_scalars(gap(before, "gap_before"), gap(after, "gap_after"))
     return j.select("gap_before", "gap_after", (F.col("gap_before") - F.col("gap_after")).alias("improvement"),
                     (F.col("gap_after") <= tol).alias("balanced"))
 

@@ -45,7 +45,8 @@ def scoring_stats(cls: DataFrame, low: float = 0.7) -> DataFrame:
                     F.min("processing_time_ms").alias("min_time_ms"), F.avg("confidence_score").alias("avg_confidence"),
                     F.avg((F.col("confidence_score") < low).cast("double")).alias("low_confidence_share"),
                     F.count(F.lit(1)).alias("total"))
-    return stats.join(counts, how="inner")  # two 1-row frames
+    from vitrine.functions.partitioning import with_scalars
+    return with_scalars(stats, counts)
 
 
 def endpoint_stats(ev: DataFrame) -> DataFrame:
@@ -111,7 +112,8 @@ def job_health(jobs: DataFrame, last: int = 5, min_success: float = 0.8, stuck_h
                      .alias("stuck_jobs"),
                      (seconds_between(F.max(F.when(F.col("status") == "completed", F.col("completed_at"))), as_of)
                       / 3600.0).alias("hours_since_success"))
-    j = s.join(stuck, how="inner")  # two 1-row frames
+    from vitrine.functions.partitioning import with_scalars
+    j = with_scalars(s, stuck)
     alerts = F.array_compact(F.array(
         F.when(F.col("success_rate") < min_success, F.lit("Low scraper success rate")),
         F.when(F.col("stuck_jobs") > 0, F.lit("Jobs running too long")),

@@ -109,7 +109,8 @@ def profile_table(df: DataFrame, required: Sequence[str] = ()) -> DataFrame:
     n = F.count(F.lit(1))
     one = df.agg(n.alias("rows"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"null__{c}") for c in cols])
     distinct_rows = df.distinct().agg(F.count(F.lit(1)).alias("distinct_rows"))
-    j = one.join(distinct_rows, how="inner")  # two 1-row frames
+    from vitrine.functions.partitioning import with_scalars
+    j = with_scalars(one, distinct_rows)
     missing = [c for c in required if c not in cols]
     empty_req = [F.when(F.col(f"null__{c}") == F.col("rows"), F.lit(c)) for c in required if c in cols]
     half = [F.when(F.col(f"null__{c}") > F.col("rows") * 0.5, F.lit(c)) for c in cols]

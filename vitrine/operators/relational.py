@@ -127,7 +127,8 @@ def importance_compare(importance: DataFrame, top_n: int = 20) -> DataFrame:
     j = ranked.join(F.broadcast(per_model), "model")  # one row per model: fixed small size
     g = j.groupBy("feature").agg(F.sum("importance").alias("s_imp"), F.sum("rank").alias("s_rank"),
                                  F.sum(F.col("n_model") + 1).alias("present_absent_rank"))
-    g = g.join(F.broadcast(totals), how="inner")  # 1-row frame
+    from vitrine.functions.partitioning import with_scalars
+    g = with_scalars(g, totals)
     out = g.select("feature", (F.col("s_imp") / F.col("m")).alias("avg_importance"),
                    ((F.col("s_rank") + F.col("all_absent_rank") - F.col("present_absent_rank")) / F.col("m"))
                    .alias("avg_rank"))

@@ -74,7 +74,8 @@ def q_metrics_unpivot(spark, d):
                                          F.avg("processing_time_ms").alias("classification_avg_time_ms"))
     p = FX.products(spark, d).agg(F.count(F.lit(1)).cast("double").alias("products_total"))
     j = FX.jobs(spark, d).agg(F.count(F.lit(1)).cast("double").alias("jobs_total"))
-    one = c.join(p, how="inner").join(j, how="inner")  # 1-row frames
+    from vitrine.functions.partitioning import with_scalars
+    one = with_scalars(with_scalars(c, p), j)
     names = one.columns
     long = one.select(F.stack(F.lit(len(names)), *[x for n in names for x in (F.lit(n), F.col(n))]).alias("name", "value"))
     long = long.withColumn("value", F.round("value", 6))

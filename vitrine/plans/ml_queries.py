@@ -400,7 +400,8 @@ def q_permutation_importance(spark, d):
     s = IN.permuted_scores(model, te, "doc_id", slots, repeats=2)
     g = s.groupBy("slot").agg(F.avg("accuracy").alias("acc"), F.stddev_pop("accuracy").alias("importance_std"))
     names_df = spark.createDataFrame([(i, names[i]) for i in slots], "slot int, feature string")
-    return g.join(base_acc, how="inner").join(names_df, "slot").select(  # base_acc: one row
+    from vitrine.functions.partitioning import with_scalars
+    return with_scalars(g, base_acc).join(F.broadcast(names_df), "slot").select(  # names: one row per slot
         "feature", (F.col("b") - F.col("acc")).alias("importance_mean"), "importance_std")
 
 

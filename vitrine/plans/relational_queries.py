@@ -319,7 +319,8 @@ def q_retention_jobs(spark, d):
     from vitrine.operators.monitor import max_ts
     j = FX.jobs(spark, d)
     kept, deleted = CL.retention_split(j, "started_at", max_ts(j, "started_at"), 30)
-    return deleted.agg(F.count(F.lit(1)).alias("deleted")).join(kept.agg(F.count(F.lit(1)).alias("kept")), how="inner")
+    from vitrine.functions.partitioning import with_scalars
+    return with_scalars(deleted.agg(F.count(F.lit(1)).alias("deleted")), kept.agg(F.count(F.lit(1)).alias("kept")))
 
 
 @register("retention_counts", """SELECT
@@ -330,4 +331,5 @@ def q_retention_counts(spark, d):
     ev, j = FX.metrics_events(spark, d), FX.jobs(spark, d)
     _, h_del = CL.retention_split(ev, "ts", max_ts(ev, "ts"), 7)
     _, j_del = CL.retention_split(j, "started_at", max_ts(j, "started_at"), 30, status_in=["completed", "failed"])
-    return h_del.agg(F.count(F.lit(1)).alias("health_deleted")).join(j_del.agg(F.count(F.lit(1)).alias("jobs_deleted")), how="inner")
+    from vitrine.functions.partitioning import with_scalars
+    return with_scalars(h_del.agg(F.count(F.lit(1)).alias("health_deleted")), j_del.agg(F.count(F.lit(1)).alias("jobs_deleted")))
