@@ -14,7 +14,7 @@ from vitrine.sources import fixtures as FX
 
 def labelled_listings(spark, sf_dir):
     """Listings with CLN4 price and the TXT10 label."""
-    lst = FX.listings(spark, sf_dir).withColumn("price_numeric", price_locale("price"))
+    lst = FX.listings(spark, sf_dir, heavy=True).withColumn("price_numeric", price_locale("price"))
     return LB.heuristic_label(lst)
 
 
@@ -129,7 +129,7 @@ def q_product_type(spark, sf_dir):
 
 def _raw_listing_text(spark, sf_dir):
     """Raw collected record: every field as text, as a collector delivers it."""
-    return FX.listings(spark, sf_dir).select(
+    return FX.listings(spark, sf_dir, heavy=True).select(
         "listing_id", "title", "description", "price", "seller_name",
         F.concat(F.col("rating_numeric").cast("string"), F.lit(" estrelas")).alias("rating"),
         F.concat(F.col("reviews_count").cast("string"), F.lit(" avaliações")).alias("reviews_count"),
@@ -294,7 +294,7 @@ def q_trust_flags(spark, sf_dir):
 @register("enrich_table", f"""SELECT listing_id, title, platform, {LISTING_CLASS_SQL} AS classificacao_produto,
   {MODELO_SQL} AS modelo, {COR_SQL} AS cor, {REND_SQL} AS rendimento_paginas, {FLAGS_SQL} FROM listings""")
 def q_enrich_table(spark, sf_dir):
-    return LB.enrich_table(FX.listings(spark, sf_dir).select("listing_id", "title", "description", "platform")).drop("description")
+    return LB.enrich_table(FX.listings(spark, sf_dir, heavy=True).select("listing_id", "title", "description", "platform")).drop("description")
 
 
 # --------------------------------------------------------- text features --
@@ -320,5 +320,5 @@ def _kw_sql(c):
 
 @register("keyword_flags", f"SELECT listing_id, {_kw_sql('title')}, {_kw_sql('description')} FROM listings")
 def q_keyword_flags(spark, sf_dir):
-    t = TF.keyword_flags(FX.listings(spark, sf_dir).select("listing_id", "title", "description"))
+    t = TF.keyword_flags(FX.listings(spark, sf_dir, heavy=True).select("listing_id", "title", "description"))
     return t.drop("title", "description")
