@@ -20,11 +20,31 @@ class Entry:
 REGISTRY: dict[str, Entry] = {}
 
 
+def bigint_counts(sql: str) -> str:
+    """DuckDB types ``count_if`` as HUGEINT; Spark's is BIGINT. Wrap each call."""
+    out, i = [], 0
+    while True:
+        j = sql.find("count_if(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len("count_if")
+        while True:
+            ch = sql[k]
+            depth += ch == "("
+            depth -= ch == ")"
+            k += 1
+            if depth == 0:
+                break
+        out.append(sql[i:j] + "CAST(" + sql[j:k] + " AS BIGINT)")
+        i = k
+
+
 def register(key: str, sql: str | None = None):
     def deco(fn):
         if key in REGISTRY:
             raise ValueError(f"duplicate query key {key}")
-        REGISTRY[key] = Entry(key, fn, with_views(sql) if sql else None)
+        REGISTRY[key] = Entry(key, fn, bigint_counts(with_views(sql)) if sql else None)
         return fn
     return deco
 

@@ -300,9 +300,9 @@ def q_enrich_table(spark, sf_dir):
 # --------------------------------------------------------- text features --
 def _text_length_sql(c):
     w = f"list_filter(string_split_regex(coalesce({c}, ''), '\\s+'), lambda w: w <> '')"
-    return (f"length(coalesce({c}, '')) AS {c}_char_count, length({w}) AS {c}_word_count, "
+    return (f"CAST(length(coalesce({c}, '')) AS INTEGER) AS {c}_char_count, CAST(length({w}) AS INTEGER) AS {c}_word_count, "
             f"CASE WHEN length({w}) > 0 THEN CAST(list_sum(list_transform({w}, lambda x: length(x))) AS DOUBLE) / length({w}) ELSE 0e0 END AS {c}_avg_word_length, "
-            f"length(list_filter({w}, lambda x: upper(x) = x AND lower(x) <> x)) AS {c}_uppercase_count")
+            f"CAST(length(list_filter({w}, lambda x: upper(x) = x AND lower(x) <> x)) AS INTEGER) AS {c}_uppercase_count")
 
 
 @register("text_length", f"SELECT doc_id, {_text_length_sql('title')}, {_text_length_sql('description')} FROM texts")

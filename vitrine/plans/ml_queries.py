@@ -81,7 +81,7 @@ def q_split_sizes(spark, d):
 sides AS (SELECT 'test' AS side, target, t AS ns FROM s UNION ALL SELECT 'train', target, n - t FROM s),
 sh AS (SELECT side, target, ns, ns / sum(ns) OVER (PARTITION BY side) AS share FROM sides),
 w AS (SELECT target, n / sum(n) OVER () AS share_all FROM s)
-SELECT side, round(max(abs(share - share_all)), 6) AS max_gap, sum(ns) AS rows, max(abs(share - share_all)) <= 0.05 AS ok
+SELECT side, round(max(abs(share - share_all)), 6) AS max_gap, CAST(sum(ns) AS BIGINT) AS rows, max(abs(share - share_all)) <= 0.05 AS ok
 FROM sh JOIN w ON sh.target = w.target GROUP BY side""")
 def q_split_check(spark, d):
     split = ML.stratified_split(FX.labelled(spark, d), "target", "doc_id", 0.2, 42)
@@ -487,7 +487,7 @@ CONTRIB_SQL = """c AS (SELECT event_id AS row_id, 'value_signal' AS feature, (va
   UNION ALL SELECT event_id, 'user_signal', ((user_id % 7) - 3) / 10e0 FROM events
   UNION ALL SELECT event_id, 'k_signal', (CAST(json_extract_string(props, '$.k') AS INTEGER) - 50) / 100e0 FROM events
   UNION ALL SELECT event_id, 'hour_signal', (hour(ts) - 12) / 24e0 FROM events),
-t AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY abs(contribution) DESC, feature) AS rank FROM c),
+t AS (SELECT *, CAST(row_number() OVER (PARTITION BY row_id ORDER BY abs(contribution) DESC, feature) AS INTEGER) AS rank FROM c),
 top AS (SELECT row_id, rank, feature, contribution, CASE WHEN contribution > 0 THEN 'positive' WHEN contribution < 0 THEN 'negative' ELSE 'neutral' END AS direction
   FROM t WHERE rank <= 3)"""
 
@@ -563,7 +563,7 @@ def q_explanation_patterns(spark, d):
 
 @register("explanation_top_features", f"""WITH {CONTRIB_SQL}, m AS (SELECT c.prediction, top.feature, count(*) AS mentions FROM top
   JOIN classifications c ON c.id = top.row_id GROUP BY 1, 2)
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY prediction ORDER BY mentions DESC, feature) AS rank FROM m) WHERE rank <= 10""")
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY prediction ORDER BY mentions DESC, feature) AS INTEGER) AS rank FROM m) WHERE rank <= 10""")
 def q_explanation_top_features(spark, d):
     """Top features by mention in the explanations of each class (AGG17)."""
     from pyspark.sql import Window

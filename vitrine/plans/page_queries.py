@@ -123,8 +123,8 @@ def q_page_specs(spark, d):
 @register("page_links", """WITH e AS (SELECT page_id, unnest(l) AS href, unnest(range(1, len(l) + 1)) AS pos
   FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]+)"', 1) AS l FROM pages)),
 f AS (SELECT page_id, href, min(pos) AS pos FROM e WHERE regexp_matches(href, '^/') GROUP BY page_id, href),
-r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS link_rank FROM f)
-SELECT page_id, href, pos - 1 AS pos, link_rank FROM r WHERE link_rank <= 10""")
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos) AS INTEGER) AS link_rank FROM f)
+SELECT page_id, href, CAST(pos - 1 AS INTEGER) AS pos, link_rank FROM r WHERE link_rank <= 10""")
 def q_page_links(spark, d):
     return PG.page_links(_pages(spark, d))
 

@@ -238,7 +238,7 @@ def q_recent_topk(spark, d):
 
 
 IMP_RANK_SQL = """SELECT model, method, feature, importance,
-  row_number() OVER (PARTITION BY model, method ORDER BY importance DESC, feature) AS rank,
+  CAST(row_number() OVER (PARTITION BY model, method ORDER BY importance DESC, feature) AS INTEGER) AS rank,
   importance / nullif(sum(importance) OVER (PARTITION BY model, method), 0) * 100 AS importance_pct,
   sum(importance) OVER (PARTITION BY model, method ORDER BY importance DESC, feature ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
    / nullif(sum(importance) OVER (PARTITION BY model, method), 0) * 100 AS cumulative_pct
@@ -281,7 +281,7 @@ def q_version_history(spark, d):
 
 
 @register("latest_version", """SELECT model, version, created_at,
-  row_number() OVER (PARTITION BY model ORDER BY CAST(split_part(version, '.', 1) AS INTEGER), CAST(split_part(version, '.', 2) AS INTEGER), CAST(split_part(version, '.', 3) AS INTEGER)) AS position,
+  CAST(row_number() OVER (PARTITION BY model ORDER BY CAST(split_part(version, '.', 1) AS INTEGER), CAST(split_part(version, '.', 2) AS INTEGER), CAST(split_part(version, '.', 3) AS INTEGER)) AS INTEGER) AS position,
   row_number() OVER (PARTITION BY model ORDER BY CAST(split_part(version, '.', 1) AS INTEGER) DESC, CAST(split_part(version, '.', 2) AS INTEGER) DESC, CAST(split_part(version, '.', 3) AS INTEGER) DESC) = 1 AS is_latest
 FROM (SELECT DISTINCT model, version, created_at FROM versions)""")
 def q_latest_version(spark, d):

@@ -53,7 +53,7 @@ def q_describe_numeric(spark, d):
 
 @register("class_balance", """
 WITH c AS (SELECT target, count(*) AS n FROM labelled GROUP BY target)
-SELECT sum(n) AS total, count(*) AS n_classes, arg_min(target, (n, target)) AS minority_class, arg_max(target, (n, target)) AS majority_class,
+SELECT CAST(sum(n) AS BIGINT) AS total, count(*) AS n_classes, arg_min(target, (n, target)) AS minority_class, arg_max(target, (n, target)) AS majority_class,
   min(n) AS minority_count, max(n) AS majority_count, round(min(n) / sum(n), 6) AS minority_ratio, round(max(n) / sum(n), 6) AS majority_ratio,
   round(max(n) / min(n), 6) AS imbalance_ratio, min(n) / sum(n) < 0.2 AS is_imbalanced FROM c""")
 def q_class_balance(spark, d):

@@ -95,7 +95,7 @@ def q_stream_alerts(spark, d):
     return _r6(s.where(F.col("value") > F.col("threshold")).select("window_start", "metric", "value"))
 
 
-@register("stream_ingest", "SELECT page_id, url, length(html) AS html_chars FROM pages")
+@register("stream_ingest", "SELECT page_id, url, CAST(length(html) AS INTEGER) AS html_chars FROM pages")
 def q_stream_ingest(spark, d):
     """Checkpointed availableNow ingestion of a file source (STR7)."""
     s = SJ.stream_table(spark, d, "pages").select("page_id", "url", F.length("html").alias("html_chars"))
