@@ -69,3 +69,15 @@ def test_no_cartesian_products_in_sql_keys(spark):
     for k in ["integrity_counts", "retention_jobs", "profile_table", "scoring_stats", "importance_compare", "metrics_unpivot"]:
         plan = qs[k](spark, SF)._jdf.queryExecution().sparkPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, k
+
+
+def test_durations_ignore_session_time_zone(spark):
+    from vitrine.functions.partitioning import seconds_between_ntz
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")   # DST began 1996-10-06 00:00
+        r = spark.sql("SELECT timestamp_ntz'1996-10-06 00:00:00' AS a, timestamp_ntz'1996-10-06 01:30:00' AS b") \
+            .select(seconds_between_ntz(F.col("a"), F.col("b")).alias("s")).first()
+        assert r.s == 5400.0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

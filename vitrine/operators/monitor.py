@@ -19,7 +19,8 @@ def since(ts: str, as_of: Column, hours: int) -> Column:
 
 
 def seconds_between(a: Column, b: Column) -> Column:
-    return (F.unix_micros(b.cast("timestamp")) - F.unix_micros(a.cast("timestamp"))) / F.lit(1e6)
+    from vitrine.functions.partitioning import seconds_between_ntz
+    return seconds_between_ntz(a, b)
 
 
 def table_counts(tables: dict, ts_cols: dict, hours: int = 24) -> DataFrame:

@@ -142,11 +142,11 @@ def version_diff(versions: DataFrame, model: str, v1: str, v2: str) -> DataFrame
     b = versions.where((F.col("model") == model) & (F.col("version") == v2)).select(
         "model", "metric", F.col("value").alias("value_2"), F.col("created_at").alias("created_2"))
     j = a.join(b, ["model", "metric"])
-    micros = F.unix_micros(F.col("created_2").cast("timestamp")) - F.unix_micros(F.col("created_1").cast("timestamp"))
+    from vitrine.functions.partitioning import seconds_between_ntz
     return j.select("model", "metric", "value_1", "value_2",
                     (F.col("value_2") - F.col("value_1")).alias("difference"),
                     (F.col("value_2") > F.col("value_1")).alias("improved"),
-                    (micros / F.lit(1e6)).alias("seconds_between"))
+                    seconds_between_ntz(F.col("created_1"), F.col("created_2")).alias("seconds_between"))
 
 
 def apply_code_map(df: DataFrame, col: str, code_map: DataFrame, code_col: str, default) -> DataFrame:

@@ -82,7 +82,7 @@ def q_stream_alerts(spark, d):
     e = _events_stream(spark, d).withColumn("_et", SJ.event_time("ts")).withWatermark("_et", "10 minutes")
     g = e.groupBy(F.window("_et", "1 hour").alias("w")).agg(F.avg("latency_ms").alias("avg_latency_ms"),
                                                            F.count_if(F.col("status_code") >= 400).cast("double").alias("errors"))
-    g = g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "avg_latency_ms", "errors")
+    g = g.select(SJ.wall(F.col("w.start")).alias("window_start"), "avg_latency_ms", "errors")
 
     def alerts(b):
         long = b.select("window_start", "_batch_id", F.stack(F.lit(2), F.lit("avg_latency_ms"), F.col("avg_latency_ms"),

@@ -44,7 +44,15 @@ def run_available_now(df: DataFrame, sink: str, ckpt: str, mode: str = "append",
 
 
 def event_time(col: str) -> F.Column:
-    return F.col(col).cast("timestamp")
+    """Event time instant of a wall-clock (NTZ) column, read as UTC whatever
+    the session time zone."""
+    from vitrine.functions.partitioning import ntz_to_instant
+    return ntz_to_instant(F.col(col))
+
+
+def wall(c) -> F.Column:
+    from vitrine.functions.partitioning import instant_to_ntz
+    return instant_to_ntz(c)
 
 
 def tumbling_stats(events: DataFrame, ts: str = "ts", delay: str = "10 minutes", size: str = "1 hour") -> DataFrame:
@@ -53,8 +61,8 @@ def tumbling_stats(events: DataFrame, ts: str = "ts", delay: str = "10 minutes",
     g = e.groupBy(F.window("_et", size).alias("w")).agg(
         F.count(F.lit(1)).alias("requests"), F.avg("latency_ms").alias("avg_latency_ms"),
         F.max("latency_ms").alias("max_latency_ms"), F.count_if(F.col("status_code") >= 400).alias("errors"))
-    return g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "requests", "avg_latency_ms",
+    return g.select(wall(F.col("w.start")).alias("window_start"),
+                    wall(F.col("w.end")).alias("window_end"), "requests", "avg_latency_ms",
                     "max_latency_ms", "errors")
 
 
@@ -64,8 +72,8 @@ def sliding_counts(events: DataFrame, ts: str = "ts", delay: str = "10 minutes",
     e = events.withColumn("_et", event_time(ts)).withWatermark("_et", delay)
     g = e.groupBy(F.window("_et", size, slide).alias("w")).agg(
         F.count(F.lit(1)).alias("events"), F.count_if(F.col("status_code") >= 400).alias("errors"))
-    return g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "events", "errors")
+    return g.select(wall(F.col("w.start")).alias("window_start"),
+                    wall(F.col("w.end")).alias("window_end"), "events", "errors")
 
 
 def endpoint_counts(events: DataFrame, ts: str = "ts", delay: str = "10 minutes", size: str = "1 hour") -> DataFrame:
@@ -73,7 +81,7 @@ def endpoint_counts(events: DataFrame, ts: str = "ts", delay: str = "10 minutes"
     e = events.withColumn("_et", event_time(ts)).withWatermark("_et", delay)
     g = e.groupBy(F.window("_et", size).alias("w"), "endpoint").agg(
         F.count(F.lit(1)).alias("requests"), F.count_if(F.col("status_code") >= 400).alias("errors"))
-    return g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "endpoint", "requests", "errors")
+    return g.select(wall(F.col("w.start")).alias("window_start"), "endpoint", "requests", "errors")
 
 
 def upsert_batches(sink: str, keys, extra=None):
@@ -115,5 +123,5 @@ def stuck_jobs(starts: DataFrame, ends: DataFrame, bound_hours: int = 2, delay:
     cond = (F.col("s_id") == F.col("e_id")) & (F.col("e_t") >= F.col("s_t")) & \
         (F.col("e_t") <= F.col("s_t") + F.expr(f"INTERVAL {bound_hours} HOURS"))
     j = s.join(e, cond, "leftOuter")
-    return j.select(F.col("s_id").alias("id"), F.col("s_t").cast("timestamp_ntz").alias("started_at"),
-                    F.col("e_t").cast("timestamp_ntz").alias("completed_at"))
+    return j.select(F.col("s_id").alias("id"), wall(F.col("s_t")).alias("started_at"),
+                    wall(F.col("e_t")).alias("completed_at"))
