@@ -123,6 +123,8 @@ def with_views(body: str) -> str:
         return body
     ctes = ",\n".join(f"{n} AS ({VIEWS[n][0]})" for n in names)
     b = body.lstrip()
+    if b[:14].upper() == "WITH RECURSIVE":
+        return "WITH RECURSIVE " + ctes + ",\n" + b[14:].lstrip()
     if b[:4].upper() == "WITH":
         return "WITH " + ctes + ",\n" + b[4:].lstrip()
     return "WITH " + ctes + "\n" + b

@@ -589,7 +589,37 @@ def q_confidence_band(spark, d):
 
 
 # ------------------------------------------------------------ store / sinks --
-@register("store_new")
+def _store_new_sql():
+    from vitrine import config as C
+    from vitrine.plans import sqlbits as S
+    from vitrine.plans.fixture_sql import price_locale_sql
+    from vitrine.plans.listing_queries import RAW_TEXT_SQL
+    hp = S.contains_any("lower(coalesce(title, ''))", C.HP_KEYWORDS)
+    ptype = S.first_keyword("lower(coalesce(title, ''))", C.PRODUCT_TYPES, C.PRODUCT_TYPE_OTHER)
+    raw = RAW_TEXT_SQL.replace("FROM listings)", "FROM listings WHERE scraped_at >= TIMESTAMP '2001-01-01 00:00:00')")
+    return f"""WITH RECURSIVE {raw},
+cl AS (SELECT listing_id, substr({S.normalize_ws('title')}, 1, 500) AS title, substr({S.normalize_ws('description')}, 1, 2000) AS description,
+  {price_locale_sql('price')} AS price_numeric, substr({S.normalize_ws('seller_name')}, 1, 200) AS seller_name,
+  {S.rating_parse('rating')} AS rating_numeric, {S.reviews_parse('reviews_count')} AS reviews_count,
+  coalesce(platform, 'mercadolivre') AS platform, coalesce(url, '') AS url FROM raw),
+v AS (SELECT * FROM cl WHERE coalesce(title, '') <> '' AND coalesce(url, '') <> '' AND {hp}),
+st AS (SELECT * FROM products WHERE scraped_at < TIMESTAMP '1995-03-01 00:00:00'),
+nd AS (SELECT * FROM v WHERE NOT EXISTS (SELECT 1 FROM st WHERE st.url <> '' AND st.url = v.url)
+  AND NOT EXISTS (SELECT 1 FROM st WHERE st.title = v.title AND st.seller_name = v.seller_name)),
+b AS (SELECT *, row_number() OVER (ORDER BY listing_id) AS rn, title || chr(1) || seller_name AS k FROM nd),
+walk(i, urls, keys, acc) AS (
+  SELECT 0, CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), CAST([] AS BIGINT[])
+  UNION ALL
+  SELECT w.i + 1,
+    CASE WHEN list_contains(w.urls, b.url) OR list_contains(w.keys, b.k) THEN w.urls ELSE list_append(w.urls, b.url) END,
+    CASE WHEN list_contains(w.urls, b.url) OR list_contains(w.keys, b.k) THEN w.keys ELSE list_append(w.keys, b.k) END,
+    CASE WHEN list_contains(w.urls, b.url) OR list_contains(w.keys, b.k) THEN w.acc ELSE list_append(w.acc, b.listing_id) END
+  FROM walk w JOIN b ON b.rn = w.i + 1)
+SELECT listing_id, title, description, price_numeric, seller_name, rating_numeric, reviews_count, platform, url, {ptype} AS product_type
+FROM b WHERE listing_id IN (SELECT unnest(acc) FROM walk WHERE i = (SELECT count(*) FROM b))"""
+
+
+@register("store_new", _store_new_sql())
 def q_store_new(spark, d):
     """Clean, validate, refuse duplicates of the stored table and of earlier
     accepted rows of the batch in insert order, type, insert (SCO4)."""
