@@ -86,10 +86,11 @@ def fold_column(df: DataFrame, id_col: str, k: int = 5, seed: int = 42) -> DataF
 
 def split_check(split: DataFrame, label: str, max_gap: float = 0.05) -> DataFrame:
     """Max class-share gap of each side against the whole (BAL2)."""
-    whole = split.groupBy(label).agg(F.count(F.lit(1)).alias("n")).withColumn("share_all", F.col("n") / F.sum("n").over(
-        __import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy()))
-    side = split.groupBy("side", label).agg(F.count(F.lit(1)).alias("ns"))
     from pyspark.sql import Window
+    # windows over per-class / per-(side, class) counts: a handful of rows
+    whole = split.groupBy(label).agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "share_all", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    side = split.groupBy("side", label).agg(F.count(F.lit(1)).alias("ns"))
     side = side.withColumn("share", F.col("ns") / F.sum("ns").over(Window.partitionBy("side")))
     j = side.join(whole.select(label, "share_all"), label)
     return j.groupBy("side").agg(F.max(F.abs(F.col("share") - F.col("share_all"))).alias("max_gap"),

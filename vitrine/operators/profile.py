@@ -4,6 +4,7 @@ crosses the shuffle, whatever the skew of the grouping key."""
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -144,8 +145,7 @@ def profile_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def corr_matrix_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson r of every column pair in ONE aggregate (AGG20), long form."""
     c = [F.col(x).cast("double") for x in columns]
-    d = df.where(F.lit(True) if not columns else
-                 __import__("functools").reduce(lambda a, b: a & b, [x.isNotNull() for x in c]))
+    d = df.where(reduce(lambda a, b: a & b, [x.isNotNull() for x in c])) if columns else df
     pairs = [(a, b) for a in columns for b in columns]
     one = d.agg(*[(F.lit(1.0) if a == b else F.corr(a, b)).alias(f"{a}|{b}") for a, b in pairs])
     stack = F.stack(F.lit(len(pairs)), *[x for a, b in pairs for x in (F.lit(a), F.lit(b), F.col(f"`{a}|{b}`"))])

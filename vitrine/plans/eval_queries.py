@@ -381,9 +381,6 @@ def q_drift_check(spark, d):
 
 
 # ------------------------------------------------------------- bootstrap --
-POISSON1_CDF = None
-
-
 def poisson_draw(lam, u1, u2, exact_below: int = 200):
     """A Poisson(lam) draw from two uniforms: exact inverse CDF (iterated pmf)
     for lam < ``exact_below``, else the normal approximation by Box-Muller

@@ -118,7 +118,8 @@ def q_model_traits(spark, d):
     cv = FX.cv_scores(spark, d).where((F.col("side") == "test") & (F.col("metric") == "accuracy"))
     s = cv.groupBy("model").agg(F.stddev_pop("score").alias("sd"))
     low = F.lower("model")
-    cols = [F.when(__import__("functools").reduce(lambda a, b: a | b, [low.contains(w) for w in ws]), F.lit(0.9))
+    from vitrine.functions.text import contains_any
+    cols = [F.when(contains_any(low, ws), F.lit(0.9))
             .otherwise(F.lit(0.5)).alias(t) for t, ws in TRAITS.items()]
     return s.select("model", *cols, F.round(F.greatest(F.lit(0.0), 1 - 10 * F.col("sd")), 6).alias("stability"))
 
