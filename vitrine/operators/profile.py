@@ -33,11 +33,8 @@ def describe(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataF
     moderate columns, the distributed exact method for huge ones)."""
     qv = None
     if exact:
-        from pyspark import StorageLevel
         from vitrine.functions.quantile import quantiles_multi
-        narrow = df.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-        qv = quantiles_multi(narrow, columns, [0.25, 0.5, 0.75])
-        narrow.unpersist()
+        qv = quantiles_multi(df.select(*columns), columns, [0.25, 0.5, 0.75])
     aggs = []
     for c in columns:
         x = F.col(c)

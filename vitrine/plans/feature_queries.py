@@ -100,7 +100,7 @@ SELECT id, {fin} FROM der, st"""
 
 @register("numeric_features", _num5_sql())
 def q_numeric_features(spark, d):
-    p = FX.products(spark, d)
+    p = FX.products(spark, d, heavy=True)
     m = N.fit_numeric(p)
     return _r6(m.transform(p).select("id", *m.output_columns))
 

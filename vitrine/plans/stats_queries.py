@@ -48,7 +48,7 @@ def _describe_sql(table, cols):
 
 @register("describe_numeric", _describe_sql("products", NUM3))
 def q_describe_numeric(spark, d):
-    return _r6(P.describe(FX.products(spark, d), NUM3))
+    return _r6(P.describe(FX.products(spark, d, heavy=True), NUM3))
 
 
 @register("class_balance", """

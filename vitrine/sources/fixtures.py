@@ -63,10 +63,10 @@ def listings_from(o: DataFrame) -> DataFrame:
         F.col("o_orderdate").alias("scraped_at"))
 
 
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+def products(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """Service ``products`` table: listings minus every tenth id, price parsed."""
     from vitrine.functions.text import price_locale
-    return (listings(spark, sf_dir).where(F.col("listing_id") % 10 != 9)
+    return (listings(spark, sf_dir, heavy).where(F.col("listing_id") % 10 != 9)
             .select(F.col("listing_id").alias("id"), "title", "description", "seller_name",
                     "platform", price_locale("price").alias("price_numeric"), "rating_numeric",
                     "reviews_count", "url", "scraped_at"))
