@@ -69,3 +69,18 @@ def test_poisson_draw_moments(spark):
                                    ((F.abs(F.xxhash64("id", F.lit(2))) % 1000003) / 1000003.0).alias("u2"))
     r = df.select(poisson_draw(F.col("lam"), F.col("u1"), F.col("u2")).alias("k")).agg(F.avg("k").alias("m"), F.var_samp("k").alias("v")).first()
     assert abs(r.m - 3.0) < 0.1 and abs(r.v - 3.0) < 0.2
+
+
+def test_latest_per_key_hot_key(spark):
+    """One key holds a third of all rows: the struct-max aggregate gives the
+    window answer and combines map-side (partial aggregation before the shuffle)."""
+    from vitrine.operators.relational import latest_per_key
+    rng = random.Random(9)
+    rows = [(0 if i % 3 == 0 else rng.randint(1, 200), i, rng.randint(0, 50), float(i % 7)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "product_id long, id long, t long, v double").repartition(8)
+    got = latest_per_key(df, "product_id", ["t", "id"])
+    w = Window.partitionBy("product_id").orderBy(F.col("t").desc(), F.col("id").desc())
+    ref = df.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+    assert sorted(map(tuple, got.select("product_id", "id", "t", "v").collect())) == \
+        sorted(map(tuple, ref.select("product_id", "id", "t", "v").collect()))
+    assert "partial_max" in got._jdf.queryExecution().sparkPlan().toString()
