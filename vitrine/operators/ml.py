@@ -142,18 +142,26 @@ def smote(df: DataFrame, label: str, id_col: str, features: str = "features", k:
     pairs = lsh.approxSimilarityJoin(mino, mino, float("inf"), "dist").select(
         F.col(f"datasetA.{id_col}").alias("a"), F.col(f"datasetB.{id_col}").alias("b"), "dist").where(F.col("a") != F.col("b"))
     nn = pairs.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy("dist", "b"))).where(F.col("r") <= k)
-    n_min = int(mm["n_min"])
+    # only points with at least one neighbour candidate can be interpolated;
+    # the (rep, point) grid is built over them so the deficit is filled exactly
+    eligible = mino.join(nn.select(F.col("a").alias(id_col)).distinct(), id_col, "left_semi")
+    n_min = eligible.count()
+    if n_min == 0:
+        raise ValueError("no minority point has a neighbour candidate; raise bucket_length")
     reps = (need + n_min - 1) // n_min
-    # rank minority points by a seeded hash (distributed prefix sum), then keep
+    # rank eligible points by a seeded hash (distributed prefix sum), then keep
     # the first ``need`` of the (rep, point) grid: exactly the class deficit
-    ranked = prefix_sums(mino.select(F.col(id_col).alias("a"), F.col(features).alias("xa"),
+    ranked = prefix_sums(eligible.select(F.col(id_col).alias("a"), F.col(features).alias("xa"),
                                      F.struct(F.xxhash64(F.col(id_col), F.lit(seed)).alias("h"), F.col(id_col).alias("i")).alias("_h"),
                                      F.lit(1).alias("_one")), [], "_h", ["_one"])
     base = ranked.select("a", "xa", F.col("cum__one").alias("pos"),
                          F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"))
     base = base.where(F.col("rep") * n_min + F.col("pos") <= need)
-    pick = (F.abs(F.xxhash64("a", "rep", F.lit(seed))) % k + 1).cast("int")
-    j = base.join(nn, "a").where(F.col("r") == F.least(pick, F.lit(k)))
+    # the neighbour rank is drawn within each point's own candidate count (<= k)
+    n_nb = nn.groupBy("a").agg(F.max("r").alias("n_nb"))
+    base = base.join(n_nb, "a")
+    pick = (F.abs(F.xxhash64("a", "rep", F.lit(seed))) % F.col("n_nb") + 1).cast("int")
+    j = base.join(nn, "a").where(F.col("r") == pick)
     j = j.join(mino.select(F.col(id_col).alias("b"), F.col(features).alias("xb")), "b")
     u = (F.abs(F.xxhash64("a", "rep", F.lit(seed + 7))) % 1000000) / 1000000.0
     xa, xb = vector_to_array("xa"), vector_to_array("xb")
