@@ -171,3 +171,35 @@ DEFAULT_CURRENCY = "R$"
 ITEM_LINK_PATTERN = r"^/"
 DESCRIPTION_KEYWORDS = ["hp", "cartucho", "tinta", "toner", "the", "and"]
 IMAGE_CDN = "cdn"
+
+# The Snowball Portuguese stop words, as Spark MLlib documents them.
+STOP_WORDS_PT = tuple("""
+de a o que e do da em um para com não uma os no se na por mais as dos como mas ao ele das à seu
+sua ou quando muito nos já eu também só pelo pela até isso ela entre depois sem mesmo aos seus
+quem nas me esse eles você essa num nem suas meu às minha numa pelos elas qual nós lhe deles essas
+esses pelas este dele tu te vocês vos lhes meus minhas teu tua teus tuas nosso nossa nossos nossas
+dela delas esta estes estas aquele aquela aqueles aquelas isto aquilo estou está estamos estão
+estive esteve estivemos estiveram estava estávamos estavam estivera estivéramos esteja estejamos
+estejam estivesse estivéssemos estivessem estiver estivermos estiverem hei há havemos hão houve
+houvemos houveram houvera houvéramos haja hajamos hajam houvesse houvéssemos houvessem houver
+houvermos houverem houverei houverá houveremos houverão houveria houveríamos houveriam sou somos
+são era éramos eram fui foi fomos foram fora fôramos seja sejamos sejam fosse fôssemos fossem for
+formos forem serei será seremos serão seria seríamos seriam tenho tem temos tém tinha tínhamos
+tinham tive teve tivemos tiveram tivera tivéramos tenha tenhamos tenham tivesse tivéssemos
+tivessem tiver tivermos tiverem terei terá teremos terão teria teríamos teriam
+""".split())
+
+# The Snowball English stop words, as Spark MLlib documents them.
+STOP_WORDS_EN = tuple("""
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her
+hers herself it its itself they them their theirs themselves what which who whom this that these
+those am is are was were be been being have has had having do does did doing a an the and but if
+or because as until while of at by for with about against between into through during before after
+above below to from up down in out on off over under again further then once here there when where
+why how all any both each few more most other some such no nor not only own same so than too very
+s t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd
+they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't
+weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't
+couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+would
+""".split())

@@ -1,19 +1,11 @@
-"""Stop-word lists shipped inside the MLlib jar (the Snowball lists that
-``StopWordsRemover.loadDefaultStopWords`` returns), read without a JVM so the
-oracle side can use the same list."""
+"""Stop-word lists by language: plain values, so nothing is opened or looked up at import."""
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
+from vitrine.config import STOP_WORDS_EN, STOP_WORDS_PT
+
+_LISTS = {"portuguese": STOP_WORDS_PT, "english": STOP_WORDS_EN}
 
 
-@functools.lru_cache(maxsize=None)
 def stop_words(language: str = "portuguese") -> tuple:
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        text = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    return tuple(w.strip() for w in text.splitlines() if w.strip())
+    return _LISTS[language]

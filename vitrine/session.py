@@ -10,10 +10,14 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app: str = "vitrine") -> SparkSession:
-    """Session for local runs. On a cluster the platform's session is used as is."""
+                  app: str = "vitrine", checkpoint: str | None = None) -> SparkSession:
+    """Session for local runs; ``checkpoint`` sets ``spark.checkpoint.dir``. On a cluster the
+    platform's session is used as is."""
+    builder = SparkSession.builder
+    if checkpoint:
+        builder = builder.config("spark.checkpoint.dir", checkpoint)
     spark = (
-        SparkSession.builder.master(master).appName(app)
+        builder.master(master).appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -22,7 +26,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
         .getOrCreate()
     )
@@ -33,12 +37,13 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) a private folder is created and set.
+    Unset, a single-machine session (tests) gets a private folder; on a cluster that would be a
+    folder executors do not share, so it is an error there.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="vitrine-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
