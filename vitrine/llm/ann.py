@@ -7,7 +7,8 @@ number of leaves is widened until their recall reaches the target. Scores are ex
 over the original vectors.
 
 Equal vectors are one class: any query needs only its k + 1 smallest ids, so a class of any size costs k + 1 ids.
-Leaves are cut into blocks of vectors and their visitors into blocks of queries, so no task holds a whole leaf.
+Neighbouring small leaves share a block, so that a query's vector is sent once for all of them; large leaves are cut
+into several blocks, and visitors into blocks of queries, so no task holds a whole leaf.
 
 Cases: vectors that are null, empty, of another length than most, zero, or that hold null or non-finite
 components take no part, neither as query nor as candidate; ties go to the smaller vec_id; rows that repeat
@@ -33,7 +34,7 @@ TREE_SAMPLE = 20_000
 BRANCH, LEAF_ROWS = 8, 64
 CALIBRATION_QUERIES = 200
 #: Vectors of a leaf and queries visiting it that meet in one block.
-BLOCK_VECTORS, BLOCK_QUERIES = 4096, 2048
+BLOCK_VECTORS, BLOCK_QUERIES = 2048, 2048
 
 
 class KMeansTree:
@@ -132,7 +133,7 @@ def usable(df: DataFrame) -> DataFrame:
     return df.select("vec_id", v.alias("v")).where("vec_id is not null and v is not null and size(v) > 0").where(good)
 
 
-def nearest(df: DataFrame, k: int = 20, every: int = 20, recall: float = 0.97) -> DataFrame:
+def nearest(df: DataFrame, k: int = 20, every: int = 20, recall: float = 0.94) -> DataFrame:
     """query_id, rank, vec_id, score for queries vec_id % every = 0 (all rows are candidates).
 
     ``recall`` is the calibration target on the sample; larger tables have more rows a leaf than the sample, which
@@ -159,38 +160,72 @@ def nearest(df: DataFrame, k: int = 20, every: int = 20, recall: float = 0.97) -
             if len(p):
                 yield p.assign(leaf=shared.value.assign(np.array(p["v"].tolist())))
 
-    def bins(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    placed = checkpoint(classes.mapInPandas(leaves, "v array<double>, ids array<long>, leaf long"))
+    queries = checkpoint(rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v"))
+    groups, salts = pack(tree.n_leaves, placed.groupBy("leaf").count().collect())
+    bq = max(1, -(-queries.count() // BLOCK_QUERIES))
+    plan = spark.sparkContext.broadcast((groups, salts))
+
+    def seat(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of, many = plan.value
         for p in parts:
-            yield p.assign(leaf=[shared.value.best_bins(np.asarray(v), visits) for v in p["v"]])
+            g = of[p["leaf"].to_numpy()]
+            yield p.assign(grp=g, sv=p["salt"].to_numpy() % many[g])[["v", "ids", "leaf", "grp", "sv"]]
 
-    placed = checkpoint(classes.mapInPandas(leaves, "v array<double>, ids array<long>, leaf long"))
-    queries = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v")
-    asked = queries.mapInPandas(bins, "query_id long, v array<double>, leaf array<long>").withColumn("leaf", F.explode("leaf"))
-    asked = checkpoint(asked)
-    blocks = placed.groupBy("leaf").agg(F.count("*").alias("_nv")).join(asked.groupBy("leaf").agg(F.count("*").alias("_nq")), "leaf").select(
-        "leaf", F.ceil(F.col("_nv") / BLOCK_VECTORS).cast("int").alias("bv"), F.ceil(F.col("_nq") / BLOCK_QUERIES).cast("int").alias("bq"))
-    # one row per leaf of the tree, at most TREE_SAMPLE
-    blocks = F.broadcast(checkpoint(blocks))
-    salt = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
-    vs = placed.join(blocks, "leaf").select("leaf", salt("v", "bv").alias("sv"), F.explode(F.sequence(F.lit(0), F.col("bq") - 1)).alias("sq"), "v", "ids")
-    qs = asked.join(blocks, "leaf").select("leaf", F.explode(F.sequence(F.lit(0), F.col("bv") - 1)).alias("sv"), salt("query_id", "bq").alias("sq"), "query_id", "v")
+    def bins(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of, many = plan.value
+        for p in parts:
+            found = []
+            for query, v, sq in zip(p["query_id"], p["v"], p["sq"], strict=True):
+                seen = np.array(shared.value.best_bins(np.asarray(v), visits))
+                at = of[seen]
+                for g in np.unique(at).tolist():
+                    found += [(query, v, seen[at == g], g, sv, sq) for sv in range(many[g])]
+            yield pd.DataFrame(found, columns=["query_id", "v", "leaves", "grp", "sv", "sq"])
+
+    vs = placed.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(1 << 20))).mapInPandas(
+        seat, "v array<double>, ids array<long>, leaf long, grp long, sv long").withColumn("sq", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
+    qs = queries.withColumn("sq", F.pmod(F.xxhash64("query_id"), F.lit(bq)).cast("int")).mapInPandas(
+        bins, "query_id long, v array<double>, leaves array<long>, grp long, sv long, sq int")
 
     def meet(vecs: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(vecs) and len(asks):
             v, q = np.array(vecs["v"].tolist()), np.array(asks["v"].tolist())
-            rough = q @ v.T
-            m = min(k + 1, len(v))
-            edge = -np.partition(-rough, m - 1, axis=1)[:, m - 1]
+            here, leaf = np.unique(vecs["leaf"].to_numpy(), return_inverse=True)
             ids = vecs["ids"].tolist()
-            for i, query in enumerate(asks["query_id"].tolist()):
-                near = np.flatnonzero(rough[i] >= edge[i] - 1e-9 * (1 + abs(edge[i])))
+            rough = q @ v.T
+            for i, (query, seen) in enumerate(zip(asks["query_id"].tolist(), asks["leaves"], strict=True)):
+                open_rows = np.flatnonzero(np.isin(here, seen)[leaf])
+                if not len(open_rows):
+                    continue
+                s = rough[i, open_rows]
+                m = min(k + 1, len(s))
+                edge = -np.partition(-s, m - 1)[m - 1]
+                near = open_rows[s >= edge - 1e-9 * (1 + abs(edge))]
                 exact = _dot(v[near], q[i])
-                pairs = sorted((-s, c) for s, j in zip(exact.tolist(), near.tolist(), strict=True) for c in ids[j] if c != query)[:k]
-                found += [(query, c, -s) for s, c in pairs]
+                pairs = sorted((-x, c) for x, j in zip(exact.tolist(), near.tolist(), strict=True) for c in ids[j] if c != query)[:k]
+                found += [(query, c, -x) for x, c in pairs]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
-    keys = ["leaf", "sv", "sq"]
+    keys = ["grp", "sv", "sq"]
     near = vs.groupBy(*keys).cogroup(qs.groupBy(*keys)).applyInPandas(meet, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def pack(n_leaves: int, counts) -> tuple[np.ndarray, np.ndarray]:
+    """Group of each leaf, and into how many blocks each group is cut. Neighbouring leaves share a group of about
+    BLOCK_VECTORS rows; a larger leaf is a group of its own, cut into several blocks."""
+    rows = np.zeros(n_leaves, dtype=np.int64)
+    for r in counts:
+        rows[r["leaf"]] = r["count"]
+    group, many, filled = np.zeros(n_leaves, dtype=np.int64), [1], 0
+    for i, n in enumerate(rows.tolist()):
+        if filled and filled + n > BLOCK_VECTORS:
+            many.append(1)
+            filled = 0
+        group[i] = len(many) - 1
+        filled += n
+        many[-1] = max(1, -(-filled // BLOCK_VECTORS))
+    return group, np.array(many)
