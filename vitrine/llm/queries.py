@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import ann, bpe, chat, mixing, urls
+from vitrine.llm import ann, bpe, chat, lm, mixing, spotsigs, toxicity, urls
 from vitrine.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op3_url_filter(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op5_spotsigs(spark, sf_dir):
+    return spotsigs.edited_neighbours(table(spark, sf_dir, "documents"))
+
+
 def op6_chat_format(spark, sf_dir):
     own = "\\### Assistant: </turn> ok"
     probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -31,6 +35,15 @@ def op6_chat_format(spark, sf_dir):
     return chat.digests(chat.format_conversations(conv))
 
 
+def op7_lm_score(spark, sf_dir):
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_bpe(spark, sf_dir):
     return bpe.bpe_digests(table(spark, sf_dir, "documents"))
 
@@ -39,7 +52,7 @@ def op10_ann_tree(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_url_filter, op6_chat_format, op9_bpe, op10_ann_tree)}
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_url_filter, op5_spotsigs, op6_chat_format, op7_lm_score, op8_toxicity, op9_bpe, op10_ann_tree)}
 
 SQL = {
     "op2_mixing": r"""

@@ -8,7 +8,11 @@ passed through a mixer, so a batch costs a few numpy passes and no Python loop o
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 _PINV = np.uint64(pow(int(_P), -1, 1 << 64))
@@ -66,32 +70,59 @@ def _span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, lower: boo
     return out
 
 
-def joined(texts) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of all texts, each followed by one space, and the texts' start offsets
-    (n + 1 values; None counts as empty)."""
-    enc = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
-    off = np.zeros(len(enc) + 1, dtype=np.int64)
-    np.cumsum([len(b) + 1 for b in enc], out=off[1:])
-    return np.frombuffer(b" ".join([*enc, b""]), dtype=np.uint8), off
+def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a string column without copying, and the texts' offsets (n + 1 values; null is empty)."""
+    if col.null_count:
+        col = pc.fill_null(col, "")
+    if pa.types.is_large_string(col.type):
+        kind = np.int64
+    else:
+        col, kind = col.cast(pa.string()), np.int32
+    _, offsets, data = col.buffers()
+    off = np.frombuffer(offsets, dtype=kind)[col.offset : col.offset + len(col) + 1].astype(np.int64)
+    if data is None or off[-1] == off[0]:
+        return np.zeros(0, np.uint8), np.zeros(len(col) + 1, np.int64)
+    return np.frombuffer(data, dtype=np.uint8)[off[0] : off[-1]], off - off[0]
+
+
+def slices(batch: pa.RecordBatch, text_col: int | str = "text", max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Row ranges of the batch with about ``max_bytes`` of text each (one row at least): bounds scratch memory."""
+    if not batch.num_rows:
+        return
+    _, off = utf8(batch.column(text_col))
+    i = 0
+    while i < batch.num_rows:
+        j = max(i + 1, int(np.searchsorted(off, off[i] + max_bytes, side="right")) - 1)
+        yield batch.slice(i, j - i)
+        i = j
 
 
-def word_spans(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end offsets of the words; the buffer must end in white space (or be empty)."""
+def word_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end offsets of the words; texts are cut at ``off``."""
     if not len(buf):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     word = ~_SPACE[buf]
-    edge = np.flatnonzero(word[1:] != word[:-1]) + 1
-    if word[0]:
-        edge = np.concatenate(([0], edge))
-    return edge[0::2].astype(np.int64), edge[1::2].astype(np.int64)
+    cut = np.zeros(len(buf) + 1, dtype=bool)
+    cut[off] = True
+    joined = np.zeros(len(buf) + 1, dtype=bool)  # a word goes on across the position before byte i
+    joined[1:-1] = word[:-1] & word[1:] & ~cut[1:-1]
+    return np.flatnonzero(word & ~joined[:-1]), np.flatnonzero(word & ~joined[1:]) + 1
+
+
+class Words:
+    """Words of a string column: hashes ``h``, byte spans ``s`` and ``e`` in ``buf``, and ``first``, the index of
+    each text's first word (n + 1 values). ``lower``: A-Z count as a-z."""
 
+    def __init__(self, col: pa.Array, lower: bool = True):
+        self.buf, self.off = utf8(col)
+        self.s, self.e = word_spans(self.buf, self.off)
+        self.h = _span_hashes(self.buf, self.s, self.e, lower)
+        self.first = np.searchsorted(self.s, self.off)
+        self.n = np.diff(self.first)
 
-def words(texts, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes of all words of the batch, first word index of each text (n + 1 values),
-    the byte buffer, word starts, word ends)."""
-    buf, off = joined(texts)
-    s, e = word_spans(buf)
-    return _span_hashes(buf, s, e, lower), np.searchsorted(s, off), buf, s, e
+    def doc(self) -> np.ndarray:
+        """Row of each word."""
+        return np.repeat(np.arange(len(self.n)), self.n)
 
 
 def ngrams(h: np.ndarray, n: int) -> np.ndarray:
@@ -114,16 +145,26 @@ def sequence_hash(h: np.ndarray) -> np.uint64:
     return x[0]
 
 
-def shingle_sets(texts, n: int):
+def hash_words(words: list[str]) -> np.ndarray:
+    """The hashes these (lower-case) words have in texts."""
+    return np.array([Words(pa.array([w]), lower=False).h[0] for w in words], dtype=np.uint64)
+
+
+def distinct_sorted(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
+
+
+def shingle_sets(col: pa.Array, n: int) -> Iterator[np.ndarray]:
     """For each text its sorted distinct n-word shingle hashes (the whole sequence as one when it
     has 1 to n - 1 words; empty without words)."""
-    h, first, *_ = words(texts)
-    g = ngrams(h, n)
-    for i in range(len(first) - 1):
-        a, b = int(first[i]), int(first[i + 1])
+    w = Words(col)
+    g = ngrams(w.h, n)
+    for i in range(len(w.n)):
+        a, b = int(w.first[i]), int(w.first[i + 1])
         if b - a >= n:
-            yield np.unique(g[a : b - n + 1])
+            yield distinct_sorted(g[a : b - n + 1])
         elif b > a:
-            yield np.array([sequence_hash(h[a:b])], dtype=np.uint64)
+            yield np.array([sequence_hash(w.h[a:b])], dtype=np.uint64)
         else:
             yield np.zeros(0, dtype=np.uint64)
