@@ -1,13 +1,12 @@
 """Document fingerprints: SpotSigs.
 
 A spot is a common word (an anchor); its signature is the anchor with the chain of the next two content words. So
-that texts in any language have spots, content words picked by their hash (one in eight) and the first word of a
-text are anchors too. A text's signatures form a set; its fingerprint is the set's size and the smallest
+that texts in any language have spots, content words picked by their hash (every other one) are anchors too. A text's signatures form a multiset (repeats count); its fingerprint is the set's size and the smallest
 ``SKETCH`` signature hashes (the whole set, where it is no larger). Likeness of two fingerprints is the Jaccard
 similarity of the sets, exact up to that size and estimated from the smallest of both sets beyond. Comparisons are
 pruned by set length: two sets of lengths a <= b cannot be more alike than a / b.
 
-Cases: null text is empty; a text without words has the empty set; two empty sets are alike (1), an empty and
+Cases: null text is empty and has the empty set; a text without any signature is one element; two empty sets are alike (1), an empty and
 another are not (0); equal texts have equal fingerprints; texts of any length are read whole; an empty
 table gives an empty result; other columns are ignored. ``edited_neighbours`` orders by doc_id descending, null
 last, equal ids by text; a single document is its own next one.
@@ -16,6 +15,7 @@ last, equal ids by text; a single document is its own next one.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,30 +36,37 @@ al con como del el entre es esta lo los las más no o para pero por sin su y
 """.split())
 SKETCH = 96
 #: One content word in so many is an anchor as well.
-PICK = 8
+PICK = 2
+#: How far after its anchor a chain may reach.
+REACH = 8
 
 
 def signature_sets(col: pa.Array, anchors: tuple = ANCHORS) -> Iterator[np.ndarray]:
-    """Each text's sorted distinct signature hashes."""
-    w = W.Words(col)
+    """Each text's sorted signature hashes, repeats told apart by their number."""
+    w = W.Words(col, plain=True)
+    doc = w.doc()
     common = np.isin(w.h, W.hash_words(list(dict.fromkeys(anchors))))
-    first = np.zeros(len(w.h), dtype=bool)
-    first[w.first[:-1][w.n > 0]] = True
-    start = np.flatnonzero(common | first | (w.h % np.uint64(PICK) == 0))
+    start = np.flatnonzero(common | (w.h % np.uint64(PICK) == 0))
     content = np.flatnonzero(~common)
-    doc = w.doc()
     sig = W.mix(w.h[start])
     at = np.searchsorted(content, start, side="right")
     with np.errstate(over="ignore"):
         for step in range(2):
-            nxt = content[np.minimum(at + step, max(len(content) - 1, 0))] if len(content) else np.zeros(len(at), np.int64)
-            ok = at + step < len(content)
-            if len(content):
-                ok &= doc[nxt] == doc[start]
-            sig = W.mix(sig + np.where(ok, w.h[nxt] if len(content) else 0, np.uint64(step + 1)) + np.uint64(step + 1))
+            nxt = content[np.minimum(at + step, len(content) - 1)] if len(content) else np.full(len(at), -1)
+            ok = (at + step < len(content)) & (nxt - start <= REACH)
+            ok[ok] = doc[nxt[ok]] == doc[start[ok]]
+            sig = W.mix(sig + np.where(ok, w.h[nxt] if len(w.h) else 0, np.uint64(step + 1)) + np.uint64(step + 1))
     cut = np.searchsorted(start, w.first)
     for i in range(len(w.n)):
-        yield W.distinct_sorted(sig[cut[i] : cut[i + 1]])
+        x = np.sort(sig[cut[i] : cut[i + 1]])
+        if not len(x) and w.off[i + 1] > w.off[i]:  # no spot: the text as a whole
+            x = np.array([zlib.crc32(w.buf[w.off[i] : w.off[i + 1]].tobytes()) << 32], dtype=np.uint64)
+        new = np.concatenate(([True], x[1:] != x[:-1])) if len(x) else np.zeros(0, bool)
+        if not new.all():  # the k-th occurrence of a signature is an element of its own
+            runs = np.flatnonzero(new)
+            k = np.arange(len(x)) - np.repeat(runs, np.diff(np.append(runs, len(x))))
+            x = np.sort(np.where(k > 0, W.mix(x ^ W.mix(k.astype(np.uint64))), x))
+        yield x
 
 
 def sketch(sigs: np.ndarray) -> tuple[int, np.ndarray]:

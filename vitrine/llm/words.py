@@ -40,6 +40,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: For words without punctuation: every ASCII byte that is neither letter nor digit separates.
+_OTHER = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 _BYTE_LOWER = _BYTE[_LOWER]
 _POW: dict[str, np.ndarray] = {}
@@ -97,11 +99,11 @@ def slices(batch: pa.RecordBatch, text_col: int | str = "text", max_bytes: int =
         i = j
 
 
-def word_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_spans(buf: np.ndarray, off: np.ndarray, between: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Start and end offsets of the words; texts are cut at ``off``."""
     if not len(buf):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    word = ~_SPACE[buf]
+    word = ~between[buf]
     cut = np.zeros(len(buf) + 1, dtype=bool)
     cut[off] = True
     joined = np.zeros(len(buf) + 1, dtype=bool)  # a word goes on across the position before byte i
@@ -111,11 +113,11 @@ def word_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 class Words:
     """Words of a string column: hashes ``h``, byte spans ``s`` and ``e`` in ``buf``, and ``first``, the index of
-    each text's first word (n + 1 values). ``lower``: A-Z count as a-z."""
+    each text's first word (n + 1 values). ``lower``: A-Z count as a-z; ``plain``: words end at punctuation too."""
 
-    def __init__(self, col: pa.Array, lower: bool = True):
+    def __init__(self, col: pa.Array, lower: bool = True, plain: bool = False):
         self.buf, self.off = utf8(col)
-        self.s, self.e = word_spans(self.buf, self.off)
+        self.s, self.e = word_spans(self.buf, self.off, _OTHER if plain else _SPACE)
         self.h = _span_hashes(self.buf, self.s, self.e, lower)
         self.first = np.searchsorted(self.s, self.off)
         self.n = np.diff(self.first)
