@@ -37,6 +37,8 @@ al con como del el entre es esta lo los las más no o para pero por sin su y
 SKETCH = 96
 #: One content word in so many is an anchor as well.
 PICK = 2
+#: A text's first words are elements by themselves as well, so that a text of a few words has some.
+OPENING = 12
 #: How far after its anchor a chain may reach.
 REACH = 8
 
@@ -56,6 +58,10 @@ def signature_sets(col: pa.Array, anchors: tuple = ANCHORS) -> Iterator[np.ndarr
             ok = (at + step < len(content)) & (nxt - start <= REACH)
             ok[ok] = doc[nxt[ok]] == doc[start[ok]]
             sig = W.mix(sig + np.where(ok, w.h[nxt] if len(w.h) else 0, np.uint64(step + 1)) + np.uint64(step + 1))
+    alone = np.flatnonzero(np.arange(len(w.h)) - np.repeat(w.first[:-1], w.n) < OPENING)
+    sig, start = np.concatenate((sig, W.mix(w.h[alone]))), np.concatenate((start, alone))
+    order = np.argsort(start, kind="stable")
+    sig, start = sig[order], start[order]
     cut = np.searchsorted(start, w.first)
     for i in range(len(w.n)):
         x = np.sort(sig[cut[i] : cut[i + 1]])
