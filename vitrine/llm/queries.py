@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import ann, bpe, chat, lm, mixing, spotsigs, toxicity, urls
+from vitrine.llm import ann, bpe, chat, lm, mixing, ngram_join, spotsigs, toxicity, urls
 from vitrine.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op3_url_filter(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op4_ngram_join(spark, sf_dir):
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_spotsigs(spark, sf_dir):
     return spotsigs.edited_neighbours(table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_ann_tree(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_url_filter, op5_spotsigs, op6_chat_format, op7_lm_score, op8_toxicity, op9_bpe, op10_ann_tree)}
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_url_filter, op4_ngram_join, op5_spotsigs, op6_chat_format, op7_lm_score, op8_toxicity, op9_bpe, op10_ann_tree)}
 
 SQL = {
     "op2_mixing": r"""
