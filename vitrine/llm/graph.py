@@ -5,72 +5,90 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import checkpoint
+from vitrine.llm.common import bounded_broadcast, checkpoint
+
+#: Hubs of a key that nodes are compared with in a round, and rounds before the rest is compared pair by pair.
+HUBS, ROUNDS = 3, 8
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, comp for the nodes of ``edges`` (a, b long): every node hooks to its smallest neighbour, the hooks are
-    followed twice, and the graph is contracted, until no edge is left. ``comp`` is a node of the component."""
+    followed, and the graph is contracted, until no edge is left. ``comp`` is a node of the component."""
     cur = checkpoint(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     out = None
     while not cur.isEmpty():
         near = cur.union(cur.select("b", "a")).groupBy(F.col("a").alias("node")).agg(F.min("b").alias("to"))
         hook = checkpoint(near.select("node", F.least("node", "to").alias("to")))
-        for _ in range(2):
-            nxt = hook.select(F.col("node").alias("to"), F.col("to").alias("_to"))
-            hook = hook.join(nxt, "to").select("node", F.col("_to").alias("to"))
-        hook = checkpoint(hook)
+        n = hook.count()
+        nxt = bounded_broadcast(hook.select(F.col("node").alias("to"), F.col("to").alias("_to")), n)
+        hook = checkpoint(hook.join(nxt, "to").select("node", F.col("_to").alias("to")).join(nxt, "to").select("node", F.col("_to").alias("to")))
+        to = lambda c, d: bounded_broadcast(hook.select(F.col("node").alias(c), F.col("to").alias(d)), n)  # noqa: B023, E731
         if out is None:
             out = hook.withColumnRenamed("to", "comp")
         else:
-            step = hook.select(F.col("node").alias("comp"), F.col("to").alias("_to"))
-            out = checkpoint(out.join(step, "comp", "left").select("node", F.coalesce("_to", "comp").alias("comp")))
-        ends = cur.join(hook.select(F.col("node").alias("a"), F.col("to").alias("_a")), "a").join(
-            hook.select(F.col("node").alias("b"), F.col("to").alias("_b")), "b").where("_a <> _b")
+            out = out.join(to("comp", "_to"), "comp", "left").select("node", F.coalesce("_to", "comp").alias("comp"))
+        ends = cur.join(to("a", "_a"), "a").join(to("b", "_b"), "b").where("_a <> _b")
         cur = checkpoint(ends.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct())
     if out is None:
         return cur.select(F.col("a").alias("node"), F.col("b").alias("comp"))
-    return out
+    return checkpoint(out)
 
 
 def overlapping(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of sets with 100 * intersection >= percent * union. ``segments``: node, n (set size), frag, seg:
-    a set's part in each fragment of the global order. Each fragment's partial overlap is counted on its own, and the
-    counts are summed per pair."""
+    """The rows of ``pairs`` (a, b and more) whose sets have 100 * intersection >= percent * union. ``segments``: node,
+    n (set size), frag, seg: a set's part in each fragment of the global order. Each fragment's partial overlap is
+    counted on its own, and the counts are summed per pair."""
     sa = segments.select(F.col("node").alias("a"), F.col("n").alias("na"), "frag", F.col("seg").alias("sa"))
     sb = segments.select(F.col("node").alias("b"), F.col("n").alias("nb"), "frag", F.col("seg").alias("sb"))
-    part = pairs.select("a", "b").join(sa, "a").join(sb, ["b", "frag"]).select(
-        "a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("o"))
-    both = part.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
-    return both.where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
+    cols = pairs.columns
+    part = pairs.join(sa, "a").join(sb, ["b", "frag"]).select(*cols, "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("o"))
+    both = part.groupBy(*cols, "na", "nb").agg(F.sum("o").alias("o"))
+    return both.where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select(*cols)
 
 
-def link(postings: DataFrame, segments: DataFrame, percent: int, hub_rounds: int = 2) -> DataFrame:
-    """node, comp: components of the sets that overlap enough, for nodes with a link.
+def link(postings: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+    """node, comp: components of the sets that overlap enough, for nodes that share a key with another.
 
-    ``postings``: key, node, n. Any two sets that overlap enough share a key. Groups are not expanded into all
-    pairs. First each node is compared with one hub of its keys, in ``hub_rounds`` rounds with other hubs, which
-    joins large groups of near copies. Then, under keys whose nodes are still of different components, all pairs
-    of different components are compared, so that no link between components is lost."""
+    ``postings``: key, node, n (set size), q (the set's parities, see ``words.parities``: pairs that differ in too many are
+    out at once). Any two sets that overlap enough share a key. Groups are not expanded into
+    all pairs. In rounds, nodes are compared with a few hubs of their keys, which joins large groups of near copies;
+    rounds go on while they halve the pairs left under keys of several components and those outnumber the postings. Then all those pairs are
+    compared, so that no link between components is lost."""
     ends = postings.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
-    live = checkpoint(postings.join(ends, "key").select("key", "node", "n"))
-    edges, comp = None, None
-    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    for r in range(hub_rounds + 1):
-        at = live.withColumn("comp", F.col("node")) if comp is None else live.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        mixed = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                      F.min_by("node", F.xxhash64("node", F.lit(r))).alias("hub"))
-        at = at.join(mixed.where("lo < hi").select("key", "hub"), "key")
-        if r < hub_rounds:
-            info = at.where("node = hub").groupBy("key").agg(F.first("n").alias("nb"), F.first("comp").alias("cb"))
-            to = at.where("node <> hub").join(info, "key").withColumnRenamed("n", "na").where(fits & (F.col("comp") != F.col("cb")))
-            count = to.groupBy("node", "hub").agg(F.count("*").alias("c"))
-            pairs = count.groupBy("node").agg(F.max_by("hub", F.col("c")).alias("hub")).select(F.col("node").alias("a"), F.col("hub").alias("b"))
-        else:
-            left = checkpoint(at.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca")))
-            right = left.select("key", F.col("a").alias("b"), F.col("na").alias("nb"), F.col("ca").alias("cb"))
-            pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits).select("a", "b").distinct()
-        found = checkpoint(overlapping(checkpoint(pairs), segments, percent))
-        edges = found if edges is None else edges.union(found)
-        comp = checkpoint(components(edges))
-    return comp
+    live = checkpoint(postings.join(ends, "key").select("key", "node", "n", "q", F.col("node").alias("comp")))
+    size = live.count()
+
+    def joined(at: DataFrame, found: DataFrame) -> DataFrame:
+        to = components(found.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        to = bounded_broadcast(to.select(F.col("node").alias("comp"), F.col("comp").alias("_to")))
+        return checkpoint(at.join(to, "comp", "left").select("key", "node", "n", "q", F.coalesce("_to", "comp").alias("comp")))
+
+    open_pairs = float("inf")
+    differ = sum((F.bit_count(F.col("q")[i].bitwiseXOR(F.col("qb")[i])) for i in range(4)), F.lit(0))
+    fits = (100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")) & (
+        (100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("nb")))
+    for r in range(ROUNDS):
+        hub = F.struct("node", "n", "q", "comp")
+        hubs = live.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.array(*[
+            F.min_by(hub, F.xxhash64("node", F.lit(HUBS * r + j))) for j in range(HUBS)]).alias("hubs")).where("lo < hi").select("key", "hubs")
+        to = live.join(hubs, "key").select("node", "n", "q", "comp", F.explode("hubs").alias("h")).select(
+            "node", "n", "q", "comp", F.col("h.node").alias("b"), F.col("h.n").alias("nb"), F.col("h.q").alias("qb"), F.col("h.comp").alias("cb")).where(fits & (F.col("comp") != F.col("cb")))
+        seen = to.groupBy("node", "comp", "b", "cb").agg(F.count("*").alias("c"))
+        end = F.struct("b", "cb")
+        pick = seen.groupBy("node", "comp").agg(F.max_by(end, F.col("c")).alias("x"), F.max_by(end, F.xxhash64("b", "node")).alias("y"))
+        pairs = checkpoint(pick.select(F.col("node").alias("a"), F.col("comp").alias("ca"), F.explode(F.array_distinct(F.array("x", "y"))).alias("z")).select(
+            "a", "ca", F.col("z.b").alias("b"), F.col("z.cb").alias("cb")))
+        if pairs.isEmpty():
+            break
+        live = joined(live, overlapping(pairs, segments, percent))
+        of = live.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("p"))
+        before, open_pairs = open_pairs, (of.agg(F.sum("p")).first()[0] or 0) / 2
+        if open_pairs <= size or open_pairs > before / 2:
+            break
+    mixed = live.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+    left = checkpoint(live.join(mixed, "key").select("key", F.col("node").alias("a"), "n", "q", F.col("comp").alias("ca")))
+    if not left.isEmpty():
+        right = left.select("key", F.col("a").alias("b"), F.col("n").alias("nb"), F.col("q").alias("qb"), F.col("ca").alias("cb"))
+        pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits)
+        live = joined(live, overlapping(checkpoint(pairs.select("a", "b", "ca", "cb").distinct()), segments, percent))
+    return live.select("node", "comp").distinct()

@@ -47,7 +47,7 @@ def _set_id(s: np.ndarray) -> int:
 
 def shingle_rows(df: DataFrame, n: int, keep: str) -> DataFrame:
     """doc_id, node (identity of the set), n (its size), h: the hashes, or those of the first fragments
-    (``keep``: "none", "first" or "all")."""
+    (``keep``: "none", "first" or "all", then with q, the set's parities)."""
     limit = np.uint64(int(FIRST * 2**64))
 
     def run(batches):
@@ -63,10 +63,12 @@ def shingle_rows(df: DataFrame, n: int, keep: str) -> DataFrame:
                 if keep != "none":
                     off = np.concatenate(([0], np.cumsum([len(x) for x in h])))
                     flat = np.concatenate(h) if h else np.zeros(0, np.uint64)
+                    if keep == "all":
+                        got["q"] = W.parities(h)
                     got["h"] = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat.view(np.int64)))
                 yield pa.RecordBatch.from_pydict(got)
 
-    schema = "doc_id long, node long, n int" + (", h array<long>" if keep != "none" else "")
+    schema = "doc_id long, node long, n int" + {"none": "", "first": ", h array<long>", "all": ", q array<long>, h array<long>"}[keep]
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
@@ -85,21 +87,23 @@ def possible(df: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def rare_first(sets: DataFrame, percent: int) -> DataFrame:
-    """key, node, n: for each set the n-grams of which linked sets must share one, in the order of rarity (step 2)."""
+    """key, node, n, q: for each set the n-grams of which linked sets must share one, in the order of rarity (step 2)."""
     posts = sets.select("node", F.explode("h").alias("h"))
     often = posts.groupBy("h").agg(F.count("*").alias("f")).where("f > 1")
     ranked = posts.join(often, "h").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("live"))
     # n-grams that no other set holds come first in the order and cannot be shared
     lose = F.col("n") - F.ceil(F.col("n") * percent / 100.0).cast("int")
     take = lose + 1 - (F.col("n") - F.size("live"))
-    both = ranked.join(sets.select("node", "n"), "node").withColumn("take", take).where("take > 0")
-    return both.select("node", "n", F.explode(F.slice("live", F.lit(1), F.col("take"))).alias("x")).select(F.col("x.h").alias("key"), "node", "n")
+    both = ranked.join(sets.select("node", "n", "q"), "node").withColumn("take", take).where("take > 0")
+    return both.select("node", "n", "q", F.explode(F.slice("live", F.lit(1), F.col("take"))).alias("x")).select(F.col("x.h").alias("key"), "node", "n", "q")
 
 
 def segments(sets: DataFrame) -> DataFrame:
     """node, n, frag, seg: each set cut at the fragments' borders."""
-    frag = lambda x: F.pmod(F.shiftright(x, 62), F.lit(FRAGMENTS)).cast("int")
-    cut = F.array(*[F.struct(F.lit(f).alias("frag"), F.filter("h", lambda x, f=f: frag(x) == f).alias("seg")) for f in range(FRAGMENTS)])
+    def part(f: int):
+        return F.filter("h", lambda x: F.pmod(F.shiftright(x, 62), F.lit(FRAGMENTS)) == f)
+
+    cut = F.array(*[F.struct(F.lit(f).alias("frag"), part(f).alias("seg")) for f in range(FRAGMENTS)])
     return sets.select("node", "n", F.explode(cut).alias("x")).select("node", "n", "x.frag", "x.seg")
 
 

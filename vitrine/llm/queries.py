@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import ann, bpe, chat, lm, mixing, ngram_join, spotsigs, toxicity, urls
+from vitrine.llm import ann, bpe, chat, lm, mixing, ngram_join, spotsigs, substring, toxicity, urls
 from vitrine.llm.common import table
 
 
@@ -14,6 +14,10 @@ def label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).otherwise(1.0).alias("weight"))
 
 
+def op1_substring_dedup(spark, sf_dir):
+    return substring.duplicate_spans(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op2_mixing(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"), label_quality(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -56,7 +60,13 @@ def op10_ann_tree(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_url_filter, op4_ngram_join, op5_spotsigs, op6_chat_format, op7_lm_score, op8_toxicity, op9_bpe, op10_ann_tree)}
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_mixing, op3_url_filter, op4_ngram_join, op5_spotsigs, op6_chat_format, op7_lm_score, op8_toxicity, op9_bpe, op10_ann_tree, pipeline)}
 
 SQL = {
     "op2_mixing": r"""

@@ -170,3 +170,24 @@ def shingle_sets(col: pa.Array, n: int) -> Iterator[np.ndarray]:
             yield np.array([sequence_hash(w.h[a:b])], dtype=np.uint64)
         else:
             yield np.zeros(0, dtype=np.uint64)
+
+
+def run_hashes(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Order-dependent hash of each run h[start:end] of word hashes."""
+    with np.errstate(over="ignore"):
+        pw, inv = _pow_tables(len(h) + 1)
+        c = np.zeros(len(h) + 1, dtype=np.uint64)
+        np.cumsum(mix(h) * pw[: len(h)], out=c[1:])
+        return mix((c[end] - c[start]) * inv[start] + (end - start).astype(np.uint64))
+
+
+def parities(sets: list[np.ndarray]) -> pa.ListArray:
+    """For each set, 256 parities: how many of its hashes end in each byte, modulo 2, as four longs. The number of
+    parities in which two sets differ is at most the size of their symmetric difference."""
+    if not sets:
+        return pa.array([], pa.list_(pa.int64()))
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    flat = np.concatenate(sets)
+    odd = np.bincount(row * 256 + (flat & np.uint64(255)).astype(np.int64), minlength=256 * len(sets)) & 1
+    bits = np.packbits(odd.astype(bool).reshape(len(sets), 256), axis=1).view(np.int64).reshape(-1)
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, 4 * len(sets) + 1, 4), pa.int32()), pa.array(bits))
