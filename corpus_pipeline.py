@@ -25,11 +25,14 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One document of each group: five-word shingles, similarity of 0.8 or more. The smallest doc_id stays (of equal
     ids the smallest text); documents without words are copies of nothing and stay."""
     ship_package(spark)
-    groups = ngram_join.jaccard_components(docs, n=5, percent=80)
-    # a document that is its group's smallest stays; repeated rows of it are reduced below
+    groups = checkpoint(ngram_join.jaccard_components(docs, n=5, percent=80))
     keep = groups.where((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = checkpoint(keep.select(F.col("doc_id").alias("_id"), (F.col("n_shingles") == 0).alias("_blank")).distinct())
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id"])
+    keep = checkpoint(keep.select(F.col("doc_id").alias("_id")).distinct())
+    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    if groups.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    # ids that repeat: equal rows are copies too
+    return kept.withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).drop("_h")
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
