@@ -27,8 +27,8 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-#: Rows of one to three longs that every executor holds easily (about 100 MB as a hash table).
-BROADCAST_ROWS = 4_000_000
+#: Rows of one to three longs that every executor holds easily (some 20 MB as a hash table).
+BROADCAST_ROWS = 500_000
 
 
 def bounded_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
