@@ -52,7 +52,7 @@ def link(postings: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     ``postings``: key, node, n (set size), q (the set's parities, see ``words.parities``: pairs that differ in too many are
     out at once). Any two sets that overlap enough share a key. Groups are not expanded into
     all pairs. In rounds, nodes are compared with a few hubs of their keys, which joins large groups of near copies;
-    rounds go on while they halve the pairs left under keys of several components and those outnumber the postings. Then all those pairs are
+    rounds go on while they lessen the pairs left by a tenth under keys of several components and those outnumber the postings. Then all those pairs are
     compared, so that no link between components is lost."""
     ends = postings.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
     live = checkpoint(postings.join(ends, "key").select("key", "node", "n", "q", F.col("node").alias("comp")))
@@ -83,7 +83,7 @@ def link(postings: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
         live = joined(live, overlapping(pairs, segments, percent))
         of = live.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("p"))
         before, open_pairs = open_pairs, (of.agg(F.sum("p")).first()[0] or 0) / 2
-        if open_pairs <= size or open_pairs > before / 2:
+        if open_pairs <= size or open_pairs > 0.9 * before:
             break
     mixed = live.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     left = checkpoint(live.join(mixed, "key").select("key", F.col("node").alias("a"), "n", "q", F.col("comp").alias("ca")))
