@@ -17,10 +17,12 @@ from vitrine.session import cut_lineage
 UNDECIDED, ACCEPTED, REJECTED = 0, 1, 2
 
 
-def greedy_unique(df: DataFrame, seq: str, key_a: list, key_b: list, max_rounds: int = 1000) -> DataFrame:
-    """Rows of ``df`` accepted in ``seq`` order so that no two accepted rows share key_a or key_b."""
+def greedy_unique(df: DataFrame, seq: str, key_a: list, key_b: list) -> DataFrame:
+    """Rows of ``df`` accepted in ``seq`` order so that no two accepted rows share key_a or key_b.
+
+    Ends without a cap: the earliest undecided row is always decided, so the undecided rows grow fewer each round."""
     cur = cut_lineage(df.withColumn("_st", F.lit(UNDECIDED)))
-    for _ in range(max_rounds):
+    while True:
         live = cur.where(F.col("_st") != REJECTED)
         ma = live.groupBy(*key_a).agg(F.min(seq).alias("_ma"),
                                       F.min(F.when(F.col("_st") == ACCEPTED, F.col(seq))).alias("_aa"))

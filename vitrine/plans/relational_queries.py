@@ -325,11 +325,11 @@ def q_retention_jobs(spark, d):
 
 @register("retention_counts", """SELECT
  (SELECT count(*) FROM metrics_events WHERE ts < (SELECT max(ts) FROM metrics_events) - INTERVAL 7 DAY) AS health_deleted,
- (SELECT count(*) FROM jobs WHERE status IN ('completed', 'failed') AND started_at < (SELECT max(started_at) FROM jobs) - INTERVAL 30 DAY) AS jobs_deleted""")
+ (SELECT count(*) FROM jobs WHERE status IN ('completed', 'failed') AND completed_at < (SELECT max(started_at) FROM jobs) - INTERVAL 30 DAY) AS jobs_deleted""")
 def q_retention_counts(spark, d):
     from vitrine.operators.monitor import max_ts
     ev, j = FX.metrics_events(spark, d), FX.jobs(spark, d)
     _, h_del = CL.retention_split(ev, "ts", max_ts(ev, "ts"), 7)
-    _, j_del = CL.retention_split(j, "started_at", max_ts(j, "started_at"), 30, status_in=["completed", "failed"])
+    _, j_del = CL.retention_split(j, "completed_at", max_ts(j, "started_at"), 30, status_in=["completed", "failed"])
     from vitrine.functions.partitioning import with_scalars
     return with_scalars(h_del.agg(F.count(F.lit(1)).alias("health_deleted")), j_del.agg(F.count(F.lit(1)).alias("jobs_deleted")))
