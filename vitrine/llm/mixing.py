@@ -100,11 +100,12 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, weights: Sequence[flo
 def mixed_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The documents of the mix: a row per whole copy, and one with the leading words where only part is taken.
     Columns are those of ``docs``; documents with nothing taken go. A document without words stays once."""
-    plan = mixed.groupBy("doc_id", "_tie").agg(F.first("size").alias("_size"), F.max("epochs").alias("_epochs"),
+    plan = mixed.groupBy("doc_id", "source", "_tie").agg(F.first("size").alias("_size"), F.max("epochs").alias("_epochs"),
                                               F.sum("extra").alias("_extra"), F.count("*").alias("_rows"))
-    plan = plan.withColumnRenamed("doc_id", "_id").withColumnRenamed("_tie", "_t")
+    plan = plan.withColumnsRenamed({"doc_id": "_id", "source": "_s", "_tie": "_t"})
     cols = docs.columns
-    j = docs.withColumn("_h", F.xxhash64("text")).join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_t")))
+    j = docs.withColumn("_h", F.xxhash64("text")).join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_s")) & (
+        F.col("_h") == F.col("_t")))
     words = F.sequence(F.lit(1), F.col("_copies"))
     # the rows of repeated equal documents share their extra words evenly
     part = F.floor(F.col("_extra") / F.col("_rows"))
