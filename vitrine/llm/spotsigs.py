@@ -167,7 +167,7 @@ def edited_neighbours(df: DataFrame) -> DataFrame:
     docs = df.select("doc_id", "text", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key"))
     n = 4 * shuffle_partitions(spark)
     probs = [i / n for i in range(1, n)]
-    cuts = sorted(set(docs.select(F.col("key").cast("double").alias("key")).approxQuantile("key", probs, 1 / (4 * n))))
+    cuts = sorted(set(docs.select(F.col("key").cast("double").alias("key")).approxQuantile("key", probs, 1 / (4 * n)))) or [0.0]
     ranges = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="_key", outputCol="grp")
     docs = ranges.transform(docs.withColumn("_key", F.col("key").cast("double"))).drop("_key").withColumn("grp", F.col("grp").cast("int"))
     # one row per range: at most 4 times the number of shuffle partitions
