@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from vitrine.llm.common import bounded_broadcast, checkpoint
 
-#: Hubs of a key that nodes are compared with in a round, and rounds before the rest is compared pair by pair.
-HUBS, ROUNDS = 3, 8
+#: Hubs that a key draws in a round, hubs that a node is compared with, and rounds before the rest is compared pair by pair.
+HUBS, PICKS, ROUNDS = 3, 3, 8
+#: A round that joins less than this part of what the first one joined is the last.
+LITTLE = 500
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -46,49 +48,60 @@ def overlapping(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFram
     return both.where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select(*cols)
 
 
+def hooked(found: DataFrame) -> tuple[DataFrame, int]:
+    """comp, _to (and their count): the ends of ``found`` (ca, cb) that hook to a smaller neighbour, followed twice."""
+    ends = found.union(found.select("cb", "ca")).groupBy(F.col("ca").alias("comp")).agg(F.min("cb").alias("_to"))
+    hook = checkpoint(ends.where("_to < comp"))
+    nxt = bounded_broadcast(hook.select(F.col("comp").alias("_to"), F.col("_to").alias("_far")))
+    far = hook.join(nxt, "_to", "left").select("comp", F.coalesce("_far", "_to").alias("_to"))
+    far = far.join(nxt, "_to", "left").select("comp", F.coalesce("_far", "_to").alias("_to"))
+    far = checkpoint(far)
+    return far, far.count()
+
+
 def link(postings: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """node, comp: components of the sets that overlap enough, for nodes that share a key with another.
 
     ``postings``: key, node, n (set size), q (the set's parities, see ``words.parities``: pairs that differ in too many are
-    out at once). Any two sets that overlap enough share a key. Groups are not expanded into
-    all pairs. In rounds, nodes are compared with a few hubs of their keys, which joins large groups of near copies;
-    rounds go on while they lessen the pairs left by a tenth under keys of several components and those outnumber the postings. Then all those pairs are
-    compared, so that no link between components is lost."""
+    out at once). Any two sets that overlap enough share a key. Groups are not expanded into all pairs. In rounds, every
+    key draws a few hubs of its own; a node meets the hubs of all its keys, is compared with the ``PICKS`` that differ least in
+    parities, and components that link are contracted. Rounds end when one joins little in comparison with the first.
+    Then all pairs of different components that share a key are compared, so that no link is lost."""
     ends = postings.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
     live = checkpoint(postings.join(ends, "key").select("key", "node", "n", "q", F.col("node").alias("comp")))
-    size = live.count()
-
-    def joined(at: DataFrame, found: DataFrame) -> DataFrame:
-        to = components(found.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-        to = bounded_broadcast(to.select(F.col("node").alias("comp"), F.col("comp").alias("_to")))
-        return checkpoint(at.join(to, "comp", "left").select("key", "node", "n", "q", F.coalesce("_to", "comp").alias("comp")))
-
-    open_pairs = float("inf")
     differ = sum((F.bit_count(F.col("q")[i].bitwiseXOR(F.col("qb")[i])) for i in range(4)), F.lit(0))
     fits = (100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")) & (
         (100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("nb")))
+    waiting, first = None, 0
+
+    def renamed(at: DataFrame, to: DataFrame, c: str) -> DataFrame:
+        """``at`` with the component in column ``c`` contracted."""
+        to = to.select(F.col("comp").alias(c), "_to")
+        return at.join(to, c, "left").withColumn(c, F.coalesce("_to", c)).drop("_to")
+
     for r in range(ROUNDS):
         hub = F.struct("node", "n", "q", "comp")
         hubs = live.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.array(*[
-            F.min_by(hub, F.xxhash64("node", F.lit(HUBS * r + j))) for j in range(HUBS)]).alias("hubs")).where("lo < hi").select("key", "hubs")
+            F.min_by(hub, F.xxhash64("node", "key", F.lit(HUBS * r + j))) for j in range(HUBS)]).alias("hubs")).where("lo < hi").select("key", "hubs")
         to = live.join(hubs, "key").select("node", "n", "q", "comp", F.explode("hubs").alias("h")).select(
             "node", "n", "q", "comp", F.col("h.node").alias("b"), F.col("h.n").alias("nb"), F.col("h.q").alias("qb"), F.col("h.comp").alias("cb")).where(fits & (F.col("comp") != F.col("cb")))
-        seen = to.groupBy("node", "comp", "b", "cb").agg(F.count("*").alias("c"))
-        end = F.struct("b", "cb")
-        pick = seen.groupBy("node", "comp").agg(F.max_by(end, F.col("c")).alias("x"), F.max_by(end, F.xxhash64("b", "node")).alias("y"))
-        pairs = checkpoint(pick.select(F.col("node").alias("a"), F.col("comp").alias("ca"), F.explode(F.array_distinct(F.array("x", "y"))).alias("z")).select(
-            "a", "ca", F.col("z.b").alias("b"), F.col("z.cb").alias("cb")))
-        if pairs.isEmpty():
-            break
-        live = joined(live, overlapping(pairs, segments, percent))
-        of = live.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))).alias("p"))
-        before, open_pairs = open_pairs, (of.agg(F.sum("p")).first()[0] or 0) / 2
-        if open_pairs <= size or open_pairs > 0.9 * before:
+        near = F.struct((differ / (F.col("n") + F.col("nb"))).alias("d"), "b", "cb", F.col("comp").alias("ca"))
+        pick = to.groupBy(F.col("node").alias("a"), F.pmod(F.xxhash64("b", "node"), F.lit(PICKS)).alias("slot")).agg(F.min(near).alias("x"))
+        pairs = checkpoint(pick.select("a", "x.ca", "x.b", "x.cb"))
+        found = overlapping(pairs, segments, percent).select("ca", "cb")
+        found = checkpoint((found if waiting is None else found.union(waiting)).distinct())
+        to, n = hooked(found)
+        first = first or n
+        to = bounded_broadcast(to, n)
+        waiting = renamed(renamed(found, to, "ca"), to, "cb").where("ca <> cb").select("ca", "cb")
+        live = checkpoint(renamed(live, to, "comp").select("key", "node", "n", "q", "comp"))
+        if n <= first / LITTLE:
             break
     mixed = live.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     left = checkpoint(live.join(mixed, "key").select("key", F.col("node").alias("a"), "n", "q", F.col("comp").alias("ca")))
-    if not left.isEmpty():
-        right = left.select("key", F.col("a").alias("b"), F.col("n").alias("nb"), F.col("q").alias("qb"), F.col("ca").alias("cb"))
-        pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits)
-        live = joined(live, overlapping(checkpoint(pairs.select("a", "b", "ca", "cb").distinct()), segments, percent))
-    return live.select("node", "comp").distinct()
+    right = left.select("key", F.col("a").alias("b"), F.col("n").alias("nb"), F.col("q").alias("qb"), F.col("ca").alias("cb"))
+    pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits)
+    found = overlapping(checkpoint(pairs.select("a", "b", "ca", "cb").distinct()), segments, percent).select("ca", "cb")
+    to = components(found.union(waiting).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    to = bounded_broadcast(to.select(F.col("node").alias("comp"), F.col("comp").alias("_to")))
+    return renamed(live.select("node", "comp").distinct(), to, "comp").select("node", "comp")
