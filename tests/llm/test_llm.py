@@ -77,6 +77,41 @@ def test_substring_dedup_removes_the_passage_but_in_one_document(docs):
     assert out[12]["n_chars"] == len(out[12]["text"])
 
 
+def test_substring_dedup_finds_passages_with_seams_inside_sentences(sp):
+    import random
+
+    from vitrine.llm.substring import WITHIN, duplicate_spans
+    from .conftest import words
+
+    r, data, want = random.Random(5), [], {}
+    for k in range(12):
+        stops = k % 3  # none, ASCII ones, others
+        w = [x + ("" if not stops or r.random() < 0.9 else "." if stops == 1 else "\u3002") for x in words(140, 700 + k).split()]
+        a = r.randrange(1, 70)
+        passage = " ".join(w[a : a + 51])
+        head = words(r.randrange(3, 60), 800 + k)
+        data += [(2 * k, " ".join(w)), (2 * k + 1, f"{head} {passage} {words(r.randrange(3, 60), 900 + k)}")]
+        want[2 * k + 1] = (head, passage)
+    got = rows(duplicate_spans(sp.createDataFrame(data, "doc_id long, text string")))
+    assert sorted(s["doc_id"] for s in got) == sorted(want)
+    for s in got:
+        head, passage = want[s["doc_id"]]
+        at = len(head) + 1
+        assert at <= s["start"] and s["end"] <= at + len(passage)
+        assert s["n_words"] >= 51 - 2 * (WITHIN - 1) and s["kept_doc_id"] == s["doc_id"] - 1
+
+
+def test_substring_dedup_compares_paragraphs_of_nine_words(sp):
+    from vitrine.llm.substring import duplicate_spans
+    from .conftest import words
+
+    nine = [words(9, 500 + k).split() for k in range(8)]
+    text = lambda cut: " ".join(" ".join(w[:cut]) + "." for w in nine)
+    near = [" ".join("zz %s." % " ".join(w) for w in nine)]
+    got = rows(duplicate_spans(sp.createDataFrame([(1, text(9)), (2, near[0])], "doc_id long, text string")))
+    assert [(s["doc_id"], s["kept_doc_id"]) for s in got] == [(2, 1)] and got[0]["n_words"] >= 40
+
+
 def test_bands_reach_their_recall():
     from vitrine.llm.substring import tune_bands
 

@@ -4,12 +4,19 @@ Paragraphs are short on purpose, so that a passage inside a longer text has para
 at a line break and after a word that ends in closing punctuation. Equal paragraphs (A-Z lowered, white space aside) are
 one class. Paragraphs of at least ``LONG_WORDS`` words also get MinHash signatures over 5-word shingles, cut into bands
 tuned so that a pair of the wanted similarity collides with the wanted probability; colliding classes are
-compared exactly by Jaccard similarity, and classes become groups by connected components. (A shorter paragraph with one
-inner word changed is below 0.8 already, so for them only equality counts.)
+compared exactly by Jaccard similarity, and classes become groups by connected components. (Fewer than ``LONG_WORDS``
+words have at most three shingles, of which any difference leaves less than 0.8: for them only equality counts.)
 
-A group that occurs in several documents is kept in the smallest doc_id. In the others its paragraphs are
-removable, and a run of neighbouring removable paragraphs is removed when it holds ``MIN_WORDS`` words or more. A passage
-of over 50 words loses at most its first or last paragraph where it is joined to other text, hence the 40.
+Passages need not begin or end with a paragraph, nor have punctuation: runs of ``RUN`` words are units as well, at places
+that the words themselves choose (of every ``WITHIN`` neighbouring runs the one with the smallest hash), so that two
+copies choose alike whatever is around them. Equal runs are one class. In an exact copy the first chosen run begins and
+the last one ends at most ``WITHIN`` - 1 words inside of the seams.
+
+A group that occurs in several documents is kept in the smallest doc_id. In the others its paragraphs and runs are
+removable, and a stretch that these cover without a gap is removed when it holds ``MIN_WORDS`` words or more. An exact
+passage of over 50 words is covered but for ``WITHIN`` - 1 words at each end at most, hence found wherever its seams
+are; those few words stay in the text. A changed sentence between two shorter exact pieces is not bridged: each
+piece counts by itself.
 
 Cases: null and empty texts have no paragraphs; repetition inside one document is left alone; repeated rows of a document
 are one document, whose span is reported once; a null doc_id orders last and all such rows count as one
@@ -31,7 +38,11 @@ from vitrine.llm import words as W
 from vitrine.llm.common import bounded_broadcast, checkpoint
 
 MIN_WORDS = 40
-LONG_WORDS = 13
+LONG_WORDS = 8
+#: Words of a run, and neighbouring runs of which one is a unit.
+RUN, WITHIN = 25, 6
+#: Most bits of the sieve that keeps units out of a shuffle (16 MB); beyond, it lets more through.
+SIEVE_BITS = 1 << 27
 SHINGLE, PERCENT, RECALL = 5, 80, 0.995
 #: Bytes after which a paragraph ends (as a word's last).
 _CLOSING = np.zeros(256, dtype=bool)
@@ -62,12 +73,44 @@ class Paragraphs:
         self.hash = W.run_hashes(w.h, self.a, self.b)
         self.row = np.searchsorted(w.first, self.a, side="right") - 1
 
-    def spans(self) -> tuple[np.ndarray, np.ndarray]:
-        """First and last + 1 code point of each paragraph in its text."""
-        w = self.w
-        chars = np.concatenate(([0], np.cumsum((w.buf & 0xC0) != 0x80, dtype=np.int64)))
-        base = chars[w.off[self.row]]
-        return chars[w.s[self.a]] - base, chars[w.e[self.b - 1]] - base
+
+def chosen_runs(w: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First words of the runs that are units, the runs' hashes and rows (in order of the words)."""
+    starts = len(w.h) - RUN + 1
+    if starts < WITHIN:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    at = np.arange(starts)
+    g = W.mix(W.run_hashes(w.h, at, at + RUN) ^ np.uint64(RUN))
+    row = w.doc()
+    least = np.min([g[i : starts - WITHIN + 1 + i] for i in range(WITHIN)], axis=0)
+    least[row[: len(least)] != row[RUN + WITHIN - 2 :]] = 0  # these would reach into the next text
+    padded = np.concatenate((np.zeros(WITHIN - 1, np.uint64), least, np.zeros(WITHIN - 1, np.uint64)))
+    most = np.max([padded[i : starts + i] for i in range(WITHIN)], axis=0)
+    a = np.flatnonzero(most == g)
+    return a, g[a], row[a]
+
+
+class Units:
+    """Paragraphs and chosen runs, row by row: word ranges a, b (within the text), hash, row, spans s, e in code points,
+    and whether it is a paragraph. With ``only`` (see ``sieve``) those it lets through, else all, by row and hash alone."""
+
+    def __init__(self, col: pa.Array, only: np.ndarray | None = None):
+        p = Paragraphs(col)
+        w = p.w
+        a, g, row = chosen_runs(w)
+        self.row, self.hash = np.concatenate((p.row, row)), np.concatenate((p.hash, g))
+        order = np.argsort(self.row, kind="stable")
+        if only is not None:
+            x = self.hash[order]
+            order = order[only[(x & np.uint64(64 * len(only) - 1)) >> np.uint64(6)] >> (x & np.uint64(63)) & np.uint64(1) > 0]
+        self.row, self.hash = self.row[order], self.hash[order]
+        if only is not None:
+            first, last = np.concatenate((p.a, a))[order], np.concatenate((p.b, a + RUN))[order]
+            chars = np.concatenate(([0], np.cumsum((w.buf & 0xC0) != 0x80, dtype=np.int64)))
+            base = chars[w.off[self.row]]
+            self.s, self.e = (chars[w.s[first]] - base, chars[w.e[last - 1]] - base) if len(first) else (first, last)
+            self.a, self.b = first - w.first[self.row], last - w.first[self.row]
+            self.whole = np.repeat((1, 0), (len(p.row), len(row)))[order]
 
 
 def _parts(df: DataFrame) -> DataFrame:
@@ -78,13 +121,13 @@ def _list(values: np.ndarray, counts: np.ndarray, kind) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(values, kind))
 
 
-def paragraph_hashes(df: DataFrame) -> DataFrame:
-    """doc, node: a row for each paragraph."""
+def unit_hashes(df: DataFrame) -> DataFrame:
+    """doc, node: a row for each paragraph and chosen run."""
 
     def run(batches):
         for b in batches:
             for part in W.slices(b, 1):
-                p = Paragraphs(part.column(1))
+                p = Units(part.column(1))
                 n = np.bincount(p.row, minlength=part.num_rows)
                 yield pa.RecordBatch.from_pydict({"doc": part.column(0), "u": _list(p.hash.view(np.int64), n, pa.int64())})
 
@@ -159,40 +202,57 @@ def near_classes(df: DataFrame) -> DataFrame:
 
 
 def repeated(df: DataFrame) -> DataFrame:
-    """node, keep: paragraphs whose group occurs in several documents, and the document that keeps it."""
+    """node, keep: paragraphs and runs whose group occurs in several documents, and the document that keeps it."""
     near = near_classes(df)
-    every = paragraph_hashes(df).groupBy("node").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+    every = unit_hashes(df).groupBy("node").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
     found = every.join(bounded_broadcast(near), "node", "left").where("lo < hi or comp is not null")
     found = checkpoint(found.withColumn("grp", F.coalesce("comp", "node")).drop("comp"))
     groups = found.groupBy("grp").agg(F.min("lo").alias("keep"), F.max("hi").alias("_hi")).where("keep < _hi")
     return found.join(groups, "grp").select("node", "keep")
 
 
+def sieve(nodes: DataFrame, n: int) -> np.ndarray:
+    """Bits that are set for all of ``n`` nodes (and by chance for few others), so that a task can leave out units that a
+    join would drop."""
+    bits = min(SIEVE_BITS, 1 << max(16, (16 * n).bit_length()))
+    at = F.col("node").bitwiseAND(F.lit(bits - 1))
+    words = nodes.select(F.shiftright(at, 6).alias("i"), F.expr("shiftleft(1L, cast(node & 63 as int))").alias("b"))
+    got = words.groupBy("i").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(bits // 64, dtype=np.int64)
+    out[got.column("i").to_numpy()] = got.column("b").to_numpy()
+    return out.view(np.uint64)
+
+
 def duplicate_spans(df: DataFrame) -> DataFrame:
     """doc_id, text_hash, start, end (code points of the text, end excluded), n_words, n_paragraphs, kept_doc_id."""
     table = checkpoint(repeated(df))
+    n_table = table.count()
+    shared = df.sparkSession.sparkContext.broadcast(sieve(table, n_table))
 
     def run(batches):
         for b in batches:
             for part in W.slices(b, 1):
-                p = Paragraphs(part.column(1))
+                p = Units(part.column(1), shared.value)
                 if not len(p.row):
                     continue
                 n = np.bincount(p.row, minlength=part.num_rows)
-                s, e = p.spans()
                 yield pa.RecordBatch.from_pydict({
-                    "doc": part.column(0), "th": part.column(2), "u": _list(p.hash.view(np.int64), n, pa.int64()), "w": _list(p.b - p.a, n, pa.int32()),
-                    "s": _list(s, n, pa.int32()), "e": _list(e, n, pa.int32())})
+                    "doc": part.column(0), "th": part.column(2), "u": _list(p.hash.view(np.int64), n, pa.int64()), "a": _list(p.a, n, pa.int32()),
+                    "b": _list(p.b, n, pa.int32()), "s": _list(p.s, n, pa.int32()), "e": _list(p.e, n, pa.int32()), "p": _list(p.whole, n, pa.int32())})
 
     docs = df.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), "text", F.xxhash64("text").alias("th"))
-    units = docs.mapInArrow(run, "doc long, th long, u array<long>, w array<int>, s array<int>, e array<int>")
-    units = units.select("doc", "th", F.posexplode(F.arrays_zip("u", "w", "s", "e")).alias("k", "x")).select(
-        "doc", "th", "k", F.col("x.u").alias("node"), F.col("x.w").alias("w"), F.col("x.s").alias("s"), F.col("x.e").alias("e"))
-    hit = units.join(bounded_broadcast(table), "node").where("doc <> keep")
-    hit = hit.groupBy("doc", "th", "k").agg(F.first("w").alias("w"), F.first("s").alias("s"), F.first("e").alias("e"), F.first("keep").alias("keep"))
-    run_no = F.col("k") - F.row_number().over(Window.partitionBy("doc", "th").orderBy("k"))
-    spans = hit.withColumn("run", run_no).groupBy("doc", "th", "run").agg(
-        F.min("s").alias("start"), F.max("e").alias("end"), F.sum("w").alias("n_words"), F.count("*").alias("n_paragraphs"), F.min("keep").alias("keep"))
+    units = docs.mapInArrow(run, "doc long, th long, u array<long>, a array<int>, b array<int>, s array<int>, e array<int>, p array<int>")
+    units = units.select("doc", "th", F.explode(F.arrays_zip("u", "a", "b", "s", "e", "p")).alias("x")).select(
+        "doc", "th", F.col("x.u").alias("node"), "x.a", "x.b", "x.s", "x.e", "x.p")
+    hit = units.join(bounded_broadcast(table, n_table), "node").where("doc <> keep")
+    # repeated rows of a document are one document
+    hit = hit.groupBy("doc", "th", "a", "b", "p").agg(F.first("s").alias("s"), F.first("e").alias("e"), F.min("keep").alias("keep"))
+    order = Window.partitionBy("doc", "th").orderBy("a", "b")
+    reach = F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    hit = hit.withColumn("new", F.when(F.col("a") <= reach, 0).otherwise(1))
+    hit = hit.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = hit.groupBy("doc", "th", "run").agg(
+        F.min("s").alias("start"), F.max("e").alias("end"), (F.max("b") - F.min("a")).cast("long").alias("n_words"), F.sum("p").alias("n_paragraphs"), F.min("keep").alias("keep"))
     spans = spans.where(F.col("n_words") >= MIN_WORDS)
     real = lambda c: F.when(F.col(c) != _LAST, F.col(c))
     return spans.select(real("doc").alias("doc_id"), F.col("th").alias("text_hash"), "start", "end", "n_words", "n_paragraphs",
