@@ -180,6 +180,36 @@ def test_fingerprints(docs):
     assert f[1]["fingerprint"] == f[2]["fingerprint"] and f[10]["near_edited"] > 0.3 > f[10]["near_next"]
 
 
+def test_likeness_of_long_texts_is_exact(sp):
+    import pyarrow as pa
+    from vitrine.llm.spotsigs import edited_neighbours, signature_sets
+    from .conftest import words
+
+    base = words(6000, 41)
+    w = base.split()
+    w[3000] = "zebra"
+    data = [(3, base), (2, " ".join(w)), (1, words(900, 42) + " " + words(500, 41))]
+    exact = lambda s, t: len(s & t) / len(s | t)
+    sets = lambda texts: [set(s.tolist()) for s in signature_sets(pa.array(texts))]
+    got = {r["doc_id"]: r for r in rows(edited_neighbours(sp.createDataFrame(data, "doc_id long, text string")))}
+    for k, (i, t) in enumerate(data):
+        nxt, n = data[(k + 1) % 3][1], len(t) // 3
+        own, edited, other = sets([t, t[: len(t) - n] + nxt[:n], nxt])
+        assert got[i]["near_edited"] == pytest.approx(exact(own, edited)) and got[i]["near_next"] == pytest.approx(exact(own, other))
+    assert 0.99 < got[3]["near_next"] < 1
+
+
+def test_members_of_similar_pairs(docs):
+    from vitrine.llm.spotsigs import members, similar_pairs
+
+    of = {}
+    for r in rows(members(docs)):
+        of.setdefault(r["fp"], []).append(r["doc_id"])
+    assert sum(map(len, of.values())) == docs.count() and any({1, 2} <= set(x) for x in of.values())
+    pairs = rows(similar_pairs(docs))
+    assert pairs and all(p["a"] in of and p["b"] in of for p in pairs)
+
+
 def test_similar_pairs_equals_all_pairs(docs):
     import pyarrow as pa
     from vitrine.llm.spotsigs import signature_sets, similar_pairs

@@ -2,9 +2,9 @@
 
 A spot is a common word (an anchor); its signature is the anchor with the chain of the next two content words. So
 that texts in any language have spots, content words picked by their hash (every other one) are anchors too. A text's signatures form a multiset (repeats count); its fingerprint is the set's size and the smallest
-``SKETCH`` signature hashes (the whole set, where it is no larger). Likeness of two fingerprints is the Jaccard
-similarity of the sets, exact up to that size and estimated from the smallest of both sets beyond. Comparisons are
-pruned by set length: two sets of lengths a <= b cannot be more alike than a / b.
+``SKETCH`` signature hashes (the whole set, where it is no larger). The fingerprint is a compact string to store; likeness is the
+exact Jaccard similarity of the whole sets, whatever their size. Comparisons are pruned by set length: two sets of
+lengths a <= b cannot be more alike than a / b.
 
 Cases: null text is empty and has the empty set; a text without any signature is one element; two empty sets are alike (1), an empty and
 another are not (0); equal texts have equal fingerprints; texts of any length are read whole; an empty
@@ -84,24 +84,17 @@ def fingerprint(s: tuple[int, np.ndarray]) -> str:
     return f"{s[0]:x}:" + s[1].astype(">u4").tobytes().hex()
 
 
-def likeness(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray], at_least: float = 0.0) -> float:
-    """Jaccard similarity, or 0 where the lengths alone rule out ``at_least``."""
-    (n, x), (m, y) = a, b
+def likeness(a: np.ndarray, b: np.ndarray, at_least: float = 0.0) -> float:
+    """Jaccard similarity of two signature sets, or 0 where the lengths alone rule out ``at_least``."""
+    n, m = len(a), len(b)
     if not n or not m:
         return float(n == m)
     if min(n, m) < at_least * max(n, m):
         return 0.0
-    if n == m and len(x) == len(y) and (x == y).all():
-        return 1.0
-    both = np.concatenate((x, y))
+    both = np.concatenate((a, b))
     both.sort(kind="stable")
-    same = both[1:] == both[:-1]
-    if n <= SKETCH and m <= SKETCH:
-        inter = int(same.sum())
-        return inter / (len(both) - inter)
-    union = both[np.concatenate(([True], ~same))][:SKETCH]
-    shared = both[1:][same]
-    return float(np.searchsorted(shared, union[-1], side="right")) / len(union)
+    inter = int(np.count_nonzero(both[1:] == both[:-1]))
+    return inter / (n + m - inter)
 
 
 def fingerprints(df: DataFrame) -> DataFrame:
@@ -117,9 +110,28 @@ def fingerprints(df: DataFrame) -> DataFrame:
     return df.select("doc_id", "text").mapInArrow(run, "doc_id long, n_sigs long, fingerprint string")
 
 
+def _sets(df: DataFrame) -> DataFrame:
+    """doc_id, n, sigs, fp: each document's signature set, its size and its identity."""
+
+    def run(batches):
+        for b in batches:
+            for part in W.slices(b, 1):
+                sigs = [s.view(np.int64) for s in signature_sets(part.column(1))]
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "n": pa.array([len(s) for s in sigs], pa.int64()),
+                                                  "sigs": pa.array(sigs, pa.list_(pa.int64()))})
+
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return docs.mapInArrow(run, "doc_id long, n long, sigs array<long>").withColumn("fp", F.xxhash64("sigs"))
+
+
+def members(df: DataFrame) -> DataFrame:
+    """fp, doc_id of every document, copies included: which documents a set in ``similar_pairs`` stands for."""
+    return _sets(df).select("fp", "doc_id")
+
+
 def similar_pairs(df: DataFrame, at_least: float = 0.8) -> DataFrame:
-    """a, b, similarity over distinct signature sets that are at least so alike (each pair of different sets whose
-    members share the smallest hashes), with ``members``: fp, doc_id in ``fingerprints``.
+    """a, b, similarity over distinct signature sets that are at least so alike. ``a`` and ``b`` are the sets' ``fp`` in
+    ``members``, which gives every document's.
 
     Sets meet only within a partition by length and under a hash that both have among the first
     n - ceil(at_least * n) + 1 of their order; every set goes to its own length partition and the next one, so
@@ -127,19 +139,7 @@ def similar_pairs(df: DataFrame, at_least: float = 0.8) -> DataFrame:
     import math
 
     ratio = -math.log(at_least)
-
-    def run(batches):
-        for b in batches:
-            for part in W.slices(b, 1):
-                ids, sizes, sigs = [], [], []
-                for i, s in zip(part.column(0).to_pylist(), signature_sets(part.column(1)), strict=True):
-                    ids.append(i)
-                    sizes.append(len(s))
-                    sigs.append(s.view(np.int64))
-                yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "n": pa.array(sizes, pa.int64()), "sigs": pa.array(sigs, pa.list_(pa.int64()))})
-
-    sets = df.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, sigs array<long>").where("n > 0")
-    sets = sets.withColumn("fp", F.xxhash64("sigs")).dropDuplicates(["fp"])
+    sets = _sets(df).where("n > 0").drop("doc_id").dropDuplicates(["fp"])
     prefix = F.slice("sigs", F.lit(1), (F.col("n") - F.ceil(at_least * F.col("n") - 1e-9) + 1).cast("int"))
     level = F.floor(F.log(F.col("n").cast("double")) / ratio).cast("long")
     rows = sets.select("fp", "n", level.alias("lv"), F.explode(prefix).alias("h"))
@@ -200,12 +200,12 @@ def _compare(rows: pa.RecordBatch) -> pa.RecordBatch:
     for i in at:
         k = len(texts[i]) // 3
         edited.append(texts[i][: len(texts[i]) - k] + texts[i + 1][:k])
-    own = [sketch(s) for s in signature_sets(pa.array(texts, pa.large_string()))]
-    new = [sketch(s) for s in signature_sets(pa.array(edited, pa.large_string()))] if edited else []
+    own = list(signature_sets(pa.array(texts, pa.large_string())))
+    new = list(signature_sets(pa.array(edited, pa.large_string()))) if edited else []
     sha = [hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest() for e in edited]
     return pa.RecordBatch.from_pydict({
         "doc_id": pa.array([ids[i] for i in at], pa.int64()), "n_chars": pa.array([len(texts[i]) for i in at], pa.int64()),
-        "edited_sha256": pa.array(sha, pa.string()), "fingerprint": pa.array([fingerprint(own[i]) for i in at], pa.string()),
-        "edited_fingerprint": pa.array([fingerprint(s) for s in new], pa.string()),
+        "edited_sha256": pa.array(sha, pa.string()), "fingerprint": pa.array([fingerprint(sketch(own[i])) for i in at], pa.string()),
+        "edited_fingerprint": pa.array([fingerprint(sketch(s)) for s in new], pa.string()),
         "near_edited": pa.array([likeness(own[i], s) for i, s in zip(at, new, strict=True)], pa.float64()),
         "near_next": pa.array([likeness(own[i], own[i + 1]) for i in at], pa.float64())})
