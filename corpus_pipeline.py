@@ -22,17 +22,21 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: five-word shingles, similarity of 0.8 or more. The smallest doc_id stays (of equal
-    ids the smallest text); documents without words are copies of nothing and stay."""
+    """One document of each group: five-word shingles, similarity of 0.8 or more. A document is a doc_id with a text; the
+    smallest doc_id stays (null last; of equal ids the smallest text hash), once. Documents without words are copies of
+    nothing and stay."""
     ship_package(spark)
-    groups = checkpoint(ngram_join.jaccard_components(docs, n=5, percent=80))
-    keep = groups.where((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = checkpoint(keep.select(F.col("doc_id").alias("_id")).distinct())
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    if groups.groupBy("doc_id").count().where("count > 1").isEmpty():
+    keep = checkpoint(ngram_join.representatives(docs, n=5, percent=80))
+
+    def of(some: DataFrame) -> DataFrame:
+        some = some.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"))
+        return docs.withColumn("_h", F.xxhash64("text")).join(some, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_th")), "left_semi")
+
+    again = (F.col("copies") > 1) & (F.col("n_shingles") > 0)
+    kept = of(keep.where(~again)).drop("_h")
+    if keep.where(again).isEmpty():
         return kept
-    # ids that repeat: equal rows are copies too
-    return kept.withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).drop("_h")
+    return kept.unionByName(of(keep.where(again)).dropDuplicates(["doc_id", "_h"]).drop("_h"))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,6 +53,26 @@ def test_ngram_join_equals_all_pairs(docs, n, percent):
     assert got == want
 
 
+def test_near_duplicates_with_null_and_repeated_ids(sp):
+    import corpus_pipeline
+    from .conftest import words
+
+    def near(seed, word):
+        return words(100, seed) + " " + word
+
+    data = [(None, words(60, 300)), (None, near(301, "x")), (None, near(301, "y")), (None, near(302, "x")), (5, near(302, "y")),
+            (6, near(303, "x")), (7, near(303, "y")), (7, words(60, 304)), (7, words(60, 304)), (1, near(305, "x")), (9, near(305, "y")),
+            (9, near(306, "x")), (10, near(306, "y")), (None, ""), (None, ""), (8, None)]
+    out = corpus_pipeline.near_duplicate_stage(sp, sp.createDataFrame(data, "doc_id long, text string"), "")
+    got = [(r["doc_id"], r["text"]) for r in rows(out)]
+    fixed = [(None, words(60, 300)), (5, near(302, "y")), (6, near(303, "x")), (7, words(60, 304)), (1, near(305, "x")),
+             (9, near(306, "x")), (None, ""), (None, ""), (8, None)]
+    rest = list(got)
+    for x in fixed:
+        rest.remove(x)
+    assert len(rest) == 1 and rest[0] in [(None, near(301, "x")), (None, near(301, "y"))]
+
+
 def test_components_of_chains_and_stars(sp):
     from vitrine.llm.graph import components
 

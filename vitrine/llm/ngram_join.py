@@ -46,8 +46,8 @@ def _set_id(s: np.ndarray) -> int:
 
 
 def shingle_rows(df: DataFrame, n: int, keep: str) -> DataFrame:
-    """doc_id, node (identity of the set), n (its size), h: the hashes, or those of the first fragments
-    (``keep``: "none", "first" or "all", then with q, the set's parities)."""
+    """doc_id, th (the text's hash), node (identity of the set), n (its size), h: the hashes, or those of the first
+    fragments (``keep``: "none", "first" or "all", then with q, the set's parities)."""
     limit = np.uint64(int(FIRST * 2**64))
 
     def run(batches):
@@ -59,7 +59,7 @@ def shingle_rows(df: DataFrame, n: int, keep: str) -> DataFrame:
                     size.append(len(s))
                     if keep != "none":
                         h.append(s if keep == "all" else s[: np.searchsorted(s, limit)])
-                got = {"doc_id": part.column(0), "node": pa.array(node, pa.int64()), "n": pa.array(size, pa.int32())}
+                got = {"doc_id": part.column(0), "th": part.column(2), "node": pa.array(node, pa.int64()), "n": pa.array(size, pa.int32())}
                 if keep != "none":
                     off = np.concatenate(([0], np.cumsum([len(x) for x in h])))
                     flat = np.concatenate(h) if h else np.zeros(0, np.uint64)
@@ -68,8 +68,8 @@ def shingle_rows(df: DataFrame, n: int, keep: str) -> DataFrame:
                     got["h"] = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat.view(np.int64)))
                 yield pa.RecordBatch.from_pydict(got)
 
-    schema = "doc_id long, node long, n int" + {"none": "", "first": ", h array<long>", "all": ", q array<long>, h array<long>"}[keep]
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    schema = "doc_id long, th long, node long, n int" + {"none": "", "first": ", h array<long>", "all": ", q array<long>, h array<long>"}[keep]
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th")).mapInArrow(run, schema)
 
 
 def possible(df: DataFrame, n: int, percent: int) -> DataFrame:
@@ -107,24 +107,39 @@ def segments(sets: DataFrame) -> DataFrame:
     return sets.select("node", "n", F.explode(cut).alias("x")).select("node", "n", "x.frag", "x.seg")
 
 
-def jaccard_components(df: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row: documents are linked when 100 * intersection >= percent * union
-    of their shingle sets, and a component is what links reach."""
-    spark = df.sparkSession
+def _linked(df: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, th, node, n of every row; node, id, comp of every set: its smallest doc_id and its component)."""
     rows = checkpoint(shingle_rows(df, n, "none"))
     keep = checkpoint(possible(df, n, percent))
     ids = bounded_broadcast(keep.select(F.col("id").alias("_id")).distinct())
     # every set by one of its documents (by all that have no doc_id)
     some = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     some = some.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = shingle_rows(some, n, "all").drop("doc_id").join(keep.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    sets = shingle_rows(some, n, "all").drop("doc_id", "th").join(keep.select("node"), "node", "left_semi").dropDuplicates(["node"])
     sets = checkpoint(sets)
     posts = checkpoint(rare_first(sets, percent))
     comp = graph.link(posts, checkpoint(segments(sets.join(posts.select("node").distinct(), "node", "left_semi"))), percent)
     classes = rows.groupBy("node").agg(F.min("doc_id").alias("id"))
-    linked = classes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    return rows, classes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+
+def jaccard_components(df: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row: documents are linked when 100 * intersection >= percent * union
+    of their shingle sets, and a component is what links reach."""
+    rows, linked = _linked(df, n, percent)
     smallest = linked.groupBy("comp").agg(F.min("id").alias("component_id"))
     of = linked.join(smallest, "comp").select("node", "component_id")
     out = rows.join(of, "node")
     alone = F.col("n") == 0
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def representatives(df: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+    """doc_id, th, n_shingles, copies: one document (doc_id and hash of its text; the smallest doc_id, null last, then
+    the smallest hash) of each component, and every document without words. ``copies``: the rows that are this document."""
+    rows, linked = _linked(df, n, percent)
+    docs = rows.groupBy("doc_id", "th", "node", "n").agg(F.count("*").alias("copies"))
+    docs = checkpoint(docs.join(linked.select("node", "comp"), "node"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th", "n", "copies")
+    first = docs.where("n > 0").groupBy("comp").agg(F.min(order).alias("x")).select("x.doc_id", "x.th", "x.n", "x.copies")
+    return first.union(docs.where("n = 0").select("doc_id", "th", "n", "copies")).withColumnRenamed("n", "n_shingles")
