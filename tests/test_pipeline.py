@@ -27,6 +27,24 @@ def test_stream_equals_batch(spark):
     assert got.count() == spark.read.parquet(f"{SF}/pages.parquet").count()
 
 
+def test_latest_batch_keeps_all_part_files(spark, tmp_path):
+    import os
+    from vitrine.sources.files import latest_batch
+    for k, name in enumerate(("b1", "b2")):
+        spark.range(100 * k, 100 * k + 90).repartition(3).write.parquet(f"{tmp_path}/{name}")
+        parts = sorted((tmp_path / name).glob("part-*.parquet"))
+        assert len(parts) == 3
+        for i, f in enumerate(parts):
+            os.utime(f, (1_700_000_000 + 100 * k + i,) * 2)
+    got = latest_batch(spark, f"{tmp_path}/*/*.parquet", "id long", fmt="parquet")
+    assert sorted(r.id for r in got.collect()) == list(range(100, 190))
+    for k, name in enumerate(("old", "new")):
+        (tmp_path / f"{name}.csv").write_text(f"id\n{k}\n")
+        os.utime(tmp_path / f"{name}.csv", (1_700_000_000 + k,) * 2)
+    got = latest_batch(spark, f"{tmp_path}/*.csv", "id long")
+    assert [r.id for r in got.collect()] == [1]
+
+
 def _duck(sf):
     con = duckdb.connect()
     for t in TABLES:

@@ -37,12 +37,12 @@ def q_src_csv_roundtrip(spark, d):
 
 @register("src_latest_batch", "SELECT listing_id, title, price FROM listings WHERE platform = 'americanas'")
 def q_src_latest_batch(spark, d):
-    """Two batches written one after the other; the source keeps the newest file's rows (SRC2)."""
+    """Two batches written one after the other; the source keeps the newest batch's rows (SRC2)."""
     base = _out(spark, "batches")
     lst = FX.listings(spark, d).select("listing_id", "title", "price", "platform")
-    lst.where(F.col("platform") == "mercadolivre").drop("platform").coalesce(1).write.parquet(base + "/b1")
+    lst.where(F.col("platform") == "mercadolivre").drop("platform").write.parquet(base + "/b1")
     time.sleep(1.1)
-    lst.where(F.col("platform") == "americanas").drop("platform").coalesce(1).write.parquet(base + "/b2")
+    lst.where(F.col("platform") == "americanas").drop("platform").write.parquet(base + "/b2")
     schema = "listing_id long, title string, price string"
     return FS.latest_batch(spark, base + "/*/*.parquet", T._parse_datatype_string(schema), fmt="parquet")
 

@@ -47,14 +47,17 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def latest_batch(spark: SparkSession, path_glob: str, schema: T.StructType = RAW_LISTING_SCHEMA,
                  fmt: str = "csv") -> DataFrame:
-    """Rows of the newest file among those matching ``path_glob`` (SRC2): one
-    scan, newest chosen from the ``_metadata`` column, no driver-side listing."""
+    """Rows of the newest batch among the files matching ``path_glob`` (SRC2): one
+    scan, newest chosen from the ``_metadata`` column, no driver-side listing.
+    Part files of one folder are one batch, as Spark writes them (their times
+    differ); any other file is a batch by itself."""
     reader = spark.read.schema(schema)
     df = (reader.option("header", True).option("multiLine", True).option("escape", '"').csv(path_glob)
           if fmt == "csv" else reader.parquet(path_glob))
-    df = df.withColumn("_file_mtime", F.col("_metadata.file_modification_time"))
-    newest = df.agg(F.max("_file_mtime")).scalar()
-    return df.where(F.col("_file_mtime") == newest).drop("_file_mtime")
+    path = F.col("_metadata.file_path")
+    df = df.withColumn("_batch", F.regexp_replace(path, "/part-[^/]*$", "/")).withColumn("_file_mtime", F.col("_metadata.file_modification_time"))
+    newest = df.agg(F.max(F.struct("_file_mtime", "_batch"))["_batch"].alias("b")).scalar()
+    return df.where(F.col("_batch") == newest).drop("_batch", "_file_mtime")
 
 
 def order_columns(df: DataFrame, order: Sequence[str], fill_missing: bool = False) -> DataFrame:
