@@ -76,11 +76,26 @@ def test_near_duplicates_with_null_and_repeated_ids(sp):
 def test_components_of_chains_and_stars(sp):
     from vitrine.llm.graph import components
 
-    edges = [(i, i + 1) for i in range(100, 180)] + [(7, i) for i in range(200, 260)] + [(5, 5)]
+    edges = [(i, i + 1) for i in range(100, 180)] + [(7, i) for i in range(200, 260)] + [(999, i) for i in range(900, 999)] + [(5, 5), (None, 3), (7, 200)]
     got = collections.defaultdict(set)
     for r in components(sp.createDataFrame(edges, "a long, b long")).collect():
         got[r.comp].add(r.node)
-    assert sorted(map(sorted, got.values())) == sorted([list(range(100, 181)), [7, *range(200, 260)]])
+    assert sorted(map(sorted, got.values())) == sorted([list(range(100, 181)), [7, *range(200, 260)], list(range(900, 1000))])
+    assert components(sp.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("order", ["rising", "falling", "shuffled"])
+def test_components_of_a_long_chain(sp, order):
+    import random
+
+    from vitrine.llm.graph import components
+
+    n = 10_000
+    at = list(range(n)) if order != "shuffled" else random.Random(3).sample(range(n), n)
+    edges = [(at[i], at[i + 1]) for i in range(n - 1)]
+    edges = edges[::-1] if order == "falling" else edges
+    got = components(sp.createDataFrame(edges, "a long, b long").repartition(4))
+    assert (got.count(), got.select("comp").distinct().count()) == (n, 1)
 
 
 def test_substring_dedup_removes_the_passage_but_in_one_document(docs):

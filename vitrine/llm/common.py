@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.session import cut_lineage
+from vitrine.session import checkpoint_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -19,8 +21,22 @@ def ascii_lower(c: Column) -> Column:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the cluster's shared folder; cuts lineage, survives lost executors."""
-    return cut_lineage(df)
+    """``df`` as a table written to the cluster's shared folder and read again: cuts lineage, survives lost executors, and
+    (other than ``DataFrame.checkpoint``) the plan that reads it inherits no constraints, whose inference costs more in
+    each round of a loop. The folder is the driver's to clear, like any checkpoint; ``forget`` drops a table sooner."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete checkpointed tables that no later plan reads."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._written)
+        path.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

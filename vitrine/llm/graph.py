@@ -14,26 +14,45 @@ LITTLE = 500
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, comp for the nodes of ``edges`` (a, b long): every node hooks to its smallest neighbour, the hooks are
-    followed, and the graph is contracted, until no edge is left. ``comp`` is a node of the component."""
+    """node, comp for the nodes of ``edges`` (a, b long; rows with a null end or equal ends are ignored, repeated rows count
+    once). ``comp`` is a node of the component.
+
+    Every node hooks to its smallest neighbour. These hooks have no cycles but pairs that hook to each other, whose
+    smaller node becomes a root. They are followed to the roots by pointer jumping, and the graph is contracted, until no
+    edge is left. A round at least halves the nodes that have edges, and jumps treble the steps they span: O(log n)
+    rounds of O(log n) joins, each a row per node or edge."""
     cur = checkpoint(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     out = None
     while not cur.isEmpty():
-        near = cur.union(cur.select("b", "a")).groupBy(F.col("a").alias("node")).agg(F.min("b").alias("to"))
-        hook = checkpoint(near.select("node", F.least("node", "to").alias("to")))
-        n = hook.count()
-        nxt = bounded_broadcast(hook.select(F.col("node").alias("to"), F.col("to").alias("_to")), n)
-        hook = checkpoint(hook.join(nxt, "to").select("node", F.col("_to").alias("to")).join(nxt, "to").select("node", F.col("_to").alias("to")))
-        to = lambda c, d: bounded_broadcast(hook.select(F.col("node").alias(c), F.col("to").alias(d)), n)  # noqa: B023, E731
+        near = checkpoint(cur.union(cur.select("b", "a")).groupBy(F.col("a").alias("node")).agg(F.min("b").alias("to")))
+        n = near.count()
+        hook = near.join(_step(near, "to", "_to", n), "to").select(
+            "node", F.when((F.col("_to") == F.col("node")) & (F.col("node") < F.col("to")), F.col("node")).otherwise(F.col("to")).alias("to"))
+        hook = _to_roots(checkpoint(hook), n)
         if out is None:
             out = hook.withColumnRenamed("to", "comp")
         else:
-            out = out.join(to("comp", "_to"), "comp", "left").select("node", F.coalesce("_to", "comp").alias("comp"))
-        ends = cur.join(to("a", "_a"), "a").join(to("b", "_b"), "b").where("_a <> _b")
+            out = checkpoint(out.join(_step(hook, "comp", "_to", n), "comp", "left").select("node", F.coalesce("_to", "comp").alias("comp")))
+        ends = cur.join(_step(hook, "a", "_a", n), "a").join(_step(hook, "b", "_b", n), "b").where("_a <> _b")
         cur = checkpoint(ends.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")).distinct())
     if out is None:
         return cur.select(F.col("a").alias("node"), F.col("b").alias("comp"))
-    return checkpoint(out)
+    return out
+
+
+def _step(hook: DataFrame, node: str, to: str, n: int) -> DataFrame:
+    """``hook`` (node, to; n rows) under other names, broadcast while that is small."""
+    return bounded_broadcast(hook.select(F.col("node").alias(node), F.col("to").alias(to)), n)
+
+
+def _to_roots(hook: DataFrame, n: int) -> DataFrame:
+    """node, to: the pointers of ``hook``, all of whose ``to`` are nodes as well, followed to the nodes that point to themselves."""
+    while True:
+        far = hook.join(_step(hook, "to", "_1", n), "to").join(_step(hook, "_1", "_2", n), "_1")
+        far = checkpoint(far.select("node", F.col("_2").alias("to"), (F.col("to") != F.col("_2")).alias("moved")))
+        hook = far.select("node", "to")
+        if far.where("moved").isEmpty():
+            return hook
 
 
 def overlapping(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
@@ -62,15 +81,18 @@ def hooked(found: DataFrame) -> tuple[DataFrame, int]:
 def link(postings: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """node, comp: components of the sets that overlap enough, for nodes that share a key with another.
 
-    ``postings``: key, node, n (set size), q (the set's parities, see ``words.parities``: pairs that differ in too many are
-    out at once). Any two sets that overlap enough share a key. Groups are not expanded into all pairs. In rounds, every
+    ``postings``: key, node, n (set size), pos (elements of the set before this one in the global order, 0 where keys are no
+    elements), q (the set's parities, see ``words.parities``: pairs that differ in too many are out at once). Any two sets
+    that overlap enough share a key after whose ``pos`` either still holds enough elements; other pairs aren't compared. Groups are not expanded into all pairs. In rounds, every
     key draws a few hubs of its own; a node meets the hubs of all its keys, is compared with the ``PICKS`` that differ least in
     parities, and components that link are contracted. Rounds end when one joins little in comparison with the first.
     Then all pairs of different components that share a key are compared, so that no link is lost."""
     ends = postings.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
-    live = checkpoint(postings.join(ends, "key").select("key", "node", "n", "q", F.col("node").alias("comp")))
+    live = checkpoint(postings.join(ends, "key").select("key", "node", "n", "pos", "q", F.col("node").alias("comp")))
     differ = sum((F.bit_count(F.col("q")[i].bitwiseXOR(F.col("qb")[i])) for i in range(4)), F.lit(0))
     fits = (100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")) & (
+        (100 + percent) * (F.col("n") - F.col("pos")) >= percent * (F.col("n") + F.col("nb"))) & (
+        (100 + percent) * (F.col("nb") - F.col("posb")) >= percent * (F.col("n") + F.col("nb"))) & (
         (100 + percent) * differ <= (100 - percent) * (F.col("n") + F.col("nb")))
     waiting, first = None, 0
 
@@ -80,11 +102,11 @@ def link(postings: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
         return at.join(to, c, "left").withColumn(c, F.coalesce("_to", c)).drop("_to")
 
     for r in range(ROUNDS):
-        hub = F.struct("node", "n", "q", "comp")
+        hub = F.struct("node", "n", "pos", "q", "comp")
         hubs = live.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.array(*[
             F.min_by(hub, F.xxhash64("node", "key", F.lit(HUBS * r + j))) for j in range(HUBS)]).alias("hubs")).where("lo < hi").select("key", "hubs")
-        to = live.join(hubs, "key").select("node", "n", "q", "comp", F.explode("hubs").alias("h")).select(
-            "node", "n", "q", "comp", F.col("h.node").alias("b"), F.col("h.n").alias("nb"), F.col("h.q").alias("qb"), F.col("h.comp").alias("cb")).where(fits & (F.col("comp") != F.col("cb")))
+        to = live.join(hubs, "key").select("node", "n", "pos", "q", "comp", F.explode("hubs").alias("h")).select(
+            "node", "n", "pos", "q", "comp", F.col("h.node").alias("b"), F.col("h.n").alias("nb"), F.col("h.pos").alias("posb"), F.col("h.q").alias("qb"), F.col("h.comp").alias("cb")).where(fits & (F.col("comp") != F.col("cb")))
         near = F.struct((differ / (F.col("n") + F.col("nb"))).alias("d"), "b", "cb", F.col("comp").alias("ca"))
         pick = to.groupBy(F.col("node").alias("a"), F.pmod(F.xxhash64("b", "node"), F.lit(PICKS)).alias("slot")).agg(F.min(near).alias("x"))
         pairs = checkpoint(pick.select("a", "x.ca", "x.b", "x.cb"))
@@ -94,12 +116,12 @@ def link(postings: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
         first = first or n
         to = bounded_broadcast(to, n)
         waiting = renamed(renamed(found, to, "ca"), to, "cb").where("ca <> cb").select("ca", "cb")
-        live = checkpoint(renamed(live, to, "comp").select("key", "node", "n", "q", "comp"))
+        live = checkpoint(renamed(live, to, "comp").select("key", "node", "n", "pos", "q", "comp"))
         if n <= first / LITTLE:
             break
     mixed = live.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    left = checkpoint(live.join(mixed, "key").select("key", F.col("node").alias("a"), "n", "q", F.col("comp").alias("ca")))
-    right = left.select("key", F.col("a").alias("b"), F.col("n").alias("nb"), F.col("q").alias("qb"), F.col("ca").alias("cb"))
+    left = checkpoint(live.join(mixed, "key").select("key", F.col("node").alias("a"), "n", "pos", "q", F.col("comp").alias("ca")))
+    right = left.select("key", F.col("a").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("posb"), F.col("q").alias("qb"), F.col("ca").alias("cb"))
     pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits)
     found = overlapping(checkpoint(pairs.select("a", "b", "ca", "cb").distinct()), segments, percent).select("ca", "cb")
     to = components(found.union(waiting).select(F.col("ca").alias("a"), F.col("cb").alias("b")))

@@ -3,11 +3,12 @@
 A document's set holds its distinct n-word shingles as 64-bit hashes; the hash is the global order of all n-grams, cut
 into fragments of equal width. Fragments are worked on separately and their partial overlaps summed per pair:
 
-1. In the first fragments of the order (a fifth of all n-grams) it is counted how many of a set's n-grams occur in
+1. In the first fragments of the order (``FIRST`` times the part of its n-grams that a linked set may lose) it is counted how many of a set's n-grams occur in
    another set as well. A set that loses more n-grams there than a linked set may lose in all cannot be linked and
-   goes: for most documents nothing but this fifth is ever shuffled.
+   goes: for most documents nothing but these fragments is ever shuffled.
 2. Of the sets left, n-grams are ordered by how many sets hold them, rarest first. Linked sets share one of the first
-   (n - required + 1), so only these become candidates' keys, and common passages make none.
+   (n - required + 1), so only these become candidates' keys, and common passages make none. With each goes its place in
+   the order, as a pair is only compared where either set still holds enough n-grams from there on.
 3. Candidates are compared fragment by fragment, and the partial overlaps are summed per pair (see ``graph``).
 
 Equal sets are one class from the beginning, so copies cost nothing beyond step 1's counting, which adds up within
@@ -30,8 +31,9 @@ from vitrine.llm import graph
 from vitrine.llm import words as W
 from vitrine.llm.common import bounded_broadcast, checkpoint
 
-#: Part of the global order that is looked at first; must be more than the part a linked set may lose.
-FIRST = 0.2
+#: Part of the global order that is looked at first, as a multiple of the part of its n-grams that a linked set may lose.
+#: At 1 nothing would be told apart; more tells more apart, and shuffles more.
+FIRST = 1.4
 #: Fragments in which candidates are compared.
 FRAGMENTS = 4
 
@@ -45,10 +47,10 @@ def _set_id(s: np.ndarray) -> int:
     return int(x.view(np.int64)[0])
 
 
-def shingle_rows(df: DataFrame, n: int, keep: str) -> DataFrame:
-    """doc_id, th (the text's hash), node (identity of the set), n (its size), h: the hashes, or those of the first
-    fragments (``keep``: "none", "first" or "all", then with q, the set's parities)."""
-    limit = np.uint64(int(FIRST * 2**64))
+def shingle_rows(df: DataFrame, n: int, first: float = 0) -> DataFrame:
+    """doc_id, th (the text's hash), node (identity of the set), n (its size), h: the hashes in the first part of the order
+    (``first``: how large a part), or all with q, the set's parities (``first`` 0)."""
+    limit = np.uint64(int(first * 2**64)) if first < 1 else None
 
     def run(batches):
         for b in batches:
@@ -57,25 +59,23 @@ def shingle_rows(df: DataFrame, n: int, keep: str) -> DataFrame:
                 for s in W.shingle_sets(part.column(1), n):
                     node.append(_set_id(s))
                     size.append(len(s))
-                    if keep != "none":
-                        h.append(s if keep == "all" else s[: np.searchsorted(s, limit)])
+                    h.append(s[: np.searchsorted(s, limit)] if limit else s)
                 got = {"doc_id": part.column(0), "th": part.column(2), "node": pa.array(node, pa.int64()), "n": pa.array(size, pa.int32())}
-                if keep != "none":
-                    off = np.concatenate(([0], np.cumsum([len(x) for x in h])))
-                    flat = np.concatenate(h) if h else np.zeros(0, np.uint64)
-                    if keep == "all":
-                        got["q"] = W.parities(h)
-                    got["h"] = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat.view(np.int64)))
+                if not first:
+                    got["q"] = W.parities(h)
+                off = np.concatenate(([0], np.cumsum([len(x) for x in h])))
+                flat = np.concatenate(h) if h else np.zeros(0, np.uint64)
+                got["h"] = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat.view(np.int64)))
                 yield pa.RecordBatch.from_pydict(got)
 
-    schema = "doc_id long, th long, node long, n int" + {"none": "", "first": ", h array<long>", "all": ", q array<long>, h array<long>"}[keep]
+    schema = "doc_id long, th long, node long, n int" + (", h array<long>" if first else ", q array<long>, h array<long>")
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th")).mapInArrow(run, schema)
 
 
-def possible(df: DataFrame, n: int, percent: int) -> DataFrame:
-    """node, id: sets that the first fragments leave, each with one doc_id (step 1)."""
+def possible(first: DataFrame, percent: int) -> DataFrame:
+    """node, id: sets that the first fragments leave, each with one doc_id (step 1). ``first``: node, doc_id, n, h."""
+    first = first.where("n > 0")
     may_lose = F.col("n") - F.ceil(F.col("n") * percent / 100.0).cast("int")
-    first = shingle_rows(df, n, "first").where("n > 0")
     posts = first.select("node", F.explode("h").alias("h"))
     shared = posts.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("h")
     shared = checkpoint(shared)
@@ -87,15 +87,16 @@ def possible(df: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def rare_first(sets: DataFrame, percent: int) -> DataFrame:
-    """key, node, n, q: for each set the n-grams of which linked sets must share one, in the order of rarity (step 2)."""
+    """key, node, n, pos, q: for each set the n-grams of which linked sets must share one, in the order of rarity (step 2)."""
     posts = sets.select("node", F.explode("h").alias("h"))
     often = posts.groupBy("h").agg(F.count("*").alias("f")).where("f > 1")
     ranked = posts.join(often, "h").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("live"))
     # n-grams that no other set holds come first in the order and cannot be shared
     lose = F.col("n") - F.ceil(F.col("n") * percent / 100.0).cast("int")
-    take = lose + 1 - (F.col("n") - F.size("live"))
-    both = ranked.join(sets.select("node", "n", "q"), "node").withColumn("take", take).where("take > 0")
-    return both.select("node", "n", "q", F.explode(F.slice("live", F.lit(1), F.col("take"))).alias("x")).select(F.col("x.h").alias("key"), "node", "n", "q")
+    alone = F.col("n") - F.size("live")
+    both = ranked.join(sets.select("node", "n", "q"), "node").withColumn("take", lose + 1 - alone).where("take > 0")
+    both = both.select("node", "n", "q", alone.alias("alone"), F.posexplode(F.slice("live", F.lit(1), F.col("take"))).alias("i", "x"))
+    return both.select(F.col("x.h").alias("key"), "node", "n", (F.col("alone") + F.col("i")).alias("pos"), "q")
 
 
 def segments(sets: DataFrame) -> DataFrame:
@@ -109,13 +110,14 @@ def segments(sets: DataFrame) -> DataFrame:
 
 def _linked(df: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, th, node, n of every row; node, id, comp of every set: its smallest doc_id and its component)."""
-    rows = checkpoint(shingle_rows(df, n, "none"))
-    keep = checkpoint(possible(df, n, percent))
+    first = checkpoint(shingle_rows(df, n, FIRST * (100 - percent) / 100))
+    rows = first.drop("h")
+    keep = checkpoint(possible(first, percent))
     ids = bounded_broadcast(keep.select(F.col("id").alias("_id")).distinct())
     # every set by one of its documents (by all that have no doc_id)
     some = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     some = some.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = shingle_rows(some, n, "all").drop("doc_id", "th").join(keep.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    sets = shingle_rows(some, n).drop("doc_id", "th").join(keep.select("node"), "node", "left_semi").dropDuplicates(["node"])
     sets = checkpoint(sets)
     posts = checkpoint(rare_first(sets, percent))
     comp = graph.link(posts, checkpoint(segments(sets.join(posts.select("node").distinct(), "node", "left_semi"))), percent)

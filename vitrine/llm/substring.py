@@ -197,7 +197,7 @@ def near_classes(df: DataFrame) -> DataFrame:
     nodes = checkpoint(post.select("node").distinct())
     sets = shingle_sets(df).join(bounded_broadcast(nodes), "node", "left_semi").dropDuplicates(["node"])
     sets = checkpoint(sets.select("node", "n", "q", F.lit(0).alias("frag"), F.col("h").alias("seg")))
-    post = post.drop("n").join(sets.select("node", "n", "q"), "node").select("key", "node", "n", "q")
+    post = post.drop("n").join(sets.select("node", "n", "q"), "node").select("key", "node", "n", F.lit(0).alias("pos"), "q")
     return graph.link(post, sets, PERCENT)
 
 
