@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import ann, bpe, chat, lm, mixing, ngram_join, spotsigs, substring, toxicity, urls
+from vitrine.llm import ann, bpe, chat, langid, lm, mixing, ngram_join, repair, spotsigs, substring, toxicity, urls, whitening
 from vitrine.llm.common import table
 
 
@@ -60,13 +60,27 @@ def op10_ann_tree(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_repair(spark, sf_dir):
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations"))).drop("repaired_rows")
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_mixing, op3_url_filter, op4_ngram_join, op5_spotsigs, op6_chat_format, op7_lm_score, op8_toxicity, op9_bpe, op10_ann_tree, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_mixing, op3_url_filter, op4_ngram_join, op5_spotsigs, op6_chat_format, op7_lm_score, op8_toxicity, op9_bpe, op10_ann_tree,
+                                   op11_language_id, op12_whitening, op13_repair, pipeline)}
 
 SQL = {
     "op2_mixing": r"""
