@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,3 +56,22 @@ def bounded_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
+#: Most bits of a sieve (16 MB); beyond, it lets more through.
+SIEVE_BITS = 1 << 27
+
+
+def sieve(nodes: DataFrame, n: int) -> np.ndarray:
+    """Bits that are set for all of ``n`` nodes (and by chance for few others), so that a task can leave out units that a
+    join would drop."""
+    bits = min(SIEVE_BITS, 1 << max(16, (16 * n).bit_length()))
+    at = F.col("node").bitwiseAND(F.lit(bits - 1))
+    words = nodes.select(F.shiftright(at, 6).alias("i"), F.expr("shiftleft(1L, cast(node & 63 as int))").alias("b"))
+    got = words.groupBy("i").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(bits // 64, dtype=np.int64)
+    out[got.column("i").to_numpy()] = got.column("b").to_numpy()
+    return out.view(np.uint64)
+
+
+def passes(bits: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Whether the sieve lets each 64-bit hash through."""
+    return bits[(x & np.uint64(64 * len(bits) - 1)) >> np.uint64(6)] >> (x & np.uint64(63)) & np.uint64(1) > 0

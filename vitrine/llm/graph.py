@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import bounded_broadcast, checkpoint
+from vitrine.llm.common import bounded_broadcast, checkpoint, forget
 
 #: Hubs that a key draws in a round, hubs that a node is compared with, and rounds before the rest is compared pair by pair.
 HUBS, PICKS, ROUNDS = 3, 3, 8
@@ -62,6 +62,9 @@ def overlapping(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFram
     sa = segments.select(F.col("node").alias("a"), F.col("n").alias("na"), "frag", F.col("seg").alias("sa"))
     sb = segments.select(F.col("node").alias("b"), F.col("n").alias("nb"), "frag", F.col("seg").alias("sb"))
     cols = pairs.columns
+    # only the sets that pairs name are moved
+    sa = sa.join(bounded_broadcast(checkpoint(pairs.select("a").distinct())), "a", "left_semi")
+    sb = sb.join(bounded_broadcast(checkpoint(pairs.select("b").distinct())), "b", "left_semi")
     part = pairs.join(sa, "a").join(sb, ["b", "frag"]).select(*cols, "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("o"))
     both = part.groupBy(*cols, "na", "nb").agg(F.sum("o").alias("o"))
     return both.where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select(*cols)
@@ -87,8 +90,11 @@ def link(postings: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     key draws a few hubs of its own; a node meets the hubs of all its keys, is compared with the ``PICKS`` that differ least in
     parities, and components that link are contracted. Rounds end when one joins little in comparison with the first.
     Then all pairs of different components that share a key are compared, so that no link is lost."""
-    ends = postings.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
-    live = checkpoint(postings.join(ends, "key").select("key", "node", "n", "pos", "q", F.col("node").alias("comp")))
+    # keys, and nodes, count only as long as they hold several components
+    several = lambda t: t.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+    live = postings.withColumn("comp", F.col("node"))
+    live = checkpoint(live.join(bounded_broadcast(checkpoint(several(live))), "key").select("key", "node", "n", "pos", "q", "comp"))
+    nodes = checkpoint(live.select("node").distinct().withColumn("comp", F.col("node")))
     differ = sum((F.bit_count(F.col("q")[i].bitwiseXOR(F.col("qb")[i])) for i in range(4)), F.lit(0))
     fits = (100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")) & (
         (100 + percent) * (F.col("n") - F.col("pos")) >= percent * (F.col("n") + F.col("nb"))) & (
@@ -103,8 +109,7 @@ def link(postings: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
 
     for r in range(ROUNDS):
         hub = F.struct("node", "n", "pos", "q", "comp")
-        hubs = live.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.array(*[
-            F.min_by(hub, F.xxhash64("node", "key", F.lit(HUBS * r + j))) for j in range(HUBS)]).alias("hubs")).where("lo < hi").select("key", "hubs")
+        hubs = live.groupBy("key").agg(F.array(*[F.min_by(hub, F.xxhash64("node", "key", F.lit(HUBS * r + j))) for j in range(HUBS)]).alias("hubs"))
         to = live.join(hubs, "key").select("node", "n", "pos", "q", "comp", F.explode("hubs").alias("h")).select(
             "node", "n", "pos", "q", "comp", F.col("h.node").alias("b"), F.col("h.n").alias("nb"), F.col("h.pos").alias("posb"), F.col("h.q").alias("qb"), F.col("h.comp").alias("cb")).where(fits & (F.col("comp") != F.col("cb")))
         near = F.struct((differ / (F.col("n") + F.col("nb"))).alias("d"), "b", "cb", F.col("comp").alias("ca"))
@@ -116,14 +121,16 @@ def link(postings: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
         first = first or n
         to = bounded_broadcast(to, n)
         waiting = renamed(renamed(found, to, "ca"), to, "cb").where("ca <> cb").select("ca", "cb")
-        live = checkpoint(renamed(live, to, "comp").select("key", "node", "n", "pos", "q", "comp"))
+        nodes, past = checkpoint(renamed(nodes, to, "comp")), live
+        live = renamed(live, to, "comp")
+        live = checkpoint(live.join(bounded_broadcast(checkpoint(several(live))), "key").select("key", "node", "n", "pos", "q", "comp"))
+        forget(past)
         if n <= first / LITTLE:
             break
-    mixed = live.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    left = checkpoint(live.join(mixed, "key").select("key", F.col("node").alias("a"), "n", "pos", "q", F.col("comp").alias("ca")))
+    left = live.select("key", F.col("node").alias("a"), "n", "pos", "q", F.col("comp").alias("ca"))
     right = left.select("key", F.col("a").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("posb"), F.col("q").alias("qb"), F.col("ca").alias("cb"))
     pairs = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits)
     found = overlapping(checkpoint(pairs.select("a", "b", "ca", "cb").distinct()), segments, percent).select("ca", "cb")
     to = components(found.union(waiting).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     to = bounded_broadcast(to.select(F.col("node").alias("comp"), F.col("comp").alias("_to")))
-    return renamed(live.select("node", "comp").distinct(), to, "comp").select("node", "comp")
+    return renamed(nodes, to, "comp").select("node", "comp")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from vitrine.llm import graph
 from vitrine.llm import words as W
-from vitrine.llm.common import bounded_broadcast, checkpoint
+from vitrine.llm.common import SIEVE_BITS, bounded_broadcast, checkpoint, passes, sieve
 
 #: Part of the global order that is looked at first, as a multiple of the part of its n-grams that a linked set may lose.
 #: At 1 nothing would be told apart; more tells more apart, and shuffles more.
@@ -77,13 +77,28 @@ def possible(first: DataFrame, percent: int) -> DataFrame:
     first = first.where("n > 0")
     may_lose = F.col("n") - F.ceil(F.col("n") * percent / 100.0).cast("int")
     posts = first.select("node", F.explode("h").alias("h"))
-    shared = posts.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("h")
+    shared = posts.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select(F.col("h").alias("node"))
     shared = checkpoint(shared)
-    held = posts.join(bounded_broadcast(shared), "h").groupBy("node").agg(F.count("*").alias("held"))
-    sets = first.groupBy("node").agg(F.min("doc_id").alias("id"), F.max("n").alias("n"), F.max(F.size("h")).alias("in_first"), F.count("*").alias("rows"))
-    left = sets.join(held, "node", "left")
-    # ``held`` counts the set's n-grams once for each copy of it
-    return left.where(F.coalesce("held", F.lit(0)) / F.col("rows") >= F.col("in_first") - may_lose).select("node", "id")
+    n_shared = shared.count()
+    if n_shared > SIEVE_BITS // 16:
+        hit = posts.join(shared.withColumnRenamed("node", "h"), "h").groupBy("node").agg(F.count("*").alias("held"))
+        sets = first.groupBy("node").agg(F.min("doc_id").alias("id"), F.max("n").alias("n"), F.max(F.size("h")).alias("in_first"), F.count("*").alias("rows"))
+        # the join counts a set's n-grams once for each copy of it
+        return sets.join(hit, "node", "left").where(F.coalesce("held", F.lit(0)) / F.col("rows") >= F.col("in_first") - may_lose).select("node", "id")
+    bits = first.sparkSession.sparkContext.broadcast(sieve(shared, n_shared))
+
+    def held(batches):
+        for b in batches:
+            h = b.column(3)
+            hit = passes(bits.value, h.flatten().to_numpy().view(np.uint64))
+            size = h.value_lengths().to_numpy()
+            row = np.repeat(np.arange(len(size)), size)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(size.astype(np.int32)), pa.array(np.bincount(row, hit, len(size)).astype(np.int32))],
+                                             ["node", "doc_id", "n", "in_first", "held"])
+
+    # a sieve counts an n-gram too many now and then, and so may let a set through, but never loses one
+    counted = first.select("node", "doc_id", "n", "h").mapInArrow(held, "node long, doc_id long, n int, in_first int, held int")
+    return counted.where(F.col("held") >= F.col("in_first") - may_lose).groupBy("node").agg(F.min("doc_id").alias("id"))
 
 
 def rare_first(sets: DataFrame, percent: int) -> DataFrame:

@@ -35,14 +35,12 @@ from pyspark.sql import functions as F
 
 from vitrine.llm import graph
 from vitrine.llm import words as W
-from vitrine.llm.common import bounded_broadcast, checkpoint
+from vitrine.llm.common import bounded_broadcast, checkpoint, passes, sieve
 
 MIN_WORDS = 40
 LONG_WORDS = 8
 #: Words of a run, and neighbouring runs of which one is a unit.
 RUN, WITHIN = 25, 6
-#: Most bits of the sieve that keeps units out of a shuffle (16 MB); beyond, it lets more through.
-SIEVE_BITS = 1 << 27
 SHINGLE, PERCENT, RECALL = 5, 80, 0.995
 #: Bytes after which a paragraph ends (as a word's last).
 _CLOSING = np.zeros(256, dtype=bool)
@@ -101,8 +99,7 @@ class Units:
         self.row, self.hash = np.concatenate((p.row, row)), np.concatenate((p.hash, g))
         order = np.argsort(self.row, kind="stable")
         if only is not None:
-            x = self.hash[order]
-            order = order[only[(x & np.uint64(64 * len(only) - 1)) >> np.uint64(6)] >> (x & np.uint64(63)) & np.uint64(1) > 0]
+            order = order[passes(only, self.hash[order])]
         self.row, self.hash = self.row[order], self.hash[order]
         if only is not None:
             first, last = np.concatenate((p.a, a))[order], np.concatenate((p.b, a + RUN))[order]
@@ -211,18 +208,6 @@ def repeated(df: DataFrame) -> DataFrame:
     return found.join(groups, "grp").select("node", "keep")
 
 
-def sieve(nodes: DataFrame, n: int) -> np.ndarray:
-    """Bits that are set for all of ``n`` nodes (and by chance for few others), so that a task can leave out units that a
-    join would drop."""
-    bits = min(SIEVE_BITS, 1 << max(16, (16 * n).bit_length()))
-    at = F.col("node").bitwiseAND(F.lit(bits - 1))
-    words = nodes.select(F.shiftright(at, 6).alias("i"), F.expr("shiftleft(1L, cast(node & 63 as int))").alias("b"))
-    got = words.groupBy("i").agg(F.bit_or("b").alias("b")).toArrow()
-    out = np.zeros(bits // 64, dtype=np.int64)
-    out[got.column("i").to_numpy()] = got.column("b").to_numpy()
-    return out.view(np.uint64)
-
-
 def duplicate_spans(df: DataFrame) -> DataFrame:
     """doc_id, text_hash, start, end (code points of the text, end excluded), n_words, n_paragraphs, kept_doc_id."""
     table = checkpoint(repeated(df))
