@@ -51,3 +51,20 @@ def test_tumbling_equals_batch_on_split_files(spark):
              .where(F.col("w.end").cast("timestamp_ntz") <= F.lit(mx - dt.timedelta(minutes=10)))
              .select(F.col("w.start").cast("timestamp_ntz").alias("s"), "n").collect())
     assert got == {(r.s, r.n) for r in batch}
+
+
+def test_refusal_by_two_keys_over_batches_and_restarts(spark):
+    base = os.path.join(checkpoint_dir(spark), f"dedup-{time.time_ns()}")
+    schema = "listing_id long, title string, seller_name string, url string, scraped_at timestamp_ntz"
+    row = lambda i, t, s, u: (i, t, s, u, dt.datetime(2024, 1, 1))
+    parts = [[row(3, "a", "s", "u1"), row(1, "a", "s", "u2"), row(2, "b", "s", "u2"), row(4, "stored", "s", "u9"), row(5, "x", "s", "ustored")],
+             [row(6, "b", "s", "u3"), row(7, "c", "s", "u2"), row(8, None, "s", "u4"), row(9, None, "s", "u5"), row(10, "d", "s", ""), row(11, "e", "s", "")],
+             [row(12, "d", "s", "u6"), row(13, "d", "other", "u7"), row(14, "f", "s", "u7"), row(15, "g", "s", "u9")]]
+    stored = spark.createDataFrame([("ustored", "t0", "s0"), ("u0", "stored", "s"), ("", "t1", "s1")], "url string, title string, seller_name string")
+    for k, part in enumerate(parts):
+        spark.createDataFrame(part, schema).repartition(3).write.parquet(f"{base}/in/{k}")
+        stream = spark.readStream.schema(schema).parquet(base + "/in/*")
+        SJ.run_available_now(SJ.dedup_new_listings(stream, stored), base + "/out", base + "/ckpt", empty_batches=False)
+    got = sorted(r.listing_id for r in spark.read.parquet(base + "/out").collect())
+    # 2: url of 1; 3: title and seller of 1; 4, 5: stored; 7: url of 1; 12: title and seller of 10; 14: url of 13
+    assert got == [1, 6, 8, 9, 10, 11, 13, 15]

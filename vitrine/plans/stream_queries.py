@@ -53,20 +53,37 @@ def q_stream_endpoint(spark, d):
     return SJ.settled(spark, base + "/out", ["window_start", "endpoint"])
 
 
-STORED_BEFORE = "1995-03-01 00:00:00"
+#: Parts in which the crawl arrives; the stream stops after each and is started again from its checkpoint.
+ARRIVALS = 2
 
 
-@register("stream_dedup", """WITH s AS (SELECT * FROM products WHERE scraped_at < TIMESTAMP '1995-03-01 00:00:00')
-SELECT DISTINCT url FROM listings l WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.url = l.url)
-  AND NOT EXISTS (SELECT 1 FROM s WHERE s.title = l.title AND s.seller_name = l.seller_name)""")
+def _crawl(listings):
+    """Another crawl of every listing: a quarter under its stored url, a quarter under its stored title, the rest under
+    names of which some come again later in the crawl."""
+    i = F.col("listing_id")
+    return listings.select(
+        "listing_id", F.when(i % 4 == 1, F.col("title")).otherwise(F.concat("title", F.lit(" #"), (i % 411).cast("string"))).alias("title"),
+        "seller_name", F.when(i % 4 == 0, F.col("url")).otherwise(F.concat("url", F.lit("?v="), (i % 3).cast("string"))).alias("url"))
+
+
+@register("stream_dedup", """WITH c AS (SELECT listing_id, CASE WHEN listing_id % 4 = 1 THEN title ELSE title || ' #' || (listing_id % 411) END AS title, seller_name,
+  CASE WHEN listing_id % 4 = 0 THEN url ELSE url || '?v=' || (listing_id % 3) END AS url FROM listings),
+n AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.url = c.url) AND NOT EXISTS (SELECT 1 FROM products p WHERE p.title = c.title AND p.seller_name = c.seller_name)),
+u AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY url ORDER BY listing_id) = 1)
+SELECT listing_id, title, seller_name, url FROM u QUALIFY row_number() OVER (PARTITION BY title, seller_name ORDER BY listing_id) = 1""")
 def q_stream_dedup(spark, d):
-    """New listings refused when seen before by url or (title, seller) (STR5)."""
-    stored = FX.products(spark, d).where(F.col("scraped_at") < F.lit(STORED_BEFORE).cast("timestamp_ntz"))
-    stream = FX.listings_from(SJ.stream_table(spark, d, "orders"))
+    """A crawl of all listings, arriving in order of listing_id: refused when seen before by url or (title, seller), in the
+    whole stored table or in the stream (STR5)."""
     base = SJ.run_dir(spark, "dedup")
-    SJ.run_available_now(SJ.dedup_new_listings(stream, stored).select("url", "title", "seller_name", "listing_id"),
-                         base + "/out", base + "/ckpt")
-    return spark.read.parquet(base + "/out").select("url").distinct()
+    crawl = _crawl(FX.listings(spark, d))
+    ends = crawl.agg(F.min("listing_id"), F.max("listing_id")).first()
+    stream = spark.readStream.schema(crawl.schema).parquet(base + "/in/*")
+    lo, hi = ends[0] or 0, (ends[1] or 0) + 1
+    for part in range(ARRIVALS):
+        a, b = (lo + (hi - lo) * x // ARRIVALS for x in (part, part + 1))
+        crawl.where((F.col("listing_id") >= a) & (F.col("listing_id") < b)).write.parquet(f"{base}/in/{part}")
+        SJ.run_available_now(SJ.dedup_new_listings(stream, FX.products(spark, d)), base + "/out", base + "/ckpt", empty_batches=False)
+    return spark.read.parquet(base + "/out")
 
 
 _THRESH = [("avg_latency_ms", 60.0), ("errors", 3.0)]

@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from vitrine.session import checkpoint_dir, table_path
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int = 1) -> DataFrame:
     """A parquet table as a file stream (schema taken from the batch table)."""
     schema = spark.read.parquet(table_path(sf_dir, name)).schema
@@ -31,8 +34,24 @@ def run_dir(spark: SparkSession, tag: str) -> str:
 
 
 def run_available_now(df: DataFrame, sink: str, ckpt: str, mode: str = "append", foreach_batch=None,
-                      partition_by=()) -> None:
-    """Process everything available, then stop (STR7 trigger)."""
+                      partition_by=(), empty_batches: bool = True) -> None:
+    """Process everything available, then stop (STR7 trigger). State is kept in RocksDB, off the executors' heap.
+
+    ``empty_batches``: whether batches without rows may follow, as windows need that wait for the watermark; with state that
+    lives by processing time they would follow without end."""
+    conf, want = df.sparkSession.conf, {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+                                        "spark.sql.streaming.noDataMicroBatches.enabled": str(empty_batches).lower()}
+    before = {k: conf.get(k) for k in want}
+    try:
+        for k, v in want.items():
+            conf.set(k, v)
+        _run(df, sink, ckpt, mode, foreach_batch, partition_by)
+    finally:
+        for k, v in before.items():
+            conf.set(k, v)
+
+
+def _run(df: DataFrame, sink: str, ckpt: str, mode: str, foreach_batch, partition_by) -> None:
     w = df.writeStream.outputMode(mode).option("checkpointLocation", ckpt).trigger(availableNow=True)
     if foreach_batch is not None:
         q = w.foreachBatch(foreach_batch).start()
@@ -103,14 +122,57 @@ def settled(spark: SparkSession, sink: str, keys, schema=None) -> DataFrame:
     return g.select(*keys, *[F.col("_l." + c).alias(c) for c in rest])
 
 
-def dedup_new_listings(listings_stream: DataFrame, stored: DataFrame, delay: str = "3650 days") -> DataFrame:
-    """Refuse a listing seen before (STR5): stream-static anti joins against the
-    stored table by url and by (title, seller), then drop repeats of a url
-    within the watermark (state bounded by the watermark delay)."""
-    s = listings_stream.join(stored.select("url").distinct(), "url", "left_anti")
-    s = s.join(stored.select("title", "seller_name").distinct(), ["title", "seller_name"], "left_anti")
-    s = s.withColumn("_et", event_time("scraped_at")).withWatermark("_et", delay)
-    return s.dropDuplicatesWithinWatermark(["url"])
+def first_of_key(rows: DataFrame, keys: list, seq: str, ttl_hours: int) -> DataFrame:
+    """Rows of a stream whose ``keys`` did not come before: of a key's rows the first micro-batch's one with the least ``seq``.
+
+    A value state per key, in the state store, remembers for ``ttl_hours`` of processing time that the key has come, so
+    state is bounded by the keys of that time. A row whose key holds a null or an empty value is never refused. A key's
+    rows are read block by block, none are held but the least."""
+    import pandas as pd
+    from pyspark.sql.streaming import StatefulProcessor
+
+    names = rows.columns
+
+    class FirstSeen(StatefulProcessor):
+        def init(self, handle):
+            self._seen = handle.getValueState("seen", "seq long", ttl_hours * 3600 * 1000)
+
+        def handleInputRows(self, key, blocks, timers):
+            least = None
+            for b in blocks:
+                i = b[seq].idxmin()
+                if least is None or b.at[i, seq] < least.at[0, seq]:
+                    least = b.loc[[i], names].reset_index(drop=True)
+            if least is not None and not self._seen.exists():
+                self._seen.update((int(least.at[0, seq]),))
+                yield least
+            else:
+                yield pd.DataFrame(columns=names)
+
+        def close(self):
+            pass
+
+    blank = F.lit(False)
+    for k in keys:
+        blank = blank | F.coalesce(F.col(k) == "", F.lit(True))
+    own = F.when(blank, F.col(seq).cast("string")).otherwise("")
+    keyed = rows.withColumns({f"_key{i}": F.coalesce(F.col(k).cast("string"), F.lit("")) for i, k in enumerate(keys)} | {"_own": own})
+    return keyed.groupBy(*[f"_key{i}" for i in range(len(keys))], "_own").transformWithStateInPandas(
+        statefulProcessor=FirstSeen(), outputStructType=rows.schema, outputMode="Append", timeMode="ProcessingTime")
+
+
+def dedup_new_listings(listings_stream: DataFrame, stored: DataFrame, seq: str = "listing_id", ttl_hours: int = 24 * 365) -> DataFrame:
+    """Refuse a listing seen before (STR5), by url and then by (title, seller).
+
+    Against the stored table: stream-static anti joins; against the stream itself: two keyed states, each in the order in
+    which rows come. A listing refused by its url leaves no trace in the (title, seller) state, as in the service, which
+    looks a listing up among those it has stored; one refused by (title, seller) has marked its url already, so a later
+    listing with that url is refused as well (the service would take it; a stream has no way back to the first state)."""
+    by_url = stored.where(F.col("url") != "").select("url").distinct()
+    by_name = stored.where((F.col("title") != "") & (F.col("seller_name") != "")).select("title", "seller_name").distinct()
+    s = listings_stream.join(by_url, "url", "left_anti").join(by_name, ["title", "seller_name"], "left_anti").select(*listings_stream.columns)
+    s = first_of_key(s, ["url"], seq, ttl_hours)
+    return first_of_key(s, ["title", "seller_name"], seq, ttl_hours)
 
 
 def stuck_jobs(starts: DataFrame, ends: DataFrame, bound_hours: int = 2, delay: str = "1 hour") -> DataFrame:
