@@ -124,51 +124,39 @@ def balance_check(before: DataFrame, after: DataFrame, label: str, tol: float =
                     (F.col("gap_after") <= tol).alias("balanced"))
 
 
-def smote(df: DataFrame, label: str, id_col: str, features: str = "features", k: int = 5, seed: int = 42,
-          bucket_length: float = 2.0) -> DataFrame:
-    """Minority rows interpolated towards one of their k nearest minority
-    neighbours until the classes match (BAL3). Neighbours come from LSH
-    candidate pairs (``BucketedRandomProjectionLSH``), ranked per point."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.sql import Window
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    mm = counts.agg(F.min_by(label, "n").alias("minority"), F.max("n").alias("n_max"), F.min("n").alias("n_min")).first()
-    need = int(mm["n_max"] - mm["n_min"])
+def smote(df: DataFrame, label: str, id_col: str, features: str = "features", k: int = 5, seed: int = 42) -> DataFrame:
+    """Minority rows interpolated towards one of their k nearest minority neighbours (all others, if they are fewer) until the
+    classes match (BAL3). Neighbours are exact (``neighbours.knn_join``), every minority row has some, and rows
+    are used equally often but for one. Synthetic ids lie below all ids there are. One minority row alone has no
+    neighbour: an error. The least frequent class is the minority, of equally frequent ones the smallest label."""
+    from pyspark.ml.functions import array_to_vector
+    from vitrine.operators.neighbours import knn_join
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.min(id_col).alias("least"))
+    mm = counts.agg(F.min(F.struct("n", label)).alias("few"), F.max("n").alias("n_max"), F.min("least").alias("least")).first()
+    need = int(mm["n_max"] - mm["few"]["n"]) if mm["few"] else 0
     if need <= 0:
         return df.select(id_col, label, features, F.lit(False).alias("synthetic"))
-    mino = df.where(F.col(label) == mm["minority"]).select(id_col, features)
-    lsh = BucketedRandomProjectionLSH(inputCol=features, outputCol="_hashes", bucketLength=bucket_length, numHashTables=4,
-                                      seed=seed).fit(mino)
-    pairs = lsh.approxSimilarityJoin(mino, mino, float("inf"), "dist").select(
-        F.col(f"datasetA.{id_col}").alias("a"), F.col(f"datasetB.{id_col}").alias("b"), "dist").where(F.col("a") != F.col("b"))
-    nn = pairs.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy("dist", "b"))).where(F.col("r") <= k)
-    # only points with at least one neighbour candidate can be interpolated;
-    # the (rep, point) grid is built over them so the deficit is filled exactly
-    eligible = mino.join(nn.select(F.col("a").alias(id_col)).distinct(), id_col, "left_semi")
-    n_min = eligible.count()
-    if n_min == 0:
-        raise ValueError("no minority point has a neighbour candidate; raise bucket_length")
+    n_min, minority, least = int(mm["few"]["n"]), mm["few"][label], min(0, int(mm["least"]))
+    if n_min < 2:
+        raise ValueError("a minority class of one row has no neighbours to interpolate to")
+    mino = df.where(F.col(label) == minority).select(id_col, vector_to_array(features).alias("x"))
+    nn = knn_join(mino, id_col, "x", k)
     reps = (need + n_min - 1) // n_min
-    # rank eligible points by a seeded hash (distributed prefix sum), then keep
+    # rank the points by a seeded hash (distributed prefix sum), then keep
     # the first ``need`` of the (rep, point) grid: exactly the class deficit
-    ranked = prefix_sums(eligible.select(F.col(id_col).alias("a"), F.col(features).alias("xa"),
+    ranked = prefix_sums(mino.select(F.col(id_col).alias("a"), F.col("x").alias("xa"),
                                      F.struct(F.xxhash64(F.col(id_col), F.lit(seed)).alias("h"), F.col(id_col).alias("i")).alias("_h"),
                                      F.lit(1).alias("_one")), [], "_h", ["_one"])
     base = ranked.select("a", "xa", F.col("cum__one").alias("pos"),
                          F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"))
-    base = base.where(F.col("rep") * n_min + F.col("pos") <= need)
-    # the neighbour rank is drawn within each point's own candidate count (<= k)
-    n_nb = nn.groupBy("a").agg(F.max("r").alias("n_nb"))
-    base = base.join(n_nb, "a")
-    pick = (F.abs(F.xxhash64("a", "rep", F.lit(seed))) % F.col("n_nb") + 1).cast("int")
-    j = base.join(nn, "a").where(F.col("r") == pick)
-    j = j.join(mino.select(F.col(id_col).alias("b"), F.col(features).alias("xb")), "b")
-    u = (F.abs(F.xxhash64("a", "rep", F.lit(seed + 7))) % 1000000) / 1000000.0
-    xa, xb = vector_to_array("xa"), vector_to_array("xb")
-    from pyspark.ml.functions import array_to_vector
-    synth = j.select((F.lit(-1) * (F.col("a") * 1000 + F.col("rep") + 1)).alias(id_col),
-                     array_to_vector(F.zip_with(xa, xb, lambda p, q: p + u * (q - p))).alias(features))
-    synth = synth.select(id_col, F.lit(mm["minority"]).alias(label), features, F.lit(True).alias("synthetic"))
+    base = base.withColumn("nth", F.col("rep").cast("long") * n_min + F.col("pos")).where(F.col("nth") <= need)
+    pick = (F.pmod(F.xxhash64("a", "rep", F.lit(seed)), F.lit(min(k, n_min - 1))) + 1).cast("int")
+    j = base.withColumn("r", pick).join(nn.select("a", "r", "b"), ["a", "r"])
+    j = j.join(mino.select(F.col(id_col).alias("b"), F.col("x").alias("xb")), "b")
+    u = F.pmod(F.xxhash64("a", "rep", F.lit(seed + 7)), F.lit(1000000)) / 1000000.0
+    synth = j.select((F.lit(least) - F.col("nth")).cast("long").alias(id_col),
+                     array_to_vector(F.zip_with("xa", "xb", lambda p, q: p + u * (q - p))).alias(features))
+    synth = synth.select(id_col, F.lit(minority).alias(label), features, F.lit(True).alias("synthetic"))
     return df.select(id_col, label, features, F.lit(False).alias("synthetic")).unionByName(synth)
 
 

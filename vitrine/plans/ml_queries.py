@@ -18,6 +18,7 @@ from vitrine.operators import ml as ML
 from vitrine.plans.catalog import register
 from vitrine.session import checkpoint_dir
 from vitrine.sources import fixtures as FX
+from vitrine.sources.tables import table
 
 _CACHE: dict = {}
 
@@ -113,6 +114,18 @@ def q_smote(spark, d):
     return s.select("doc_id", "target", "synthetic", F.size(vector_to_array("features")).alias("n_features"))
 
 
+@register("smote_knn", """WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda c: floor(c::DOUBLE * 1000)) AS x FROM embeddings),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b, list_sum(list_transform(list_zip(a.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d2
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY d2, b) AS r FROM p)
+SELECT a, b, CAST(r AS INTEGER) AS r, round(sqrt(d2), 6) AS dist FROM r WHERE r <= 5""")
+def q_smote_knn(spark, d):
+    """The exact five nearest neighbours of every vector, in thousandths (the join under BAL3)."""
+    from vitrine.operators.neighbours import knn_join
+    e = table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda c: F.floor(c.cast("double") * 1000).cast("double")).alias("x"))
+    return knn_join(e, "vec_id", "x", 5).withColumn("dist", F.round("dist", 6))
+
+
 @register("balance_check", """WITH c AS (SELECT target, count(*) AS n FROM labelled GROUP BY target),
 b AS (SELECT target, n - CAST(ceil(n * 0.2) AS BIGINT) AS n FROM c)
 SELECT round((max(n) - min(n)) / sum(n), 6) AS gap_before, 0e0 AS gap_after, round((max(n) - min(n)) / sum(n), 6) AS improvement, true AS balanced FROM b""")
