@@ -241,10 +241,64 @@ for _key, _name in [("cv_rf", "random_forest"), ("cv_lr", "logistic_regression")
     register(_key)(_q)
 
 
+#: Kernels and strengths of the sweep, and its folds.
+SVM_KERNELS, SVM_C, FOLDS = ("rbf", "linear"), [0.1, 1.0, 10.0], 5
+
+
+def _kernel_rows(df):
+    return df.select(F.col("doc_id").alias("id"), F.col("label").cast("int").alias("y"), vector_to_array("features").alias("x"))
+
+
+def _kernel_fit(spark, d, kernel):
+    """(margins of training rows, margins of test rows, Platt's fits by C) of one kernel, kept for the session."""
+    from vitrine.operators import kernel as K
+    key = (id(spark), d, "kernel", kernel)
+    if key not in _CACHE:
+        _, tr, te, _ = prepared(spark, d)
+        rows = K.stratified_folds(_kernel_rows(tr), "y", "id", FOLDS).cache()
+        phi = K.fit_map(rows, kernel)
+        w = K.fit_many(rows, phi, SVM_C, FOLDS)
+        seen = K.margins(rows, phi, SVM_C, w).cache()
+        test = K.margins(_kernel_rows(te).withColumn("fold", F.lit(FOLDS)), phi, SVM_C, w).cache()
+        _CACHE[key] = (seen, test, K.platt(seen, "c", "unseen"))
+    return _CACHE[key]
+
+
 @register("svm_sweep")
 def q_svm_sweep(spark, d):
-    """Regularisation sweep of the linear SVM by validation f1 (TRN5; the rbf kernel has no MLlib twin)."""
-    return _search(spark, d, "svm", {"regParam": [0.0001, 0.001, 0.01, 0.1]}, validation_split=True)
+    """kernel x C of the kernel machine: f1 over five stratified folds, on the training and the test rows, best first (TRN5)."""
+    from pyspark.sql import Window
+    from vitrine.operators import kernel as K
+    out = None
+    for kernel in SVM_KERNELS:
+        seen, test, _ = _kernel_fit(spark, d, kernel)
+        cv = K.f1_by(seen, ["c", "fold"], "unseen").groupBy("c").agg(
+            *[f(m).alias(f"cv_{m}_{n}") for m in ("accuracy", "precision", "recall", "f1") for n, f in (("mean", F.avg), ("std", F.stddev_pop))])
+        cv = cv.join(K.f1_by(seen, ["c"], "margin").select("c", F.col("f1").alias("train_f1")), "c")
+        cv = cv.join(K.f1_by(test, ["c"], "margin").select("c", F.col("f1").alias("test_f1")), "c").withColumn("kernel", F.lit(kernel))
+        out = cv if out is None else out.unionByName(cv)
+    # a row per configuration
+    rank = F.row_number().over(Window.orderBy(F.desc("cv_f1_mean"), "kernel", "c"))
+    return out.withColumn("rank", rank).withColumnRenamed("c", "C")
+
+
+@register("svm_probability")
+def q_svm_probability(spark, d):
+    """Calibrated probability statistics of each kernel and C on the training and the test rows (TRN4): mean, std, least and
+    greatest confidence, Brier score, and the sigmoid."""
+    from vitrine.operators import kernel as K
+    out = None
+    for kernel in SVM_KERNELS:
+        seen, test, ab = _kernel_fit(spark, d, kernel)
+        for side, rows in (("train", seen), ("test", test)):
+            p = rows.withColumn("p", K.probability(F.col("margin"), ab, "c"))
+            conf = F.greatest(F.col("p"), 1 - F.col("p"))
+            one = p.groupBy("c").agg(F.count("*").alias("rows"), F.avg(conf).alias("mean_confidence"), F.stddev_pop(conf).alias("std_confidence"),
+                                     F.min(conf).alias("min_confidence"), F.max(conf).alias("max_confidence"),
+                                     F.avg((F.col("p") - F.col("y")) ** 2).alias("brier"))
+            one = one.withColumns({"kernel": F.lit(kernel), "side": F.lit(side)})
+            out = one if out is None else out.unionByName(one)
+    return out.withColumnRenamed("c", "C")
 
 
 @register("lr_sweep")
