@@ -376,3 +376,30 @@ def test_empty_tables(sp, empty):
     assert ann.nearest(sp.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     lab = sp.createDataFrame([], "doc_id long, quality int, toxic int")
     assert toxicity.score_toxicity(empty, toxicity.fit(empty, lab)).count() == 0
+
+
+def test_substring_tells_documents_without_ids_apart(sp):
+    from vitrine.llm.substring import duplicate_spans, remove_spans
+    from .conftest import words
+
+    passage = words(80, 70) + "."
+    data = [(None, passage + " " + words(9, 71)), (None, words(9, 72) + ". " + passage), (None, words(9, 73) + ".\n" + passage),
+            (7, words(20, 74) + ". " + passage), (7, words(20, 75) + ". " + passage), (7, words(20, 75) + ". " + passage)]
+    df = sp.createDataFrame(data, "doc_id long, text string")
+    kept = [r["text"] for r in rows(remove_spans(df, duplicate_spans(df))) if passage in r["text"]]
+    assert len(set(kept)) == 1 and set(kept) <= {t for i, t in data if i == 7}
+    assert len(rows(duplicate_spans(df))) == 4
+
+
+def test_clashing_columns_come_out_unchanged(sp, docs):
+    from vitrine.llm.mixing import mix, mixed_documents
+    from vitrine.llm.substring import duplicate_spans, remove_spans
+    from pyspark.sql import functions as F
+
+    names = ["_h", "_id", "_th", "_s", "_t", "_size", "_part", "_copies", "_k", "_cut", "_new", "_epochs", "_extra", "_rows", "th", "spans"]
+    mine = docs.withColumns({c: F.lit("mine") for c in names})
+    none = sp.createDataFrame([], "doc_id long, weight double")
+    for out in (remove_spans(mine, duplicate_spans(mine)), mixed_documents(mine, mix(mine, none))):
+        assert out.columns == mine.columns
+        got = out.select(*names).distinct().collect()
+        assert len(got) == 1 and set(got[0]) == {"mine"}

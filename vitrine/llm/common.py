@@ -44,8 +44,8 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-#: Rows of one to three longs that every executor holds easily (some 20 MB as a hash table).
-BROADCAST_ROWS = 500_000
+#: Rows of one to three longs that the driver and every executor hold easily, several at a time (some 8 MB as a hash table).
+BROADCAST_ROWS = 200_000
 
 
 def bounded_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:

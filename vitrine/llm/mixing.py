@@ -17,6 +17,7 @@ thousands at most); documents are unlimited.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -100,21 +101,22 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, weights: Sequence[flo
 def mixed_documents(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The documents of the mix: a row per whole copy, and one with the leading words where only part is taken.
     Columns are those of ``docs``; documents with nothing taken go. A document without words stays once."""
-    plan = mixed.groupBy("doc_id", "source", "_tie").agg(F.first("size").alias("_size"), F.max("epochs").alias("_epochs"),
-                                              F.sum("extra").alias("_extra"), F.count("*").alias("_rows"))
-    plan = plan.withColumnsRenamed({"doc_id": "_id", "source": "_s", "_tie": "_t"})
+    plan = mixed.groupBy("doc_id", "source", "_tie").agg(F.first("size").alias("size"), F.max("epochs").alias("epochs"),
+                                                         F.sum("extra").alias("extra"), F.count("*").alias("rows"))
+    # the rows of repeated equal documents share their extra words evenly; helper columns have names no caller's column has
+    part = F.when(F.col("size") > 0, F.floor(F.col("extra") / F.col("rows"))).otherwise(0)
+    whole = F.when(F.col("size") > 0, F.col("epochs")).otherwise(1)
+    mine, own, nth = (f"{x}_{uuid.uuid4().hex}" for x in ("plan", "hash", "copy"))
+    plan = plan.select(F.struct("doc_id", "source", "_tie", "size", whole.alias("whole"), part.alias("part"),
+                                (whole + (part > 0).cast("long")).cast("int").alias("copies")).alias(mine))
+    at = lambda c: F.col(f"{mine}.{c}")
     cols = docs.columns
-    j = docs.withColumn("_h", F.xxhash64("text")).join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_s")) & (
-        F.col("_h") == F.col("_t")))
-    words = F.sequence(F.lit(1), F.col("_copies"))
-    # the rows of repeated equal documents share their extra words evenly
-    part = F.floor(F.col("_extra") / F.col("_rows"))
-    j = j.withColumn("_part", F.when(F.col("_size") > 0, part).otherwise(0)).withColumn(
-        "_copies", (F.when(F.col("_size") > 0, F.col("_epochs")).otherwise(1) + (F.col("_part") > 0).cast("long")).cast("int"))
-    j = j.where("_copies > 0").withColumn("_k", F.explode(words))
-    cut = (F.col("_k") > F.col("_epochs")) & (F.col("_part") > 0) & (F.col("_part") < F.col("_size"))
+    j = docs.withColumn(own, F.xxhash64("text")).join(plan, F.col("doc_id").eqNullSafe(at("doc_id")) & F.col("source").eqNullSafe(at("source")) & (
+        F.col(own) == at("_tie")))
+    j = j.where(at("copies") > 0).withColumn(nth, F.explode(F.sequence(F.lit(1), at("copies"))))
+    cut = (F.col(nth) > at("whole")) & (at("part") < at("size"))
     spaces = F.regexp_extract_all("text", F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
-    text = F.when(cut, F.array_join(F.slice(spaces, 1, F.col("_part").cast("int")), "")).otherwise(F.col("text"))
+    text = F.when(cut, F.array_join(F.slice(spaces, 1, at("part").cast("int")), "")).otherwise(F.col("text"))
     out = j.withColumn("text", text)
     if "n_chars" in cols:
         out = out.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast("long"))

@@ -12,21 +12,23 @@ that the words themselves choose (of every ``WITHIN`` neighbouring runs the one
 copies choose alike whatever is around them. Equal runs are one class. In an exact copy the first chosen run begins and
 the last one ends at most ``WITHIN`` - 1 words inside of the seams.
 
-A group that occurs in several documents is kept in the smallest doc_id. In the others its paragraphs and runs are
+A group that occurs in several documents (a document: a doc_id with a text) is kept in the smallest doc_id (null last; of
+equal ids in the smallest text hash). In the others its paragraphs and runs are
 removable, and a stretch that these cover without a gap is removed when it holds ``MIN_WORDS`` words or more. An exact
 passage of over 50 words is covered but for ``WITHIN`` - 1 words at each end at most, hence found wherever its seams
 are; those few words stay in the text. A changed sentence between two shorter exact pieces is not bridged: each
 piece counts by itself.
 
 Cases: null and empty texts have no paragraphs; repetition inside one document is left alone; repeated rows of a document
-are one document, whose span is reported once; a null doc_id orders last and all such rows count as one
-document; texts of any length are read whole; an empty table gives an empty result; other columns are ignored, and
+are one document, whose span is reported once; different texts without a doc_id or under a repeated one are different
+documents; texts of any length are read whole; an empty table gives an empty result; other columns are ignored, and
 ``remove_spans`` keeps them.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -111,7 +113,9 @@ class Units:
 
 
 def _parts(df: DataFrame) -> DataFrame:
-    return df.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), "text")
+    """doc, text: a document is its id and its text, so equal rows are one, and rows without an id or with a repeated id
+    are told apart by their texts."""
+    return df.select(F.xxhash64(F.col("doc_id").cast("long"), "text").alias("doc"), "text")
 
 
 def _list(values: np.ndarray, counts: np.ndarray, kind) -> pa.ListArray:
@@ -199,13 +203,13 @@ def near_classes(df: DataFrame) -> DataFrame:
 
 
 def repeated(df: DataFrame) -> DataFrame:
-    """node, keep: paragraphs and runs whose group occurs in several documents, and the document that keeps it."""
+    """node, grp: paragraphs and runs whose group occurs in several documents."""
     near = near_classes(df)
     every = unit_hashes(df).groupBy("node").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
     found = every.join(bounded_broadcast(near), "node", "left").where("lo < hi or comp is not null")
     found = checkpoint(found.withColumn("grp", F.coalesce("comp", "node")).drop("comp"))
-    groups = found.groupBy("grp").agg(F.min("lo").alias("keep"), F.max("hi").alias("_hi")).where("keep < _hi")
-    return found.join(groups, "grp").select("node", "keep")
+    groups = found.groupBy("grp").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("grp")
+    return found.join(groups, "grp").select("node", "grp")
 
 
 def duplicate_spans(df: DataFrame) -> DataFrame:
@@ -229,9 +233,11 @@ def duplicate_spans(df: DataFrame) -> DataFrame:
     units = docs.mapInArrow(run, "doc long, th long, u array<long>, a array<int>, b array<int>, s array<int>, e array<int>, p array<int>")
     units = units.select("doc", "th", F.explode(F.arrays_zip("u", "a", "b", "s", "e", "p")).alias("x")).select(
         "doc", "th", F.col("x.u").alias("node"), "x.a", "x.b", "x.s", "x.e", "x.p")
-    hit = units.join(bounded_broadcast(table, n_table), "node").where("doc <> keep")
     # repeated rows of a document are one document
-    hit = hit.groupBy("doc", "th", "a", "b", "p").agg(F.first("s").alias("s"), F.first("e").alias("e"), F.min("keep").alias("keep"))
+    hit = units.join(bounded_broadcast(table, n_table), "node")
+    hit = checkpoint(hit.groupBy("doc", "th", "a", "b", "p").agg(F.first("s").alias("s"), F.first("e").alias("e"), F.min("grp").alias("grp")))
+    first = checkpoint(hit.groupBy("grp").agg(F.min(F.struct("doc", "th")).alias("x")).select("grp", F.col("x.doc").alias("keep"), F.col("x.th").alias("keep_th")))
+    hit = hit.join(bounded_broadcast(first), "grp").where("doc <> keep or th <> keep_th")
     order = Window.partitionBy("doc", "th").orderBy("a", "b")
     reach = F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1))
     hit = hit.withColumn("new", F.when(F.col("a") <= reach, 0).otherwise(1))
@@ -248,17 +254,20 @@ def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` with the spans cut out of their texts (and n_chars counted anew, where there is such a column)."""
     cols = docs.columns
     of = spans.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cut")).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th"), "_cut")
-    j = docs.withColumn("_h", F.xxhash64("text")).join(of, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_th")), "left")
+        F.struct(F.col("doc_id").alias("id"), F.col("text_hash").alias("th"), "_cut").alias("spans"))
+    own, found, new = (f"{x}_{uuid.uuid4().hex}" for x in ("th", "spans", "text"))
+    of = of.withColumnRenamed("spans", found)
+    at = lambda c: F.col(f"{found}.{c}")
+    j = docs.withColumn(own, F.xxhash64("text")).join(of, F.col("doc_id").eqNullSafe(at("id")) & (F.col(own) == at("th")), "left")
+    cut = at("_cut")
 
     def piece(i):
-        at = F.when(i == 0, 0).otherwise(F.col("_cut")[i - 1]["end"])
-        to = F.when(i == F.size("_cut"), F.char_length("text")).otherwise(F.col("_cut")[i]["start"])
-        return F.substr("text", at + 1, to - at)
+        start = F.when(i == 0, 0).otherwise(cut[i - 1]["end"])
+        to = F.when(i == F.size(cut), F.char_length("text")).otherwise(cut[i]["start"])
+        return F.substr("text", start + 1, to - start)
 
-    text = F.when(F.col("_cut").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(F.sequence(F.lit(0), F.size("_cut")), piece), ""))
-    out = j.withColumn("_new", text)
+    text = F.when(cut.isNull(), F.col("text")).otherwise(F.array_join(F.transform(F.sequence(F.lit(0), F.size(cut)), piece), ""))
+    out = j.withColumn(new, text)
     if "n_chars" in cols:
-        out = out.withColumn("n_chars", F.when(F.col("_cut").isNull(), F.col("n_chars")).otherwise(F.char_length("_new").cast("long")))
-    return out.withColumn("text", F.col("_new")).select(*cols)
+        out = out.withColumn("n_chars", F.when(cut.isNull(), F.col("n_chars")).otherwise(F.char_length(new).cast("long")))
+    return out.withColumn("text", F.col(new)).select(*cols)

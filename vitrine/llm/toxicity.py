@@ -248,7 +248,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def run(batches):
         m = shared.value
-        for b in batches:
+        for b in (part for b in batches for part in W.slices(b, 2)):
             s = [m.score(t) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_pydict({"doc_id": b.column(0), "held_out": b.column(1), "score": pa.array(s, pa.float64()),
                                               "predicted": pa.array([int(x >= 0.5) for x in s], pa.int32())})
@@ -265,6 +265,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     def run(batches):
         m = shared.value
         for b in batches:
-            yield b.filter(pa.array([m.score(t) < 0.5 for t in b.column(at).to_pylist()], pa.bool_()))
+            for part in W.slices(b, at):
+                yield part.filter(pa.array([m.score(t) < 0.5 for t in part.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -18,7 +18,7 @@ _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 _PINV = np.uint64(pow(int(_P), -1, 1 << 64))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: Bytes hashed in one go: bounds the scratch arrays (8 bytes each) whatever the text lengths.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -87,7 +87,7 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[off[0] : off[-1]], off - off[0]
 
 
-def slices(batch: pa.RecordBatch, text_col: int | str = "text", max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text_col: int | str = "text", max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Row ranges of the batch with about ``max_bytes`` of text each (one row at least): bounds scratch memory."""
     if not batch.num_rows:
         return
