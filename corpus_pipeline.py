@@ -28,15 +28,18 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     ship_package(spark)
     keep = checkpoint(ngram_join.representatives(docs, n=5, percent=80))
 
+    own, kept_row = (f"{x}_{uuid.uuid4().hex}" for x in ("hash", "kept"))  # names no column of the caller has
+
     def of(some: DataFrame) -> DataFrame:
-        some = some.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"))
-        return docs.withColumn("_h", F.xxhash64("text")).join(some, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_th")), "left_semi")
+        some = some.select(F.struct("doc_id", "th").alias(kept_row))
+        return docs.withColumn(own, F.xxhash64("text")).join(
+            some, F.col("doc_id").eqNullSafe(F.col(f"{kept_row}.doc_id")) & (F.col(own) == F.col(f"{kept_row}.th")), "left_semi")
 
     again = (F.col("copies") > 1) & (F.col("n_shingles") > 0)
-    kept = of(keep.where(~again)).drop("_h")
+    kept = of(keep.where(~again)).drop(own)
     if keep.where(again).isEmpty():
         return kept
-    return kept.unionByName(of(keep.where(again)).dropDuplicates(["doc_id", "_h"]).drop("_h"))
+    return kept.unionByName(of(keep.where(again)).dropDuplicates(["doc_id", own]).drop(own))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
