@@ -69,3 +69,13 @@ def test_entry_smoke(spark):
     import __spark_entry__ as E
     assert E.entry(spark).count() >= 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_search_is_chosen_by_the_space():
+    from vitrine.plans.ml_queries import search_plan
+
+    space = lambda *n: {str(i): list(range(k)) for i, k in enumerate(n)}
+    assert search_plan(space(2, 2)) == ("grid", 4) and search_plan(space(10, 10)) == ("grid", 100)
+    assert search_plan(space(101)) == ("random", 50) and search_plan(space(20, 25)) == ("random", 100)
+    assert search_plan(space(501)) == ("random", 60) and search_plan(space(40, 40), minutes=120) == ("random", 200)
+    assert search_plan(space(501), minutes=500) == ("random", 100)

@@ -364,13 +364,29 @@ def q_random_search(spark, d):
                                                "minInstancesPerNode": [1, 2, 4]}, n_iter=4, validation_split=True)
 
 
-def optimize_one(spark, d, name, n_rows_threshold: int = 1000):
-    """Size rule: grid search for small data, random search above (HPO11)."""
-    _, tr, _, _ = prepared(spark, d)
-    big = tr.limit(n_rows_threshold + 1).count() > n_rows_threshold
-    if big:
-        return _search(spark, d, name, GRIDS[name], n_iter=3, validation_split=True).withColumn("strategy", F.lit("random"))
-    return _search(spark, d, name, GRIDS[name], validation_split=True).withColumn("strategy", F.lit("grid"))
+#: Fixed values of the rule below: grids up to the first size are searched whole, those up to the second get half of their
+#: maps, at most so many; larger ones a fifth, at most so many, and what the time allows at so many minutes a map.
+WHOLE_GRID, MEDIUM_GRID, MEDIUM_DRAWS, LARGE_DRAWS, MINUTES_A_MAP = 100, 500, 100, 200, 0.5
+
+
+def search_plan(params: dict, minutes: int = 30) -> tuple[str, int]:
+    """(strategy, maps to try) by the size of the search space (HPO11); the data's size plays no part."""
+    size = 1
+    for values in params.values():
+        size *= len(values)
+    if size <= WHOLE_GRID:
+        return "grid", size
+    if size <= MEDIUM_GRID:
+        return "random", min(MEDIUM_DRAWS, size // 2)
+    return "random", min(LARGE_DRAWS, int(minutes / MINUTES_A_MAP), size // 5)
+
+
+def optimize_one(spark, d, name, params=None, minutes: int = 30):
+    """Grid or random search of one model, as the size of its search space decides (HPO11)."""
+    params = params or GRIDS[name]
+    strategy, n = search_plan(params, minutes)
+    found = _search(spark, d, name, params, n_iter=n if strategy == "random" else None, validation_split=True)
+    return found.withColumn("strategy", F.lit(strategy))
 
 
 @register("optimize_one")
