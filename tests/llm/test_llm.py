@@ -363,6 +363,31 @@ def test_nearest_neighbours_recall(sp):
     assert hit >= 0.9 * 20 * len(got)
 
 
+def test_wide_searches_in_steps_find_what_brute_force_finds(sp, monkeypatch):
+    """Small blocks, so that a search takes several steps: with all leaves visited nothing may be lost to the score floor."""
+    from vitrine.llm import ann
+
+    monkeypatch.setattr(ann, "BLOCK_VECTORS", 16)
+    monkeypatch.setattr(ann, "BLOCK_QUERIES", 4)
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(700, 4)), 1).astype(np.float32)  # ties
+    data = [(i, [float(v) for v in r]) for i, r in enumerate(x) if r.any()]
+    y = x.astype(float)
+    got = collections.defaultdict(list)
+    for r in rows(ann.nearest(sp.createDataFrame(data, "vec_id long, embedding array<float>"), k=7, every=50, recall=1.0)):
+        got[r["query_id"]].append((r["rank"], r["vec_id"]))
+    assert len(got) == 14
+    hit = 0
+    for q, found in got.items():
+        s = (y * y[q]).sum(1)
+        want = [i for _, i in sorted((-s[i], i) for i, _ in data if i != q)[:7]]
+        hit += len({i for _, i in found} & set(want))
+        assert sorted(r for r, _ in found) == list(range(1, 8))
+    assert hit >= 0.95 * 7 * len(got)
+    ways = list(ann.blocks_on(range(6), np.array([0, 0, 1, 2, 2, 3]), np.array([1, 2, 1, 3])))
+    assert [w[0] for w in ways] == [0, 1, 1, 1, 1, 2, 2] and [(w[1], w[2]) for w in ways] == [(0, 0), (1, 0), (1, 1), (2, 0), (3, 0), (3, 1), (3, 2)]
+
+
 def test_empty_tables(sp, empty):
     from vitrine.llm import ann, bpe, chat, mixing, ngram_join, spotsigs, substring, toxicity, urls
 

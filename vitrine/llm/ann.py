@@ -8,7 +8,10 @@ over the original vectors.
 
 Equal vectors are one class: any query needs only its k + 1 smallest ids, so a class of any size costs k + 1 ids.
 Neighbouring small leaves share a block, so that a query's vector is sent once for all of them; large leaves are cut
-into several blocks, and visitors into blocks of queries, so no task holds a whole leaf.
+into several blocks, and visitors into blocks of queries, so no task holds a whole leaf. The blocks on a query's way are
+visited in steps, the first with one block and each later one WIDEN times as wide; a step returns only what reaches the
+query's k-th score so far (ties included), so what all steps return for a query grows with the logarithm of the blocks,
+not with their number. Vectors go to a step only where a query visits their leaves, once for each block of visitors.
 
 Cases: vectors that are null, empty, of another length than most, zero, or that hold null or non-finite
 components take no part, neither as query nor as candidate; ties go to the smaller vec_id; rows that repeat
@@ -35,6 +38,8 @@ BRANCH, LEAF_ROWS = 8, 64
 CALIBRATION_QUERIES = 200
 #: Vectors of a leaf and queries visiting it that meet in one block.
 BLOCK_VECTORS, BLOCK_QUERIES = 2048, 2048
+#: How many times as many blocks each step of a search visits as the step before.
+WIDEN = 4
 
 
 class KMeansTree:
@@ -161,32 +166,78 @@ def nearest(df: DataFrame, k: int = 20, every: int = 20, recall: float = 0.94) -
                 yield p.assign(leaf=shared.value.assign(np.array(p["v"].tolist())))
 
     placed = checkpoint(classes.mapInPandas(leaves, "v array<double>, ids array<long>, leaf long"))
-    queries = checkpoint(rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v"))
-    groups, salts = pack(tree.n_leaves, placed.groupBy("leaf").count().collect())
-    bq = max(1, -(-queries.count() // BLOCK_QUERIES))
-    plan = spark.sparkContext.broadcast((groups, salts))
+    groups, many = pack(tree.n_leaves, placed.groupBy("leaf").count().collect())
+    plan = spark.sparkContext.broadcast((groups, many))
+
+    def route(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            yield p.assign(way=[shared.value.best_bins(np.asarray(v), visits) for v in p["v"]])
+
+    asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v")
+    queries = checkpoint(asked.mapInPandas(route, "query_id long, v array<double>, way array<long>"))
+
+    def count_visits(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of, blocks = plan.value
+        for p in parts:
+            at = [(step, g) for way in p["way"] for step, g in {(step, g) for step, g, _, _ in blocks_on(way, of, blocks)}]
+            yield pd.DataFrame(at, columns=["step", "grp"])
+
+    visitors: dict[int, dict[int, int]] = {}  # at most steps x leaves entries
+    for r in queries.mapInPandas(count_visits, "step int, grp long").groupBy("step", "grp").count().collect():
+        visitors.setdefault(r["step"], {})[r["grp"]] = -(-r["count"] // BLOCK_QUERIES)
+    best = None
+    for step in sorted(visitors):
+        found = _visit(placed, queries, best, plan, spark.sparkContext.broadcast(visitors[step]), step, k)
+        both = found if best is None else best.select("query_id", "vec_id", "score").unionByName(found)
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        best = checkpoint(both.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
+    return best if best is not None else spark.createDataFrame([], out)
+
+
+def blocks_on(way, of: np.ndarray, blocks: np.ndarray) -> Iterator[tuple[int, int, int, list[int]]]:
+    """(step, group, block of the group, leaves to look at) along a query's way. The steps widen: the first has one
+    block, and each later one WIDEN times as many as the one before."""
+    seen: dict[int, list[int]] = {}
+    for leaf in way:
+        seen.setdefault(int(of[leaf]), []).append(int(leaf))
+    step, left = 0, 1
+    for g, here in seen.items():
+        for sv in range(int(blocks[g])):
+            if not left:
+                step, left = step + 1, WIDEN ** (step + 1)
+            left -= 1
+            yield step, g, sv, here
+
+
+def _visit(placed: DataFrame, queries: DataFrame, best: DataFrame | None, plan, salts, step: int, k: int) -> DataFrame:
+    """query_id, vec_id, score of what this step's blocks hold at or above each query's k-th score so far (all of a
+    block's k best where it has fewer than k)."""
 
     def seat(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of, many = plan.value
         for p in parts:
             g = of[p["leaf"].to_numpy()]
-            yield p.assign(grp=g, sv=p["salt"].to_numpy() % many[g])[["v", "ids", "leaf", "grp", "sv"]]
+            p = p.assign(grp=g, sv=p["salt"].to_numpy() % many[g], copies=[salts.value.get(int(x), 0) for x in g])
+            yield p.loc[p["copies"] > 0, ["v", "ids", "leaf", "grp", "sv", "copies"]]
 
-    def bins(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def send(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of, many = plan.value
         for p in parts:
-            found = []
-            for query, v, sq in zip(p["query_id"], p["v"], p["sq"], strict=True):
-                seen = np.array(shared.value.best_bins(np.asarray(v), visits))
-                at = of[seen]
-                for g in np.unique(at).tolist():
-                    found += [(query, v, seen[at == g], g, sv, sq) for sv in range(many[g])]
-            yield pd.DataFrame(found, columns=["query_id", "v", "leaves", "grp", "sv", "sq"])
+            found = [(query, v, here, g, sv, int(salt) % salts.value[g], floor)
+                     for query, v, way, salt, floor in zip(p["query_id"], p["v"], p["way"], p["salt"], p["floor"], strict=True)
+                     for at, g, sv, here in blocks_on(way, of, many) if at == step]
+            yield pd.DataFrame(found, columns=["query_id", "v", "leaves", "grp", "sv", "sq", "floor"])
 
     vs = placed.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(1 << 20))).mapInPandas(
-        seat, "v array<double>, ids array<long>, leaf long, grp long, sv long").withColumn("sq", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
-    qs = queries.withColumn("sq", F.pmod(F.xxhash64("query_id"), F.lit(bq)).cast("int")).mapInPandas(
-        bins, "query_id long, v array<double>, leaves array<long>, grp long, sv long, sq int")
+        seat, "v array<double>, ids array<long>, leaf long, grp long, sv long, copies int")
+    vs = vs.withColumn("sq", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+    if best is None:
+        qs = queries.withColumn("floor", F.lit(float("-inf")))
+    else:
+        floors = best.where(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
+        qs = queries.join(floors, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+    qs = qs.withColumn("salt", F.pmod(F.xxhash64("query_id"), F.lit(1 << 20))).mapInPandas(
+        send, "query_id long, v array<double>, leaves array<long>, grp long, sv long, sq int, floor double")
 
     def meet(vecs: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -195,23 +246,21 @@ def nearest(df: DataFrame, k: int = 20, every: int = 20, recall: float = 0.94) -
             here, leaf = np.unique(vecs["leaf"].to_numpy(), return_inverse=True)
             ids = vecs["ids"].tolist()
             rough = q @ v.T
-            for i, (query, seen) in enumerate(zip(asks["query_id"].tolist(), asks["leaves"], strict=True)):
+            for i, (query, seen, floor) in enumerate(zip(asks["query_id"].tolist(), asks["leaves"], asks["floor"].tolist(), strict=True)):
                 open_rows = np.flatnonzero(np.isin(here, seen)[leaf])
                 if not len(open_rows):
                     continue
                 s = rough[i, open_rows]
                 m = min(k + 1, len(s))
-                edge = -np.partition(-s, m - 1)[m - 1]
+                edge = max(floor, -np.partition(-s, m - 1)[m - 1])
                 near = open_rows[s >= edge - 1e-9 * (1 + abs(edge))]
                 exact = _dot(v[near], q[i])
-                pairs = sorted((-x, c) for x, j in zip(exact.tolist(), near.tolist(), strict=True) for c in ids[j] if c != query)[:k]
+                pairs = sorted((-x, c) for x, j in zip(exact.tolist(), near.tolist(), strict=True) if x >= floor for c in ids[j] if c != query)[:k]
                 found += [(query, c, -x) for x, c in pairs]
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
     keys = ["grp", "sv", "sq"]
-    near = vs.groupBy(*keys).cogroup(qs.groupBy(*keys)).applyInPandas(meet, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return vs.groupBy(*keys).cogroup(qs.groupBy(*keys)).applyInPandas(meet, "query_id long, vec_id long, score double")
 
 
 def pack(n_leaves: int, counts) -> tuple[np.ndarray, np.ndarray]:
