@@ -203,3 +203,20 @@ weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn
 couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
 would
 """.split())
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES -- model recommendation. Traits by words of a model's name, first match in order; DEFAULT_TRAIT where none fits.
+# ---------------------------------------------------------------------------
+MODEL_TRAITS = {
+    "interpretability": [(("logistic", "linear"), 0.9), (("tree", "forest"), 0.7), (("svm", "support"), 0.3),
+                         (("neural", "mlp", "deep"), 0.1)],
+    "speed": [(("logistic", "linear", "naive"), 0.9), (("tree", "forest"), 0.6), (("svm", "support"), 0.4),
+              (("neural", "mlp", "boost"), 0.3)],
+    "complexity": [(("logistic", "linear", "naive"), 0.2), (("tree",), 0.4), (("forest", "boost"), 0.7), (("svm", "neural"), 0.8)],
+    "memory": [(("logistic", "linear", "naive"), 0.9), (("tree", "svm"), 0.7), (("forest", "boost"), 0.5), (("neural", "mlp"), 0.3)],
+}
+DEFAULT_TRAIT = 0.5
+INTERPRETABLE_MODELS = ("logistic", "linear", "tree", "forest")
+FAST_MODELS = ("logistic", "linear", "naive_bayes")
+# Metrics of a ranking, equally weighted.
+RANKING_METRICS = ("f1_score", "roc_auc", "accuracy", "precision", "recall")

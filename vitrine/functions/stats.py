@@ -137,3 +137,9 @@ def mann_whitney_p(u_stat: float, n1: int, n2: int) -> float:
 def t_table(max_df: int = 200, p: float = 0.975) -> list:
     """(df, t quantile) rows for df 1..max_df."""
     return [(d, t_ppf(p, d)) for d in range(1, max_df + 1)]
+
+
+def t_tail(z: float = 1.959963984540054) -> list:
+    """Coefficients of 1 / df ** i, i = 0..4, of the t quantile whose normal quantile is ``z``."""
+    return [z, (z**3 + z) / 4, (5 * z**5 + 16 * z**3 + 3 * z) / 96, (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
+            (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160]

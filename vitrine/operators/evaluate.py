@@ -15,6 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.functions.prefix import prefix_sums
+from vitrine.functions.stats import t_tail
+
+T_TAIL = t_tail()
+
+
+#: Absolute plus relative tolerance of a sum of probabilities against 1.
+SUM_TOLERANCE = 1e-3 + 1e-5
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -73,6 +80,51 @@ def roc_auc(pred: DataFrame, keys: Sequence[str]) -> DataFrame:
     return part.select(*keys, _div(F.col("s"), F.col("P") * F.col("N")).alias("auc"))
 
 
+def metrics(pred: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All metrics with ``roc_auc`` (EVA1, EVA2); roc_auc is null where one class is missing or no score is known."""
+    m = metrics_from_counts(confusion_counts(pred, keys))
+    auc = roc_auc(pred.where(F.col("proba").isNotNull()), keys).withColumnRenamed("auc", "roc_auc")
+    both = (F.col("tp") + F.col("fn") > 0) & (F.col("tn") + F.col("fp") > 0)
+    return m.join(auc, list(keys), "left").withColumn("roc_auc", F.when(both, F.col("roc_auc")))
+
+
+def weighted_metrics(pred: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """accuracy, and precision, recall and f1_score averaged over the classes by support; one aggregate."""
+    c = confusion_counts(pred, keys)
+    tp, fp, fn, tn, n = (F.col(x) for x in ("tp", "fp", "fn", "tn", "n"))
+    pos, neg = tp + fn, tn + fp
+
+    def both(one: Column, zero: Column) -> Column:
+        return _div(one * pos + zero * neg, n)
+    return c.select(*keys, _div(tp + tn, n).alias("accuracy"), both(_div(tp, tp + fp), _div(tn, tn + fn)).alias("precision"),
+                    both(_div(tp, pos), _div(tn, neg)).alias("recall"),
+                    both(_div(2 * tp, 2 * tp + fp + fn), _div(2 * tn, 2 * tn + fn + fp)).alias("f1_score"))
+
+
+WEIGHTED = ("accuracy", "precision", "recall", "f1_score")
+
+
+def drift(current: DataFrame, stored: DataFrame, key: str = "model", fall: float = 0.05) -> DataFrame:
+    """Metrics now against stored ones, a row per metric; degraded where a metric fell by more than ``fall``, and
+    model_degraded where any of the model's did (EVA27)."""
+
+    def long(df: DataFrame, name: str) -> DataFrame:
+        return df.select(key, F.stack(F.lit(len(WEIGHTED)), *[x for m in WEIGHTED for x in (F.lit(m), F.col(m))]).alias("metric", name))
+    j = long(current, "current").join(long(stored, "stored"), [key, "metric"])
+    j = j.withColumn("change", F.col("current") - F.col("stored")).withColumn("degraded", F.col("change") < -fall)
+    return j.withColumn("model_degraded", F.max("degraded").over(Window.partitionBy(key)))  # a row per metric in each window
+
+
+def rank_models(m: DataFrame, weights: dict) -> DataFrame:
+    """Weighted score over metrics, a null metric counting 0, and the rank (WIN10). The weights sum to 1."""
+    if abs(sum(weights.values()) - 1) > 1e-6:
+        raise ValueError("weights must sum to 1")
+    score = sum((F.coalesce(F.col(k), F.lit(0.0)) * w for k, w in weights.items()), F.lit(0.0))
+    scored = m.select("model", score.alias("weighted_score"), *weights)
+    # a row per model
+    return scored.withColumn("rank", F.row_number().over(Window.orderBy(F.col("weighted_score").desc(), "model")))
+
+
 def pr_curve(pred: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Precision and recall when predicting positive at score >= threshold (EVA4)."""
     r = roc_curve(pred, keys).where(~F.isnan("threshold") & (F.col("threshold") != float("inf")))
@@ -125,14 +177,24 @@ def class_report(pred: DataFrame, keys: Sequence[str]) -> DataFrame:
     return per.unionByName(macro).unionByName(weighted)
 
 
-def prediction_check(pred: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Predicted classes within true classes, probabilities in [0, 1] (EVA6)."""
+def prediction_check(pred: DataFrame, keys: Sequence[str], probs: str | None = None) -> DataFrame:
+    """Predicted classes within true classes, probabilities in [0, 1] and, where ``probs`` names a column with an array of
+    class probabilities, sums of 1 within a tolerance (EVA6). A null probability fails. A single ``proba`` has no sum to test."""
+    ok = F.lit(True)
+    if probs:
+        inside = F.forall(probs, lambda x: (x >= 0) & (x <= 1))
+        ok = F.abs(F.aggregate(probs, F.lit(0.0), lambda a, x: a + x) - 1) <= SUM_TOLERANCE
+    else:
+        inside = (F.col("proba") >= 0) & (F.col("proba") <= 1)
+
+    def bad(c: Column) -> Column:
+        return F.count_if(~F.coalesce(c, F.lit(False)))
     g = pred.groupBy(*keys).agg(F.collect_set("y_true").alias("t"), F.collect_set("y_pred").alias("p"),
-                                F.count_if((F.col("proba") < 0) | (F.col("proba") > 1)).alias("bad_proba"),
-                                F.count_if(F.abs(F.col("proba") + (1 - F.col("proba")) - 1) > 1e-3).alias("bad_sum"))
-    return g.select(*keys, (F.size(F.array_except("p", "t")) == 0).alias("classes_ok"),
+                                bad(inside).alias("bad_proba"), bad(ok).alias("bad_sum"))
+    unknown = F.array_except("p", "t")
+    return g.select(*keys, (F.size(unknown) == 0).alias("classes_ok"),
                     (F.col("bad_proba") == 0).alias("proba_range_ok"), (F.col("bad_sum") == 0).alias("proba_sum_ok"),
-                    F.array_join(F.array_sort(F.array_except("p", "t")).cast("array<string>"), ",").alias("unknown_classes"))
+                    F.array_join(F.array_sort(unknown).cast("array<string>"), ",").alias("unknown_classes"))
 
 
 def confusion(pred: DataFrame, keys: Sequence[str], normalize: bool = False) -> DataFrame:
@@ -147,14 +209,16 @@ def confusion(pred: DataFrame, keys: Sequence[str], normalize: bool = False) ->
 
 def fold_stats(cv: DataFrame, t_table: DataFrame, keys: Sequence[str] = ("model", "metric")) -> DataFrame:
     """Mean, std (n), quartiles, IQR, coefficient of variation, 95 % t
-    interval of fold scores (EVA13). ``t_table`` (df, t) is a fixed small frame."""
+    interval of fold scores (EVA13). ``t_table`` (df, t) is a fixed small frame; beyond it Student's quantile is expanded around the
+    normal one (within 1e-10 from 200 degrees on)."""
     s = F.col("score")
     g = cv.groupBy(*keys).agg(F.avg(s).alias("mean"), F.stddev_pop(s).alias("std"), F.stddev_samp(s).alias("std_sample"),
                               F.min(s).alias("min"), F.max(s).alias("max"), F.percentile(s, 0.25).alias("q25"),
                               F.percentile(s, 0.5).alias("median"), F.percentile(s, 0.75).alias("q75"),
                               F.count(F.lit(1)).alias("n"))
     g = g.join(F.broadcast(t_table), g["n"] - 1 == t_table["df"], "left")
-    half = F.col("t") * F.col("std_sample") / F.sqrt("n")
+    df = (F.col("n") - 1).cast("double")
+    half = F.coalesce(F.col("t"), F.when(df > 0, sum((F.lit(c) / F.pow(df, F.lit(float(i))) for i, c in enumerate(T_TAIL)), F.lit(0.0)))) * F.col("std_sample") / F.sqrt("n")
     return g.select(*keys, "mean", "std", "min", "max", "q25", "median", "q75", (F.col("q75") - F.col("q25")).alias("iqr"),
                     _div(F.col("std"), F.col("mean")).alias("cv"), (F.col("mean") - half).alias("ci_lower"),
                     (F.col("mean") + half).alias("ci_upper"), "n")
@@ -164,18 +228,24 @@ def pivot_models(cv: DataFrame, row_keys: Sequence[str], models: Sequence[str])
     return cv.groupBy(*row_keys).pivot("model", list(models)).agg(F.first("score"))
 
 
+PAIR_SCHEMA = ("model_a string, model_b string, metric string, n long, mean_diff double, t_stat double, cohens_d double, "
+               "wilcoxon_w double, n_nonzero long, u_stat double, n1 long, n2 long")
+
+
 def paired_stats(cv: DataFrame, models: Sequence[str], keys: Sequence[str] = ("metric",)) -> DataFrame:
     """For each model pair: paired t statistic, Wilcoxon W (min of signed-rank
     sums, zero differences dropped, average ranks for ties), Mann-Whitney U
     and Cohen's d of fold differences (EVA15, JOIN12). Fold scores are pivoted
     to one row per fold and the model-pair columns exploded once, so every
     pair is computed in one plan keyed by (pair, metric); rows are folds x pairs."""
+    if len(models) < 2:
+        return cv.sparkSession.createDataFrame([], PAIR_SCHEMA)
     wide = pivot_models(cv, [*keys, "fold"], models)
     pairs = [(a, b) for i, a in enumerate(models) for b in models[i + 1:]]
     arr = F.array(*[F.struct(F.lit(a).alias("model_a"), F.lit(b).alias("model_b"), F.col(f"`{a}`").alias("xa"),
                              F.col(f"`{b}`").alias("xb")) for a, b in pairs])
     x = wide.select(*keys, "fold", F.explode(arr).alias("p")).select(*keys, "fold", "p.*")
-    x = x.withColumn("d", F.col("xa") - F.col("xb"))
+    x = x.where(F.col("xa").isNotNull() & F.col("xb").isNotNull()).withColumn("d", F.col("xa") - F.col("xb"))
     k = ["model_a", "model_b", *keys]
     w = Window.partitionBy(*k)
     nz = x.where(F.col("d") != 0).withColumn("ad", F.abs("d"))
@@ -191,8 +261,8 @@ def paired_stats(cv: DataFrame, models: Sequence[str], keys: Sequence[str] = ("m
     u1 = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2.0
     mw = mw.select(*k, F.least(u1, F.col("n1") * F.col("n2") - u1).alias("u_stat"), "n1", "n2")
     t = x.groupBy(*k).agg(F.avg("d").alias("mean_diff"), F.stddev_samp("d").alias("sd_diff"), F.count(F.lit(1)).alias("n"))
-    t = t.select(*k, "mean_diff", "n", (F.col("mean_diff") / (F.col("sd_diff") / F.sqrt("n"))).alias("t_stat"),
-                 (F.col("mean_diff") / F.col("sd_diff")).alias("cohens_d"))
+    t = t.select(*k, "mean_diff", "n", (F.col("mean_diff") / (F.nullif(F.col("sd_diff"), F.lit(0.0)) / F.sqrt("n"))).alias("t_stat"),
+                 (F.col("mean_diff") / F.nullif(F.col("sd_diff"), F.lit(0.0))).alias("cohens_d"))
     return (t.join(wil, k, "left").join(mw, k, "left")
             .select(*k, "n", "mean_diff", "t_stat", "cohens_d", F.least("w_plus", "w_minus").alias("wilcoxon_w"),
                     F.coalesce("n_nonzero", F.lit(0)).alias("n_nonzero"), "u_stat", "n1", "n2"))

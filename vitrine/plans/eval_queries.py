@@ -3,15 +3,29 @@
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from vitrine import config as C
 from vitrine.functions import stats as ST
+from vitrine.operators import bootstrap as BS
 from vitrine.operators import evaluate as EV
+from vitrine.operators import recommend as RC
+from vitrine.operators.relational import distinct_values
 from vitrine.plans.catalog import register
 from vitrine.sources import fixtures as FX
 
-MODELS = ["click", "error", "purchase", "signup", "view"]
+#: Kinds of model under whose names recommendations see the fixture's models; others keep their own.
+KINDS = {"click": "logistic_regression", "error": "svm_rbf", "purchase": "random_forest", "signup": "gradient_boosting", "view": "mlp_neural"}
+KIND_SQL = "CASE model " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in KINDS.items()) + " ELSE model END"
+
+
+def kind(c="model"):
+    out = None
+    for k, v in KINDS.items():
+        hit = F.col(c) == k
+        out = F.when(hit, F.lit(v)) if out is None else out.when(hit, F.lit(v))
+    return out.otherwise(F.col(c))
 
 
 def _r6(df):
@@ -38,10 +52,21 @@ def metrics_sql(keys, where="TRUE", digits=6):
             "f1_score": _div("2 * tp", "2 * tp + fp + fn"), "specificity": spec, "sensitivity": rec, "ppv": prec,
             "npv": _div("tn", "tn + fn"),
             "mcc": "coalesce((CAST(tp AS DOUBLE) * tn - CAST(fp AS DOUBLE) * fn) / nullif(sqrt(CAST(tp + fp AS DOUBLE) * (tp + fn) * (tn + fp) * (tn + fn)), 0), 0e0)"}
-    cols = ", ".join(f"round({e}, {digits}) AS {m}" for m, e in expr.items())
+    cols = ", ".join((f"round({e}, {digits})" if digits else e) + f" AS {m}" for m, e in expr.items())
     return f"SELECT {k}, n, tp, fp, fn, tn, {cols} FROM ({counts_sql(keys, where)})"
 
 
+AUC_SQL = """(SELECT model, sum(pos * (cum_neg - neg + neg / 2e0)) / nullif(sum(pos) * sum(neg), 0) AS roc_auc FROM
+  (SELECT *, sum(neg) OVER (PARTITION BY model ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg FROM
+  (SELECT model, proba AS score, count_if(y_true = 1) AS pos, count_if(y_true = 0) AS neg FROM predictions GROUP BY model, proba)) GROUP BY model)"""
+
+
+def all_metrics_sql(digits=6):
+    """Metrics by model with roc_auc."""
+    auc = f"round(a.roc_auc, {digits})" if digits else "a.roc_auc"
+    return f"SELECT m.*, {auc} AS roc_auc FROM ({metrics_sql(['model'], digits=digits)}) m LEFT JOIN {AUC_SQL} a ON m.model = a.model"
+
+
 def _pred(spark, d):
     return FX.predictions(spark, d)
 
@@ -51,14 +76,20 @@ def _metrics(spark, d, keys, digits=6):
     return m.withColumns({c: F.round(c, digits) for c in METRIC_COLS})
 
 
-@register("metrics", "SELECT * FROM (" + metrics_sql(["model"]) + ") WHERE model = 'click'")
+def _all_metrics(spark, d, digits=6):
+    m = EV.metrics(_pred(spark, d), ["model"])
+    return m.withColumns({c: F.round(c, digits) for c in [*METRIC_COLS, "roc_auc"]}) if digits else m
+
+
+@register("metrics", all_metrics_sql())
 def q_metrics(spark, d):
-    return _metrics(spark, d, ["model"]).where(F.col("model") == "click")
+    """Every metric of each model (EVA1)."""
+    return _all_metrics(spark, d)
 
 
-@register("metrics_by_model", metrics_sql(["model"], digits=4) + " ORDER BY f1_score DESC")
+@register("metrics_by_model", all_metrics_sql(4) + " ORDER BY f1_score DESC")
 def q_metrics_by_model(spark, d):
-    return _metrics(spark, d, ["model"], 4).orderBy(F.col("f1_score").desc())
+    return _all_metrics(spark, d, 4).orderBy(F.col("f1_score").desc())
 
 
 @register("class_report", f"""WITH c AS ({counts_sql(["model"])}),
@@ -126,10 +157,26 @@ def q_best_threshold(spark, d):
     return _r6(EV.best_threshold(EV.roc_curve(_pred(spark, d), ["model"]), ["model"]))
 
 
-@register("prediction_check", """SELECT model, len(list_filter(list_distinct(list(y_pred)), lambda x: NOT list_contains(list_distinct(list(y_true)), x))) = 0 AS classes_ok,
-  count_if(proba < 0 OR proba > 1) = 0 AS proba_range_ok, count_if(abs(proba + (1 - proba) - 1) > 1e-3) = 0 AS proba_sum_ok, '' AS unknown_classes FROM predictions GROUP BY model""")
+#: Class probabilities of the predictions, with the faults that the check looks for in some rows.
+CHECKED_SQL = """SELECT model, y_true, CASE WHEN model = 'error' AND row_id % 101 = 0 THEN 2 ELSE y_pred END AS y_pred,
+  [CASE WHEN model = 'click' AND row_id % 7 = 0 THEN 1.01e0 - proba WHEN model = 'purchase' AND row_id % 13 = 0 THEN 1.5e0 ELSE 1 - proba END,
+   CASE WHEN model = 'purchase' AND row_id % 13 = 0 THEN -0.5e0 ELSE proba END] AS probs FROM predictions"""
+
+
+def _checked(spark, d):
+    p, i, out = F.col("proba"), F.col("row_id"), (F.col("model") == "purchase") & (F.col("row_id") % 13 == 0)
+    first = F.when((F.col("model") == "click") & (i % 7 == 0), F.lit(1.01) - p).when(out, F.lit(1.5)).otherwise(1 - p)
+    return _pred(spark, d).select("model", "y_true", F.when((F.col("model") == "error") & (i % 101 == 0), F.lit(2)).otherwise(F.col("y_pred")).alias("y_pred"),
+                                  F.array(first, F.when(out, F.lit(-0.5)).otherwise(p)).alias("probs"))
+
+
+@register("prediction_check", f"""WITH g AS (SELECT model, list_distinct(list(y_pred)) AS p, list_distinct(list(y_true)) AS t,
+  count_if(NOT (probs[1] BETWEEN 0 AND 1 AND probs[2] BETWEEN 0 AND 1)) = 0 AS proba_range_ok,
+  count_if(abs(probs[1] + probs[2] - 1) > {EV.SUM_TOLERANCE!r}) = 0 AS proba_sum_ok FROM ({CHECKED_SQL}) GROUP BY model),
+u AS (SELECT *, list_sort(list_filter(p, lambda x: NOT list_contains(t, x))) AS unknown FROM g)
+SELECT model, len(unknown) = 0 AS classes_ok, proba_range_ok, proba_sum_ok, array_to_string(unknown, ',') AS unknown_classes FROM u""")
 def q_prediction_check(spark, d):
-    return EV.prediction_check(_pred(spark, d), ["model"])
+    return EV.prediction_check(_checked(spark, d), ["model"], "probs")
 
 
 def _conf_sql(keys, normalize):
@@ -140,14 +187,15 @@ def _conf_sql(keys, normalize):
     return f"SELECT {k}, y_true, round({_div('pred_0', 'pred_0 + pred_1')}, 6) AS pred_0, round({_div('pred_1', 'pred_0 + pred_1')}, 6) AS pred_1 FROM ({base})"
 
 
-@register("confusion", "SELECT * FROM (" + _conf_sql(["model"], False).replace("GROUP BY model, y_true", "WHERE model = 'click' GROUP BY model, y_true") + ")")
+@register("confusion", _conf_sql(["model", "fold"], False))
 def q_confusion(spark, d):
-    return EV.confusion(_pred(spark, d).where(F.col("model") == "click"), ["model"])
+    """Confusion counts of every model on every fold (EVA22)."""
+    return EV.confusion(_pred(spark, d), ["model", "fold"])
 
 
-@register("confusion_normalized", _conf_sql(["model"], True).replace("GROUP BY model, y_true", "WHERE model = 'click' GROUP BY model, y_true"))
+@register("confusion_normalized", _conf_sql(["model", "fold"], True))
 def q_confusion_normalized(spark, d):
-    return _r6(EV.confusion(_pred(spark, d).where(F.col("model") == "click"), ["model"], normalize=True))
+    return _r6(EV.confusion(_pred(spark, d), ["model", "fold"], normalize=True))
 
 
 @register("confusion_by_model", _conf_sql(["model"], False))
@@ -159,6 +207,8 @@ def q_confusion_by_model(spark, d):
 T_ROWS = ST.t_table(200)
 T_SQL = "(SELECT * FROM (VALUES " + ", ".join(f"({a}, {b!r}::DOUBLE)" for a, b in T_ROWS) + ") tt(df, t))"
 
+T_BEYOND = "CASE WHEN g.n > 1 THEN " + " + ".join(f"{c!r} / pow(g.n - 1, {i})" for i, c in enumerate(EV.T_TAIL)) + " END"
+
 
 def _t_frame(spark):
     return spark.createDataFrame(T_ROWS, "df long, t double")
@@ -166,7 +216,7 @@ def _t_frame(spark):
 
 CV_STATS_SQL = f"""WITH g AS (SELECT model, metric, avg(score) AS mean, stddev_pop(score) AS std, stddev_samp(score) AS sds, min(score) AS min, max(score) AS max,
   quantile_cont(score, 0.25) AS q25, quantile_cont(score, 0.5) AS median, quantile_cont(score, 0.75) AS q75, count(*) AS n FROM cv_scores WHERE side = 'test' GROUP BY model, metric),
-s AS (SELECT g.*, tt.t FROM g LEFT JOIN {T_SQL} tt ON g.n - 1 = tt.df)
+s AS (SELECT g.*, coalesce(tt.t, {T_BEYOND}) AS t FROM g LEFT JOIN {T_SQL} tt ON g.n - 1 = tt.df)
 SELECT model, metric, round(mean, 6) AS mean, round(std, 6) AS std, round(min, 6) AS min, round(max, 6) AS max, round(q25, 6) AS q25, round(median, 6) AS median,
   round(q75, 6) AS q75, round(q75 - q25, 6) AS iqr, round({_div('std', 'mean')}, 6) AS cv, round(mean - t * sds / sqrt(n), 6) AS ci_lower,
   round(mean + t * sds / sqrt(n), 6) AS ci_upper, n FROM s"""
@@ -207,61 +257,55 @@ def q_cv_detail(spark, d):
     return _r6(_cv_detail(spark, d))
 
 
-@register("comparison_table", "SELECT m.model, m.accuracy, m.f1_score, m.auc_proxy, c.test_mean AS cv_f1_mean, c.test_std AS cv_f1_std, c.overfitting FROM ("
-          + "SELECT model, accuracy, f1_score, round(balanced_accuracy, 6) AS auc_proxy FROM (" + metrics_sql(["model"]) + ")) m JOIN ("
-          + CV_DETAIL_SQL + ") c ON m.model = c.model WHERE c.metric = 'f1_score'")
-def q_comparison_table(spark, d):
-    """Test metrics joined to CV mean, std and overfitting (EVA18)."""
-    m = _metrics(spark, d, ["model"]).select("model", "accuracy", "f1_score", F.col("balanced_accuracy").alias("auc_proxy"))
-    c = _r6(_cv_detail(spark, d)).where(F.col("metric") == "f1_score").select(
-        "model", F.col("test_mean").alias("cv_f1_mean"), F.col("test_std").alias("cv_f1_std"), "overfitting")
-    return m.join(c, "model")
+COMPARED = ("accuracy", "precision", "recall", "f1_score")
 
 
-def _pair_sql_wide(metric):
-    cols = ", ".join(f"max(CASE WHEN model = '{m}' THEN score END) AS \"{m}\"" for m in MODELS)
-    return f"SELECT metric, fold, {cols} FROM cv_scores WHERE side = 'test' AND metric = '{metric}' GROUP BY metric, fold"
+@register("comparison_table", "WITH c AS (" + CV_DETAIL_SQL.replace("round(", "(").replace(", 6)", ")") + "), w AS (SELECT model, " + ", ".join(
+    f"max(CASE WHEN metric = '{m}' THEN {e} END) AS {n}" for m in COMPARED for e, n in (("test_mean", f"cv_{m}_mean"), ("test_std", f"cv_{m}_std"), ("overfitting", f"overfitting_{m}")))
+    + " FROM c GROUP BY model) SELECT m.model, " + ", ".join(f"round(m.{m}, 4) AS test_{m}" for m in (*COMPARED, "roc_auc")) + ", "
+    + ", ".join(f"round({n}, 4) AS {n}" for m in COMPARED for n in (f"cv_{m}_mean", f"cv_{m}_std", f"overfitting_{m}"))
+    + f" FROM ({all_metrics_sql(None)}) m LEFT JOIN w ON m.model = w.model ORDER BY test_f1_score DESC")
+def q_comparison_table(spark, d):
+    """Test metrics and AUC beside each metric's CV mean, std and overfitting (EVA18)."""
+    m = _all_metrics(spark, d, None).select("model", *[F.col(x).alias(f"test_{x}") for x in (*COMPARED, "roc_auc")])
+    at = {n: F.max(F.when(F.col("metric") == x, F.col(e))).alias(n) for x in COMPARED
+          for e, n in (("test_mean", f"cv_{x}_mean"), ("test_std", f"cv_{x}_std"), ("overfitting", f"overfitting_{x}"))}
+    j = m.join(_cv_detail(spark, d).groupBy("model").agg(*at.values()), "model", "left")
+    return j.withColumns({c: F.round(c, 4) for c in j.columns if c != "model"}).orderBy(F.col("test_f1_score").desc())
 
 
-def _pairs():
-    return [(a, b) for i, a in enumerate(MODELS) for b in MODELS[i + 1:]]
+PAIRS_SQL = """x AS (SELECT a.model AS model_a, b.model AS model_b, a.metric, a.fold, a.score AS xa, b.score AS xb, a.score - b.score AS d
+  FROM cv_scores a JOIN cv_scores b ON a.metric = b.metric AND a.fold = b.fold AND a.side = b.side AND a.model < b.model WHERE a.side = 'test')"""
+T_TEST_SQL = "avg(d) / (nullif(stddev_samp(d), 0e0) / sqrt(count(*))) AS t_stat, avg(d) / nullif(stddev_samp(d), 0e0) AS cohens_d"
 
 
-def _ttest_sql(metric):
-    parts = []
-    for a, b in _pairs():
-        parts.append(f"""SELECT '{a}' AS model_a, '{b}' AS model_b, metric, count(*) AS n, round(avg("{a}" - "{b}"), 6) AS mean_diff,
-  round(avg("{a}" - "{b}") / (stddev_samp("{a}" - "{b}") / sqrt(count(*))), 6) AS t_stat,
-  round(avg("{a}" - "{b}") / stddev_samp("{a}" - "{b}"), 6) AS cohens_d FROM w GROUP BY metric""")
-    return f"WITH w AS ({_pair_sql_wide(metric)}) " + " UNION ALL ".join(parts)
+def _pairs(spark, d):
+    """Paired statistics of all pairs of the models there are, on every metric."""
+    cv = _cv_test(spark, d)
+    return EV.paired_stats(cv, distinct_values(cv, "model"))
 
 
-@register("pairwise_ttest", _ttest_sql("accuracy"))
+@register("pairwise_ttest", f"""WITH {PAIRS_SQL}, t AS (SELECT model_a, model_b, metric, count(*) AS n, avg(d) AS mean_diff, {T_TEST_SQL} FROM x GROUP BY ALL)
+SELECT model_a, model_b, metric, n, round(mean_diff, 6) AS mean_diff, round(t_stat, 6) AS t_stat, round(cohens_d, 6) AS cohens_d FROM t""")
 def q_pairwise_ttest(spark, d):
     """Paired t statistic for all model pairs on fold scores (JOIN12)."""
-    s = EV.paired_stats(_cv_test(spark, d).where(F.col("metric") == "accuracy"), MODELS)
-    return _r6(s.select("model_a", "model_b", "metric", "n", "mean_diff", "t_stat", "cohens_d"))
-
+    return _r6(_pairs(spark, d).select("model_a", "model_b", "metric", "n", "mean_diff", "t_stat", "cohens_d"))
 
-def _sig_stats(spark, d):
-    return EV.paired_stats(_cv_test(spark, d).where(F.col("metric") == "f1_score"), MODELS)
 
-
-@register("significance_stats", f"""WITH w AS ({_pair_sql_wide('f1_score')}), x AS (""" + " UNION ALL ".join(
-    f"SELECT '{a}' AS model_a, '{b}' AS model_b, metric, fold, \"{a}\" AS xa, \"{b}\" AS xb, \"{a}\" - \"{b}\" AS d FROM w" for a, b in _pairs()) + """),
+@register("significance_stats", f"""WITH {PAIRS_SQL},
 nz AS (SELECT *, abs(d) AS ad FROM x WHERE d <> 0),
 rk AS (SELECT *, rank() OVER (PARTITION BY model_a, model_b, metric ORDER BY ad) + (count(*) OVER (PARTITION BY model_a, model_b, metric, ad) - 1) / 2e0 AS r FROM nz),
 wil AS (SELECT model_a, model_b, metric, least(sum(CASE WHEN d > 0 THEN r ELSE 0e0 END), sum(CASE WHEN d < 0 THEN r ELSE 0e0 END)) AS wilcoxon_w, count(*) AS n_nonzero FROM rk GROUP BY ALL),
 pool AS (SELECT model_a, model_b, metric, xa AS v, 1 AS g FROM x UNION ALL SELECT model_a, model_b, metric, xb, 2 FROM x),
 pr AS (SELECT *, rank() OVER (PARTITION BY model_a, model_b, metric ORDER BY v) + (count(*) OVER (PARTITION BY model_a, model_b, metric, v) - 1) / 2e0 AS r FROM pool),
 mw AS (SELECT model_a, model_b, metric, sum(CASE WHEN g = 1 THEN r END) - count_if(g = 1) * (count_if(g = 1) + 1) / 2e0 AS u1, count_if(g = 1) AS n1, count_if(g = 2) AS n2 FROM pr GROUP BY ALL),
-t AS (SELECT model_a, model_b, metric, count(*) AS n, avg(d) AS mean_diff, avg(d) / (stddev_samp(d) / sqrt(count(*))) AS t_stat, avg(d) / stddev_samp(d) AS cohens_d FROM x GROUP BY ALL)
+t AS (SELECT model_a, model_b, metric, count(*) AS n, avg(d) AS mean_diff, {T_TEST_SQL} FROM x GROUP BY ALL)
 SELECT t.model_a, t.model_b, t.metric, t.n, round(mean_diff, 6) AS mean_diff, round(t_stat, 6) AS t_stat, round(cohens_d, 6) AS cohens_d,
   round(wilcoxon_w, 6) AS wilcoxon_w, coalesce(n_nonzero, 0) AS n_nonzero, round(least(u1, n1 * n2 - u1), 6) AS u_stat, n1, n2
 FROM t LEFT JOIN wil USING (model_a, model_b, metric) LEFT JOIN mw USING (model_a, model_b, metric)""")
 def q_significance_stats(spark, d):
     """Paired t, Wilcoxon and Mann-Whitney statistics for every model pair (EVA15)."""
-    return _r6(_sig_stats(spark, d))
+    return _r6(_pairs(spark, d))
 
 
 _P_SCHEMA = "model_a string, model_b string, metric string, t_stat double, t_p double, wilcoxon_w double, wilcoxon_p double, u_stat double, mann_whitney_p double"
@@ -280,8 +324,8 @@ def _p_values(pdf: pd.DataFrame) -> pd.DataFrame:
 def q_significance(spark, d):
     """p-values of the three tests: one grouped pandas step over the small
     statistics frame (one row per model pair)."""
-    s = _sig_stats(spark, d)
-    return s.groupBy("model_a", "model_b").applyInPandas(_p_values, _P_SCHEMA)
+    s = _pairs(spark, d)
+    return s.groupBy("model_a", "model_b", "metric").applyInPandas(_p_values, _P_SCHEMA)
 
 
 ANOVA_SQL = """WITH per AS (SELECT metric, model, avg(score) AS m, count(*) AS n, sum(score * score) AS ss FROM cv_scores WHERE side = 'test' GROUP BY metric, model),
@@ -309,45 +353,56 @@ def q_anova_p(spark, d):
 
 
 # ------------------------------------------------------- recommendations --
-@register("recommend_score", f"""WITH m AS ({metrics_sql(["model"])}), c AS ({CV_DETAIL_SQL}),
-s AS (SELECT m.model, m.f1_score * 0.4 + CASE WHEN m.accuracy >= 0.8 THEN 0.2 ELSE -0.3 END
-  + CASE WHEN c.test_std < 0.05 THEN 0.15 WHEN c.test_std > 0.1 THEN -0.1 ELSE 0 END AS score, m.accuracy FROM m JOIN c ON m.model = c.model AND c.metric = 'f1_score')
-SELECT model, round(score, 6) AS score, CAST(row_number() OVER (ORDER BY score DESC, model) AS INTEGER) AS rank,
-  concat_ws('; ', CASE WHEN score < 0.7 THEN 'Low overall recommendation score' END, CASE WHEN accuracy < 0.8 THEN 'Below minimum accuracy' END) AS warnings FROM s""")
+def _three_sql(x):
+    return f"CAST(CAST(round({x}, 3) AS DECIMAL(8, 3)) AS VARCHAR)"
+
+
+def _any_sql(words):
+    return "(" + " OR ".join(f"contains(lower(model), '{w}')" for w in words) + ")"
+
+
+@register("recommend_score", f"""WITH m AS (SELECT {KIND_SQL} AS model, f1_score AS f1, accuracy AS acc, test_std AS sd FROM ({metrics_sql(["model"], digits=None)}) m LEFT JOIN
+  (SELECT model AS cm, stddev_pop(score) AS test_std FROM cv_scores WHERE side = 'test' AND metric = 'f1_score' GROUP BY model) c ON m.model = c.cm),
+s AS (SELECT model, acc, f1 * 0.4e0 + CASE WHEN acc >= 0.8 THEN 0.2e0 ELSE -0.3e0 END + CASE WHEN sd < 0.05 THEN 0.15e0 WHEN sd > 0.1 THEN -0.1e0 ELSE 0e0 END
+  + CASE WHEN {_any_sql(C.INTERPRETABLE_MODELS)} THEN 0.1e0 ELSE 0e0 END + CASE WHEN {_any_sql(C.FAST_MODELS)} THEN 0.1e0 ELSE 0e0 END AS score,
+  concat_ws('; ', 'f1_score: ' || {_three_sql('f1')},
+   CASE WHEN acc >= 0.8 THEN 'Meets accuracy requirement (\u22650.8)' ELSE 'Below accuracy requirement (' || {_three_sql('acc')} || ' < 0.8)' END,
+   CASE WHEN sd < 0.05 THEN 'High stability (CV std: ' || {_three_sql('sd')} || ')' WHEN sd > 0.1 THEN 'Lower stability (CV std: ' || {_three_sql('sd')} || ')' END,
+   CASE WHEN {_any_sql(C.INTERPRETABLE_MODELS)} THEN 'Interpretable model type' END, CASE WHEN {_any_sql(C.FAST_MODELS)} THEN 'Fast model type' END) AS reasons FROM m),
+r AS (SELECT *, CAST(row_number() OVER (ORDER BY score DESC, model) AS INTEGER) AS rank FROM s)
+SELECT model, round(score, 6) AS score, rank, rank = 1 AS recommended, reasons,
+  concat_ws('; ', CASE WHEN rank = 1 AND score < 0.7 THEN 'Low overall recommendation score - consider model improvement' END,
+   CASE WHEN rank = 1 AND acc < 0.8 THEN 'Recommended model does not meet minimum accuracy requirement' END) AS warnings FROM r""")
 def q_recommend_score(spark, d):
-    """Weighted recommendation score per model (EVA20): .4 x primary metric,
-    +.2 / -.3 on minimum accuracy, +.15 / -.1 on fold std."""
-    from pyspark.sql import Window
-    m = _metrics(spark, d, ["model"])
-    c = _r6(_cv_detail(spark, d)).where(F.col("metric") == "f1_score").select("model", "test_std")
-    j = m.join(c, "model")
-    score = (F.col("f1_score") * 0.4 + F.when(F.col("accuracy") >= 0.8, 0.2).otherwise(-0.3)
-             + F.when(F.col("test_std") < 0.05, 0.15).when(F.col("test_std") > 0.1, -0.1).otherwise(0.0))
-    s = j.select("model", score.alias("score"), "accuracy")
-    return _r6(s.select("model", "score", F.row_number().over(Window.orderBy(F.col("score").desc(), "model")).alias("rank"),
-                        F.array_join(F.array_compact(F.array(F.when(F.col("score") < 0.7, F.lit("Low overall recommendation score")),
-                                                             F.when(F.col("accuracy") < 0.8, F.lit("Below minimum accuracy")))), "; ")
-                        .alias("warnings")))
+    """Recommendation score, reasons and warnings, interpretability and speed counted (EVA20)."""
+    m = EV.metrics_from_counts(EV.confusion_counts(_pred(spark, d), ["model"])).withColumn("model", kind())
+    std = _cv_test(spark, d).where(F.col("metric") == "f1_score").groupBy(kind().alias("model")).agg(F.stddev_pop("score").alias("test_std"))
+    return _r6(RC.recommend(m, std, interpretability=True, speed=True))
+
+
+def _trait_sql(rules):
+    return "CASE " + " ".join(f"WHEN {_any_sql(w)} THEN {v}e0" for w, v in rules) + f" ELSE {C.DEFAULT_TRAIT}e0 END"
+
+
+@register("model_traits", f"""WITH s AS (SELECT model, metric, stddev_pop(score) AS sd FROM cv_scores WHERE side = 'test' GROUP BY model, metric),
+k AS (SELECT {KIND_SQL} AS model, avg(sd) AS sd FROM s GROUP BY ALL)
+SELECT model, """ + ", ".join(f"{_trait_sql(rules)} AS {t}" for t, rules in C.MODEL_TRAITS.items()) + ", round(greatest(0e0, 1 - sd * 10), 6) AS stability FROM k")
+def q_model_traits(spark, d):
+    """Traits of each kind of model by name and its stability over folds (EVA24)."""
+    cv = _cv_test(spark, d).withColumn("model", kind())
+    return _r6(RC.model_traits(cv, cv))
 
 
-W5 = {"accuracy": 0.2, "precision": 0.2, "recall": 0.2, "f1_score": 0.3, "mcc": 0.1}
+W5 = {m: 1 / len(C.RANKING_METRICS) for m in C.RANKING_METRICS}
 
 
-@register("model_rank", f"""WITH m AS ({metrics_sql(["model"])}),
-s AS (SELECT model, {' + '.join(f'coalesce({k}, 0) * {v}' for k, v in W5.items())} AS weighted_score FROM m)
-SELECT model, round(weighted_score, 4) AS weighted_score, CAST(row_number() OVER (ORDER BY weighted_score DESC, model) AS INTEGER) AS rank FROM s""")
+@register("model_rank", f"""WITH m AS ({all_metrics_sql(None)}),
+s AS (SELECT *, {' + '.join(f'coalesce({k}, 0e0) * {v}e0' for k, v in W5.items())} AS w FROM m)
+SELECT model, round(w, 4) AS weighted_score, {', '.join(f'round({k}, 4) AS {k}' for k in W5)}, CAST(row_number() OVER (ORDER BY w DESC, model) AS INTEGER) AS rank FROM s""")
 def q_model_rank(spark, d):
-    """Weighted score over five metrics, null metric = 0, rank (WIN10)."""
-    from pyspark.sql import Window
-    m = EV.metrics_from_counts(EV.confusion_counts(_pred(spark, d), ["model"]))
-    m = m.withColumns({c: F.round(c, 6) for c in METRIC_COLS})
-    ws = None
-    for k, v in W5.items():
-        term = F.coalesce(F.col(k), F.lit(0.0)) * v
-        ws = term if ws is None else ws + term
-    s = m.select("model", ws.alias("weighted_score"))
-    return s.select("model", F.round("weighted_score", 4).alias("weighted_score"),
-                    F.row_number().over(Window.orderBy(F.col("weighted_score").desc(), "model")).alias("rank"))
+    """Score over five equally weighted metrics, AUC among them, and rank (WIN10)."""
+    r = EV.rank_models(_all_metrics(spark, d, None), W5)
+    return r.withColumns({c: F.round(c, 4) for c in ("weighted_score", *W5)})
 
 
 @register("readiness", f"""WITH m AS ({metrics_sql(["model"])})
@@ -367,85 +422,54 @@ def q_readiness(spark, d):
                     F.array_join(F.array_compact(F.array(*[F.when(F.col(c) < t, F.lit(c)) for c, t in checks])), ",").alias("failed_checks"))
 
 
-@register("drift_check", f"""WITH now AS ({metrics_sql(["model"])}), ref AS (SELECT model, metric, avg(value) AS stored FROM versions GROUP BY model, metric),
-j AS (SELECT n.model, r.metric, CASE WHEN r.metric = 'accuracy' THEN n.accuracy ELSE n.f1_score END AS current, r.stored FROM now n JOIN ref r ON n.model = r.model)
-SELECT model, metric, round(current, 6) AS current, round(stored, 6) AS stored, round(current - stored, 6) AS change, stored - current > 0.05 AS degraded FROM j""")
+_W = {"precision": ("tp", "tp + fp", "tn", "tn + fn"), "recall": ("tp", "tp + fn", "tn", "tn + fp"), "f1_score": ("2 * tp", "2 * tp + fp + fn", "2 * tn", "2 * tn + fn + fp")}
+
+
+def _weighted_sql(keys):
+    cols = ", ".join(f"({_div(a, b)} * (tp + fn) + {_div(c, e)} * (tn + fp)) / n AS {m}" for m, (a, b, c, e) in _W.items())
+    return f"SELECT {', '.join(keys)}, {_div('tp + tn', 'n')} AS accuracy, {cols} FROM ({counts_sql(keys)})"
+
+
+def _long_sql(name, value):
+    return " UNION ALL ".join(f"SELECT model, '{m}' AS metric, {m} AS {value} FROM {name}" for m in EV.WEIGHTED)
+
+
+@register("drift_check", f"""WITH c AS ({_weighted_sql(["model"])}), v AS ({_weighted_sql(["model", "fold"])}),
+st AS (SELECT * FROM v QUALIFY fold = max(fold) OVER (PARTITION BY model)),
+j AS (SELECT a.model, a.metric, a.now, b.stored, a.now - b.stored AS change FROM ({_long_sql('c', 'now')}) a JOIN ({_long_sql('st', 'stored')}) b ON a.model = b.model AND a.metric = b.metric)
+SELECT model, metric, round(now, 6) AS current, round(stored, 6) AS stored, round(change, 6) AS change, change < -0.05 AS degraded,
+  bool_or(change < -0.05) OVER (PARTITION BY model) AS model_degraded FROM j""")
 def q_drift_check(spark, d):
-    """Current metrics against the registry; degraded when a metric falls by > .05 (EVA27)."""
-    now = _metrics(spark, d, ["model"]).select("model", F.stack(F.lit(2), F.lit("accuracy"), F.col("accuracy"),
-                                                                  F.lit("f1_score"), F.col("f1_score")).alias("metric", "current"))
-    ref = FX.versions(spark, d).groupBy("model", "metric").agg(F.avg("value").alias("stored"))
-    j = now.join(ref, ["model", "metric"])
-    return _r6(j.select("model", "metric", "current", "stored", (F.col("current") - F.col("stored")).alias("change"),
-                        (F.col("stored") - F.col("current") > 0.05).alias("degraded")))
+    """Weighted metrics of each model now against those stored with its newest version, the last fold's (EVA27)."""
+    p = _pred(spark, d)
+    last = F.col("fold") == F.max("fold").over(Window.partitionBy("model"))  # a row per model and fold
+    stored = EV.weighted_metrics(p, ["model", "fold"]).withColumn("_last", last).where("_last").drop("_last", "fold")
+    return _r6(EV.drift(EV.weighted_metrics(p, ["model"]), stored))
 
 
 # ------------------------------------------------------------- bootstrap --
-def poisson_draw(lam, u1, u2, exact_below: int = 200):
-    """A Poisson(lam) draw from two uniforms: exact inverse CDF (iterated pmf)
-    for lam < ``exact_below``, else the normal approximation by Box-Muller
-    (rounded, floored at 0)."""
-    kmax = F.least((lam + 10 * F.sqrt(lam) + 10).cast("int"), F.lit(exact_below * 3))
-    state = F.struct(F.lit(0).alias("k"), F.exp(-lam).alias("p"), F.exp(-lam).alias("c"), F.lit(-1).alias("hit"))
-
-    def step(acc, i):
-        p = acc["p"] * lam / (i + 1)
-        return F.struct((i + 1).alias("k"), p.alias("p"), (acc["c"] + p).alias("c"),
-                        F.when((acc["hit"] < 0) & (acc["c"] + p >= u1), i + 1).otherwise(acc["hit"]).alias("hit"))
-    walk = F.aggregate(F.sequence(F.lit(0), kmax), state, step)
-    exact = F.when(F.exp(-lam) >= u1, F.lit(0)).otherwise(F.when(walk["hit"] >= 0, walk["hit"]).otherwise(kmax))
-    z = F.sqrt(-2 * F.log(F.greatest(u1, F.lit(1e-12)))) * F.cos(2 * 3.141592653589793 * u2)
-    normal = F.greatest(F.lit(0), F.round(lam + F.sqrt(lam) * z)).cast("int")
-    return F.when(lam < exact_below, exact).otherwise(normal)
-
-
-def poisson_one(u1):
-    """A Poisson(1) draw by its CDF table (16 steps cover 1 - 1e-14 of the mass)."""
-    import math
-    out, acc = None, 0.0
-    for k in range(16):
-        acc += math.exp(-1) / math.factorial(k)
-        out = F.when(u1 <= acc, F.lit(k)) if out is None else out.when(u1 <= acc, F.lit(k))
-    return out.otherwise(F.lit(16))
-
-
-@register("auc_bootstrap")
-def q_auc_bootstrap(spark, d, replicates: int = 1000, seed: int = 42):
-    """Poisson bootstrap of AUC (EVA10). Rows are first collapsed to (model,
-    score, class) counts c; per replicate each group draws a Poisson(c) weight
-    (the sum of c independent Poisson(1) row weights), so the work is groups x
-    replicates, not rows x replicates. Weighted rank AUC per replicate, then
-    mean, std and percentile interval."""
-    p = _pred(spark, d)
-    g = p.groupBy("model", F.col("proba").alias("score"), "y_true").agg(F.count(F.lit(1)).cast("double").alias("c"))
-    x = g.select("*", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("rep"))
-    h1 = F.xxhash64("model", "score", "y_true", "rep", F.lit(seed))
-    h2 = F.xxhash64("model", "score", "y_true", "rep", F.lit(seed + 1))
-    u1 = (F.abs(h1) % F.lit(1_000_000_007)) / F.lit(1_000_000_007.0)
-    u2 = (F.abs(h2) % F.lit(1_000_000_007)) / F.lit(1_000_000_007.0)
-    # single-row groups (the common case without ties) use the Poisson(1)
-    # table; only groups with ties run the general draw
-    x = x.where(F.col("c") == 1).withColumn("w", poisson_one(u1)).unionByName(
-        x.where(F.col("c") > 1).withColumn("w", poisson_draw(F.col("c"), u1, u2)))
-    st = x.groupBy("model", "rep", "score").agg(
-        F.sum(F.when(F.col("y_true") == 1, F.col("w")).otherwise(0)).alias("pos"),
-        F.sum(F.when(F.col("y_true") == 0, F.col("w")).otherwise(0)).alias("neg"))
-    # the window key is (model, replicate): models x replicates evenly sized
-    # partitions, each one model's distinct scores -- spread over all tasks
-    from pyspark.sql import Window
-    w = Window.partitionBy("model", "rep").orderBy("score").rowsBetween(Window.unboundedPreceding, 0)
-    cum = st.withColumn("cum_neg", F.sum("neg").over(w))
-    aucs = cum.groupBy("model", "rep").agg(
-        (F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0)) /
-         (F.sum("pos") * F.sum("neg"))).alias("auc"))
-    return aucs.groupBy("model").agg(F.avg("auc").alias("auc_mean"), F.stddev_samp("auc").alias("auc_std"),
-                                     F.percentile("auc", 0.025).alias("ci_lower"), F.percentile("auc", 0.975).alias("ci_upper"),
-                                     F.count(F.lit(1)).alias("replicates"))
+REPLICATES, SEED = 1000, 42
+BOOTSTRAP_SQL = f"""w AS (SELECT model, proba, y_true, rep, {BS.weight_sql('row_id', 'rep', SEED)} AS w FROM predictions, (SELECT unnest(range(1, {REPLICATES + 1})) AS rep)),
+ws AS (SELECT model, rep, proba, sum(CASE WHEN y_true = 1 THEN w ELSE 0 END)::DOUBLE AS pos, sum(CASE WHEN y_true = 0 THEN w ELSE 0 END)::DOUBLE AS neg FROM w GROUP BY ALL),
+wc AS (SELECT *, sum(neg) OVER (PARTITION BY model, rep ORDER BY proba ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM ws),
+wa AS (SELECT model, rep, sum(pos * (2 * (cum - neg) + neg)) / nullif(2 * sum(pos) * sum(neg), 0) AS auc FROM wc GROUP BY ALL),
+b AS (SELECT model, avg(auc) AS auc_mean, stddev_samp(auc) AS auc_std, quantile_cont(auc, 0.025) AS ci_lower, quantile_cont(auc, 0.975) AS ci_upper, count(auc) AS replicates
+  FROM wa GROUP BY model)"""
+_B6 = ", ".join(f"round({c}, 6) AS {c}" for c in ("auc_mean", "auc_std", "ci_lower", "ci_upper"))
+
+
+@register("auc_bootstrap", f"WITH {BOOTSTRAP_SQL} SELECT model, {_B6}, replicates FROM b")
+def q_auc_bootstrap(spark, d):
+    """Poisson bootstrap of the AUC with 1000 replicates (EVA10)."""
+    return _r6(BS.auc_interval(BS.auc_by_replicate(_pred(spark, d), "model", REPLICATES, SEED)))
 
 
-@register("roc_summary")
+@register("roc_summary", ROC_POINTS_SQL + f""", {BOOTSTRAP_SQL}
+SELECT p.model, round(a.roc_auc, 6) AS auc, round(youden_j, 6) AS youden_j, youden_threshold, threshold_tpr_goal, threshold_spec_goal, {_B6}, replicates
+FROM pts p JOIN {AUC_SQL} a ON p.model = a.model JOIN b ON p.model = b.model""")
 def q_roc_summary(spark, d):
-    """AUC, bootstrap interval and two thresholds by model (EVA11)."""
+    """AUC, bootstrap interval and thresholds by model (EVA11)."""
     p = _pred(spark, d)
     pts = EV.roc_points(EV.roc_curve(p, ["model"]), ["model"])
-    return EV.roc_auc(p, ["model"]).join(pts, "model").join(q_auc_bootstrap(spark, d, 200), "model")
+    boot = BS.auc_interval(BS.auc_by_replicate(p, "model", REPLICATES, SEED))
+    return _r6(EV.roc_auc(p, ["model"]).join(pts, "model").join(boot, "model"))

@@ -105,25 +105,6 @@ def q_gen_listings(spark, d, seed: int = 42):
 
 
 # ----------------------------------------------------------- model reports --
-TRAITS = {"interpretability": ["logistic", "linear", "tree", "forest"], "speed": ["logistic", "linear", "naive_bayes"],
-          "robustness": ["forest", "boosting", "gradient"], "nonlinearity": ["forest", "boosting", "gradient", "svm"]}
-
-
-@register("model_traits", """WITH s AS (SELECT model, stddev_pop(score) AS sd FROM cv_scores WHERE side = 'test' AND metric = 'accuracy' GROUP BY model)
-SELECT model, """ + ", ".join(
-    f"CASE WHEN {' OR '.join(f'contains(lower(model), {chr(39)}{w}{chr(39)})' for w in ws)} THEN 0.9e0 ELSE 0.5e0 END AS {t}"
-    for t, ws in TRAITS.items()) + ", round(greatest(0e0, 1 - 10 * sd), 6) AS stability FROM s")
-def q_model_traits(spark, d):
-    """Trait scores from model-name keywords; stability = max(0, 1 - 10 x fold std) (EVA24)."""
-    cv = FX.cv_scores(spark, d).where((F.col("side") == "test") & (F.col("metric") == "accuracy"))
-    s = cv.groupBy("model").agg(F.stddev_pop("score").alias("sd"))
-    low = F.lower("model")
-    from vitrine.functions.text import contains_any
-    cols = [F.when(contains_any(low, ws), F.lit(0.9))
-            .otherwise(F.lit(0.5)).alias(t) for t, ws in TRAITS.items()]
-    return s.select("model", *cols, F.round(F.greatest(F.lit(0.0), 1 - 10 * F.col("sd")), 6).alias("stability"))
-
-
 @register("recommend_system", """WITH m AS (SELECT model, count_if(y_true = 1 AND y_pred = 1) AS tp, count_if(y_true = 0 AND y_pred = 1) AS fp,
   count_if(y_true = 1 AND y_pred = 0) AS fn, count(*) AS n, count_if(y_true = y_pred) AS ok FROM predictions GROUP BY model),
 x AS (SELECT model, coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0e0) AS f1, CAST(ok AS DOUBLE) / n AS acc,
