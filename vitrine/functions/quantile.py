@@ -46,7 +46,7 @@ def _order_stats(x: DataFrame, ranks: Sequence[int], n: int, accuracy: int) -> d
 
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], accuracy: int = 100000) -> dict:
     """{q: value} exact (linear interpolation, as ``percentile``), distributed."""
-    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())  # NaN is the largest value, as for percentile
     n = x.count()
     if n == 0:
         return {q: None for q in qs}

@@ -25,10 +25,11 @@ def contributions(df: DataFrame, id_col: str, weights: DataFrame, features: str
     return j.select(id_col, "feature", "value", (F.col("value") * F.col("weight")).alias("contribution"))
 
 
-def contribution_topk(contrib: DataFrame, id_col: str, n: int = 5) -> DataFrame:
-    """Top n per row by absolute contribution with rank and direction (WIN8).
+def contribution_topk(contrib: DataFrame, id_col: str, n: int = 5, absolute: bool = True) -> DataFrame:
+    """Top n per row by absolute (or by signed) contribution with rank and direction (WIN8).
     ``row_number() <= n`` is planned with a partial window-group limit."""
-    w = Window.partitionBy(id_col).orderBy(F.abs("contribution").desc(), F.col("feature"))
+    by = F.abs("contribution") if absolute else F.col("contribution")
+    w = Window.partitionBy(id_col).orderBy(by.desc(), F.col("feature"))
     r = contrib.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
     return r.withColumn("direction", F.when(F.col("contribution") > 0, F.lit("positive"))
                         .when(F.col("contribution") < 0, F.lit("negative")).otherwise(F.lit("neutral")))
@@ -113,6 +114,44 @@ def permuted_scores(model, data: DataFrame, id_col: str, slots: Sequence[int], r
     return scored.groupBy("slot", "repeat").agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"))
 
 
+def permutations(df: DataFrame, id_col: str, repeats: int, seed: int = 42) -> DataFrame:
+    """(repeat, id, donor): ``repeats`` permutations of the ids, each by rank of a hash; no order is made in one task."""
+    from vitrine.functions.prefix import prefix_sums
+    ids = df.select(F.col(id_col).alias("i")).withColumn("one", F.lit(1))
+    donors = prefix_sums(ids, [], "i", ["one"]).select(F.col("i").alias("donor"), F.col("cum_one").alias("k"))
+    drawn = ids.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    drawn = drawn.withColumn("o", F.struct(F.xxhash64("i", "repeat", F.lit(seed)).alias("h"), "i"))
+    ranked = prefix_sums(drawn, ["repeat"], "o", ["one"]).select("repeat", F.col("i").alias(id_col), F.col("cum_one").alias("k"))
+    return ranked.join(donors, "k").select("repeat", id_col, "donor")
+
+
+def linear_permutation_importance(model, data: DataFrame, id_col: str, names: Sequence[str], repeats: int = 10, seed: int = 42,
+                                  features: str = "features") -> DataFrame:
+    """feature, importance_mean, importance_std: accuracy lost when a slot is permuted, for every slot of a linear model (INT2).
+
+    The score of a row whose slot j comes from a donor changes by coefficient_j x (donor's value - own value), so rows are
+    scored once, and only slots in which row and donor differ give a term; the others count 0. Ids are unique."""
+    coef = F.array(*[F.lit(float(c)) for c in model.coefficients.toArray()])
+    scored = model.transform(data).select(id_col, F.col("label").cast("double").alias("y"), vector_to_array(features).alias("v"),
+                                          vector_to_array("rawPrediction")[1].alias("m"))
+    pairs = permutations(data, id_col, repeats, seed)
+    donors = data.select(F.col(id_col).alias("donor"), vector_to_array(features).alias("dv"))
+    j = scored.join(pairs, id_col).join(donors, "donor").withColumn("coef", coef)
+    moved = F.filter(F.transform(F.arrays_zip("v", "dv", "coef"), lambda x, i: F.struct(i.alias("slot"), (x["coef"] * (x["dv"] - x["v"])).alias("by"))),
+                     lambda x: x["by"] != 0)
+    x = j.select("repeat", "y", "m", F.explode(moved).alias("x")).select("repeat", "y", "m", "x.*")
+
+    def right(m: Column) -> Column:
+        return ((m > 0).cast("double") == F.col("y")).cast("int")
+    lost = x.groupBy("slot", "repeat").agg(F.sum(right(F.col("m")) - right(F.col("m") + F.col("by"))).alias("lost"))
+    n = F.nullif(scored.agg(F.count("*")).scalar(), F.lit(0))
+    per = lost.select("slot", (F.col("lost") / n).alias("d")).groupBy("slot").agg(F.sum("d").alias("s"), F.sum(F.col("d") ** 2).alias("q"))
+    slots = data.sparkSession.createDataFrame([(i, nm) for i, nm in enumerate(names)], "slot int, feature string")
+    mean = F.coalesce(F.col("s"), F.lit(0.0)) / repeats
+    var = F.coalesce(F.col("q"), F.lit(0.0)) / repeats - mean * mean
+    return slots.join(per, "slot", "left").select("feature", mean.alias("importance_mean"), F.sqrt(F.greatest(F.lit(0.0), var)).alias("importance_std"))
+
+
 def explanation_records(topk: DataFrame, id_col: str, confidence: DataFrame) -> DataFrame:
     """Explanation record per row: prediction, confidence and top-feature array."""
     return top_features_struct(topk, id_col).join(confidence, id_col)

@@ -79,7 +79,8 @@ def word_counts(df: DataFrame, col: str, top_n: int = 20, stop_words: Sequence[s
     TakeOrderedAndProject."""
     tok = df.select(F.explode(word_tokens(col)).alias("word"))
     if stop_words:
-        tok = tok.where(~F.col("word").isin(list(stop_words)))
+        # a hashed set; words of digits alone say nothing about a text
+        tok = tok.where(~F.col("word").isin(list(stop_words)) & ~F.col("word").rlike(r"^[0-9]+$"))
     return (tok.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
             .orderBy(F.col("count").desc(), F.col("word")).limit(top_n))
 

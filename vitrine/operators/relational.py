@@ -57,7 +57,7 @@ def detail_latest(products: DataFrame, classifications: DataFrame) -> DataFrame:
 def unscored(products: DataFrame, classifications: DataFrame, since: Column | None = None) -> DataFrame:
     """Products with no classification, optionally scraped at or after ``since`` (JOIN3)."""
     p = products if since is None else products.where(F.col("scraped_at") >= since)
-    return p.join(classifications.select(F.col("product_id").alias("id")), "id", "left_anti")
+    return p.join(classifications.select(F.col("product_id").alias("id")).distinct(), "id", "left_anti")
 
 
 def integrity_counts(products: DataFrame, classifications: DataFrame) -> DataFrame:
@@ -76,13 +76,13 @@ def integrity_counts(products: DataFrame, classifications: DataFrame) -> DataFra
 def new_not_duplicate(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows of ``batch`` matching no stored row by url, nor by (title, seller) (JOIN5).
     Two equi anti joins instead of an OR join (which would be a nested loop)."""
-    by_url = batch.join(stored.select("url").where(F.col("url") != ""), "url", "left_anti")
-    return by_url.join(stored.select("title", "seller_name"), ["title", "seller_name"], "left_anti")
+    by_url = batch.join(stored.select("url").where(F.col("url") != "").distinct(), "url", "left_anti")
+    return by_url.join(stored.select("title", "seller_name").distinct(), ["title", "seller_name"], "left_anti")
 
 
 def semi_ids(df: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
     """``key IN (ids)`` as a left semi join (JOIN6)."""
-    return df.join(ids.select(F.col(ids.columns[0]).alias(key)), key, "left_semi")
+    return df.join(ids.select(F.col(ids.columns[0]).alias(key)).distinct(), key, "left_semi")
 
 
 def pivot_by(df: DataFrame, row_keys: Sequence[str], pivot_col: str, value_col: str,

@@ -36,6 +36,9 @@ FROM orders"""
 
 VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     "listings": (LISTINGS, ()),
+    "crawl": (
+        "SELECT * REPLACE (CASE WHEN listing_id % 4 = 1 THEN title ELSE title || ' #' || (listing_id % 411) END AS title, "
+        "CASE WHEN listing_id % 4 = 0 THEN url ELSE url || '?v=' || (listing_id % 3) END AS url) FROM listings", ("listings",)),
     "products": (
         "SELECT listing_id AS id, title, description, seller_name, platform, "
         + price_locale_sql("price") + " AS price_numeric, rating_numeric, reviews_count, url, scraped_at "

@@ -127,9 +127,9 @@ def q_product_type(spark, sf_dir):
     return FX.listings(spark, sf_dir).select("listing_id", CL.product_type("title").alias("product_type"))
 
 
-def _raw_listing_text(spark, sf_dir):
+def _raw_listing_text(spark, sf_dir, listings=FX.listings):
     """Raw collected record: every field as text, as a collector delivers it."""
-    return FX.listings(spark, sf_dir, heavy=True).select(
+    return listings(spark, sf_dir, heavy=True).select(
         "listing_id", "title", "description", "price", "seller_name",
         F.concat(F.col("rating_numeric").cast("string"), F.lit(" estrelas")).alias("rating"),
         F.concat(F.col("reviews_count").cast("string"), F.lit(" avaliações")).alias("reviews_count"),

@@ -333,14 +333,13 @@ def q_lr_path(spark, d):
 
 @register("gbt_early_stop")
 def q_gbt_early_stop(spark, d):
-    """Early stopping on a validation indicator; loss history from one fit (TRN14)."""
+    """Training and validation AUC after each tree, the best round, and the trees of the model refitted with it (TRN14)."""
+    from vitrine.operators.boosting import early_stopped
     _, tr, _, _ = prepared(spark, d)
-    x = tr.withColumn("is_val", (F.abs(F.xxhash64("doc_id", F.lit(7))) % 5) == 0)
-    est = ML.GBTClassifier(maxIter=60, stepSize=0.1, maxDepth=3, validationIndicatorCol="is_val", validationTol=0.01, seed=42)
-    model = est.fit(x)
-    losses = model.evaluateEachIteration(x.where("is_val"))
-    return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(losses)], "iteration int, validation_loss double") \
-        .withColumn("trees_kept", F.lit(model.getNumTrees))
+    split = ML.stratified_split(tr.select("doc_id", "label", "features"), "label", "doc_id", 0.2, 7)
+    model, history, best = early_stopped(split.where("side = 'train'"), split.where("side = 'test'"))
+    return spark.createDataFrame(history, "iteration int, train_auc double, validation_auc double").withColumns({
+        "best_iteration": F.lit(best), "total_iterations": F.lit(len(history)), "trees_kept": F.lit(model.getNumTrees)})
 
 
 @register("grid_search")
@@ -473,19 +472,10 @@ def q_tree_importance(spark, d):
 
 @register("permutation_importance")
 def q_permutation_importance(spark, d):
-    """Accuracy drop when one numeric slot is permuted, mean and std over repeats (INT2)."""
+    """Accuracy drop when a feature slot is permuted, mean and std over ten repeats, for every slot (INT2)."""
     pm, _, te, _ = prepared(spark, d)
     model, _ = _fit(spark, d, "logistic_regression")
-    names = ML.feature_names(pm)
-    slots = list(range(len(ML.NUMERIC_COLS)))
-    base_acc = te.transform(lambda x: model.transform(x)).agg(
-        F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("b"))
-    s = IN.permuted_scores(model, te, "doc_id", slots, repeats=2)
-    g = s.groupBy("slot").agg(F.avg("accuracy").alias("acc"), F.stddev_pop("accuracy").alias("importance_std"))
-    names_df = spark.createDataFrame([(i, names[i]) for i in slots], "slot int, feature string")
-    from vitrine.functions.partitioning import with_scalars
-    return with_scalars(g, base_acc).join(F.broadcast(names_df), "slot").select(  # names: one row per slot
-        "feature", (F.col("b") - F.col("acc")).alias("importance_mean"), "importance_std")
+    return IN.linear_permutation_importance(model, te, "doc_id", ML.feature_names(pm), repeats=10)
 
 
 @register("linear_contribution")
@@ -593,6 +583,14 @@ def q_contribution_topk(spark, d):
     return _r6(_topk(spark, d).select("row_id", "rank", "feature", "contribution", "direction"))
 
 
+@register("contribution_topk_signed", f"""WITH {CONTRIB_SQL.replace("abs(contribution) DESC", "contribution DESC")}
+SELECT row_id, rank, feature, round(contribution, 6) AS contribution, direction FROM top""")
+def q_contribution_topk_signed(spark, d):
+    """The contributions that speak most for the prediction, by signed value (WIN8)."""
+    top = IN.contribution_topk(contributions_fixture(spark, d), "row_id", 3, absolute=False)
+    return _r6(top.select("row_id", "rank", "feature", "contribution", "direction"))
+
+
 @register("confidence_factors", f"""WITH {CONTRIB_SQL}
 SELECT row_id, count_if(contribution > 0) AS positive_factors, count_if(contribution < 0) AS negative_factors,
   round(coalesce(sum(CASE WHEN contribution > 0 THEN contribution END), 0), 6) AS positive_strength,
@@ -679,17 +677,16 @@ def _store_new_sql():
     from vitrine.plans.listing_queries import RAW_TEXT_SQL
     hp = S.contains_any("lower(coalesce(title, ''))", C.HP_KEYWORDS)
     ptype = S.first_keyword("lower(coalesce(title, ''))", C.PRODUCT_TYPES, C.PRODUCT_TYPE_OTHER)
-    raw = RAW_TEXT_SQL.replace("FROM listings)", "FROM listings WHERE scraped_at >= TIMESTAMP '2001-01-01 00:00:00')")
+    raw = RAW_TEXT_SQL.replace("FROM listings)", "FROM crawl)")
     return f"""WITH RECURSIVE {raw},
 cl AS (SELECT listing_id, substr({S.normalize_ws('title')}, 1, 500) AS title, substr({S.normalize_ws('description')}, 1, 2000) AS description,
   {price_locale_sql('price')} AS price_numeric, substr({S.normalize_ws('seller_name')}, 1, 200) AS seller_name,
   {S.rating_parse('rating')} AS rating_numeric, {S.reviews_parse('reviews_count')} AS reviews_count,
   coalesce(platform, 'mercadolivre') AS platform, coalesce(url, '') AS url FROM raw),
 v AS (SELECT * FROM cl WHERE coalesce(title, '') <> '' AND coalesce(url, '') <> '' AND {hp}),
-st AS (SELECT * FROM products WHERE scraped_at < TIMESTAMP '1995-03-01 00:00:00'),
-nd AS (SELECT * FROM v WHERE NOT EXISTS (SELECT 1 FROM st WHERE st.url <> '' AND st.url = v.url)
-  AND NOT EXISTS (SELECT 1 FROM st WHERE st.title = v.title AND st.seller_name = v.seller_name)),
-b AS (SELECT *, row_number() OVER (ORDER BY listing_id) AS rn, title || chr(1) || seller_name AS k FROM nd),
+nd AS (SELECT * FROM v WHERE NOT EXISTS (SELECT 1 FROM products st WHERE st.url <> '' AND st.url = v.url)
+  AND NOT EXISTS (SELECT 1 FROM products st WHERE st.title = v.title AND st.seller_name = v.seller_name)),
+b AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY listing_id) AS rn, title || chr(1) || seller_name AS k FROM nd),
 walk(i, urls, keys, acc) AS (
   SELECT 0, CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[]), CAST([] AS BIGINT[])
   UNION ALL
@@ -704,17 +701,13 @@ FROM b WHERE listing_id IN (SELECT unnest(acc) FROM walk WHERE i = (SELECT count
 
 @register("store_new", _store_new_sql())
 def q_store_new(spark, d):
-    """Clean, validate, refuse duplicates of the stored table and of earlier
+    """A second crawl of all listings: clean, validate, refuse duplicates of the whole stored table and of earlier
     accepted rows of the batch in insert order, type, insert (SCO4)."""
     from vitrine.operators import clean as CL
     from vitrine.operators.relational import new_not_duplicate
     from vitrine.operators.store import greedy_unique
     from vitrine.plans.listing_queries import _raw_listing_text
-    new_from = F.lit("2001-01-01 00:00:00").cast("timestamp_ntz")
-    ts = FX.listings(spark, d).select("listing_id", "scraped_at")
-    raw = _raw_listing_text(spark, d).join(ts.where(F.col("scraped_at") >= new_from), "listing_id").drop("scraped_at")
-    c = CL.valid_listing(CL.listing_clean(raw))
-    stored = FX.products(spark, d).where(F.col("scraped_at") < F.lit("1995-03-01 00:00:00").cast("timestamp_ntz"))
-    c = new_not_duplicate(c, stored)
+    c = CL.valid_listing(CL.listing_clean(_raw_listing_text(spark, d, FX.crawl)))
+    c = new_not_duplicate(c, FX.products(spark, d))
     acc = greedy_unique(c.withColumn("seq", F.col("listing_id")), "seq", ["url"], ["title", "seller_name"])
     return acc.withColumn("product_type", CL.product_type("title")).drop("seq")

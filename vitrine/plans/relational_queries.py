@@ -81,14 +81,11 @@ def q_integrity_status(spark, d):
 
 
 @register("anti_duplicates", """
-WITH b AS (SELECT listing_id, title, seller_name, url FROM listings WHERE listing_id % 10 = 9),
-s AS (SELECT * FROM products WHERE scraped_at < TIMESTAMP '1995-03-01 00:00:00'),
-u AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM s p WHERE p.url <> '' AND p.url = b.url))
-SELECT * FROM u WHERE NOT EXISTS (SELECT 1 FROM s p WHERE p.title = u.title AND p.seller_name = u.seller_name)""")
+WITH u AS (SELECT listing_id, title, seller_name, url FROM crawl b WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.url <> '' AND p.url = b.url))
+SELECT * FROM u WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.title = u.title AND p.seller_name = u.seller_name)""")
 def q_anti_duplicates(spark, d):
-    batch = FX.listings(spark, d).where(F.col("listing_id") % 10 == 9).select("listing_id", "title", "seller_name", "url")
-    stored = _p(spark, d).where(F.col("scraped_at") < F.lit("1995-03-01 00:00:00").cast("timestamp_ntz"))
-    return R.new_not_duplicate(batch, stored)
+    """A second crawl of all listings without what the stored table has by url or by title and seller (JOIN5)."""
+    return R.new_not_duplicate(FX.crawl(spark, d).select("listing_id", "title", "seller_name", "url"), _p(spark, d))
 
 
 @register("semi_ids", """

@@ -103,6 +103,21 @@ _SW = stop_words("portuguese")
 _SW_SQL = "[" + ", ".join(q(w) for w in _SW) + "]"
 
 
+#: Words that a cloud of words shows.
+CLOUD_WORDS = 200
+
+
+@register("word_frequencies", f"""WITH w AS (SELECT 'title' AS field, unnest(regexp_extract_all(lower(title), '[\\p{{L}}\\p{{N}}_]+')) AS word FROM listings
+  UNION ALL SELECT 'description', unnest(regexp_extract_all(lower(description), '[\\p{{L}}\\p{{N}}_]+')) FROM listings),
+c AS (SELECT field, word, count(*) AS count FROM w WHERE NOT list_contains({_SW_SQL}, word) AND NOT regexp_full_match(word, '[0-9]+') GROUP BY ALL)
+SELECT field, word, count FROM c QUALIFY row_number() OVER (PARTITION BY field ORDER BY count DESC, word) <= {CLOUD_WORDS}""")
+def q_word_frequencies(spark, d):
+    """The commonest words of titles and of descriptions without stop words (AGG9)."""
+    x = FX.listings(spark, d, heavy=True)
+    one = [P.word_counts(x, c, CLOUD_WORDS, _SW).select(F.lit(c).alias("field"), "word", "count") for c in ("title", "description")]
+    return one[0].unionByName(one[1])
+
+
 @register("bigram_counts", f"""WITH t AS (SELECT list_filter(string_split_regex(lower(coalesce(title, '')), '[\\s.,;:!?()\\[\\]"]+'),
     lambda w: regexp_full_match(w, '\\p{{L}}+') AND NOT list_contains({_SW_SQL}, w)) AS t FROM listings)
 SELECT bigram, count(*) AS count FROM (SELECT unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS bigram

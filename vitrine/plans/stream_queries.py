@@ -57,17 +57,7 @@ def q_stream_endpoint(spark, d):
 ARRIVALS = 2
 
 
-def _crawl(listings):
-    """Another crawl of every listing: a quarter under its stored url, a quarter under its stored title, the rest under
-    names of which some come again later in the crawl."""
-    i = F.col("listing_id")
-    return listings.select(
-        "listing_id", F.when(i % 4 == 1, F.col("title")).otherwise(F.concat("title", F.lit(" #"), (i % 411).cast("string"))).alias("title"),
-        "seller_name", F.when(i % 4 == 0, F.col("url")).otherwise(F.concat("url", F.lit("?v="), (i % 3).cast("string"))).alias("url"))
-
-
-@register("stream_dedup", """WITH c AS (SELECT listing_id, CASE WHEN listing_id % 4 = 1 THEN title ELSE title || ' #' || (listing_id % 411) END AS title, seller_name,
-  CASE WHEN listing_id % 4 = 0 THEN url ELSE url || '?v=' || (listing_id % 3) END AS url FROM listings),
+@register("stream_dedup", """WITH c AS (SELECT listing_id, title, seller_name, url FROM crawl),
 n AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.url = c.url) AND NOT EXISTS (SELECT 1 FROM products p WHERE p.title = c.title AND p.seller_name = c.seller_name)),
 u AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY url ORDER BY listing_id) = 1)
 SELECT listing_id, title, seller_name, url FROM u QUALIFY row_number() OVER (PARTITION BY title, seller_name ORDER BY listing_id) = 1""")
@@ -75,7 +65,7 @@ def q_stream_dedup(spark, d):
     """A crawl of all listings, arriving in order of listing_id: refused when seen before by url or (title, seller), in the
     whole stored table or in the stream (STR5)."""
     base = SJ.run_dir(spark, "dedup")
-    crawl = _crawl(FX.listings(spark, d))
+    crawl = FX.crawl(spark, d).select("listing_id", "title", "seller_name", "url")
     ends = crawl.agg(F.min("listing_id"), F.max("listing_id")).first()
     stream = spark.readStream.schema(crawl.schema).parquet(base + "/in/*")
     lo, hi = ends[0] or 0, (ends[1] or 0) + 1

@@ -88,6 +88,15 @@ def classifications(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").cast("int").alias("processing_time_ms"))
 
 
+def crawl(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    """Another crawl of every listing: a quarter under its stored url, a quarter under its stored title, the rest under
+    names of which some come again later in the crawl."""
+    i = F.col("listing_id")
+    return listings(spark, sf_dir, heavy=heavy).withColumns({
+        "title": F.when(i % 4 == 1, F.col("title")).otherwise(F.concat("title", F.lit(" #"), (i % 411).cast("string"))),
+        "url": F.when(i % 4 == 0, F.col("url")).otherwise(F.concat("url", F.lit("?v="), (i % 3).cast("string")))})
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(
