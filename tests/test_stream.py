@@ -68,3 +68,21 @@ def test_refusal_by_two_keys_over_batches_and_restarts(spark):
     got = sorted(r.listing_id for r in spark.read.parquet(base + "/out").collect())
     # 2: url of 1; 3: title and seller of 1; 4, 5: stored; 7: url of 1; 12: title and seller of 10; 14: url of 13
     assert got == [1, 6, 8, 9, 10, 11, 13, 15]
+
+
+def test_a_table_in_many_files_streams_whole(spark, tmp_path):
+    from vitrine.plans.stream_queries import q_stream_ingest
+    from vitrine.streaming import jobs as SJ
+    pages = spark.createDataFrame([(i, f"u{i}", "x" * i) for i in range(9)], "page_id long, url string, html string")
+    pages.repartition(3).write.parquet(f"{tmp_path}/many/pages.parquet")
+    got = q_stream_ingest(spark, f"{tmp_path}/many").collect()
+    assert sorted(tuple(r) for r in got) == [(i, f"u{i}", i) for i in range(9)]
+    # files out of the order of event time lose no rows to the watermark
+    for day in (9, 1):
+        spark.sql(f"SELECT {day} AS event_id, timestamp_ntz'2024-01-0{day} 10:00:00' AS ts, 'v' AS event_type, 1.0 AS value") \
+            .coalesce(1).write.mode("append").parquet(f"{tmp_path}/many/events.parquet")
+    from vitrine.sources import fixtures as FX
+    base = f"{tmp_path}/windows"
+    SJ.run_available_now(SJ.endpoint_counts(FX.metrics_events_from(SJ.stream_table(spark, f"{tmp_path}/many", "events"))), None, base + "/ckpt",
+                         mode="update", foreach_batch=SJ.upsert_batches(base + "/out", ["window_start", "endpoint"]))
+    assert SJ.settled(spark, base + "/out", ["window_start", "endpoint"]).count() == 2

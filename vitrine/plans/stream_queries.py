@@ -108,7 +108,7 @@ def q_stream_ingest(spark, d):
     s = SJ.stream_table(spark, d, "pages").select("page_id", "url", F.length("html").alias("html_chars"))
     base = SJ.run_dir(spark, "ingest")
     SJ.run_available_now(s, base + "/out", base + "/ckpt")
-    return spark.read.parquet(base + "/out")
+    return spark.read.schema(s.schema).parquet(base + "/out")
 
 
 @register("stream_stuck", """SELECT id, started_at, CAST(NULL AS TIMESTAMP) AS completed_at FROM jobs

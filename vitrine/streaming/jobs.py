@@ -22,11 +22,17 @@ from vitrine.session import checkpoint_dir, table_path
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int = 1) -> DataFrame:
-    """A parquet table as a file stream (schema taken from the batch table)."""
-    schema = spark.read.parquet(table_path(sf_dir, name)).schema
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-            .option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir))
+def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
+    """A parquet table, one file or a folder of files, as a file stream (schema taken from the batch table).
+
+    A table's files lie in no order of event time, so by default they come in one trigger: with one after the other, rows
+    of a later file would be late. The path is a pattern that fits the table alone: it takes a file as well as a folder."""
+    path = table_path(sf_dir, name)
+    schema = spark.read.parquet(path).schema
+    s = spark.readStream.schema(schema)
+    if max_files:
+        s = s.option("maxFilesPerTrigger", max_files)
+    return s.parquet(path[:-1] + f"[{path[-1]}]")
 
 
 def run_dir(spark: SparkSession, tag: str) -> str:
