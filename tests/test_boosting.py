@@ -78,3 +78,20 @@ def test_quantiles_are_the_same_by_both_ways(spark):
     x = spark.createDataFrame([(1.0, 5.0), (2.0, None), (float("nan"), 5.0), (None, 7.0)], "a double, b double")
     assert quantiles(x, "a", [0.0, 0.5]) == quantiles(x, "a", [0.0, 0.5], large_rows=0) == {0.0: 1.0, 0.5: 2.0}
     assert quantiles_multi(x, ["b"], [0.25, 0.75]) == quantiles_multi(x, ["b"], [0.25, 0.75], large_rows=0)
+
+
+def test_each_round_is_evaluated_once(spark, rows, monkeypatch):
+    from vitrine.operators import boosting as B
+    train, val = rows.where("doc_id % 4 != 0"), rows.where("doc_id % 4 = 0")
+    seen, plain = [], B.staged_auc
+
+    def counted(model, sides, after=0):
+        out = plain(model, sides, after)
+        seen.append((after, after + len(out["train"])))
+        return out
+    monkeypatch.setattr(B, "staged_auc", counted)
+    _, history, _ = B.early_stopped(train, val, n_trees=5, patience=9, first=2)
+    assert seen == [(0, 2), (2, 4), (4, 5)]
+    from pyspark.ml.classification import GBTClassifier
+    whole = plain(GBTClassifier(maxIter=5, stepSize=0.1, maxDepth=3, subsamplingRate=0.8, seed=42).fit(train.select("label", "features")), {"v": val})
+    assert [h[2] for h in history] == whole["v"]

@@ -31,11 +31,12 @@ def staged_margins(model, df: DataFrame) -> DataFrame:
     return out.select(*df.columns, _running(F.array(*parts)).alias("margins"))
 
 
-def staged_auc(model, sides: dict[str, DataFrame]) -> dict[str, list[float]]:
-    """AUC after each tree for each named set of (label, features) rows: as many numbers as trees."""
+def staged_auc(model, sides: dict[str, DataFrame], after: int = 0) -> dict[str, list[float]]:
+    """AUC after each tree beyond the first ``after`` for each named set of (label, features) rows."""
     out = {}
     for name, df in sides.items():
-        m = staged_margins(model, df.select("label", "features")).select("label", F.posexplode("margins").alias("round", "proba"))
+        rounds = F.slice("margins", after + 1, len(model.treeWeights))
+        m = staged_margins(model, df.select("label", "features")).select("label", F.posexplode(rounds).alias("round", "proba"))
         auc = roc_auc(m.withColumn("y_true", F.col("label").cast("int")), ["round"]).collect()
         out[name] = [r["auc"] for r in sorted(auc, key=lambda r: r["round"])]
     return out
@@ -63,8 +64,11 @@ def early_stopped(train: DataFrame, validation: DataFrame, n_trees: int = 1000,
 
     train, validation = (x.select("label", "features") for x in (train, validation))
     n = min(first, n_trees)
+    auc = {"train": [], "validation": []}
     while True:
-        auc = staged_auc(fit(train, n), {"train": train, "validation": validation})
+        # a longer fit begins with the same trees, whose rounds are known
+        for side, more in staged_auc(fit(train, n), {"train": train, "validation": validation}, len(auc["train"])).items():
+            auc[side] += more
         best, stop = stop_at(auc["validation"], patience, tol)
         if stop or n == n_trees:
             break
