@@ -66,23 +66,57 @@ def adjacent_pairs(toks: Column) -> Column:
 from vitrine.functions.partitioning import spread  # noqa: E402
 
 
-def doc_terms(df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
-    """(doc_id, terms): unigrams and bigrams after hashed stop-word removal (TXT3 analyzer)."""
+def doc_tokens(df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
+    """(doc_id, _t): tokens after hashed stop-word removal."""
     from pyspark.ml.feature import StopWordsRemover
     toks = spread(df).select(F.col(id_col).alias("doc_id"), F.regexp_extract_all(
         F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(TOKEN), 0).alias("_raw"))
     sw = StopWordsRemover(inputCol="_raw", outputCol="_t", stopWords=list(stop_words), caseSensitive=True)
-    clean = sw.transform(toks).select("doc_id", "_t")
+    return sw.transform(toks).select("doc_id", "_t")
+
+
+def doc_terms(df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
+    """(doc_id, terms): unigrams and bigrams after hashed stop-word removal (TXT3 analyzer)."""
+    clean = doc_tokens(df, id_col, text_col, stop_words)
     return clean.select("doc_id", F.concat(F.col("_t"), adjacent_pairs(F.col("_t"))).alias("terms"))
 
 
+def _tagged(terms: str) -> Column:
+    return F.concat(F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(0).alias("d"))),
+                    F.transform(F.array_distinct(terms), lambda t: F.struct(t.alias("term"), F.lit(1).alias("d"))))
+
+
+def _stats(ex: DataFrame) -> DataFrame:
+    return ex.groupBy(F.col("x.term").alias("term")).agg(F.sum(1 - F.col("x.d")).alias("tf"), F.sum("x.d").alias("df"))
+
+
 def term_stats(terms: DataFrame) -> DataFrame:
     """(term, tf, df) from ONE explode: every occurrence tagged 0 and every
     distinct term of a document tagged 1, summed with map-side combine."""
-    tagged = F.concat(F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("d"))),
-                      F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("d"))))
-    ex = terms.select(F.explode(tagged).alias("x"))
-    return ex.groupBy(F.col("x.term").alias("term")).agg(F.sum(1 - F.col("x.d")).alias("tf"), F.sum("x.d").alias("df"))
+    return _stats(terms.select(F.explode(_tagged("terms")).alias("x")))
+
+
+def frequent_stats(toks: DataFrame, n_docs: Column, vocab_size: int = 1000, min_df: int = 2, max_df: float = 0.95) -> DataFrame:
+    """(term, tf, df) of every unigram or bigram of ``toks`` (doc_id, _t) that ``tfidf_vocabulary`` with the same limits can keep.
+
+    A bigram occurs no more often than either of its words. With ``vocab_size`` unigrams kept by document frequency, only
+    terms as frequent as the last of them can be in the vocabulary, so only bigrams of such words are counted; with fewer,
+    all are. The words that frequent are broadcast: besides ``vocab_size`` and ties they are those in fewer than ``min_df`` or
+    more than ``max_df`` of the documents."""
+    from vitrine.session import written
+    uni = written(term_stats(toks.select(F.col("_t").alias("terms"))))
+    kept = uni.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n_docs))
+    last = kept.orderBy(F.col("tf").desc(), F.col("term")).limit(vocab_size).agg(F.count("*"), F.min("tf")).first()
+    least = last[1] if last[0] == vocab_size else 0
+    ex = toks.select(adjacent_pairs(F.col("_t")).alias("p")).select(F.explode(_tagged("p")).alias("x"))
+    words = uni.where(F.col("tf") >= least)
+    if least:
+        ends = F.split(F.col("x.term"), " ")
+        for i in (0, 1):
+            side = words.select(F.col("term").alias(f"_w{i}"))
+            side = F.broadcast(side) if words.count() <= 100 * vocab_size else side
+            ex = ex.withColumn(f"_w{i}", F.get(ends, F.lit(i))).join(side, f"_w{i}", "left_semi")
+    return words.unionByName(_stats(ex))
 
 
 def tfidf_vocabulary(stats: DataFrame, n_docs: Column, vocab_size: int = 1000, min_df: int = 2,

@@ -197,7 +197,8 @@ def _tfidf(spark, d):
     t = FX.texts(spark, d)
     terms = TF.doc_terms(t, "doc_id", "description", _EN)
     n_docs = t.agg(F.count(F.lit(1))).scalar()
-    return terms, TF.tfidf_vocabulary(TF.term_stats(terms), n_docs, 1000, 2, 0.95)
+    stats = TF.frequent_stats(TF.doc_tokens(t, "doc_id", "description", _EN), n_docs, 1000, 2, 0.95)
+    return terms, TF.tfidf_vocabulary(stats, n_docs, 1000, 2, 0.95)
 
 
 @register("tfidf_terms", TFIDF_BASE + " SELECT term, CAST(tf AS BIGINT) AS tf, df, round(idf, 6) AS idf FROM voc")
