@@ -95,3 +95,25 @@ def test_each_round_is_evaluated_once(spark, rows, monkeypatch):
     from pyspark.ml.classification import GBTClassifier
     whole = plain(GBTClassifier(maxIter=5, stepSize=0.1, maxDepth=3, subsamplingRate=0.8, seed=42).fit(train.select("label", "features")), {"v": val})
     assert [h[2] for h in history] == whole["v"]
+
+
+def test_running_margins_are_the_models(spark):
+    """Continuous and categorical splits, and a plan that does not grow with the trees."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    from vitrine.operators.boosting import staged_margins
+    r = random.Random(3)
+    data = [(x := r.random(), k := r.choice("abcde"), float(x * 0.6 + (k in "bd") * 0.5 + 0.3 * r.random() > 0.6)) for _ in range(300)]
+    df = spark.createDataFrame(data, "x double, k string, label double")
+    df = StringIndexer(inputCol="k", outputCol="i").fit(df).transform(df)
+    df = VectorAssembler(inputCols=["x", "i"], outputCol="features").transform(df)
+    model = GBTClassifier(maxIter=7, maxDepth=3, seed=1).fit(df)
+    assert "in {" in model.toDebugString and "<=" in model.toDebugString
+    both = staged_margins(model, model.transform(df)).withColumn("raw", vector_to_array("rawPrediction")[1]).collect()
+    assert all(len(b.margins) == 7 and abs(b.margins[-1] - b.raw) < 1e-12 for b in both)
+    late = staged_margins(model, df, 5)
+    assert [list(x.margins) for x in late.collect()] == [list(b.margins[5:]) for b in both]
+    plan = late._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("UDF(") < 7

@@ -11,32 +11,66 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.operators.evaluate import roc_auc
 
 
-@F.pandas_udf("array<double>")
-def _running(parts: pd.Series) -> pd.Series:
-    return pd.Series(list(np.cumsum(np.stack(parts), axis=1))) if len(parts) else pd.Series([], dtype=object)
-
-
-def staged_margins(model, df: DataFrame) -> DataFrame:
-    """``df`` with ``margins``: the margin after each of the model's trees."""
-    out, parts = df, []
-    for i, (tree, w) in enumerate(zip(model.trees, model.treeWeights, strict=True)):
-        out = tree.setPredictionCol(f"__tree_{i}").transform(out)
-        parts.append(F.col(f"__tree_{i}") * float(w))
-    return out.select(*df.columns, _running(F.array(*parts)).alias("margins"))
+def _nodes(node) -> tuple:
+    """A fitted tree as nested tuples: (value,) of a leaf, else (feature, threshold or None, categories on the left, whether an
+    unknown category goes left, left, right)."""
+    if node.getClass().getSimpleName() == "LeafNode":
+        return (float(node.prediction()),)
+    split, left, right = node.split(), _nodes(node.leftChild()), _nodes(node.rightChild())
+    if split.getClass().getSimpleName() == "ContinuousSplit":
+        return int(split.featureIndex()), float(split.threshold()), (), False, left, right
+    some, rest = list(split.leftCategories()), list(split.rightCategories())
+    if len(some) <= (len(some) + len(rest)) / 2:
+        return int(split.featureIndex()), None, some, False, left, right
+    return int(split.featureIndex()), None, rest, True, left, right
+
+
+def _predict(node: tuple, x: np.ndarray, at: np.ndarray, out: np.ndarray) -> None:
+    """Predictions of the rows ``at`` of ``x`` by one tree."""
+    if len(node) == 1:
+        out[at] = node[0]
+        return
+    feature, threshold, cats, other, left, right = node
+    v = x[at, feature]
+    go = v <= threshold if threshold is not None else np.isin(v, cats) != other
+    _predict(left, x, at[go], out)
+    _predict(right, x, at[~go], out)
+
+
+def staged_margins(model, df: DataFrame, after: int = 0) -> DataFrame:
+    """``df`` with ``margins``: the margin after each of the model's trees beyond the first ``after``. All trees are walked in
+    one pass over blocks of rows; a plan with a column per tree would grow with the trees."""
+    trees = [(_nodes(t._java_obj.rootNode()), float(w)) for t, w in zip(model.trees, model.treeWeights, strict=True)]
+    shared = df.sparkSession.sparkContext.broadcast(trees)
+
+    @F.pandas_udf("array<double>")
+    def running(features: pd.Series) -> pd.Series:
+        if not len(features):
+            return pd.Series([], dtype=object)
+        x = np.stack(features)
+        rows, total, one, out = np.arange(len(x)), np.zeros(len(x)), np.empty(len(x)), np.empty((len(x), len(shared.value) - after))
+        for i, (tree, w) in enumerate(shared.value):
+            _predict(tree, x, rows, one)
+            total = total + one * w
+            if i >= after:
+                out[:, i - after] = total
+        return pd.Series(list(out))
+
+    return df.withColumn("margins", running(vector_to_array("features")))
 
 
 def staged_auc(model, sides: dict[str, DataFrame], after: int = 0) -> dict[str, list[float]]:
     """AUC after each tree beyond the first ``after`` for each named set of (label, features) rows."""
     out = {}
     for name, df in sides.items():
-        rounds = F.slice("margins", after + 1, len(model.treeWeights))
-        m = staged_margins(model, df.select("label", "features")).select("label", F.posexplode(rounds).alias("round", "proba"))
+        m = staged_margins(model, df.select("label", "features"), after).select("label", F.posexplode("margins").alias("round", "proba"))
         auc = roc_auc(m.withColumn("y_true", F.col("label").cast("int")), ["round"]).collect()
         out[name] = [r["auc"] for r in sorted(auc, key=lambda r: r["round"])]
     return out
