@@ -90,3 +90,18 @@ def test_platt_reaches_the_optimum(spark):
     assert a < 0 and all(loss(a, b) <= loss(a + da, b + db) + 1e-9 for da in (-1e-3, 0, 1e-3) for db in (-1e-3, 0, 1e-3))
     assert np.isfinite(ab[2.0]).all()
     assert K.platt(df.limit(0), "c", "m") == {}
+
+
+def test_a_step_shuffles_no_more_for_more_partitions(spark, rows, monkeypatch):
+    phi, parts = K.fit_map(rows, "linear"), []
+    spied = type(rows).mapInArrow
+
+    def spy(self, *a, **k):
+        parts.append(self.rdd.getNumPartitions())
+        return spied(self, *a, **k)
+
+    monkeypatch.setattr(type(rows), "mapInArrow", spy)
+    many = 3 * spark.sparkContext.defaultParallelism
+    w = K.fit_many(rows.repartition(many), phi, [1.0], 4)
+    assert parts and max(parts) <= spark.sparkContext.defaultParallelism
+    assert np.allclose(w, K.fit_many(rows.coalesce(1), phi, [1.0], 4), rtol=1e-6, atol=1e-9)
