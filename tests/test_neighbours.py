@@ -45,3 +45,20 @@ def test_smote_uses_every_point_and_fresh_ids(spark):
     assert all(0 <= r.features[0] <= 1 and r.features[1] == 1 for r in made)
     with pytest.raises(ValueError):
         ML.smote(df.where("y = 0 or id = 10000"), "y", "id")
+
+
+def test_a_block_returns_only_what_is_within_a_query_s_bound():
+    """Else every block returns k rows of every query, and the rows grow with the square of the points."""
+    r = np.random.default_rng(4)
+    x = r.normal(size=(3000, 5))
+    ids = np.arange(3000)
+    d = np.sqrt(((x[:50, None] - x[None]) ** 2).sum(axis=2))
+    d[ids[:50], ids[:50]] = np.inf
+    bound = np.sort(d, axis=1)[:, 1]  # the second nearest
+    a, b, dist = N.nearest_in_block(ids[:50], x[:50], ids, x, 4, bound)
+    assert [list(b[a == i]) for i in range(50)] == [list(np.argsort(d[i])[:2]) for i in range(50)]
+    a, b, dist = N.nearest_in_block(ids[:50], x[:50], ids, x, 4)
+    assert [list(b[a == i]) for i in range(50)] == [list(np.argsort(d[i])[:4]) for i in range(50)]
+    twice = np.repeat(ids[:8], 2)  # repeated ids are never their own neighbours
+    a, b, dist = N.nearest_in_block(twice[:1], x[twice[:1]], twice, x[twice], 4)
+    assert len(b) == 4 and 0 not in b
