@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm import bpe, mixing, ngram_join, substring, toxicity
-from vitrine.llm.common import checkpoint, table
+from vitrine.llm.common import settled, table
 from vitrine.llm.queries import label_quality
 from vitrine.session import checkpoint_dir, ship_package
 
@@ -26,7 +26,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     smallest doc_id stays (null last; of equal ids the smallest text hash), once. Documents without words are copies of
     nothing and stay."""
     ship_package(spark)
-    keep = checkpoint(ngram_join.representatives(docs, n=5, percent=80))
+    keep = settled(spark, lambda: ngram_join.representatives(docs, n=5, percent=80))
 
     own, kept_row = (f"{x}_{uuid.uuid4().hex}" for x in ("hash", "kept"))  # names no column of the caller has
 
@@ -45,13 +45,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages that an earlier document keeps."""
     ship_package(spark)
-    return substring.remove_spans(docs, checkpoint(substring.duplicate_spans(docs)))
+    return substring.remove_spans(docs, settled(spark, lambda: substring.duplicate_spans(docs)))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows of the mix: a document as often as it is taken, the one that crosses a budget with its leading words."""
     ship_package(spark)
-    return mixing.mixed_documents(docs, checkpoint(mixing.mix(docs, label_quality(spark, sf_dir))))
+    return mixing.mixed_documents(docs, settled(spark, lambda: mixing.mix(docs, label_quality(spark, sf_dir))))
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

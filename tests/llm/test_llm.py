@@ -136,6 +136,32 @@ def test_substring_dedup_finds_passages_with_seams_inside_sentences(sp):
         assert s["n_words"] >= 51 - 2 * (WITHIN - 1) and s["kept_doc_id"] == s["doc_id"] - 1
 
 
+def test_stages_leave_only_the_tables_they_read(sp, docs):
+    import os
+
+    import corpus_pipeline
+
+    from vitrine.session import checkpoint_dir
+
+    folder = checkpoint_dir(sp).removeprefix("file:") + "/tables"
+    for stage in (corpus_pipeline.near_duplicate_stage, corpus_pipeline.substring_stage):
+        before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+        assert stage(sp, docs, "").count()
+        assert len(set(os.listdir(folder)) - before) == 1
+
+
+def test_scratch_keeps_what_it_is_told_to(sp):
+    from vitrine.llm.common import checkpoint, scratch, settled
+
+    def build():
+        with scratch(sp) as keep:
+            a = keep(checkpoint(sp.range(3)))
+            checkpoint(sp.range(4))
+        return a.union(checkpoint(sp.range(2)))
+
+    assert settled(sp, build).count() == 5
+
+
 def test_substring_dedup_compares_paragraphs_of_nine_words(sp):
     from vitrine.llm.substring import duplicate_spans
     from .conftest import words

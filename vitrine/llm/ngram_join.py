@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from vitrine.llm import graph
 from vitrine.llm import words as W
-from vitrine.llm.common import SIEVE_BITS, bounded_broadcast, checkpoint, passes, sieve
+from vitrine.llm.common import SIEVE_BITS, bounded_broadcast, checkpoint, forget, passes, settled, sieve
 
 #: Part of the global order that is looked at first, as a multiple of the part of its n-grams that a linked set may lose.
 #: At 1 nothing would be told apart; more tells more apart, and shuffles more.
@@ -125,17 +125,25 @@ def segments(sets: DataFrame) -> DataFrame:
 
 def _linked(df: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, th, node, n of every row; node, id, comp of every set: its smallest doc_id and its component)."""
+    spark = df.sparkSession
     first = checkpoint(shingle_rows(df, n, FIRST * (100 - percent) / 100))
-    rows = first.drop("h")
-    keep = checkpoint(possible(first, percent))
-    ids = bounded_broadcast(keep.select(F.col("id").alias("_id")).distinct())
-    # every set by one of its documents (by all that have no doc_id)
-    some = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    some = some.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    sets = shingle_rows(some, n).drop("doc_id", "th").join(keep.select("node"), "node", "left_semi").dropDuplicates(["node"])
-    sets = checkpoint(sets)
-    posts = checkpoint(rare_first(sets, percent))
-    comp = graph.link(posts, checkpoint(segments(sets.join(posts.select("node").distinct(), "node", "left_semi"))), percent)
+    keep = settled(spark, lambda: possible(first, percent))
+    rows = checkpoint(first.drop("h"))
+    forget(first)
+
+    def linked() -> DataFrame:
+        ids = bounded_broadcast(keep.select(F.col("id").alias("_id")).distinct())
+        # every set by one of its documents (by all that have no doc_id)
+        some = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        some = some.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+        sets = shingle_rows(some, n).drop("doc_id", "th").join(keep.select("node"), "node", "left_semi").dropDuplicates(["node"])
+        sets = checkpoint(sets)
+        posts = checkpoint(rare_first(sets, percent))
+        parts = checkpoint(segments(sets.join(posts.select("node").distinct(), "node", "left_semi")))
+        forget(sets)
+        return graph.link(posts, parts, percent)
+
+    comp = settled(spark, linked)
     classes = rows.groupBy("node").agg(F.min("doc_id").alias("id"))
     return rows, classes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
