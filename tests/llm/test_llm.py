@@ -162,6 +162,35 @@ def test_scratch_keeps_what_it_is_told_to(sp):
     assert settled(sp, build).count() == 5
 
 
+def test_substring_units_cost_four_bytes_and_none_is_lost(sp, docs):
+    import pyarrow as pa
+
+    from vitrine.llm import substring
+
+    v = np.sort(np.random.default_rng(3).integers(0, 1 << 64, 5000, dtype=np.uint64))
+    b = substring._deal(v, 6, 32)
+    back = [(i, x) for i, d in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for x in np.frombuffer(d, np.uint32).tolist()]
+    assert back == [(int(x) >> 58, int(x) >> 26 & 0xFFFFFFFF) for x in v] and sum(map(len, b.column(1).to_pylist())) == 4 * len(v)
+    near = sp.createDataFrame([(5, 5), (-7, 5)], "node long, comp long")
+    bits = substring.shared(docs, near)
+    assert substring._lets(bits, np.array([5, -7], np.int64).view(np.uint64)).all()
+    held = collections.defaultdict(set)
+    for i, r in enumerate(rows(docs.select("text"))):
+        for h in substring.Units(pa.array([r["text"]], pa.string())).hash.tolist():
+            held[h].add(i)
+    several = np.array([h for h, x in held.items() if len(x) > 1], np.uint64)
+    single = np.array([h for h, x in held.items() if len(x) == 1], np.uint64)
+    assert len(several) and substring._lets(bits, several).all() and substring._lets(bits, single).mean() < 0.2
+
+
+def test_substring_groups_are_joined_where_there_are_many(sp, docs, monkeypatch):
+    from vitrine.llm import substring
+
+    want = sorted(map(str, rows(substring.duplicate_spans(docs))))
+    monkeypatch.setattr(substring, "LOOKED_UP", -1)
+    assert want and sorted(map(str, rows(substring.duplicate_spans(docs)))) == want
+
+
 def test_substring_dedup_compares_paragraphs_of_nine_words(sp):
     from vitrine.llm.substring import duplicate_spans
     from .conftest import words

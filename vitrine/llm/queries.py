@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm import ann, bpe, chat, langid, lm, mixing, ngram_join, repair, spotsigs, substring, toxicity, urls, whitening
-from vitrine.llm.common import table
+from vitrine.llm.common import settled, table
 
 
 def label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +15,7 @@ def label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_substring_dedup(spark, sf_dir):
-    return substring.duplicate_spans(table(spark, sf_dir, "documents")).drop("text_hash")
+    return settled(spark, lambda: substring.duplicate_spans(table(spark, sf_dir, "documents"))).drop("text_hash")
 
 
 def op2_mixing(spark, sf_dir):
