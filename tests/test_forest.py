@@ -108,3 +108,12 @@ def test_cv_rf_tries_the_whole_grid_on_five_stratified_folds(spark, monkeypatch)
             values.setdefault(k, set()).add(v)
     assert values == {"numTrees": {100, 200}, "maxDepth": {10, 20, 30}, "minSamplesSplit": {2, 5}, "featureSubsetStrategy": {"sqrt", "log2"}}
     assert len({r.params for r in got["rows"]}) == 24
+
+
+def test_random_search_takes_a_hundred_draws_on_five_stratified_folds(spark, monkeypatch):
+    got = _asked(monkeypatch, lambda Q: Q.q_random_search(spark, "none").collect())
+    assert got["folds"] == 5 and got["id_col"] == "doc_id" and len(got["rows"]) == 100
+    draws = [eval(r.params) for r in got["rows"]]
+    assert all(50 <= p["numTrees"] <= 500 and 2 <= p["minSamplesSplit"] <= 20 and 1 <= p["minInstancesPerNode"] <= 10 for p in draws)
+    assert len({p["numTrees"] for p in draws}) > 50 and {p["maxDepth"] for p in draws} == {5, 10, 15, 20, 25, 30}
+    assert {p["classWeight"] for p in draws} == {"none", "balanced", "balanced_subsample"} and {p["bootstrap"] for p in draws} == {True, False}
