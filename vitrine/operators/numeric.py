@@ -70,6 +70,9 @@ def outlier_treat(df: DataFrame, col: str, method: str = "cap", exact: bool = Tr
 DERIVED = ["price_category_low", "price_category_medium", "price_category_high", "log_price", "high_rating",
            "low_rating", "rating_squared", "high_reviews", "low_reviews", "log_reviews", "price_per_rating",
            "price_per_review", "rating_reliability"]
+_P, _R, _N = {"price_numeric"}, {"rating_numeric"}, {"reviews_count"}
+#: Columns that each of them is derived from.
+NEEDS = dict(zip(DERIVED, [_P] * 4 + [_R] * 3 + [_N] * 3 + [_P | _R, _P | _N, _R | _N]))
 
 
 @dataclass
@@ -85,7 +88,8 @@ class NumericModel:
 
     @property
     def output_columns(self) -> list:
-        return list(self.columns) + DERIVED
+        """The columns and what derives from them: all of ``DERIVED`` where price, rating and reviews are there."""
+        return list(self.columns) + [c for c in DERIVED if NEEDS[c] <= set(self.columns)]
 
     def _filled_capped(self, df: DataFrame) -> DataFrame:
         cols = {}
@@ -99,15 +103,16 @@ class NumericModel:
 
     def _derived(self, df: DataFrame) -> DataFrame:
         p, r, n = F.col("price_numeric"), F.col("rating_numeric"), F.col("reviews_count")
-        q = self.quantiles
-        return df.withColumns({
+        q = {"p33": None, "p67": None, "r25": None, "r75": None} | self.quantiles
+        derived = {
             "price_category_low": (p <= q["p33"]).cast("int"),
             "price_category_medium": ((p > q["p33"]) & (p <= q["p67"])).cast("int"),
             "price_category_high": (p > q["p67"]).cast("int"),
             "log_price": F.log1p(p), "high_rating": (r >= 4.0).cast("int"), "low_rating": (r <= 2.5).cast("int"),
             "rating_squared": F.pow(r, 2), "high_reviews": (n >= q["r75"]).cast("int"),
             "low_reviews": (n <= q["r25"]).cast("int"), "log_reviews": F.log1p(n),
-            "price_per_rating": p / (r + 0.1), "price_per_review": p / (n + 1), "rating_reliability": r * F.log1p(n)})
+            "price_per_rating": p / (r + 0.1), "price_per_review": p / (n + 1), "rating_reliability": r * F.log1p(n)}
+        return df.withColumns({c: derived[c] for c in self.output_columns[len(self.columns):]})
 
     def unscaled(self, df: DataFrame) -> DataFrame:
         return self._derived(self._filled_capped(df))
@@ -148,9 +153,9 @@ def fit_numeric(df: DataFrame, columns: Sequence[str] = ("price_numeric", "ratin
             m.caps[c] = (float(qq[c][0.05]), float(qq[c][0.95]))
     capped = m._filled_capped(df)
     if exact:
-        qp = quantiles_multi(capped, ["price_numeric", "reviews_count"], [0.33, 0.67, 0.25, 0.75])
-        m.quantiles = {"p33": float(qp["price_numeric"][0.33]), "p67": float(qp["price_numeric"][0.67]),
-                       "r25": float(qp["reviews_count"][0.25]), "r75": float(qp["reviews_count"][0.75])}
+        asked = {c: names for c, names in (("price_numeric", {"p33": 0.33, "p67": 0.67}), ("reviews_count", {"r25": 0.25, "r75": 0.75})) if c in columns}
+        qp = quantiles_multi(capped, list(asked), [0.33, 0.67, 0.25, 0.75]) if asked else {}
+        m.quantiles = {k: float(qp[c][p]) for c, names in asked.items() for k, p in names.items()}
     else:
         row = capped.agg(_q(F.col("price_numeric"), 0.33, exact).alias("p33"), _q(F.col("price_numeric"), 0.67, exact).alias("p67"),
                          _q(F.col("reviews_count"), 0.25, exact).alias("r25"), _q(F.col("reviews_count"), 0.75, exact).alias("r75")).first()

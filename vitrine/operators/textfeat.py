@@ -66,6 +66,14 @@ def adjacent_pairs(toks: Column) -> Column:
 from vitrine.functions.partitioning import spread  # noqa: E402
 
 
+def with_terms(df: DataFrame, text_col: str, out: str, stop_words: Sequence[str]) -> DataFrame:
+    """``df`` with the unigrams and bigrams of ``text_col`` after hashed stop-word removal (TXT3 analyzer)."""
+    from pyspark.ml.feature import StopWordsRemover
+    raw = df.withColumn("_raw", F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(TOKEN), 0))
+    clean = StopWordsRemover(inputCol="_raw", outputCol="_t", stopWords=list(stop_words), caseSensitive=True).transform(raw)
+    return clean.withColumn(out, F.concat(F.col("_t"), adjacent_pairs(F.col("_t")))).drop("_raw", "_t")
+
+
 def doc_tokens(df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str]) -> DataFrame:
     """(doc_id, _t): tokens after hashed stop-word removal."""
     from pyspark.ml.feature import StopWordsRemover
