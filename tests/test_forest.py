@@ -117,3 +117,31 @@ def test_random_search_takes_a_hundred_draws_on_five_stratified_folds(spark, mon
     assert all(50 <= p["numTrees"] <= 500 and 2 <= p["minSamplesSplit"] <= 20 and 1 <= p["minInstancesPerNode"] <= 10 for p in draws)
     assert len({p["numTrees"] for p in draws}) > 50 and {p["maxDepth"] for p in draws} == {5, 10, 15, 20, 25, 30}
     assert {p["classWeight"] for p in draws} == {"none", "balanced", "balanced_subsample"} and {p["bootstrap"] for p in draws} == {True, False}
+
+
+def test_search_compare_searches_all_four_models_on_stratified_folds(spark, monkeypatch):
+    from vitrine.operators import ml as ML
+    from vitrine.plans import ml_queries as Q
+    asked = []
+    monkeypatch.setattr(Q, "prepared", lambda spark, d: (None, None, None, None))
+    monkeypatch.setattr(ML, "search", lambda est, maps, data, **k: asked.append((k["folds"], k["id_col"], len(maps))) or (None, [0.5] * len(maps)))
+    got = Q.q_search_compare(spark, "none").collect()
+    assert {r["model"] for r in got} == {"random_forest", "logistic_regression", "svm", "gradient_boosting"}
+    assert len(asked) == 4 and all(x[:2] == (5, "doc_id") for x in asked) and sorted(r["iterations"] for r in got) == sorted(x[2] for x in asked)
+
+
+def test_compared_searches(spark):
+    from vitrine.operators.ml import compare_searches
+    rows = [("random_forest", 0.7, 30.0, "random"), ("random_forest", 0.9, 30.0, "random"), ("svm", 0.6, 5.0, "grid"), ("lr", 0.6, 3.0, "grid"),
+            ("gradient_boosting", 0.0, 9.0, "grid")]
+    got = compare_searches(spark.createDataFrame(rows, "model string, score double, seconds double, strategy string")).orderBy("rank").collect()
+    assert [(r["rank"], r["model"], r["best_score"], r["seconds"], r["method"], r["iterations"]) for r in got] == [
+        (1, "random_forest", 0.9, 60.0, "random", 2), (2, "lr", 0.6, 3.0, "grid", 1), (3, "svm", 0.6, 5.0, "grid", 1)]  # what scored 0 failed
+    assert [r["efficiency"] for r in got] == pytest.approx([0.9, 12.0, 7.2])
+    r = got[0]
+    assert (r["best_model"], r["most_efficient"], r["fastest"], r["slowest"]) == ("random_forest", "lr", "lr", "random_forest")
+    assert (r["score_min"], r["score_max"]) == (0.6, 0.9) and r["score_std"] == pytest.approx(0.3 / 3 ** 0.5) and r["avg_seconds"] == pytest.approx(68 / 3)
+    assert r["recommendations"] == [
+        "Best performing model: random_forest (score: 0.9000)", "Significant performance differences detected (std: 0.1732)",
+        "Most efficient model: lr (best score/time ratio)", "Consider efficiency vs. performance trade-off for production deployment",
+        "Mixed optimization methods used - automatic selection working well", "Random Forest in top 3 - good baseline with interpretability"]
